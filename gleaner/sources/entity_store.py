@@ -21,8 +21,12 @@ def with_slice_keys(df: DataFrame) -> DataFrame:
 
 
 def write_entities(df: DataFrame, path: str) -> None:
-    """One Parquet slice per crawl and platform; only slices present in the input are replaced."""
-    (with_slice_keys(df).select(*ENTITY_COLUMNS).write.mode("overwrite")
+    """One Parquet slice per crawl and platform; only slices present in the input are replaced.
+
+    The rebalance keeps a slice in few files, yet splits a slice that is too large for one task.
+    """
+    rows = with_slice_keys(df).select(*ENTITY_COLUMNS)
+    (rows.hint("rebalance", F.col("crawl_id"), F.col("platform")).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("crawl_id", "platform").parquet(path))
 
 

@@ -20,7 +20,8 @@ CDX_LINE = T.StructType([T.StructField("urlkey", S), T.StructField("timestamp",
 
 def write_index(df: DataFrame, path: str) -> None:
     """Store an index partitioned by crawl and subset, rows of one host close together."""
-    (df.select(*INDEX.fieldNames()).repartition("crawl", "subset", "url_host_registered_domain")
+    keys = [F.col(c) for c in ("crawl", "subset", "url_host_registered_domain")]
+    (df.select(*INDEX.fieldNames()).hint("rebalance", *keys)
        .sortWithinPartitions("url_host_registered_domain", "url")
        .write.mode("overwrite").partitionBy("crawl", "subset").parquet(path))
 

@@ -77,12 +77,13 @@ def _try_file(fs, path: str, offsets: list[int], lengths: list[int]) -> list[tup
 def read_ranges(pointers: DataFrame, root: str, partitions: int | None = None) -> DataFrame:
     """Records behind the pointers, with the body or the reason why there is none.
 
-    Pointers are slim and may be many, so they are spread by file and offset range: neighbours meet in one
-    task and are read together, and a file with very many records is split over tasks. ``root`` is a folder
-    or bucket URI that pyarrow can open.
+    Pointers are slim and may be many, so they are spread by slice, file and offset range: neighbours meet in
+    one task and are read together, a file with very many records is split over tasks, and a task writes few
+    slices of the page store, so page text needs no shuffle at all. ``root`` is a folder or bucket URI that
+    pyarrow can open.
     """
     df = pointers.where(has_pointer()).select(*POINTER.fieldNames())
-    by = ["filename", "offset"]
+    by = ["platform", "crawl_id", "filename", "offset"]
     df = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     names, target = POINTER.fieldNames(), root.rstrip("/")
 

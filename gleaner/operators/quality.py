@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.functions.rows import explode_once
+
 # Fixed values.
 PLATFORM_NAMES = ("glovo", "just eat", "uber eats", "ubereats", "glovoapp")
 BAD_CITY_WORDS = "domicilio|delivery|glovo|banaketa"
@@ -65,7 +67,7 @@ def row_issues(df: DataFrame, subject: str = "source_url") -> DataFrame:
         "HTML_ENTITY": name.contains("&#"),
     }
     tags = F.filter(F.array(*[F.when(c, F.lit(k)) for k, c in rules.items()]), lambda t: t.isNotNull())
-    return df.select("platform", "crawl_id", F.col(subject).alias("subject"), "name", F.explode(tags).alias("check"))
+    return explode_once(df, tags, "check", "platform", "crawl_id", F.col(subject).alias("subject"), "name")
 
 
 def intra_page_duplicates(df: DataFrame, page_key: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.binding import built_once
 from gleaner.functions.numbers import crawl_date_text
+from gleaner.functions.rows import explode_once
 from gleaner.functions.text import clean_text
 from gleaner.functions.urls import category_from_url, city_from_url
 from gleaner.operators import cards as C
@@ -95,7 +96,7 @@ def extract_source(pages: DataFrame, source: SourceProfile, carry: tuple[str, ..
         df = df.withColumn("_rows", F.when(use_json, F.col("_json")).otherwise(cards))
     else:
         df = df.withColumn("_rows", F.col("_json"))
-    rows = df.select(*carry, F.posexplode("_rows").alias("pos", "_row"))
+    rows = explode_once(df, F.col("_rows"), "_row", *carry, pos="pos")
     return rows.select(*carry, F.col("_row.branch").alias("branch"), "pos", "_row.entity.*")
 
 

@@ -66,21 +66,27 @@ def to_pointers(rows: DataFrame) -> DataFrame:
         F.coalesce("crawl_id", F.lit("")).alias("crawl_id"), F.coalesce("platform", F.lit("")).alias("platform"))
 
 
-def parse_cdx(lines: DataFrame, domain: str, value: str = "value") -> DataFrame:
-    """CDX lines ``urlkey timestamp {json}`` of a domain; malformed lines are dropped."""
+def parse_cdx(lines: DataFrame, domain: str, value: str = "value", reversed_key: bool = False) -> DataFrame:
+    """CDX lines ``urlkey timestamp {json}`` of a domain; malformed lines are dropped.
+
+    A key is kept when it holds the domain as written or with commas for dots. Sort-friendly keys write the
+    labels in reverse order; ``reversed_key`` accepts those too.
+    """
     parts = F.split(F.trim(value), " ", 3)
-    key, surt = F.col("_p")[0], domain.replace(".", ",")
+    key, forms = F.col("_p")[0], [domain, domain.replace(".", ",")]
+    if reversed_key:
+        forms.append(",".join(reversed(domain.split("."))))
     df = lines.select(parts.alias("_p")).where(F.size("_p") == 3)
-    df = df.where(key.contains(domain) | key.contains(surt))
+    df = df.where(any_of([key.contains(f) for f in forms]))
     df = df.withColumn("_j", F.from_json(F.col("_p")[2], CDX_JSON, {"mode": "PERMISSIVE"}))
     # A tail that is not JSON gives a record without any value.
     ok = F.try_parse_json(F.col("_p")[2]).isNotNull()
     return df.where(ok).select(key.alias("urlkey"), F.col("_p")[1].alias("timestamp"), "_j.*")
 
 
-def read_cdx(spark: SparkSession, path: str, domain: str) -> DataFrame:
+def read_cdx(spark: SparkSession, path: str, domain: str, reversed_key: bool = False) -> DataFrame:
     """CDX text files, gzip or plain; one file is one task, as gzip cannot be split."""
-    return parse_cdx(spark.read.text(path), domain)
+    return parse_cdx(spark.read.text(path), domain, reversed_key=reversed_key)
 
 
 def read_cdx_json(spark: SparkSession, path: str, status: str = "200") -> DataFrame:

@@ -46,7 +46,9 @@ def _runs(offsets: list[int], lengths: list[int]) -> Iterator[tuple[int, int]]:
     start, end = 0, offsets[0] + lengths[0]
     for i in range(1, len(offsets)):
         grown = max(end, offsets[i] + lengths[i])
-        if offsets[i] - end > MAX_GAP or grown - offsets[start] > MAX_READ:
+        # Offsets start over where the next slice reads the same file.
+        backwards = offsets[i] < offsets[i - 1]
+        if backwards or offsets[i] - end > MAX_GAP or grown - offsets[start] > MAX_READ:
             yield start, i
             start, end = i, offsets[i] + lengths[i]
         else:

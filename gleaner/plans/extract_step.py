@@ -59,6 +59,11 @@ def card_rows(source: SourceProfile) -> Column:
     return F.coalesce(C.card_entities(F.col("_cards"), PageContext.of(source)), no_entities())
 
 
+@built_once
+def cleaned(column: str) -> Column:
+    return clean_text(F.col(column))
+
+
 def _tag(rows: str, branch: str) -> Column:
     return F.transform(rows, lambda e: F.struct(F.lit(branch).alias("branch"), e.alias("entity")))
 
@@ -106,7 +111,7 @@ def extract_entities(
     """Entities of all known sources; each source reads only its own slice of a partitioned page store."""
     rows = reduce(DataFrame.unionByName, [extract_source(pages, p, carry) for p in profiles])
     # Names and addresses are cleaned once, on the slim rows.
-    return rows.withColumns({c: clean_text(F.col(c)) for c in ("name", "address")})
+    return rows.withColumns({c: cleaned(c) for c in ("name", "address")})
 
 
 def entity_table(pages: DataFrame, profiles: tuple[SourceProfile, ...] = PROFILES) -> DataFrame:

@@ -138,7 +138,10 @@ def customers(t: Tables) -> DataFrame:
 def block_pages(rows: DataFrame, *texts: Column) -> DataFrame:
     """One row per block: the texts of its customers joined in key order. A block has at most 16 rows."""
     item = F.struct("c_custkey", *[x.alias(f"t{i}") for i, x in enumerate(texts)])
-    df = rows.groupBy("page_id").agg(F.array_sort(F.collect_list(item)).alias("_b"))
+    # A fixed number of partitions keeps small runs parallel; pages are much work for few bytes.
+    context = rows.sparkSession.sparkContext
+    parts = max(context.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    df = rows.repartition(parts, "page_id").groupBy("page_id").agg(F.array_sort(F.collect_list(item)).alias("_b"))
     return df.select("page_id", *[F.array_join(f"_b.t{i}", ",").alias(f"t{i}") for i in range(len(texts))])
 
 
@@ -163,7 +166,7 @@ def linked_item() -> Column:
     key = F.col("c_custkey")
     kind = F.when(key % 5 == 0, "Organization").otherwise("Restaurant").alias("@type")
     rating = F.struct(
-        F.format_string("%.2f", F.col("c_acctbal") / 1000 + 2).alias("ratingValue"),
+        F.format_string("%.1f", key % 40 / 10 + 1).alias("ratingValue"),
         (key + 1).alias("ratingCount")).alias("aggregateRating")
     geo = F.struct((key / 4).alias("latitude"), (key / 8).alias("longitude")).alias("geo")
     url = F.concat(F.lit("https://x.example/"), key.cast("string")).alias("url")
@@ -203,7 +206,7 @@ rows AS (
     CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE n_name END AS neighborhood,
     c_mktsegment AS food_type,
     CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment || '|Other' ELSE c_mktsegment END AS categories,
-    CAST(printf('%.2f', c_acctbal / 1000 + 2) AS DOUBLE) AS rating, c_custkey + 1 AS num_ratings,
+    round(c_custkey % 40 / 10 + 1, 1) AS rating, c_custkey + 1 AS num_ratings,
     c_custkey / 4 AS latitude, c_custkey / 8 AS longitude,
     'https://x.example/' || CAST(c_custkey AS VARCHAR) AS restaurant_url
   FROM fx_customer WHERE c_custkey % 5 <> 0)

@@ -144,10 +144,16 @@ def _(t: Tables):
     return _rows(fx.script_pages(t), UBER).select(*_SCRIPT_COLS)
 
 
-@query("x11_node_table", """
+# Entities of the test pages in SQL; some are cut off before the semicolon.
+_TEXT_SQL = (
+    "regexp_replace(regexp_replace(regexp_replace(regexp_replace({}, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), "
+    "'&quot;?', '\"', 'g'), '&amp;?', '&', 'g')")
+
+
+@query("x11_node_table", f"""
 SELECT page_id, length(regexp_extract_all(html, '<li[ >]')) AS n_li, length(regexp_extract_all(html, '<a[ >]')) AS n_a,
   length(regexp_extract_all(html, '<p[ >]')) AS n_p, length(regexp_extract_all(html, '<br[ />]')) AS n_br,
-  replace(replace(replace(replace(regexp_extract(html, '<h1[^>]*>([^<]*)<', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS heading
+  {_TEXT_SQL.format("regexp_extract(html, '<h1[^>]*>([^<]*)<', 1)")} AS heading
 FROM pages
 """)
 def _(t: Tables):
@@ -212,10 +218,9 @@ def _feature_pages(t: Tables) -> DataFrame:
         F.concat("html", extra).alias("html"))
 
 
-_FEATURE_SQL = """
+_FEATURE_SQL = f"""
 features AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+/([a-z]+)/', 1) AS platform,
-  substring(trim(replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)<', 1), '&lt;', '<'), '&gt;', '>'),
-    '&quot;', '"'), '&amp;', '&')), 1, 100) AS title,
+  substring(trim({_TEXT_SQL.format("regexp_extract(html, '<title>([^<]*)<', 1)")}), 1, 100) AS title,
   page_id % 5 = 2 AS has_json_ld, CASE WHEN page_id % 5 = 2 THEN 'Restaurant|unknown' ELSE '' END AS types,
   page_id % 4 = 1 AS has_next_data, page_id % 6 = 3 AS has_initial_state,
   length(regexp_extract_all(html, '<a [^>]*href')) AS num_links,

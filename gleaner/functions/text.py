@@ -16,6 +16,10 @@ _SPACE = r"(?U)[\s\x1c-\x1f]+"
 # Names a browser accepts without the closing semicolon, longest first so that the regex prefers them.
 _OPEN_NAMES = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=len, reverse=True)
 _NAMED_JSON = json.dumps(html.entities.html5)
+_COMMON_JSON = json.dumps({
+    n + end: html.entities.html5[n + end] for n in ("amp", "quot", "lt", "gt", "nbsp", "apos") for end in (";", "")
+    if n + end in html.entities.html5
+} | {n + end: html.entities.html5[n + end] for n in _OPEN_NAMES for end in (";", "")})
 # Numeric references to the C1 range mean the Windows-1252 character.
 _C1_JSON = json.dumps({
     str(b): bytes([b]).decode("cp1252", errors="ignore") or chr(b) for b in range(0x80, 0xA0)
@@ -58,21 +62,24 @@ def _piece(p: Column) -> Column:
     """Resolve the reference at the start of a piece that begins with ``&``."""
     dec = F.regexp_extract(p, r"^&#([0-9]+)", 1).try_cast("bigint")
     hexa = F.conv(F.regexp_extract(p, r"^&#[xX]([0-9a-fA-F]+)", 1), 16, 10).try_cast("bigint")
-    names = F.from_json(F.lit(_NAMED_JSON), "map<string,string>")
+    common, every = (F.from_json(F.lit(j), "map<string,string>") for j in (_COMMON_JSON, _NAMED_JSON))
     closed = F.regexp_extract(p, r"^&([A-Za-z][A-Za-z0-9]*;)", 1)
     opened = F.regexp_extract(p, "^&(" + "|".join(_OPEN_NAMES) + ")", 1)
 
-    def named(p: Column) -> Column:
-        hit = first_usable(
-            [F.struct(n.alias("n"), F.try_element_at(names, n).alias("c")) for n in (closed, opened)],
-            lambda x: x["c"].isNotNull())
-        return F.coalesce(bind(hit, lambda x: F.concat(x["c"], F.substr(p, F.length(x["n"]) + 2))), p)
+    def replaced(name: Column, *tables: Column) -> Column:
+        char = F.coalesce(*[F.try_element_at(t, name) for t in tables])
+        return F.concat(char, F.substr(p, F.length(name) + 2))
+
+    # Map lookups are linear, so the full table is only searched when the common one has no answer.
+    named = F.coalesce(
+        bind(closed, lambda n: F.when(n != "", replaced(n, common, every))),
+        bind(opened, lambda n: F.when(n != "", replaced(n, common))), p)
 
     return (
         F.when(p.rlike("^&#[0-9]"), F.concat(_code_point(dec), F.regexp_replace(p, "^&#[0-9]+;?", "")))
         .when(p.rlike("^&#[xX][0-9a-fA-F]"), F.concat(
             _code_point(hexa), F.regexp_replace(p, "^&#[xX][0-9a-fA-F]+;?", "")))
-        .when(p.startswith("&"), named(p)).otherwise(p)
+        .when(p.startswith("&"), named).otherwise(p)
     )
 
 

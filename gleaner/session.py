@@ -48,7 +48,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
     Only a local master may fall back to a machine-local temporary folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     if spark.sparkContext.master.startswith("local"):

@@ -16,10 +16,12 @@ from gleaner.sources.index import source_rows, to_pointers
 
 
 def index_step(
-    index: DataFrame, crawls: list[str] | None = None, profiles: tuple[SourceProfile, ...] = PROFILES
+    index: DataFrame, crawls: list[str] | None = None, profiles: tuple[SourceProfile, ...] = PROFILES,
+    ordered: bool = False,
 ) -> DataFrame:
-    """Index rows of every crawl and source in one scan, in URL order within the result."""
-    return source_rows(index, crawls, profiles)
+    """Index rows of every crawl and source in one scan; sorted by URL only when asked, as sorting shuffles."""
+    rows = source_rows(index, crawls, profiles)
+    return rows.orderBy("url") if ordered else rows
 
 
 def index_counts(rows: DataFrame, crawls: DataFrame, profiles: tuple[SourceProfile, ...] = PROFILES) -> DataFrame:

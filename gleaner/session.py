@@ -14,7 +14,7 @@ RUNTIME_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # A page may be about 1 MB, so Arrow batches are kept short.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
 }
 
 

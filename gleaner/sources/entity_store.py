@@ -43,7 +43,10 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The CSV form back to entity types; an explicit schema spares the inference pass."""
+    """The CSV form back to entity types; an explicit schema spares the inference pass.
+
+    Cells may hold line breaks, so a file is not split; the sink writes one file per task.
+    """
     df = spark.read.schema(_CSV).option("header", "true").option("escape", '"').option("multiLine", "true").csv(path)
     return df.withColumn("categories", pipe_to_list(F.col("categories"))).select(*ENTITY_COLUMNS)
 
@@ -58,7 +61,8 @@ def summary_lines(counts: DataFrame) -> DataFrame:
 
 
 def read_summary_lines(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.text(path).select(F.explode(F.from_json("value", "map<string,map<string,bigint>>")).alias("level", "m"))
+    df = spark.read.text(path).select(
+        F.explode_outer(F.from_json("value", "map<string,map<string,bigint>>")).alias("level", "m"))
     return df.select("level", F.explode("m").alias("key", "n"))
 
 

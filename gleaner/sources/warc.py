@@ -19,6 +19,8 @@ RECORD = T.StructType([
 MAX_TRIES = 3
 # Ranges closer together than this are read in one request.
 MAX_GAP, MAX_READ = 64 * 1024, 8 * 1024 * 1024
+# Compressed bytes one fetch task reads.
+BYTES_PER_TASK = 64 * 1024 * 1024
 
 
 def split_response(data: bytes) -> bytes | None:
@@ -76,17 +78,27 @@ def _try_file(fs, path: str, offsets: list[int], lengths: list[int]) -> list[tup
     return [(None, error)] * len(offsets)
 
 
+def fetch_partitions(pointers: DataFrame, bytes_per_task: int = BYTES_PER_TASK) -> int:
+    """Number of fetch tasks for the bytes the pointers stand for.
+
+    Pointers are tiny next to the records, so their own size must not decide the parallelism.
+    """
+    spark = pointers.sparkSession
+    total = pointers.agg(F.sum("length")).first()[0] or 0
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bytes_per_task))
+
+
 def read_ranges(pointers: DataFrame, root: str, partitions: int | None = None) -> DataFrame:
     """Records behind the pointers, with the body or the reason why there is none.
 
     Pointers are slim and may be many, so they are spread by slice, file and offset range: neighbours meet in
     one task and are read together, a file with very many records is split over tasks, and a task writes few
     slices of the page store, so page text needs no shuffle at all. ``root`` is a folder or bucket URI that
-    pyarrow can open.
+    pyarrow can open. Without ``partitions`` the total length is summed first.
     """
     df = pointers.where(has_pointer()).select(*POINTER.fieldNames())
     by = ["platform", "crawl_id", "filename", "offset"]
-    df = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    df = df.repartitionByRange(partitions or fetch_partitions(df), *by)
     names, target = POINTER.fieldNames(), root.rstrip("/")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

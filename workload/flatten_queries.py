@@ -351,7 +351,8 @@ def _(t: Tables):
     pages = _audit_pages(t)
     # The sample is drawn on slim rows; page text joins the few chosen pages afterwards.
     chosen = ranking.seeded_sample(pages.select("page_id", "platform", "crawl_id", "url"), ["platform", "crawl_id"], "url", 10)
-    sample = pages.join(chosen.select("page_id"), "page_id", "left_semi")
+    # At most ten rows per slice, so the broadcast is bounded by the number of slices.
+    sample = pages.join(F.broadcast(chosen.select("page_id")), "page_id", "left_semi")
     rows = _rows(sample)
     counts = quality.page_counts(sample, rows, ["page_id"])
     issues = quality.page_issues(counts).select("platform", "crawl_id", "check").unionByName(

@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.text import blank_to_null
 
+# The texts in which numbers and durations are recognised.
+NUMBER = r"(\d+[.,]\d+|\d+)"
+KILO = r"(\d+\.?\d*)\s*k"
+DIGITS = r"(\d+)"
+PERCENT = r"(\d+)\s*%"
+BRACKETED = r"\((\d+[,.]?\d*[kK]?)\)"
+DURATION = r"(?i)\d+\s*(min|hora|hr)"
+
 
 def null_if_zero(c: Column) -> Column:
     return F.when(c != 0, c)
@@ -14,7 +22,7 @@ def null_if_zero(c: Column) -> Column:
 
 def first_number(c: Column) -> Column:
     """First integer or decimal; comma and dot both mark decimals."""
-    hit = blank_to_null(F.regexp_extract(c, r"(\d+[.,]\d+|\d+)", 1))
+    hit = blank_to_null(F.regexp_extract(c, NUMBER, 1))
     return F.replace(hit, F.lit(","), F.lit(".")).try_cast("double")
 
 
@@ -25,21 +33,21 @@ def rating_count(c: Column, thousands: bool = False) -> Column:
     """
     text = F.replace(F.lower(c), F.lit(","), F.lit("" if thousands else "."))
     text = F.trim(F.regexp_replace(text, r"[()+]", ""))
-    kilo = blank_to_null(F.regexp_extract(text, r"(\d+\.?\d*)\s*k", 1)).try_cast("double")
-    plain = blank_to_null(F.regexp_extract(text, r"(\d+)", 1)).try_cast("bigint")
+    kilo = blank_to_null(F.regexp_extract(text, KILO, 1)).try_cast("double")
+    plain = blank_to_null(F.regexp_extract(text, DIGITS, 1)).try_cast("bigint")
     # The product is truncated in double arithmetic, as in 1.2 * 1000.
     return F.when(F.contains(text, F.lit("k")), F.floor(kilo * 1000).cast("bigint")).otherwise(plain)
 
 
 def percent_rating(c: Column) -> Column:
     """``81%`` on a five-point scale."""
-    pct = blank_to_null(F.regexp_extract(c, r"(\d+)\s*%", 1)).try_cast("double")
+    pct = blank_to_null(F.regexp_extract(c, PERCENT, 1)).try_cast("double")
     return null_if_zero(F.round(pct / 20.0, 2))
 
 
 def bracketed_count(c: Column) -> Column:
     """Count written inside parentheses."""
-    return rating_count(blank_to_null(F.regexp_extract(c, r"\((\d+[,.]?\d*[kK]?)\)", 1)))
+    return rating_count(blank_to_null(F.regexp_extract(c, BRACKETED, 1)))
 
 
 def safe_long(c: Column, thousands: bool = False) -> Column:
@@ -70,7 +78,7 @@ def eta_range(low: Column, high: Column) -> Column:
 
 def eta_text(c: Column) -> Column:
     """Keep the text only when it states a duration."""
-    return F.when(c.rlike(r"(?i)\d+\s*(min|hora|hr)"), c)
+    return F.when(c.rlike(DURATION), c)
 
 
 def crawl_date(c: Column) -> Column:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.text import blank_to_null, title_case
 
-# The characters a storage key may keep.
+# Host and style patterns, and the characters a storage key may keep.
+HOST = r"https?://([^/]+)"
+STYLE_URL = r"""url\(["']?([^"']+?)["']?\)"""
 SAFE_CHARS = (
     "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-_./"
     "áéíóúñüÁÉÍÓÚÑÜàèìòùâêîôûäëïöüçÀÈÌÒÙÂÊÎÔÛÄËÏÖÜÇ"
@@ -19,7 +21,7 @@ NO_DOMAIN = "NO_DOMAIN"
 
 def host(url: Column) -> Column:
     """Host of an absolute URL, ``NO_DOMAIN`` when there is none."""
-    return F.coalesce(blank_to_null(F.regexp_extract(url, r"https?://([^/]+)", 1)), F.lit(NO_DOMAIN))
+    return F.coalesce(blank_to_null(F.regexp_extract(url, HOST, 1)), F.lit(NO_DOMAIN))
 
 
 def scheme(url: Column) -> Column:
@@ -69,7 +71,7 @@ def reversed_domain(domain: Column) -> Column:
 
 def style_image(style: Column) -> Column:
     """Image URL of a CSS background."""
-    return blank_to_null(F.regexp_extract(style, r"""url\(["']?([^"']+?)["']?\)""", 1))
+    return blank_to_null(F.regexp_extract(style, STYLE_URL, 1))
 
 
 def pattern_bucket(path_col: Column, prefixes: dict[str, str], fallback: str) -> Column:

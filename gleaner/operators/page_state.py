@@ -30,20 +30,35 @@ def decode_js_string(c: Column) -> Column:
     return F.try_variant_get(F.try_parse_json(F.concat(F.lit('"'), s, F.lit('"'))), "$", "string")
 
 
-def keyed_state(html: Column, marker: str) -> Column:
-    """State passed to ``JSON.parse("…")`` after the marker; a cut-off page gives NULL."""
+def keyed_text(html: Column, marker: str) -> Column:
+    """Text passed to ``JSON.parse("…")`` after the marker; a cut-off page gives NULL."""
     inner = F.regexp_extract(html, rf'(?s){marker}.*?JSON\.parse\("(.*?)"\)', 1)
-    return F.when(html.contains(marker), F.try_parse_json(decode_js_string(blank_to_null(inner))))
+    return F.when(html.contains(marker), decode_js_string(blank_to_null(inner)))
+
+
+def keyed_state(html: Column, marker: str) -> Column:
+    """The whole state as one value."""
+    return F.try_parse_json(keyed_text(html, marker))
+
+
+def keyed_maps(html: Column, spec: KeyedStateSpec) -> Column:
+    """The maps of the state as a struct.
+
+    A VARIANT carries the key dictionary of its document, here one key per entity. Parsing straight into maps
+    gives each entity a value with its own few keys, so large pages stay linear.
+    """
+    names = (spec.entities, spec.categories, spec.ratings, spec.fees, spec.etas)
+    schema = ", ".join(f"`{n}` map<string,variant>" for n in names)
+    return F.from_json(keyed_text(html, spec.marker), schema)
 
 
 def _member(state: Column, name: str) -> Column:
     return V.get(state, name, "map<string,variant>")
 
 
-def keyed_entities(state: Column, page: PageContext, spec: KeyedStateSpec) -> Column:
+def keyed_entities(maps: Column, page: PageContext, spec: KeyedStateSpec) -> Column:
     """Entities of the main map; the other maps are looked up by the same id inside the row."""
-    categories, ratings = _member(state, spec.categories), _member(state, spec.ratings)
-    fees, etas = _member(state, spec.fees), _member(state, spec.etas)
+    categories, ratings, fees, etas = (maps[n] for n in (spec.categories, spec.ratings, spec.fees, spec.etas))
 
     def one(entry: Column) -> Column:
         key, info = entry["key"], entry["value"]
@@ -65,7 +80,7 @@ def keyed_entities(state: Column, page: PageContext, spec: KeyedStateSpec) -> Co
         )
 
     named = F.filter(
-        F.map_entries(_member(state, spec.entities)),
+        F.map_entries(maps[spec.entities]),
         lambda e: V.scalar_text(e["value"], "name") != "")
     return F.transform(named, one)
 

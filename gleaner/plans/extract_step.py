@@ -34,7 +34,7 @@ def json_columns(source: SourceProfile) -> dict[str, Column]:
     out = {"_scripts": scripts.script_elements(F.col("html"))}
     state = none
     if source.keyed_state:
-        out["_doc"] = page_state.keyed_state(F.col("html"), source.keyed_state.marker)
+        out["_doc"] = page_state.keyed_maps(F.col("html"), source.keyed_state)
         state = F.coalesce(page_state.keyed_entities(F.col("_doc"), page, source.keyed_state), none)
     out["_state"] = state
     linked = linked_data.entities(F.col("_scripts"), page) if source.linked_data else none

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import exact_dedup, token_counts
+from gleaner.llm import exact_dedup, packing, token_counts
 from gleaner.llm.common import Work, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op2_token_counts(table, work) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+@query
+def op6_best_fit_packing(table, work) -> DataFrame:
+    return packing.pack(table("documents"), work, public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op7_exact_dedup(table, work) -> DataFrame:
     found = exact_dedup.exact_duplicates(table("documents"), work, keep="largest")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import exact_dedup, packing, token_counts
+from gleaner.llm import exact_dedup, language_id, packing, token_counts, url_filter
 from gleaner.llm.common import Work, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,10 @@ def query(fn):
     return fn
 
 
+def _remainder(n: int):
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(n))
+
+
 @query
 def op2_token_counts(table, work) -> DataFrame:
     counted = token_counts.count_tokens(
@@ -33,6 +37,14 @@ def op2_token_counts(table, work) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+@query
+def op3_language_id(table, work) -> DataFrame:
+    docs = table("documents")
+    held_out = _remainder(4) == 2
+    model = language_id.learn(docs.where(~held_out))
+    return language_id.identify(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
+
+
 @query
 def op6_best_fit_packing(table, work) -> DataFrame:
     return packing.pack(table("documents"), work, public_tokenizers.path("word_bpe_49k.json"))
@@ -44,6 +56,18 @@ def op7_exact_dedup(table, work) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+
+# Fixed values of the query: verdict, host, path prefix.
+URL_RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+@query
+def op10_url_filter(table, work) -> DataFrame:
+    return url_filter.judge(table("pages"), URL_RULES)
+
+
 ORACLES["op7_exact_dedup"] = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import exact_dedup, language_id, packing, token_counts, url_filter
+from gleaner.llm import bpe_codec, exact_dedup, language_id, packing, token_counts, url_filter
 from gleaner.llm.common import Work, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,16 @@ def op3_language_id(table, work) -> DataFrame:
     return language_id.identify(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
 
 
+@query
+def op4_bpe_codec(table, work) -> DataFrame:
+    coded = bpe_codec.encode_and_decode(
+        table("documents"), work, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
 @query
 def op6_best_fit_packing(table, work) -> DataFrame:
     return packing.pack(table("documents"), work, public_tokenizers.path("word_bpe_49k.json"))

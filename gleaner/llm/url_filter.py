@@ -10,6 +10,7 @@ a suffix beyond that counts as unseen both in training and in judging.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -160,7 +161,9 @@ def learn(urls: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict | None:
     found = sorted(rows.select("url", "host", "path", "blocked").limit(2 * sample_rows).collect(), key=lambda r: (r["url"] or "", r["blocked"]))
     if not found:
         return None
-    x = np.array([features(r["url"], r["host"], r["path"], known) for r in found], float)
+    # A third of the sample, by hash, is read as if its suffixes were unseen, or new suffixes would be judged by chance.
+    x = np.array([features(r["url"], r["host"], r["path"], known if zlib.crc32((r["url"] or "").encode()) % 3 else {})
+                  for r in found], float)
     return {"known": known, **fit_trees(x, np.array([float(r["blocked"]) for r in found]))}
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe_codec, exact_dedup, language_id, packing, token_counts, url_filter
+from gleaner.llm import bpe_codec, embedding_dedup, exact_dedup, language_id, packing, token_counts, url_filter
 from gleaner.llm.common import Work, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_embedding_dedup(table, work) -> DataFrame:
+    return embedding_dedup.near_duplicates(table("embeddings"), work)
+
+
 def _remainder(n: int):
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(n))
 

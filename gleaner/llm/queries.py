@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe_codec, embedding_dedup, exact_dedup, language_id, packing, token_counts, url_filter
+from gleaner.llm import bpe_codec, embedding_dedup, exact_dedup, language_id, minhash_dedup, packing, token_counts, url_filter
 from gleaner.llm.common import Work, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,13 @@ def op7_exact_dedup(table, work) -> DataFrame:
 
 
 
+@query
+def op9_minhash_dedup(table, work) -> DataFrame:
+    found = minhash_dedup.near_duplicates(table("documents"), work, width=2)
+    return found.select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 # Fixed values of the query: verdict, host, path prefix.
 URL_RULES = [
     ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),

@@ -238,7 +238,7 @@ class _Pool:
             if self.used > CACHE_WORDS:
                 self.index.clear()
                 self.used = 0
-            new = list(distinct - self.index.keys())
+            new = [w for w in distinct if w not in self.index]
             if new:
                 self._learn(new)
             for i, w in enumerate(words, at):

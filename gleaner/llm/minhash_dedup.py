@@ -49,8 +49,9 @@ class Shingler:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         known = self.known
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh64_intdigest(w)
+        for w in set(words):
+            if w not in known:
+                known[w] = xxhash.xxh64_intdigest(w)
         hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         width = min(self.width, len(words))
         mixed = np.full(len(words) - width + 1, width, np.uint64)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe_codec, embedding_dedup, exact_dedup, language_id, minhash_dedup, packing, token_counts, url_filter
+from gleaner.llm import bpe_codec, embedding_dedup, exact_dedup, katz, language_id, minhash_dedup, packing, token_counts, url_filter
 from gleaner.llm.common import Work, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,11 @@ def op7_exact_dedup(table, work) -> DataFrame:
 
 
 
+@query
+def op8_katz_backoff(table, work) -> DataFrame:
+    return katz.score(table("documents"), work, _remainder(7) == 2)
+
+
 @query
 def op9_minhash_dedup(table, work) -> DataFrame:
     found = minhash_dedup.near_duplicates(table("documents"), work, width=2)

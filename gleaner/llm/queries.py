@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe_codec, embedding_dedup, exact_dedup, katz, language_id, minhash_dedup, packing, token_counts, url_filter
+from gleaner.llm import bpe_codec, embedding_dedup, exact_dedup, katz, language_id, minhash_dedup, packing, token_counts, transcripts, url_filter
 from gleaner.llm.common import Work, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,13 @@ def op4_bpe_codec(table, work) -> DataFrame:
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+@query
+def op5_chat_transcripts(table, work) -> DataFrame:
+    rows = table("conversations")
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("conv_id").cast("string"), F.lit(""))), F.lit(4)) == 2
+    return transcripts.parse(rows, transcripts.learn(rows.where(~held_out)))
+
+
 @query
 def op6_best_fit_packing(table, work) -> DataFrame:
     return packing.pack(table("documents"), work, public_tokenizers.path("word_bpe_49k.json"))

@@ -1,20 +1,62 @@
-"""The corpus pipeline: documents to packed training sequences."""
+"""The corpus pipeline: documents to packed training sequences.
+
+Every stage takes the documents that its predecessor kept and gives the columns of documents, the last one the pieces
+of packed sequences. Stages follow the operators for nulls, empty texts and repeated rows; of repeated rows one stays.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import common, exact_dedup
+from gleaner.llm import exact_dedup, language_id, minhash_dedup, packing
+from gleaner.llm.common import Work, free_name, keep_rows, prepare
+
+# A language must be a fifth more probable than chance.
+OVER_CHANCE = 1.2
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or whose best language is hardly more probable than chance, go.
+
+    The network learns from the labelled documents whose crc32(doc_id) mod 4 is not 2. Without any labelled document
+    there is nothing to judge by, and only texts without a letter go.
+    """
+    prepare(spark)
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(4)) == 2
+    model = language_id.learn(docs.where(~held_out))
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    names = (free_name(docs, "lang_pred"), free_name(docs, "lang_score"))
+    judged = language_id.identify(docs, model, [docs[c] for c in docs.columns], names=names)
+    known = (F.col(names[0]) != language_id.UNKNOWN) & (F.col(names[1]) >= OVER_CHANCE / len(model[0]))
+    return judged.where(known | ((F.col(names[0]) != language_id.UNKNOWN) & F.lit(len(model[0]) == 1))).drop(*names)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays, the one with the largest doc_id."""
-    found = exact_dedup.exact_duplicates(docs, common.Work(spark, "pipeline-exact"), keep="largest")
-    return common.keep_rows(docs, found.where(F.col("kept")), "doc_id", "text")
+    prepare(spark)
+    found = exact_dedup.exact_duplicates(docs, Work(spark, "pipeline-exact"), keep="largest")
+    return keep_rows(docs, found.where("kept"), "doc_id", "text")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at 0.8 or more stays, the one with the smallest doc_id."""
+    prepare(spark)
+    found = minhash_dedup.near_duplicates(docs, Work(spark, "pipeline-near"), width=5, percent=80)
+    return keep_rows(docs, found.where("keeper"), "doc_id", "text")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents and their places in sequences of at most 4096 tokens."""
+    prepare(spark)
+    return packing.pack(docs, Work(spark, "pipeline-pack"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("exact_dedup", drop_exact_copies)]
+STAGES = [
+    ("language_id", keep_languages), ("exact_dedup", drop_exact_copies), ("near_dedup", drop_near_copies),
+    ("packing", pack)]
 
 # Language ID is a trained model, which SQL cannot express.
 ORACLE_SQL = None
@@ -22,8 +64,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written and read again by the next."""
-    common.prepare(spark)
-    work = common.Work(spark, "pipeline")
+    work = Work(prepare(spark), "pipeline")
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = work.save(stage(spark, docs, sf_dir), name)

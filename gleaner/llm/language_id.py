@@ -260,36 +260,40 @@ def _pool(weights: dict) -> _Pool:
     return _POOLS[key]
 
 
-def _predict(labels: list[str], weights: dict, keep: list[str]):
+def _predict(labels: list[str], weights: dict, kept: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool = _pool(weights)
         for batch in batches:
-            letters = batch.column("letters_").to_pylist()
-            texts = [t if on else "" for t, on in zip(batch.column("body_").to_pylist(), letters)]
+            letters = batch.column("letters").to_pylist()
+            texts = [t if on else "" for t, on in zip(batch.column("body").to_pylist(), letters)]
             probs = pool(texts)
             best = probs.argmax(1)
             names = [labels[b] if on else UNKNOWN for b, on in zip(best, letters)]
             score = np.where(letters, probs[np.arange(len(best)), best], 0.0)
+            own = [f"k{i}" for i in range(kept)]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(k) for k in keep], pa.array(names, pa.string()),
-                 pa.array(np.clip(score, 0, 1), pa.float64())], names=[*keep, "lang_pred", "score"])
+                [*[batch.column(k) for k in own], pa.array(names, pa.string()),
+                 pa.array(np.clip(score, 0, 1), pa.float64())], names=[*own, "label", "score"])
 
     return run
 
 
-def identify(docs: DataFrame, model: tuple[list[str], dict] | None, keep: list[Column],
-             text_col: str = "text") -> DataFrame:
-    """The ``keep`` columns of every row with lang_pred and score, the pooled probability of that language.
+def identify(docs: DataFrame, model: tuple[list[str], dict] | None, keep: list[Column], text_col: str = "text",
+             names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The ``keep`` columns of every row, its predicted language and the pooled probability of that language.
 
     A text that is null or has no letter gets ``und`` with score 0, and so does every text if there is no model.
     Ties go to the first language in order; repeated rows get equal answers; an empty table gives no rows.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     kept = docs.select(*keep)
-    rows = docs.select(*keep, text.alias("body_"), text.rlike(r"\p{L}").alias("letters_"))
+    own = [f"k{i}" for i in range(len(keep))]
     if model is None:
-        return rows.select(*kept.columns, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(*keep, F.lit(UNKNOWN).alias(names[0]), F.lit(0.0).alias(names[1]))
+    rows = docs.select(*[c.alias(k) for c, k in zip(keep, own)], text.alias("body"), text.rlike(r"\p{L}").alias("letters"))
     labels, weights = model
-    schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(_predict(labels, weights, kept.columns), schema)
+    schema = T.StructType([*[T.StructField(k, f.dataType) for k, f in zip(own, kept.schema.fields)],
+                           T.StructField("label", T.StringType()), T.StructField("score", T.DoubleType())])
+    found = rows.mapInArrow(_predict(labels, weights, len(keep)), schema)
+    return found.select(*[F.col(k).alias(f.name) for k, f in zip(own, kept.schema.fields)],
+                        F.col("label").alias(names[0]), F.col("score").alias(names[1]))

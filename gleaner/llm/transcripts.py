@@ -26,7 +26,7 @@ NAMES = {
 LENGTHS = (0, 20, 60, 120, 240, 480, 960)
 CHUNK_TURNS = 1024
 STATES = 2 * len(ROLES)  # role r begins: 2r, goes on: 2r + 1
-PRIOR, MARKER_PRIOR = 0.5, 20.0
+PRIOR, MARKER_PRIOR = 0.5, 1000.0
 FEATURES = ("marker", "length", "asks", "opens")
 # Whether a line opens a row, by whether it begins a turn: a transcript in one row has turns that open none.
 OPENS = ((0.05, 0.95), (0.99, 0.01))
@@ -97,7 +97,7 @@ def learn(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role
     # How often labelled text lacks markers says nothing about transcripts that have them.
     marker /= marker.sum(1, keepdims=True)
     for r in range(len(ROLES)):
-        marker[2 * r] = 0.5 * marker[2 * r] + 0.5 * np.where(np.arange(len(ROLES) + 1) == r + 1, 0.97, 0.01)
+        marker[2 * r] = 0.5 * marker[2 * r] + 0.5 * np.where(np.arange(len(ROLES) + 1) == r + 1, 0.9997, 0.0001)
     for x in lengths:
         step[2 * x["role"], 2 * x["role"] + 1] += x["more"]
         step[2 * x["role"] + 1, 2 * x["role"] + 1] += x["on"]

@@ -34,7 +34,7 @@ def built_once(build: Callable) -> Callable:
 
     @wraps(build)
     def wrapper(*args):
-        key = (id(SparkContext._active_spark_context), args)
+        key = (SparkContext.getOrCreate().applicationId, args)
         if key not in kept:
             kept[key] = build(*args)
         return kept[key]

@@ -103,7 +103,7 @@ def title_case(c: Column) -> Column:
     """Capitalise after every non-letter, so digits and apostrophes start a new word too."""
     runs = F.regexp_extract_all(c, F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
     words = F.transform(
-        runs, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1_000_000))))
+        runs, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2)))))
     plain = c.rlike(r"^[\p{L} ]*$")
     return F.when(plain, F.initcap(c)).otherwise(F.array_join(words, ""))
 

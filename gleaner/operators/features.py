@@ -30,7 +30,7 @@ def page_features(pages: DataFrame, keys: list[str]) -> DataFrame:
     df = pages.select(*keys, "html").withColumn("_n", N.parse_nodes(F.col("html"), attrs))
     df = df.withColumn("_s", scripts.script_elements(F.col("html")))
     df = df.withColumn("_b", scripts.bodies(F.col("_s")))
-    title = F.substring(F.trim(bind(N.select_one(F.col("_n"), "title"), lambda t: N.text_of(F.col("_n"), t))), 1, 100)
+    title = F.trim(bind(N.select_one(F.col("_n"), "title"), lambda t: N.text_of(F.col("_n"), t)))
     counts = [F.size(N.select(F.col("_n"), s)) for s in CARD_SELECTORS]
     state = F.exists("_b", lambda b: F.greatest(*[b.contains(m) for m in STATE_MARKERS]))
     df = df.select(

@@ -12,18 +12,23 @@ from gleaner.profiles import PROFILES, SourceProfile
 MISSING_SHARE, STATE_SHARE = 0.5, 0.5
 
 
-def with_metadata(pages: DataFrame, sidecars: DataFrame, key: str = "stem") -> DataFrame:
-    """Pages with their sidecar; absent values are read from the storage path.
+# A page and its sidecar have the same place: platform, crawl, and folder with file stem.
+PLACE = ["path_platform", "path_crawl", "key"]
 
-    ``pages`` holds ``path_platform``, ``path_crawl`` and ``stem``. Page text is not needed here: join the
-    result back by key, or keep the text out until the metadata is settled.
+
+def with_metadata(pages: DataFrame, sidecars: DataFrame) -> DataFrame:
+    """Pages with the sidecar of the same place; absent values are read from the storage path.
+
+    Both hold ``path_platform``, ``path_crawl`` and ``key``. Page text is not needed here: join the result back by
+    place, or keep the text out until the metadata is settled.
     """
     cells = ["url", "timestamp", "crawl_id", "platform"]
-    side = sidecars.select(key, *[F.col(c).alias(f"_{c}") for c in cells], F.lit(True).alias("_found"))
-    df = pages.join(side, key, "left")
+    side = sidecars.select(*PLACE, *[F.col(c).alias(f"_{c}") for c in cells], F.lit(True).alias("_found"))
+    df = pages.join(side, PLACE, "left")
+    stem = F.element_at(F.split("key", "/"), -1)
     inferred = {
         "url": F.lit(""),
-        "timestamp": F.when(F.contains(F.col(key), F.lit("_")), F.split_part(key, F.lit("_"), F.lit(1))).otherwise(""),
+        "timestamp": F.when(F.contains(stem, F.lit("_")), F.split_part(stem, F.lit("_"), F.lit(1))).otherwise(""),
         "crawl_id": F.col("path_crawl"), "platform": F.col("path_platform"),
     }
     for c in cells:

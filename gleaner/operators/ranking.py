@@ -37,9 +37,12 @@ def seeded_sample(df: DataFrame, keys: list[str], url: str, n: int, seed: int =
     return first_n(df, keys, [order, url], n).drop("rn")
 
 
-def collision_versions(df: DataFrame, keys: list[str], key: str, timestamp: str, prefix: int = 13) -> DataFrame:
+def collision_versions(df: DataFrame, keys: list[str], key: str, timestamp: str, prefix: int = 13,
+                       ties: tuple[str, ...] = ("url",)) -> DataFrame:
     """Number the rows that share a storage key; all but the first get a timestamp suffix.
 
+    ``ties`` orders rows of one timestamp; the later ones of those get their number as well, so that stored keys differ.
+
     A key such as the start page may hold very many rows. They are ranked within the start of the timestamp
     (an hour by default), which sorts like the timestamp itself, and the counts of the earlier hours are added:
     no task ever ranks a whole key. Run it on slim rows (pointers), before any page text is attached.
@@ -49,8 +52,10 @@ def collision_versions(df: DataFrame, keys: list[str], key: str, timestamp: str,
     earlier = Window.partitionBy(*keys, key).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
     before = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).withColumn(
         "_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    within = F.row_number().over(Window.partitionBy(*part).orderBy(timestamp, "url"))
-    df = df.withColumn("_within", within).join(before, part)
+    within = F.row_number().over(Window.partitionBy(*part).orderBy(timestamp, *ties))
+    same = F.row_number().over(Window.partitionBy(*part, timestamp).orderBy(*ties))
+    df = df.withColumn("_within", within).withColumn("_same", same).join(before, part)
     df = df.withColumn("version", F.col("_within") + F.col("_before")).drop("_within", "_before", "_hour")
-    suffixed = F.concat(F.col(key), F.lit("_"), timestamp_suffix(F.col(timestamp)))
-    return df.withColumn("stored_key", F.when(F.col("version") == 1, F.col(key)).otherwise(suffixed))
+    number = F.when(F.col("_same") > 1, F.concat(F.lit("_"), F.col("_same").cast("string"))).otherwise("")
+    suffixed = F.concat(F.col(key), F.lit("_"), timestamp_suffix(F.col(timestamp)), number)
+    return df.withColumn("stored_key", F.when(F.col("version") == 1, F.col(key)).otherwise(suffixed)).drop("_same")

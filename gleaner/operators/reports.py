@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import blank_to_null
@@ -18,7 +18,6 @@ HANDLED_TYPES = (
     "ListItem", "WebSite", "WebPage", "BreadcrumbList", "Organization",
 )
 FOOD_WORDS = ("food", "menjar", "comida", "restaur", "cocina", "cuina")
-MARKER_BYTES = 50_000
 
 
 def n_rows() -> Column:
@@ -96,14 +95,16 @@ def url_presence(df: DataFrame, column: str = "restaurant_url") -> DataFrame:
 def host_histogram(
     df: DataFrame, expected: dict[str, tuple[str, ...]], top: int = 5, column: str = "restaurant_url"
 ) -> DataFrame:
-    """Most frequent hosts per platform over all URLs; hosts without an expected ending are flagged."""
+    """Hosts per platform over all URLs: the most frequent ones, and every one without an expected ending, flagged."""
     rows = df.where(blank_to_null(F.col(column)).isNotNull()).withColumn("host", host(F.col(column)))
-    counts = top_per_group(rows, ["platform"], "host", top)
+    counts = rows.groupBy("platform", "host").agg(n_rows().alias("n"))
     usual = F.lit(False)
     for platform, ends in expected.items():
         for end in ends:
             usual |= (F.col("platform") == platform) & F.col("host").endswith(end)
-    return counts.withColumn("unexpected", (F.col("host") != NO_DOMAIN) & ~usual)
+    order = Window.partitionBy("platform").orderBy(F.desc("n"), "host")
+    flagged = counts.withColumn("unexpected", (F.col("host") != NO_DOMAIN) & ~usual)
+    return flagged.withColumn("rn", F.row_number().over(order)).where((F.col("rn") <= top) | F.col("unexpected"))
 
 
 def type_histogram(types: DataFrame, top: int = 10, loud: int = 5) -> DataFrame:
@@ -129,8 +130,8 @@ def category_share(df: DataFrame, category_pattern: str) -> DataFrame:
 
 
 def marker_counts(pages: DataFrame, marker: str) -> DataFrame:
-    """Pages with and without the marker in their first part, per crawl."""
-    has = F.substring("html", 1, MARKER_BYTES).contains(marker)
+    """Pages with and without the marker anywhere in their text, per crawl; a NULL text is without."""
+    has = F.coalesce(F.contains(F.col("html"), F.lit(marker)), F.lit(False))
     return pages.select("crawl_id", has.alias("has")).groupBy("crawl_id").agg(
         F.count_if("has").alias("with_marker"), F.count_if(~F.col("has")).alias("without_marker"))
 

@@ -72,11 +72,13 @@ def first_branch(df: DataFrame, page_key: list[str], priority: str = "priority")
 def additive_branches(
     df: DataFrame, page_key: list[str], detail: Column, main: str = "jsonld", extra: str = "script"
 ) -> DataFrame:
-    """Main and extra rows together, without the extra ones on detail pages that have main rows."""
-    with_main = df.where((F.col("branch") == main) & detail).select(*page_key).distinct()
-    keep = df.where((F.col("branch") != extra) | ~detail)
-    rest = df.where((F.col("branch") == extra) & detail).join(with_main, page_key, "left_anti")
-    return keep.unionByName(rest)
+    """Main and extra rows together, without the extra ones on detail pages that have main rows.
+
+    One flag per page is aggregated, combined before the shuffle, and joined back.
+    """
+    flags = df.groupBy(*page_key).agg(F.bool_or((F.col("branch") == main) & detail).alias("_main"))
+    drop = (F.col("branch") == extra) & detail & F.col("_main")
+    return df.join(flags, page_key).where(~F.coalesce(drop, F.lit(False))).drop("_main")
 
 
 def distinct_urls(df: DataFrame, url: str = "url") -> DataFrame:

@@ -31,6 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="gleaner-"))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -46,11 +47,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared one named in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a machine-local temporary folder.
+    Where it is unset, a local master sets one for the session; any other is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix=f"{label}-")
+    if spark.sparkContext.master.startswith("local["):  # one process: its folder is shared by all its tasks
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gleaner-"))
+        return scratch_dir(spark, label)
     raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,9 @@ from gleaner.schema import PAGE
 def with_stored_key(rows: DataFrame) -> DataFrame:
     """Storage key and collision version of pointers or pages; meant for rows without page text."""
     keyed = rows.withColumn("key", storage_key(F.col("url")))
-    return collision_versions(keyed, ["platform", "crawl_id"], "key", "timestamp")
+    return collision_versions(
+        keyed, ["platform", "crawl_id"], "key", "timestamp",
+        ties=tuple(c for c in ("url", "filename", "offset") if c in keyed.columns))
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
@@ -30,7 +34,7 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame:
     """HTML files ``{platform}/{crawl}/{key}.html`` with the three parts of their place below ``path``."""
     df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.html").format(
         "binaryFile").load(path)
-    place = _tail(path) + r"([^/]+)/([^/]+)/(.+)\.html$"
+    place = _place(path, ".html")
     return df.where(F.col("path").rlike(place)).select(
         F.regexp_extract("path", place, 1).alias("path_platform"),
         F.regexp_extract("path", place, 2).alias("path_crawl"),
@@ -39,7 +43,7 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame:
 
 def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
     """JSON sidecars, keyed like the pages."""
-    place = _tail(path) + r"([^/]+)/([^/]+)/(.+)\.json$"
+    place = _place(path, ".json")
     schema = "url string, timestamp string, status int, mime_type string, crawl_id string, platform string"
     df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").option(
         "multiLine", "true").schema(schema).json(path).withColumn("_f", F.col("_metadata.file_path"))
@@ -48,10 +52,8 @@ def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
         F.regexp_extract("_f", place, 3).alias("key"), *[n.split()[0] for n in schema.split(", ")])
 
 
-def _tail(path: str) -> str:
-    return path.rstrip("/").rsplit("/", 1)[-1] + "/"
-
-
-def stem(key: str = "key"):
-    """File stem of a key."""
-    return F.element_at(F.split(F.col(key), "/"), -1)
+def _place(path: str, ending: str) -> str:
+    """Pattern of platform, crawl and key below a root, whatever its scheme is written like."""
+    root = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path.rstrip("/"))
+    before = r"^(?:[^:/]+:(?://[^/]*)?)?" if root.startswith("/") else r"^.*/"
+    return before + re.escape(root) + r"/([^/]+)/([^/]+)/(.+)" + re.escape(ending) + "$"

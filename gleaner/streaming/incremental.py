@@ -3,28 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gleaner.operators.predicates import any_of
 from gleaner.plans.extract_step import entity_table
 from gleaner.profiles import PROFILES, SourceProfile
 from gleaner.schema import PAGE
+from gleaner.session import scratch_dir
 from gleaner.sources import entity_store
 
 
-# Up to this many slices are named in the scan filter.
-MAX_NAMED_SLICES = 1000
-
 
 def only_slices(pages: DataFrame, slices: DataFrame) -> DataFrame:
-    """Pages of the given slices, pruned at the scan where the slices are few."""
-    keys = ["platform", "crawl_id"]
-    named = slices.take(MAX_NAMED_SLICES + 1)
-    if len(named) > MAX_NAMED_SLICES:
-        return pages.join(slices, keys, "left_semi")
-    tests = [(F.col("platform") == r["platform"]) & (F.col("crawl_id") == r["crawl_id"]) for r in named]
-    return pages.where(any_of(tests))
+    """Pages of the given slices: a semi join on the partition columns, which Spark prunes at run time."""
+    return pages.join(slices, ["platform", "crawl_id"], "left_semi")
 
 
 def watch_pages(
@@ -37,9 +28,11 @@ def watch_pages(
     """
 
     def replace(batch: DataFrame, _: int) -> None:
-        touched = batch.select("platform", "crawl_id").distinct()
+        where = scratch_dir(spark, "touched")
+        batch.select("platform", "crawl_id").distinct().write.parquet(where)
+        touched = spark.read.schema("platform string, crawl_id string").parquet(where)
         stored = spark.read.schema(PAGE).parquet(pages)
-        entity_store.write_entities(entity_table(only_slices(stored, touched), profiles), out)
+        entity_store.write_entities(entity_table(only_slices(stored, touched), profiles), out, processed=touched)
 
     stream = spark.readStream.schema(PAGE).parquet(pages).select("platform", "crawl_id")
     return (stream.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint)

@@ -103,3 +103,51 @@ def test_incremental_run_equals_a_full_run(spark, sf, tmp_path):
     full = entity_table(page_store.read_pages(spark, pages))
     got = entity_store.read_entities(spark, out)
     assert got.count() == full.count() and got.select("crawl_id").distinct().count() == 2
+
+
+def test_processed_slices_without_entities_are_cleared(spark, sf, tmp_path):
+    path = str(tmp_path / "e")
+    df = fx.listing_entities(Tables(spark, sf)).select(*ENTITY_COLUMNS)
+    entity_store.write_entities(df, path)
+    one = df.select("crawl_id", "platform").first()
+    here = (F.col("crawl_id") == one["crawl_id"]) & (F.col("platform") == one["platform"])
+    entity_store.write_entities(df.where("false"), path, processed=spark.createDataFrame([tuple(one)], "crawl_id string, platform string"))
+    left = entity_store.read_entities(spark, path)
+    assert left.where(here).count() == 0
+    assert left.count() == df.where(~here).count()
+
+
+def test_marker_and_title_are_read_to_the_end(spark):
+    from gleaner.operators import features, reports
+
+    long = "x" * 60_000 + "<article"
+    pages = spark.createDataFrame([("c", long), ("c", "none"), ("c", None)], "crawl_id string, html string")
+    assert reports.marker_counts(pages, "<article").first()[1:] == (1, 2)
+    titled = spark.createDataFrame([(1, "<html><title>" + "a" * 150 + " restaurant</title></html>")], "id int, html string")
+    row = features.page_features(titled, ["id"]).first()
+    assert row["title"].endswith("restaurant") and row["estimated_type"] == "detail"
+
+
+def test_unexpected_hosts_are_flagged_at_any_rank(spark):
+    from gleaner.operators import reports
+
+    urls = [f"https://h{i}.a.example/x" for i in range(6) for _ in range(3)] + ["https://foreign.example/x"]
+    df = spark.createDataFrame([("A", u) for u in urls], "platform string, restaurant_url string")
+    rows = reports.host_histogram(df, {"A": ("a.example",)}).collect()
+    assert [(r["host"], r["rn"]) for r in rows if r["unexpected"]] == [("foreign.example", 7)] and len(rows) == 6
+
+
+def test_pages_meet_the_sidecar_of_their_own_place(spark, tmp_path):
+    from gleaner.operators import lookups
+
+    root = tmp_path / "s.t+re"
+    for crawl in ("c1", "c2"):
+        for folder in ("a", "b"):
+            place = root / "p" / crawl / folder
+            place.mkdir(parents=True)
+            (place / "madrid.html").write_text("x")
+            (place / "madrid.json").write_text('{"url": "%s%s", "crawl_id": "%s", "platform": "p"}' % (crawl, folder, crawl))
+    pages = page_store.read_page_files(spark, str(root)).drop("body")
+    rows = lookups.with_metadata(pages, page_store.read_sidecars(spark, str(root))).collect()
+    assert sorted((r["url"], r["crawl_id"], r["key"]) for r in rows) == [
+        (f"{c}{f}", c, f"{f}/madrid") for c in ("c1", "c2") for f in ("a", "b")]

@@ -56,7 +56,7 @@ def write_warcs(t: Tables, label: str) -> tuple[str, DataFrame]:
                     names=["page_id", "warc_filename", "warc_record_offset", "warc_record_length"])
 
     schema = "page_id long, warc_filename string, warc_record_offset long, warc_record_length long"
-    written = t.pages.select("page_id", "html").repartition(4, "page_id").mapInArrow(store, schema)
+    written = t.pages.select("page_id", "html").repartition("page_id").mapInArrow(store, schema)
     written.write.parquet(f"{root}/pointers")
     where = t.spark.read.parquet(f"{root}/pointers")
     replaced = ["warc_filename", "warc_record_offset", "warc_record_length"]
@@ -102,9 +102,9 @@ def write_page_files(t: Tables, label: str) -> str:
         fs, base = pafs.FileSystem.from_uri(root)
         for batch in batches:
             for r in batch.to_pylist():
-                folder = f"{base}/{r['lang']}/{r['crawl']}/d{r['page_id'] % 5}"
+                folder = f"{base}/{r['lang']}/{r['crawl']}/d{r['page_id']}"
                 fs.create_dir(folder)
-                stem = f"{folder}/T{r['page_id']}_x"
+                stem = f"{folder}/T{r['page_id'] % 3}_x"  # stems recur in every crawl and folder
                 with fs.open_output_stream(f"{stem}.html", compression=None) as out:
                     out.write(r["html"].encode() + b"\xff")
                 if r["page_id"] % 3:

@@ -112,7 +112,7 @@ def _(t: Tables):
 
 @query("s08_page_files", f"""
 WITH {INDEX_SQL} SELECT CASE WHEN page_id % 3 <> 0 THEN url ELSE '' END AS url,
-  CASE WHEN page_id % 3 <> 0 THEN '2022-01-01T' || page_id ELSE 'T' || page_id END AS timestamp,
+  CASE WHEN page_id % 3 <> 0 THEN '2022-01-01T' || page_id ELSE 'T0' END AS timestamp,
   crawl AS crawl_id, lang AS platform, page_id % 3 <> 0 AS has_sidecar, length(html) + 1 AS n_chars
 FROM fx_index JOIN (SELECT page_id, html FROM pages) USING (page_id)
 """)
@@ -120,9 +120,9 @@ def _(t: Tables):
     root = archive.write_page_files(t, "s08")
     files = page_store.read_page_files(t.spark, root)
     slim = files.select(
-        "path_platform", "path_crawl", page_store.stem().alias("stem"),
+        *lookups.PLACE,
         F.length(warc.decode_replacing(F.col("body"))).cast("bigint").alias("n_chars"))
-    side = page_store.read_sidecars(t.spark, root).withColumn("stem", page_store.stem())
+    side = page_store.read_sidecars(t.spark, root)
     return lookups.with_metadata(slim, side).select(
         "url", "timestamp", "crawl_id", "platform", "has_sidecar", "n_chars")
 

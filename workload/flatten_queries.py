@@ -221,7 +221,7 @@ def _feature_pages(t: Tables) -> DataFrame:
 
 _FEATURE_SQL = f"""
 features AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+/([a-z]+)/', 1) AS platform,
-  substring(trim({_TEXT_SQL.format("regexp_extract(html, '<title>([^<]*)<', 1)")}), 1, 100) AS title,
+  trim({_TEXT_SQL.format("regexp_extract(html, '<title>([^<]*)<', 1)")}) AS title,
   page_id % 5 = 2 AS has_json_ld, CASE WHEN page_id % 5 = 2 THEN 'Restaurant|unknown' ELSE '' END AS types,
   page_id % 4 = 1 AS has_next_data, page_id % 6 = 3 AS has_initial_state,
   length(regexp_extract_all(html, '<a [^>]*href')) AS num_links,
@@ -352,8 +352,7 @@ def _(t: Tables):
     pages = _audit_pages(t)
     # The sample is drawn on slim rows; page text joins the few chosen pages afterwards.
     chosen = ranking.seeded_sample(pages.select("page_id", "platform", "crawl_id", "url"), ["platform", "crawl_id"], "url", 10)
-    # At most ten rows per slice, so the broadcast is bounded by the number of slices.
-    sample = pages.join(F.broadcast(chosen.select("page_id")), "page_id", "left_semi")
+    sample = pages.join(chosen.select("page_id"), "page_id", "left_semi")
     # The few entities serve three reports; a written table keeps them from being extracted three times.
     rows = archive.table(t.spark, _rows(sample), "q05")
     counts = quality.page_counts(sample, rows, ["page_id"])
@@ -364,18 +363,21 @@ def _(t: Tables):
 
 @query("j01_page_metadata", f"""
 WITH {INDEX_SQL} SELECT CASE WHEN page_id % 3 = 0 THEN '' ELSE url END AS url,
-  CASE WHEN page_id % 3 <> 0 THEN 'T' || CAST(page_id AS VARCHAR) WHEN page_id % 2 = 0 THEN 'T' || CAST(page_id AS VARCHAR) ELSE '' END AS timestamp,
+  CASE WHEN page_id % 3 <> 0 THEN 'T' || CAST(page_id AS VARCHAR) WHEN page_id % 2 = 0 THEN 'T0' ELSE '' END AS timestamp,
   crawl AS crawl_id, lang AS platform, page_id % 3 <> 0 AS has_sidecar FROM fx_index
 """)
 def _(t: Tables):
     pid = F.col("page_id")
     ts = F.concat(F.lit("T"), pid.cast("string"))
-    stem = F.when(pid % 2 == 0, F.concat(ts, F.lit("_x"))).otherwise(ts)
-    df = fx.index(t).select("page_id", "url", F.col("crawl").alias("c"), F.col("lang").alias("p"), stem.alias("stem"), ts.alias("ts"))
+    # Every stem is used in many crawls and folders.
+    stem = F.concat(F.lit("T"), (pid % 3).cast("string"), F.when(pid % 2 == 0, "_x").otherwise(""))
+    key = F.concat(F.lit("d"), pid.cast("string"), F.lit("/"), stem)
+    df = fx.index(t).select(
+        "page_id", "url", F.col("crawl").alias("c"), F.col("lang").alias("p"), key.alias("key"), ts.alias("ts"),
+        F.col("lang").alias("path_platform"), F.col("crawl").alias("path_crawl"))
     side = df.where(pid % 3 != 0).select(
-        "stem", "url", F.col("ts").alias("timestamp"), F.col("c").alias("crawl_id"), F.col("p").alias("platform"))
-    pages = df.select("stem", F.col("p").alias("path_platform"), F.col("c").alias("path_crawl"))
-    return lookups.with_metadata(pages, side).select("url", "timestamp", "crawl_id", "platform", "has_sidecar")
+        *lookups.PLACE, "url", F.col("ts").alias("timestamp"), F.col("c").alias("crawl_id"), F.col("p").alias("platform"))
+    return lookups.with_metadata(df.select(*lookups.PLACE), side).select("url", "timestamp", "crawl_id", "platform", "has_sidecar")
 
 
 @query("j02_sidecar_counts", f"""

@@ -245,18 +245,20 @@ def _(t: Tables):
 
 @query("w09_collision_versions", f"""
 WITH {INDEX_SQL},
-k AS (SELECT page_id, url, lang AS platform, crawl AS crawl_id, strftime(fetch_time, '%Y-%m-%dT%H:%M:%S') AS timestamp,
+k AS (SELECT page_id, url, lang AS platform, crawl AS crawl_id, strftime(fetch_time, '%Y-%m-%dT%H:00:00') AS timestamp,
   'p/' || CAST(page_id // 12 AS VARCHAR) AS key FROM fx_index),
-v AS (SELECT *, row_number() OVER (PARTITION BY platform, crawl_id, key ORDER BY timestamp, url) AS version FROM k)
+v AS (SELECT *, row_number() OVER (PARTITION BY platform, crawl_id, key ORDER BY timestamp, url, page_id) AS version,
+  row_number() OVER (PARTITION BY platform, crawl_id, key, timestamp ORDER BY url, page_id) AS same FROM k)
 SELECT page_id, version, CASE WHEN version = 1 THEN key
-  ELSE key || '_' || replace(replace(timestamp, ':', '-'), 'T', '_') END AS stored_key FROM v
+  ELSE key || '_' || replace(replace(timestamp, ':', '-'), 'T', '_') || CASE WHEN same > 1 THEN '_' || same ELSE '' END END
+  AS stored_key FROM v
 """)
 def _(t: Tables):
     df = fx.index(t).select(
         "page_id", "url", F.col("lang").alias("platform"), F.col("crawl").alias("crawl_id"),
-        F.date_format("fetch_time", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+        F.date_format("fetch_time", "yyyy-MM-dd'T'HH:00:00").alias("timestamp"),
         F.concat(F.lit("p/"), F.floor(F.col("page_id") / 12).cast("string")).alias("key"))
-    return ranking.collision_versions(df, ["platform", "crawl_id"], "key", "timestamp").select(
+    return ranking.collision_versions(df, ["platform", "crawl_id"], "key", "timestamp", ties=("url", "page_id")).select(
         "page_id", "version", "stored_key")
 
 
@@ -322,8 +324,8 @@ def _(t: Tables):
 
 @query("a13_marker_counts", f"""
 WITH {INDEX_SQL} SELECT f.crawl AS crawl_id,
-  count(*) FILTER (WHERE contains(substring(html, 1, 50000), '<article')) AS with_marker,
-  count(*) FILTER (WHERE NOT contains(substring(html, 1, 50000), '<article')) AS without_marker
+  count(*) FILTER (WHERE contains(html, '<article')) AS with_marker,
+  count(*) FILTER (WHERE NOT contains(html, '<article')) AS without_marker
 FROM fx_index f JOIN pages USING (page_id) GROUP BY ALL
 """)
 def _(t: Tables):

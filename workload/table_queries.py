@@ -61,13 +61,13 @@ def _(t: Tables):
 
 @query("d05_bag_union", f"""
 WITH {LISTING_SQL} SELECT name, city, food_type FROM fx_listing WHERE platform = 'A'
-UNION ALL SELECT name, city, NULL FROM fx_listing WHERE platform = 'R'
+UNION ALL SELECT name, city, NULL FROM fx_listing WHERE platform <> 'A'
 """)
 def _(t: Tables):
     df = fx.listing(t)
     return resolve.bag_union(
         df.where(F.col("platform") == "A").select("name", "city", "food_type"),
-        df.where(F.col("platform") == "R").select("city", "name"))
+        df.where(F.col("platform") != "A").select("city", "name"))
 
 
 _BRANCH_SQL = """
@@ -105,14 +105,14 @@ def _(t: Tables):
 
 @query("d08_missing_names", f"""
 WITH {LISTING_SQL}, a AS (SELECT DISTINCT date, name FROM fx_listing WHERE platform = 'A'),
-r AS (SELECT DISTINCT date, name FROM fx_listing WHERE platform = 'R')
+r AS (SELECT DISTINCT date, name FROM fx_listing WHERE platform <> 'A')
 SELECT date, name FROM a EXCEPT SELECT date, name FROM r
 """)
 def _(t: Tables):
     df = fx.listing(t)
     keys = ["date", "name"]
     wanted = df.where(F.col("platform") == "A").select(*keys).distinct()
-    return resolve.missing_names(wanted, df.where(F.col("platform") == "R"), keys)
+    return resolve.missing_names(wanted, df.where(F.col("platform") != "A"), keys)
 
 
 @query("a01_summary_counts", f"""
@@ -186,9 +186,10 @@ hosts AS (SELECT platform, CASE l_suppkey % 7 WHEN 0 THEN 'www.a.example' WHEN 1
 
 @query("a10_host_histogram", f"""
 WITH {LISTING_SQL}, {_HOST_SQL}, c AS (SELECT platform, host, count(*) AS n FROM hosts GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY platform ORDER BY n DESC, host) AS rn FROM c)
-SELECT platform, host, n, rn, host <> 'NO_DOMAIN' AND NOT (platform = 'A' AND host LIKE '%a.example'
-  OR platform = 'R' AND host LIKE '%b.example') AS unexpected FROM r WHERE rn <= 5
+r AS (SELECT *, row_number() OVER (PARTITION BY platform ORDER BY n DESC, host) AS rn FROM c),
+f AS (SELECT platform, host, n, rn, host <> 'NO_DOMAIN' AND NOT (platform = 'A' AND host LIKE '%a.example'
+  OR platform = 'R' AND host LIKE '%b.example') AS unexpected FROM r)
+SELECT * FROM f WHERE rn <= 5 OR unexpected
 """)
 def _(t: Tables):
     k = F.col("l_suppkey") % 7
@@ -351,18 +352,40 @@ def _(t: Tables):
         *_ENTITY_COLS, "categories")
 
 
+_S13_ROWS = """
+s13 AS (SELECT platform, crawl_id, CASE WHEN num_ratings % 7 = 0 THEN NULL ELSE city END AS city, date FROM fx_listing)
+"""
+
+
+def _s13(t: Tables):
+    return fx.listing(t).withColumn("city", F.when(F.col("num_ratings") % 7 != 0, F.col("city")))
+
+
 @query("s13_summary_json", f"""
-WITH {LISTING_SQL} SELECT CASE WHEN grouping(platform) = 0 THEN 'by_platform' WHEN grouping(crawl_id) = 0 THEN 'by_crawl'
-  WHEN grouping(city) = 0 THEN 'by_city' WHEN grouping(date) = 0 THEN 'by_date' ELSE 'total' END AS level,
-  coalesce(platform, crawl_id, city, date, 'all') AS key, count(*) AS n
-FROM fx_listing GROUP BY GROUPING SETS ((platform), (crawl_id), (city), (date), ())
+WITH {LISTING_SQL}, {_S13_ROWS}
+SELECT 'by_platform' AS level, platform AS key, count(*) AS n FROM s13 GROUP BY platform
+UNION ALL SELECT 'by_crawl', crawl_id, count(*) FROM s13 GROUP BY crawl_id
+UNION ALL SELECT 'by_city', city, count(*) FROM s13 GROUP BY city
+UNION ALL SELECT 'by_date', date, count(*) FROM s13 GROUP BY date
+UNION ALL SELECT 'total', 'all', count(*) FROM s13
 """)
 def _(t: Tables):
     path = scratch_dir(t.spark, "s13") + "/summary"
-    store.write_summary_lines(reports.summary_counts(fx.listing(t)), path)
+    store.write_summary_lines(reports.summary_counts(_s13(t)), path)
     return store.read_summary_lines(t.spark, path)
 
 
+@query("s13_nested_summary_json", f"""
+WITH {LISTING_SQL}, {_S13_ROWS}
+SELECT 'by_crawl_platform' AS level, crawl_id AS first, platform AS second, count(*) AS n FROM s13 GROUP BY ALL
+UNION ALL SELECT 'by_platform_city', platform, city, count(*) FROM s13 GROUP BY ALL
+""")
+def _(t: Tables):
+    path = scratch_dir(t.spark, "s13") + "/nested"
+    store.write_nested_summary_lines(reports.nested_counts(_s13(t)), path)
+    return store.read_nested_summary_lines(t.spark, path)
+
+
 @query("s14_summary_sink", f"""
 WITH {LISTING_SQL} SELECT crawl_id, platform, nullif(city, '') AS city, count(*) AS restaurant_count
 FROM fx_listing GROUP BY ALL

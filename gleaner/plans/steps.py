@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gleaner.operators import lookups
 from gleaner.operators.predicates import has_pointer, is_listing
 from gleaner.operators.ranking import first_n, limit_by
 from gleaner.operators.reports import summary_table
 from gleaner.plans.extract_step import entity_table
 from gleaner.profiles import PROFILES, SourceProfile
+from gleaner.schema import POINTER, STORED
+from gleaner.session import scratch_dir
 from gleaner.sources import entity_store, page_store, warc
 from gleaner.sources.index import source_rows, to_pointers
 
@@ -24,15 +26,11 @@ def index_step(
     return rows.orderBy("url") if ordered else rows
 
 
-def index_counts(rows: DataFrame, crawls: DataFrame, profiles: tuple[SourceProfile, ...] = PROFILES) -> DataFrame:
-    return lookups.grid_counts(rows, crawls, profiles)
-
-
 def plan_fetch(
     rows: DataFrame, limit: int | None = None, listings_only: bool = False,
     profiles: tuple[SourceProfile, ...] = PROFILES,
 ) -> DataFrame:
-    """Pointers to fetch, with their storage key; everything here is slim."""
+    """Pointers to fetch; everything here is slim."""
     pointers = to_pointers(rows).where(has_pointer())
     if listings_only:
         pointers = pointers.where(is_listing(F.col("url"), F.col("platform"), profiles))
@@ -41,9 +39,24 @@ def plan_fetch(
     return pointers
 
 
-def fetch_step(pointers: DataFrame, root: str, out: str, lenient: bool = False) -> None:
-    """Read the records and store them as pages."""
-    page_store.write_pages(warc.to_pages(warc.read_ranges(pointers, root), lenient), out)
+def fetch_step(pointers: DataFrame, root: str, out: str, lenient: bool = False) -> DataFrame:
+    """Read the records that are not stored yet, add them to their slices, and return the failures as a table.
+
+    The planned pointers are written once, with storage key and version; the byte sum, the range sample and the read
+    come from that table. So do the failures, whose records are pages that did not arrive.
+    """
+    spark = pointers.sparkSession
+    work = scratch_dir(spark, "fetch")
+    page_store.new_pointers(pointers, page_store.read_stored(spark, out)).write.parquet(f"{work}/pointers")
+    carry = tuple(STORED.fieldNames())
+    planned = spark.read.schema(T.StructType([*POINTER.fields, *STORED.fields])).parquet(f"{work}/pointers")
+    records = warc.read_ranges(planned, root, carry=carry)
+    # One read serves both: pages and failures are told apart by their error.
+    pages = warc.to_pages(records, lenient, carry=(*carry, "error", "filename", "offset", "length"), failed=True)
+    pages.write.parquet(f"{work}/records")
+    got = spark.read.schema(pages.schema).parquet(f"{work}/records")
+    page_store.add_pages(got.where("error IS NULL").drop("error", "filename", "offset", "length"), out)
+    return got.where("error IS NOT NULL").select("url", "timestamp", "crawl_id", "platform", "filename", "offset", "length", "error")
 
 
 def extract_step(

@@ -30,6 +30,8 @@ POINTER = _struct(
 PAGE = _struct(
     ("url", S), ("timestamp", S), ("status", I), ("mime_type", S), ("crawl_id", S), ("platform", S), ("html", S),
 )
+# Where a page is stored: its key, its number among the pages of that key, and the key with the number worked in.
+STORED = _struct(("key", S), ("version", L), ("stored_key", S))
 ENTITY = _struct(
     ("date", S), ("city", S), ("name", S), ("platform", S), ("address", S), ("neighborhood", S),
     ("food_type", S), ("categories", T.ArrayType(S)), ("rating", D), ("num_ratings", L), ("price_range", S),

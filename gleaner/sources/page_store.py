@@ -6,10 +6,12 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from gleaner.functions.numbers import timestamp_suffix
 from gleaner.functions.urls import storage_key
 from gleaner.operators.ranking import collision_versions
-from gleaner.schema import PAGE
+from gleaner.schema import PAGE, STORED
 
 
 def with_stored_key(rows: DataFrame) -> DataFrame:
@@ -26,6 +28,36 @@ def write_pages(pages: DataFrame, path: str) -> None:
           .partitionBy("platform", "crawl_id").parquet(path))
 
 
+def new_pointers(pointers: DataFrame, stored: DataFrame) -> DataFrame:
+    """Pointers whose page is not stored yet, with storage keys that go on after the stored versions.
+
+    Pages are told apart by slice, url and timestamp. All of it is slim: no page text is read.
+    """
+    page = ["platform", "crawl_id", "url", "timestamp"]
+    fresh = pointers.join(stored.select(*page).distinct(), page, "left_anti")
+    slot = ["platform", "crawl_id", "key"]
+    last = stored.groupBy(*slot).agg(F.max("version").alias("_last"))
+    df = with_stored_key(fresh).join(last, slot, "left")
+    moved = F.col("version") + F.coalesce("_last", F.lit(0))
+    suffixed = F.concat("key", F.lit("_"), timestamp_suffix(F.col("timestamp")))
+    again = (F.col("version") == 1) & F.col("_last").isNotNull()
+    return df.withColumns({"version": moved, "stored_key": F.when(again, suffixed).otherwise(F.col("stored_key"))}).drop("_last")
+
+
+def add_pages(pages: DataFrame, path: str) -> None:
+    """Add pages to their slices; what is stored stays."""
+    pages.write.mode("append").partitionBy("platform", "crawl_id").parquet(path)
+
+
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """Pages with their storage keys; nothing before the first fetch."""
+    schema = T.StructType([*PAGE.fields, *STORED.fields])
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGE).parquet(path)
 

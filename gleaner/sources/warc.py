@@ -19,6 +19,8 @@ RECORD = T.StructType([
 MAX_TRIES = 3
 # Ranges closer together than this are read in one request.
 MAX_GAP, MAX_READ = 64 * 1024, 8 * 1024 * 1024
+# Bodies that leave a task together.
+MAX_BATCH = 64 * 1024 * 1024
 # Compressed bytes one fetch task reads.
 BYTES_PER_TASK = 64 * 1024 * 1024
 
@@ -58,24 +60,42 @@ def _runs(offsets: list[int], lengths: list[int]) -> Iterator[tuple[int, int]]:
     yield start, len(offsets)
 
 
-def _read_file(fs, path: str, offsets: list[int], lengths: list[int]) -> list[tuple[bytes | None, str | None]]:
-    out: list[tuple[bytes | None, str | None]] = []
-    with fs.open_input_file(path) as f:
-        for a, b in _runs(offsets, lengths):
-            at = offsets[a]
-            size = max(o + n for o, n in zip(offsets[a:b], lengths[a:b])) - at
+def _read_run(f, offsets: list[int], lengths: list[int]) -> list[tuple[bytes | None, str | None]]:
+    """The records of one run in one read; where that keeps failing, record by record, so that one bad range costs
+    one record."""
+    at = offsets[0]
+    size = max(o + n for o, n in zip(offsets, lengths)) - at
+    error = ""
+    for _ in range(MAX_TRIES):
+        try:
             block = bytes(f.read_at(size, at))
-            out.extend(_body(block[o - at:o - at + n]) for o, n in zip(offsets[a:b], lengths[a:b]))
-    return out
+            return [_body(block[o - at:o - at + n]) for o, n in zip(offsets, lengths)]
+        except OSError as e:
+            error = str(e)
+    if len(offsets) == 1:
+        return [(None, error)]
+    return [r for o, n in zip(offsets, lengths) for r in _read_run(f, [o], [n])]
 
 
-def _try_file(fs, path: str, offsets: list[int], lengths: list[int]) -> list[tuple[bytes | None, str | None]]:
+def _open(fs, path: str):
     for attempt in range(MAX_TRIES):
         try:
-            return _read_file(fs, path, offsets, lengths)
-        except OSError as e:
-            error = str(e)
-    return [(None, error)] * len(offsets)
+            return fs.open_input_file(path)
+        except OSError:
+            if attempt == MAX_TRIES - 1:
+                raise
+
+
+def _read_file(fs, path: str, offsets: list[int], lengths: list[int]) -> Iterator[list[tuple[bytes | None, str | None]]]:
+    """Records of a file, run by run."""
+    try:
+        f = _open(fs, path)
+    except OSError as e:
+        yield [(None, str(e))] * len(offsets)
+        return
+    with f:
+        for a, b in _runs(offsets, lengths):
+            yield _read_run(f, offsets[a:b], lengths[a:b])
 
 
 def fetch_partitions(pointers: DataFrame, bytes_per_task: int = BYTES_PER_TASK) -> int:
@@ -88,18 +108,19 @@ def fetch_partitions(pointers: DataFrame, bytes_per_task: int = BYTES_PER_TASK)
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bytes_per_task))
 
 
-def read_ranges(pointers: DataFrame, root: str, partitions: int | None = None) -> DataFrame:
+def read_ranges(pointers: DataFrame, root: str, partitions: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Records behind the pointers, with the body or the reason why there is none.
 
     Pointers are slim and may be many, so they are spread by slice, file and offset range: neighbours meet in
     one task and are read together, a file with very many records is split over tasks, and a task writes few
     slices of the page store, so page text needs no shuffle at all. ``root`` is a folder or bucket URI that
-    pyarrow can open. Without ``partitions`` the total length is summed first.
+    pyarrow can open. Without ``partitions`` the total length is summed first. Columns in ``carry`` go along.
+    Records leave a task in batches of about ``MAX_BATCH`` bytes.
     """
-    df = pointers.where(has_pointer()).select(*POINTER.fieldNames())
+    names, target = [*POINTER.fieldNames(), *carry], root.rstrip("/")
+    df = pointers.where(has_pointer()).select(*names)
     by = ["platform", "crawl_id", "filename", "offset"]
     df = df.repartitionByRange(partitions or fetch_partitions(df), *by)
-    names, target = POINTER.fieldNames(), root.rstrip("/")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs as pafs
@@ -108,17 +129,30 @@ def read_ranges(pointers: DataFrame, root: str, partitions: int | None = None) -
         for batch in batches:
             files, offsets, lengths = (batch.column(n).to_pylist() for n in ("filename", "offset", "length"))
             got: list[tuple[bytes | None, str | None]] = []
-            start = 0
-            for i in range(1, len(files) + 1):
-                if i == len(files) or files[i] != files[start]:
-                    got += _try_file(fs, f"{base}/{files[start]}", offsets[start:i], lengths[start:i])
-                    start = i
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names],
-                 pa.array([b for b, _ in got], pa.binary()), pa.array([e for _, e in got], pa.string())],
-                names=[*names, "body", "error"])
+            done = start = size = 0
 
-    return df.sortWithinPartitions(*by).mapInArrow(fetch, RECORD)
+            def emit():
+                rows = batch.slice(done, len(got))
+                return pa.RecordBatch.from_arrays(
+                    [*[rows.column(n) for n in names],
+                     pa.array([b for b, _ in got], pa.binary()), pa.array([e for _, e in got], pa.string())],
+                    names=[*names, "body", "error"])
+
+            for i in range(1, len(files) + 1):
+                if i < len(files) and files[i] == files[start]:
+                    continue
+                for found in _read_file(fs, f"{base}/{files[start]}", offsets[start:i], lengths[start:i]):
+                    got += found
+                    size += sum(len(b) for b, _ in found if b)
+                    if size > MAX_BATCH:
+                        yield emit()
+                        done, got, size = done + len(got), [], 0
+                start = i
+            if got:
+                yield emit()
+
+    schema = T.StructType([*df.schema.fields, *RECORD.fields[-2:]])
+    return df.sortWithinPartitions(*by).mapInArrow(fetch, schema)
 
 
 def fetch_issues(records: DataFrame) -> DataFrame:
@@ -138,9 +172,15 @@ def decode_replacing(body: Column) -> Column:
     return F.make_valid_utf8(body.cast("string"))
 
 
-def to_pages(records: DataFrame, lenient: bool = False) -> DataFrame:
-    """Page rows of the records that were read."""
+def failures(records: DataFrame) -> DataFrame:
+    """Pointers whose record could not be read, with the reason."""
+    return records.where(F.col("body").isNull()).drop("body")
+
+
+def to_pages(records: DataFrame, lenient: bool = False, carry: tuple[str, ...] = (),
+             failed: bool = False) -> DataFrame:
+    """Page rows of the records that were read, and with ``failed`` those of the others, without text."""
     body = F.col("body")
-    return records.where(body.isNotNull()).select(
+    return records.where(body.isNotNull() | F.lit(failed)).select(
         "url", "timestamp", "status", F.col("mime").alias("mime_type"), "crawl_id", "platform",
-        (decode_replacing(body) if lenient else decode_body(body)).alias("html"))
+        (decode_replacing(body) if lenient else decode_body(body)).alias("html"), *carry)

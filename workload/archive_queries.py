@@ -127,24 +127,60 @@ def _(t: Tables):
         "url", "timestamp", "crawl_id", "platform", "has_sidecar", "n_chars")
 
 
-@query("p02_fetch_step", f"""
-WITH {INDEX_SQL}, f AS (SELECT *, row_number() OVER (PARTITION BY crawl, lang ORDER BY url) AS rn FROM fx_index
-  WHERE {SCOPE_SQL} AND page_id % 13 <> 7 AND CASE lang WHEN 'en' THEN regexp_matches(url, '/en/\\d+/?$')
+_P02_SQL = """
+f AS (SELECT *, row_number() OVER (PARTITION BY crawl, lang ORDER BY url) AS rn FROM fx_index
+  WHERE {scope} AND page_id % 13 <> 7 AND CASE lang WHEN 'en' THEN regexp_matches(url, '/en/\\d+/?$')
     OR regexp_matches(url, '/en/\\d+\\?page=') WHEN 'de' THEN regexp_matches(url, '/de/\\d+\\?')
-    WHEN 'es' THEN regexp_matches(url, '/es/\\d+/$') ELSE regexp_matches(url, '/fr/\\d{{3}}') END),
-{READABLE_SQL}
+    WHEN 'es' THEN regexp_matches(url, '/es/\\d+/$') ELSE regexp_matches(url, '/fr/\\d{{3}}') END)
+"""
+
+
+def _fetch(t: Tables, label: str):
+    """Two fetches into one store, first the listing pages and then everything."""
+    root, rows = archive.write_warcs(t, label)
+    out = f"{scratch_dir(t.spark, label)}/pages"
+    found = ix.source_rows(rows.drop("crawl_id", "platform"), None, LANGUAGES)
+    first = steps.fetch_step(steps.plan_fetch(found, 20, True, LANGUAGES), root, out)
+    return root, found, out, first
+
+
+@query("p02_fetch_step", f"""
+WITH {INDEX_SQL}, {_P02_SQL.format(scope=SCOPE_SQL)}, {READABLE_SQL}
 SELECT url, crawl AS crawl_id, lang AS platform, md5(html) AS html_md5 FROM readable
 WHERE page_id IN (SELECT page_id FROM f WHERE rn <= 20)
 """)
 def _(t: Tables):
-    root, rows = archive.write_warcs(t, "p02")
-    out = f"{scratch_dir(t.spark, 'p02')}/pages"
-    found = ix.source_rows(rows.drop("crawl_id", "platform"), None, LANGUAGES)
-    steps.fetch_step(steps.plan_fetch(found, 20, True, LANGUAGES), root, out)
+    _, _, out, _ = _fetch(t, "p02")
     return page_store.read_pages(t.spark, out).select(
         "url", "crawl_id", "platform", F.md5(F.col("html").cast("binary")).alias("html_md5"))
 
 
+@query("p02_second_fetch", f"""
+WITH {INDEX_SQL}, {READABLE_SQL}
+SELECT url, crawl AS crawl_id, lang AS platform, md5(html) AS html_md5, 1 AS n_stored, true AS own_key FROM readable
+WHERE page_id IN (SELECT page_id FROM fx_index WHERE {SCOPE_SQL})
+""")
+def _(t: Tables):
+    root, found, out, _ = _fetch(t, "p02s")
+    steps.fetch_step(steps.plan_fetch(found, None, False, LANGUAGES), root, out)
+    stored = page_store.read_stored(t.spark, out)
+    keys = stored.groupBy("platform", "crawl_id", "stored_key").agg(F.count(F.lit(1)).alias("n_stored"))
+    return stored.join(keys, ["platform", "crawl_id", "stored_key"]).select(
+        "url", "crawl_id", "platform", F.md5(F.col("html").cast("binary")).alias("html_md5"),
+        F.col("n_stored").cast("int").alias("n_stored"), F.col("version").isNotNull().alias("own_key"))
+
+
+@query("p02_failures", f"""
+WITH {INDEX_SQL} SELECT url, crawl AS crawl_id, lang AS platform FROM fx_index
+WHERE {SCOPE_SQL} AND page_id % 13 <> 7 AND (page_id % 11 = 5 OR page_id % 17 = 4)
+""")
+def _(t: Tables):
+    root, rows = archive.write_warcs(t, "p02f")
+    found = ix.source_rows(rows.drop("crawl_id", "platform"), None, LANGUAGES)
+    failed = steps.fetch_step(steps.plan_fetch(found, None, False, LANGUAGES), root, f"{scratch_dir(t.spark, 'p02f')}/pages")
+    return failed.select("url", "crawl_id", "platform")
+
+
 @query("p04_sample_download", f"""
 WITH {INDEX_SQL}, s AS (SELECT page_id FROM fx_index WHERE url_path LIKE '/de/%' AND url NOT LIKE '%?%'
   AND page_id % 13 <> 7 ORDER BY url, fetch_time LIMIT 15), {READABLE_SQL}

@@ -14,6 +14,7 @@ from gleaner.plans import steps
 from gleaner.profiles import profile
 from gleaner.schema import SUMMARY_COLUMNS
 from gleaner.session import scratch_dir
+from gleaner.sources import page_store
 from workload import archive
 from workload import fixtures as fx
 from workload.fixtures import CARD_SQL, CUSTOMER_SQL, INDEX_SQL, KEYED_SQL, LINKED_SQL, SCRIPT_SQL, TREE_SQL
@@ -427,4 +428,7 @@ def _(t: Tables):
     # State pages; where the state is cut off, the page with the other kind of state stands in.
     whole = F.col("page_id") % 6 != 0
     pages = resolve.bag_union(fx.keyed_pages(t).where(whole), fx.tree_pages(t).where(~whole), fx.script_pages(t))
-    return steps.extract_step(t.spark, pages, scratch_dir(t.spark, "p03") + "/entities", (JUST, UBER))
+    # The pages are built and stored once; every profile then reads its own slices.
+    work = scratch_dir(t.spark, "p03")
+    page_store.write_pages(pages, f"{work}/pages")
+    return steps.extract_step(t.spark, page_store.read_pages(t.spark, f"{work}/pages"), f"{work}/entities")

@@ -149,12 +149,18 @@ def path_patterns(df: DataFrame, bucket: Column, more_than: int, top: int = 30)
 
 
 def structure_profile(features: DataFrame, profiles: tuple[SourceProfile, ...] = PROFILES) -> DataFrame:
-    """Per platform: pages, kinds of page, pages with JSON-LD and with embedded state."""
+    """Per platform and crawl: pages, kinds of page, pages with JSON-LD and with embedded state."""
     kinds = [F.count_if(F.col("estimated_type") == k).alias(f"n_{k}") for k in ("listing", "detail", "other")]
-    return features.groupBy("platform").agg(
+    return features.groupBy("platform", "crawl_id").agg(
         n_rows().alias("total_files"), *kinds, F.count_if("has_json_ld").alias("n_json_ld"),
         F.count_if(F.col("has_next_data") | F.col("has_initial_state")).alias("n_state"))
 
 
+def structure_types(features: DataFrame) -> DataFrame:
+    """Per platform and crawl: how many pages declare each JSON-LD type."""
+    types = features.select("platform", "crawl_id", F.explode(F.array_distinct("json_ld_types")).alias("type"))
+    return types.groupBy("platform", "crawl_id", "type").agg(n_rows().alias("n_pages"))
+
+
 def first_per_crawl(df: DataFrame, order_by: list[str], n: int) -> DataFrame:
     return first_n(df, ["crawl_id"], order_by, n)

@@ -1,9 +1,9 @@
 """Source profiles: everything site-specific, as data."""
 
 from gleaner.profiles.model import CardSpec, ItemSpec, KeyedStateSpec, LinkedDataSpec, SourceProfile, StateTreeSpec
-from gleaner.profiles.catalog import CRAWLS, PROFILES, profile
+from gleaner.profiles.catalog import PROFILES, profile
 
 __all__ = [
-    "CRAWLS", "PROFILES", "CardSpec", "ItemSpec", "KeyedStateSpec", "LinkedDataSpec", "SourceProfile",
+    "PROFILES", "CardSpec", "ItemSpec", "KeyedStateSpec", "LinkedDataSpec", "SourceProfile",
     "StateTreeSpec", "profile",
 ]

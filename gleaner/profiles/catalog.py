@@ -7,14 +7,6 @@ from gleaner.profiles.model import (
     CardSpec, ItemSpec, KeyedStateSpec, LinkedDataSpec, SourceProfile, StateTreeSpec,
 )
 
-CRAWLS = (
-    "CC-MAIN-2022-05", "CC-MAIN-2022-21", "CC-MAIN-2022-27", "CC-MAIN-2022-33", "CC-MAIN-2022-40",
-    "CC-MAIN-2022-49", "CC-MAIN-2023-06", "CC-MAIN-2023-14", "CC-MAIN-2023-23", "CC-MAIN-2023-40",
-    "CC-MAIN-2023-50", "CC-MAIN-2024-10", "CC-MAIN-2024-18", "CC-MAIN-2024-22", "CC-MAIN-2024-26",
-    "CC-MAIN-2024-30", "CC-MAIN-2024-33", "CC-MAIN-2024-38", "CC-MAIN-2024-42", "CC-MAIN-2024-46",
-    "CC-MAIN-2024-51", "CC-MAIN-2025-03", "CC-MAIN-2025-08", "CC-MAIN-2025-13",
-)
-
 GLOVO = SourceProfile(
     key="glovo",
     name="Glovo",

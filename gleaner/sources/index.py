@@ -107,10 +107,7 @@ def flatten_document(docs: DataFrame, value: str = "value") -> DataFrame:
 
 
 def write_documents(rows: DataFrame, path: str) -> None:
-    """Index documents as JSON text lines, many per crawl and platform.
-
-    Each line is a valid document for a bounded block of rows, so no group is ever collected whole.
-    """
+    """Index documents as JSON text lines, one record each; lines of the same keys add up when flattened."""
     rows.select(document_line().alias("value")).write.mode("overwrite").text(path)
 
 
@@ -126,10 +123,27 @@ def missing_slices(wanted: DataFrame, present: DataFrame) -> DataFrame:
     return wanted.join(present.select(*keys).distinct(), keys, "left_anti")
 
 
-def reuse_or_compute(stored: DataFrame, computed: DataFrame, refresh: bool = False) -> DataFrame:
-    """Stored slices as they are, and computed rows only for slices that are absent."""
-    if refresh:
-        return computed
-    keys = ["crawl_id", "platform"]
-    have = stored.select(*keys).distinct()
-    return stored.unionByName(computed.join(have, keys, "left_anti"))
+def reuse_or_scan(
+    index: DataFrame, stored: DataFrame, ledger: DataFrame, crawls: list[str],
+    profiles: tuple[SourceProfile, ...] = PROFILES, refresh: bool = False,
+) -> DataFrame:
+    """Stored rows of the crawls, and scanned rows of the slices that the ledger lacks.
+
+    The ledger (crawl_id, platform) holds a row for every slice that was computed, also for those without rows. It
+    has at most one row per crawl and source, so the slices to scan become literal tests: partitions of crawls that
+    are complete are not read.
+    """
+    have = set() if refresh else {
+        (r["crawl_id"], r["platform"])
+        for r in ledger.where(F.col("crawl_id").isin(*crawls)).select("crawl_id", "platform").distinct().collect()}
+    tests = []
+    for crawl in crawls:
+        missing = [p for p in profiles if (crawl, p.key) not in have]
+        if missing:
+            tests.append((F.col("crawl") == crawl) & any_of([source_scope(p) for p in missing]))
+    kept = stored.where(F.lit(not refresh) & F.col("crawl_id").isin(*crawls))
+    if not tests:
+        return kept
+    scanned = index.where(F.col("crawl").isin(*crawls) & fetched_html() & any_of(tests)).select(
+        *INDEX_COLUMNS, F.col("crawl").alias("crawl_id"), source_key(profiles).alias("platform"))
+    return kept.unionByName(scanned.select(*kept.columns))

@@ -237,15 +237,31 @@ def _(t: Tables):
     return df.withColumn("types", F.array_join("json_ld_types", "|")).drop("json_ld_types")
 
 
+_A14_SQL = f"{_FEATURE_SQL}, f14 AS (SELECT *, 'CC-MAIN-202' || CAST(page_id % 3 + 2 AS VARCHAR) || '-05' AS crawl_id FROM features)"
+
+
+def _a14(t: Tables) -> DataFrame:
+    crawl = F.concat(F.lit("CC-MAIN-202"), (F.col("page_id") % 3 + 2).cast("string"), F.lit("-05"))
+    return features.page_features(_feature_pages(t), ["page_id", "platform"]).withColumn("crawl_id", crawl)
+
+
 @query("a14_structure_profile", f"""
-WITH {_FEATURE_SQL} SELECT platform, count(*) AS total_files,
+WITH {_A14_SQL} SELECT platform, crawl_id, count(*) AS total_files,
   count(*) FILTER (WHERE estimated_type = 'listing') AS n_listing,
   count(*) FILTER (WHERE estimated_type = 'detail') AS n_detail, 0 AS n_other,
   count(*) FILTER (WHERE has_json_ld) AS n_json_ld,
-  count(*) FILTER (WHERE has_next_data OR has_initial_state) AS n_state FROM features GROUP BY platform
+  count(*) FILTER (WHERE has_next_data OR has_initial_state) AS n_state FROM f14 GROUP BY platform, crawl_id
+""")
+def _(t: Tables):
+    return reports.structure_profile(_a14(t))
+
+
+@query("a14_structure_types", f"""
+WITH {_A14_SQL} SELECT platform, crawl_id, type, count(*) AS n_pages
+FROM (SELECT platform, crawl_id, unnest(string_split(types, '|')) AS type FROM f14 WHERE types <> '') GROUP BY ALL
 """)
 def _(t: Tables):
-    return reports.structure_profile(features.page_features(_feature_pages(t), ["page_id", "platform"]))
+    return reports.structure_types(_a14(t))
 
 
 @query("a11_type_histogram", f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from gleaner.functions import numbers, text, urls
@@ -9,6 +11,7 @@ from gleaner.operators import lookups, predicates, ranking, reports
 from gleaner.plans import steps
 from gleaner.schema import INDEX_COLUMNS, SUMMARY_COLUMNS, select_ordered
 from gleaner.sources import index as ix
+from gleaner.session import scratch_dir
 from workload import fixtures as fx
 from workload.fixtures import INDEX_SQL, LANGUAGES, SCOPE_SQL
 from workload.registry import Tables, query
@@ -40,19 +43,17 @@ def _(t: Tables):
 
 
 @query("f02_host_filter", f"""
-WITH {INDEX_SQL} SELECT url, url_host_name FROM fx_index
-WHERE url_host_registered_domain = 'example.com' AND url_path LIKE '/en/%' AND url_host_name LIKE 'www.%'
+WITH {INDEX_SQL} SELECT url, url_host_name FROM fx_index WHERE {SCOPE_SQL} AND lang = 'en'
   AND url_host_name = (SELECT max(url_host_name) FROM fx_index
     WHERE url_host_registered_domain = 'example.com' AND url_path LIKE '/en/%')
 """)
 def _(t: Tables):
-    # The host of the profile is a setting; here it is the last English host of the data.
+    # The host is a setting of the profile; here it is the last English host of the data.
     df = fx.index(t)
     en = LANGUAGES[0]
-    scope = df.where(predicates.source_scope(en))
-    host = scope.agg(F.max("url_host_name").alias("url_host_name"))
-    return scope.where(F.col("url_host_name").like("www.%")).join(host, "url_host_name", "left_semi").select(
-        "url", "url_host_name")
+    host = df.where(predicates.source_scope(en)).agg(F.max("url_host_name")).first()[0]
+    rows = ix.source_rows(df, None, (replace(en, host=host),))
+    return rows.select("url", urls.host(F.col("url")).alias("url_host_name"))
 
 
 _LISTING_SQL = r"""
@@ -417,8 +418,9 @@ WITH {INDEX_SQL} SELECT crawl AS crawl_id, lang AS platform, url, CAST(fetch_sta
   CAST(warc_record_length AS VARCHAR) AS length FROM fx_index WHERE {SCOPE_SQL}
 """)
 def _(t: Tables):
-    lines = ix.to_pointers(_rows(t)).select(ix.document_line().alias("value"))
-    return ix.flatten_document(lines)
+    path = f"{scratch_dir(t.spark, 's09')}/documents"
+    ix.write_documents(ix.to_pointers(_rows(t)), path)
+    return ix.flatten_document(t.spark.read.text(path))
 
 
 @query("s16_reuse_results", f"""
@@ -427,10 +429,14 @@ SELECT crawl_id, platform, url, CASE WHEN crawl_id = 'CC-MAIN-2023-05' AND platf
   ELSE 'computed' END AS origin FROM c
 """)
 def _(t: Tables):
-    rows = _rows(t).select("crawl_id", "platform", "url")
-    stored = rows.where((F.col("crawl_id") == "CC-MAIN-2023-05") & (F.col("platform") != "fr"))
-    return ix.reuse_or_compute(
-        stored.withColumn("origin", F.lit("stored")), rows.withColumn("origin", F.lit("computed")))
+    crawls = ["CC-MAIN-2022-05", "CC-MAIN-2023-05", "CC-MAIN-2024-05"]
+    rows = _rows(t)
+    here = (F.col("crawl_id") == "CC-MAIN-2023-05") & (F.col("platform") != "fr")
+    stored = rows.where(here).withColumn("warc_filename", F.lit("stored"))
+    ledger = lookups.crawl_grid(rows.select("crawl_id").distinct(), LANGUAGES).where(here)
+    found = ix.reuse_or_scan(fx.index(t), stored, ledger, crawls, LANGUAGES)
+    origin = F.when(F.col("warc_filename") == "stored", "stored").otherwise("computed")
+    return found.select("crawl_id", "platform", "url", origin.alias("origin"))
 
 
 @query("s16_missing_slices", f"""

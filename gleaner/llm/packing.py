@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import bisect
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,7 +36,7 @@ from gleaner.llm.common import Work
 GROUPS = 256
 # Pieces up to this share of a sequence are small.
 SMALL_SHARE = 8
-CACHE_WORDS = 300_000
+CACHE_WORDS = 700_000
 GROUP_BYTES = 1 << 20
 
 
@@ -159,18 +160,30 @@ def _load(path: str):
     return Tokenizer.from_file(path), {}
 
 
+def _tail(word: bytes) -> bool:
+    """A last ASCII mark after an ASCII letter or digit is a token of its own."""
+    return len(word) > 1 and word[-2:-1].isalnum() and not word[-1:].isalnum() and word[-1] < 128
+
+
 def token_ids(texts: list[str], path: str) -> list[bytes]:
-    """Little-endian 32-bit ids of whole texts, for a tokenizer that drops white space between words.
+    """Little-endian 32-bit ids of whole texts, for a tokenizer that lower-cases and drops white space between words.
 
-    ASCII white space ends every token, so each distinct word is encoded once in a worker.
+    ASCII white space ends every token, so each distinct word is encoded once in a worker. A text that may hold a
+    special token's name keeps its case until it is encoded.
     """
     tokenizer, known = _load(path)
     if len(known) > CACHE_WORDS:
         known.clear()
-    words = [t.encode().split() for t in texts]
-    new = list(set().union(*words) - known.keys())
-    found = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-    known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found))
+    raw = [t.encode() for t in texts]
+    words = [(r if b"<|" in r else r.lower()).split() for r in raw]
+    missing = {w for w in set().union(*words) if w not in known}
+    tails = [w for w in missing if _tail(w)]
+    new = missing.difference(tails)
+    new.update(x for w in tails for x in (w[:-1], w[-1:]) if x not in known)
+    whole = list(new)
+    found = tokenizer.encode_batch_fast([w.decode() for w in whole], add_special_tokens=False)
+    known.update((w, array("I", e.ids).tobytes()) for w, e in zip(whole, found))
+    known.update([(w, known[w[:-1]] + known[w[-1:]]) for w in tails])
     return [b"".join(map(known.__getitem__, w)) for w in words]
 
 

@@ -10,7 +10,7 @@ from gleaner.functions.rows import explode_once
 from gleaner.functions.text import drop_tokens, list_to_pipe
 from gleaner.operators import cards, features, linked_data, lookups, nodes, page_state, quality, ranking, reports, resolve, scripts
 from gleaner.plans import extract_step as ex
-from gleaner.plans import steps
+from gleaner.plans import audit_step, steps
 from gleaner.profiles import profile
 from gleaner.schema import SUMMARY_COLUMNS
 from gleaner.session import scratch_dir
@@ -358,26 +358,65 @@ def _(t: Tables):
     return quality.extraction_success(quality.page_counts(pages, _rows(pages), ["page_id"]), ["page_id"])
 
 
+# The audit on ten pages of each crawl. Every seventh page gives its rows twice, every ninth lacks names, and
+# the state of every fourth is said to hold three times what it gave.
+_Q05_SQL = f"""
+{_AUDIT_SQL}, s AS (SELECT *, row_number() OVER (PARTITION BY crawl_id ORDER BY md5(url || '42'), url) AS rn,
+  page_id % 5 <> 1 AND page_id % 6 <> 0 AS whole FROM counts),
+p AS (SELECT * REPLACE (CASE WHEN whole AND page_id % 7 = 2 THEN 2 * n_entities ELSE n_entities END AS n_entities), n_entities AS n
+  FROM s WHERE rn <= 10),
+i AS (SELECT crawl_id, url AS subject, kind AS "check", n_entities::BIGINT AS n FROM p WHERE kind IS NOT NULL
+  UNION ALL SELECT crawl_id, url, 'HTML_IN_NAME', 1 FROM p WHERE page_id % 5 = 1
+  UNION ALL SELECT crawl_id, url, 'INTRA_PAGE_DUPES', n FROM p WHERE whole AND page_id % 7 = 2
+  UNION ALL SELECT crawl_id, url, 'MISSING_NAMES', 2 FROM p WHERE page_id % 9 = 4 AND n_entities > 0
+  UNION ALL SELECT crawl_id, url, 'LOW_STATE_COVERAGE', n_entities FROM p
+    WHERE whole AND n_entities < 0.5 * n * CASE WHEN page_id % 4 = 1 THEN 3 ELSE 1 END)
+"""
+
+
+def _audit(t: Tables):
+    """Page counts and issues of the sample."""
+    pages, pid = _audit_pages(t), F.col("page_id")
+    # The sample is drawn on slim rows; page text joins the few chosen pages afterwards.
+    chosen = ranking.seeded_sample(pages.select("page_id", "platform", "crawl_id", "url"), ["platform", "crawl_id"], "url", 10)
+    sample = archive.table(t.spark, pages.join(chosen.select("page_id"), "page_id", "left_semi"), "q05p")
+    twice = F.when((pid % 7 == 2) & (pid % 5 != 1), 2).otherwise(1)
+    rows = _rows(sample).withColumn("_t", F.explode(F.sequence(F.lit(1), twice))).drop("_t")
+    # The few entities serve several reports; a written table keeps them from being extracted each time.
+    rows = archive.table(t.spark, rows, "q05")
+    counts = quality.page_counts(sample, rows, ["page_id"])
+    truth = sample.where(pid % 9 == 4).select("page_id", F.explode(F.array(F.lit("absent a"), F.lit("absent b"))).alias("name"))
+    state = page_state.keyed_state(F.col("html"), "__INITIAL_STATE__")
+    times = F.when(pid % 4 == 1, 3).otherwise(1)
+    held = sample.select("page_id", state.alias("d")).select(
+        "page_id", (page_state.keyed_count(F.col("d"), JUST.keyed_state) * times).cast("bigint").alias("n_state"))
+    return counts, audit_step.audit_issues(counts, rows, truth, held, ["page_id"])
+
+
 @query("q05_audit_lines", f"""
-{_AUDIT_SQL}, s AS (SELECT *, row_number() OVER (PARTITION BY crawl_id ORDER BY md5(url || '42'), url) AS rn FROM counts)
+{_Q05_SQL}, k AS (SELECT crawl_id, count(*) AS k FROM i GROUP BY crawl_id)
 SELECT 'justeat' AS platform, crawl_id, count(*) AS n_pages, sum(n_entities)::BIGINT AS n_entities,
-  count(kind) + count(*) FILTER (WHERE page_id % 5 = 1) AS n_issues,
-  CASE WHEN count(kind) = 0 THEN 'OK' ELSE CAST(count(kind) + count(*) FILTER (WHERE page_id % 5 = 1) AS VARCHAR) || ' issues' END AS status
-FROM s WHERE rn <= 10 GROUP BY crawl_id
+  coalesce(max(k), 0) AS n_issues, CASE WHEN coalesce(max(k), 0) = 0 THEN 'OK' ELSE CAST(max(k) AS VARCHAR) || ' issues' END AS status
+FROM p LEFT JOIN k USING (crawl_id) GROUP BY crawl_id
 """)
 def _(t: Tables):
-    pages = _audit_pages(t)
-    # The sample is drawn on slim rows; page text joins the few chosen pages afterwards.
-    chosen = ranking.seeded_sample(pages.select("page_id", "platform", "crawl_id", "url"), ["platform", "crawl_id"], "url", 10)
-    sample = pages.join(chosen.select("page_id"), "page_id", "left_semi")
-    # The few entities serve three reports; a written table keeps them from being extracted three times.
-    rows = archive.table(t.spark, _rows(sample), "q05")
-    counts = quality.page_counts(sample, rows, ["page_id"])
-    issues = quality.page_issues(counts).select("platform", "crawl_id", "check").unionByName(
-        quality.row_issues(rows).select(F.lit("justeat").alias("platform"), "crawl_id", "check"))
+    counts, issues = _audit(t)
     return quality.audit_lines(counts, issues)
 
 
+@query("q05_audit_issues", f"""{_Q05_SQL} SELECT "check", 'justeat' AS platform, crawl_id, subject, n FROM i""")
+def _(t: Tables):
+    return _audit(t)[1].select("check", "platform", "crawl_id", "subject", "n")
+
+
+@query("q06_audit_overall", f"""
+{_Q05_SQL} SELECT "check", crawl_id AS subject, count(*) AS n FROM i GROUP BY ALL
+""")
+def _(t: Tables):
+    issues = _audit(t)[1].groupBy("check", F.col("crawl_id").alias("subject")).agg(F.count(F.lit(1)).alias("n"))
+    return quality.overall(issues)
+
+
 @query("j01_page_metadata", f"""
 WITH {INDEX_SQL} SELECT CASE WHEN page_id % 3 = 0 THEN '' ELSE url END AS url,
   CASE WHEN page_id % 3 <> 0 THEN 'T' || CAST(page_id AS VARCHAR) WHEN page_id % 2 = 0 THEN 'T0' ELSE '' END AS timestamp,

@@ -128,7 +128,7 @@ def test_url_rules(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url")
     odd = [None, "", "http://A.ORG", "x://Example.ORG:80/ES/", "http://a.example.org/en/12?x#y", "a://b://c/d", "http://com/fr/",
            "http://notexample.org/es/", "http://xcom/de/", "http://É.com/de/", "no scheme"]
-    pages = pages.unionByName(spark.createDataFrame([(None if i == 1 else -i, u) for i, u in enumerate(odd)], "page_id long, url string"))
+    pages = pages.unionByName(spark.createDataFrame([(None if i == 1 else -i - 1, u) for i, u in enumerate(odd)], "page_id long, url string"))
     judged = url_filter.judge(pages, queries.URL_RULES).collect()
     assert len(judged) == pages.count()
     want = {r["page_id"]: r["url"] for r in pages.collect()}

@@ -43,19 +43,25 @@ def collision_versions(df: DataFrame, keys: list[str], key: str, timestamp: str,
 
     ``ties`` orders rows of one timestamp; the later ones of those get their number as well, so that stored keys differ.
 
-    A key such as the start page may hold very many rows. They are ranked within the start of the timestamp
-    (an hour by default), which sorts like the timestamp itself, and the counts of the earlier hours are added:
-    no task ever ranks a whole key. Run it on slim rows (pointers), before any page text is attached.
+    A key such as the start page may hold very many rows. They are ranked within one timestamp only, and the counts of
+    the earlier timestamps of the same hour (the ``prefix`` of the timestamp) and of the earlier hours are added: no task
+    ever ranks a whole key or a busy hour. Run it on slim rows (pointers), before any page text is attached.
     """
-    part = [*keys, key, "_hour"]
-    df = df.withColumn("_hour", F.substring(timestamp, 1, prefix))
-    earlier = Window.partitionBy(*keys, key).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
-    before = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).withColumn(
-        "_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    within = F.row_number().over(Window.partitionBy(*part).orderBy(timestamp, *ties))
-    same = F.row_number().over(Window.partitionBy(*part, timestamp).orderBy(*ties))
-    df = df.withColumn("_within", within).withColumn("_same", same).join(before, part)
-    df = df.withColumn("version", F.col("_within") + F.col("_before")).drop("_within", "_before", "_hour")
+    slot, hour = [*keys, key], [*keys, key, "_hour"]
+    moment = [*hour, "_moment"]
+    df = df.withColumn("_moment", F.coalesce(timestamp, F.lit(""))).withColumn("_hour", F.substring("_moment", 1, prefix))
+    counts = df.groupBy(*moment).agg(F.count(F.lit(1)).alias("_n"))
+
+    def earlier(by: list[str], order: str) -> Column:
+        window = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_n").over(window), F.lit(0))
+
+    hours = counts.groupBy(*hour).agg(F.sum("_n").alias("_n")).withColumn("_hours", earlier(slot, "_hour")).drop("_n")
+    before = counts.withColumn("_moments", earlier(hour, "_moment")).drop("_n").join(hours, hour)
+    same = F.row_number().over(Window.partitionBy(*moment).orderBy(*ties))
+    df = df.withColumn("_same", same).join(before, moment)
+    df = df.withColumn("version", F.col("_same") + F.col("_moments") + F.col("_hours"))
     number = F.when(F.col("_same") > 1, F.concat(F.lit("_"), F.col("_same").cast("string"))).otherwise("")
     suffixed = F.concat(F.col(key), F.lit("_"), timestamp_suffix(F.col(timestamp)), number)
-    return df.withColumn("stored_key", F.when(F.col("version") == 1, F.col(key)).otherwise(suffixed)).drop("_same")
+    return df.withColumn("stored_key", F.when(F.col("version") == 1, F.col(key)).otherwise(suffixed)).drop(
+        "_hour", "_moment", "_same", "_moments", "_hours")

@@ -6,7 +6,8 @@ A text is a sequence of pre-tokens, and each pre-token is encoded on its own. So
    hash. A pre-token that fills a third of the corpus is one entry per block from here on.
 2. The lists are shuffled by slice. All occurrences of a word meet in one task, which encodes it once and sends its
    ids back to each block that asked.
-3. Blocks are shuffled together with their answers; ids take the places of the numbers, in order. Decoding looks every
+3. The numbered texts lie in buckets by block, so only the answers are shuffled to them; ids take the places of the
+   numbers, in order. Decoding looks every
    id up in the token-byte table, which is as large as the vocabulary and never grows with the data.
 """
 
@@ -15,12 +16,12 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,11 +29,11 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from gleaner.llm.common import Work
+from gleaner.llm.packed import pack, pack_rising, pack_words, spread, unpack, unpack_rising, unpack_words
 
 BLOCK_CHARS = 24 << 20
 BLOCK_WORDS = 400_000
 CACHE_WORDS = 300_000
-OUT_IDS = 1 << 20
 
 
 @lru_cache(maxsize=2)
@@ -59,54 +60,57 @@ def _token_bytes(path: str) -> list[bytes]:
 
 
 class _Block:
-    """The numbers of a block's pre-tokens, and its texts as sequences of them."""
+    """The numbers of a block's pre-tokens, and its texts as sequences of them.
+
+    Pre-tokens always break before a single space between two other characters. The pieces between such spaces recur,
+    so a text is first read as piece numbers, and pieces are replaced by their pre-tokens when the block is complete.
+    """
 
     def __init__(self, pattern):
-        self.pattern, self.numbers, self.pieces = pattern, {}, {}
+        self.pattern, self.numbers = pattern, {}
+        self.heads, self.pieces = {}, {}
+        self.codes: list[int] = []
+        self.sizes: list[int] = []
         self.rows: list[tuple[object, np.ndarray]] = []
         self.chars = 0
 
-    def _number(self, words: list[str]) -> list[int]:
+    def _piece(self, words: list[str]) -> int:
         numbers = self.numbers
-        return [numbers.setdefault(w, len(numbers)) for w in words]
+        self.codes += [numbers.setdefault(w, len(numbers)) for w in words]
+        self.sizes.append(len(words))
+        return len(self.sizes) - 1
+
+    def _learn(self, known: dict, lead: str, new) -> None:
+        for p in new:
+            if not p or p[0].isspace() or p[-1].isspace():
+                known[p] = -1
+            else:
+                known[p] = self._piece([lead + p] if p.isalpha() else self.pattern.findall(lead + p))
 
     def add(self, doc, text: str) -> None:
-        """Pre-tokens always break before a single space between two other characters; pieces between such recur."""
         self.chars += len(text)
-        out: list[int] = []
-        pieces = self.pieces
         head, *rest = text.split(" ")
-        if any(not p or p[0].isspace() or p[-1].isspace() for p in (head, *rest)):
-            out = self._number(self.pattern.findall(text))
-        else:
-            out += self._number(self.pattern.findall(head))
-            for p in rest:
-                found = pieces.get(p)
-                if found is None:
-                    found = pieces[p] = self._number(self.pattern.findall(" " + p))
-                out += found
-        self.rows.append((doc, np.array(out, np.uint32)))
+        if head not in self.heads:
+            self._learn(self.heads, "", [head])
+        self._learn(self.pieces, " ", [p for p in set(rest) if p not in self.pieces])
+        out = np.empty(len(rest) + 1, np.int32)
+        out[0] = self.heads[head]
+        out[1:] = np.fromiter(map(self.pieces.__getitem__, rest), np.int32, len(rest))
+        if out.min() < 0:
+            out = np.array([self._piece(self.pattern.findall(text))], np.int32)
+        self.rows.append((doc, out))
 
     def ranked(self) -> tuple[list[str], list[np.ndarray]]:
         """Words by falling frequency, and the rows with those numbers, which pack well."""
-        count = np.zeros(len(self.numbers), np.int64)
-        for _, codes in self.rows:
-            count += np.bincount(codes, minlength=len(count))
+        flat, sizes = np.array(self.codes, np.int64), np.array(self.sizes, np.int64)
+        starts = np.cumsum(sizes) - sizes
+        rows = [spread(flat, starts[r], sizes[r]) for _, r in self.rows]
+        count = np.bincount(np.concatenate(rows), minlength=len(self.numbers))
         order = np.argsort(-count, kind="stable")
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
         words = list(self.numbers)
-        return [words[i] for i in order], [rank[codes] for _, codes in self.rows]
-
-
-def pack_codes(codes: np.ndarray) -> bytes:
-    """Byte planes of 32-bit numbers, compressed."""
-    return zstandard.compress(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
-
-
-def unpack_codes(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+        return [words[i] for i in order], [rank[codes] for codes in rows]
 
 
 def _number_pass(pattern_text: str, slices: int):
@@ -115,9 +119,9 @@ def _number_pass(pattern_text: str, slices: int):
     def texts_of(block: int, kind, done: _Block, found: list[np.ndarray]) -> pa.RecordBatch:
         n = len(found)
         return pa.RecordBatch.from_arrays(
-            [pa.array([block] * n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(pa.string())),
-             pa.nulls(n, pa.list_(pa.int32())), pa.array([d for d, _ in done.rows], kind),
-             pa.array([pack_codes(c) for c in found], pa.binary())], names=names)
+            [pa.array([block] * n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+             pa.nulls(n, pa.binary()), pa.array([d for d, _ in done.rows], kind),
+             pa.array([pack(c) for c in found], pa.binary())], names=names)
 
     def lists_of(block: int, kind, words: list[str]) -> Iterator[pa.RecordBatch]:
         dealt: dict[int, list[int]] = {}
@@ -126,8 +130,8 @@ def _number_pass(pattern_text: str, slices: int):
         for s, places in dealt.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.array([s], pa.int32()),
-                 pa.array([[words[i] for i in places]], pa.list_(pa.string())),
-                 pa.array([places], pa.list_(pa.int32())), pa.nulls(1, kind), pa.nulls(1, pa.binary())],
+                 pa.array([pack_words([words[i].encode() for i in places])], pa.binary()),
+                 pa.array([pack_rising(np.array(places, np.uint32))], pa.binary()), pa.nulls(1, kind), pa.nulls(1, pa.binary())],
                 names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,33 +159,23 @@ def _encode_pass(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, known, slice_now = _word_encoder(path).encode_ordinary, {}, None
         for batch in batches:
-            for block, s, words, codes in zip(*(batch.column(n).to_pylist() for n in ("block", "slice", "words", "codes"))):
+            for block, s, packed, codes in zip(*(batch.column(n).to_pylist() for n in ("block", "slice", "words", "codes"))):
                 if s != slice_now or len(known) > CACHE_WORDS:
                     known.clear()
                     slice_now = s
-                ids, sizes = [], []
-                for w in words:
-                    found = known.get(w)
-                    if found is None:
-                        found = known[w] = encode(w)
-                    ids += found
-                    sizes.append(len(found))
+                words = [w.decode() for w in unpack_words(packed)]
+                for w in [w for w in set(words) if w not in known]:
+                    known[w] = encode(w)
+                found = list(map(known.__getitem__, words))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block], pa.int64()), pa.array([pack_codes(np.array(codes, np.uint32))], pa.binary()),
-                     pa.array([pack_codes(np.array(ids, np.uint32))], pa.binary()),
-                     pa.array([pack_codes(np.array(sizes, np.uint32))], pa.binary())],
+                    [pa.array([block], pa.int64()), pa.array([codes], pa.binary()),
+                     pa.array([pack(np.array(list(chain.from_iterable(found)), np.uint32))], pa.binary()),
+                     pa.array([pack(np.array(list(map(len, found)), np.uint32))], pa.binary())],
                     names=["block", "codes", "ids", "sizes"])
 
     return run
 
 
-def _spread(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The stretches flat[start:start + size], one after the other."""
-    ends = np.cumsum(sizes)
-    total = int(ends[-1]) if len(ends) else 0
-    return flat[np.repeat(starts - ends + sizes, sizes) + np.arange(total)]
-
-
 class Decoder:
     """The token-byte table; decoding joins it to ids by position."""
 
@@ -192,7 +186,12 @@ class Decoder:
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def __call__(self, ids: np.ndarray) -> bytes:
-        return _spread(self.flat, self.starts[ids], self.sizes[ids]).tobytes()
+        return spread(self.flat, self.starts[ids], self.sizes[ids]).tobytes()
+
+
+@lru_cache(maxsize=1)
+def _decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
 class _Answers:
@@ -215,40 +214,23 @@ class _Answers:
     def ids(self, places: np.ndarray) -> np.ndarray:
         if self.flat is None:
             self.flat = np.concatenate([*self.parts, np.zeros(0, np.uint32)]).astype(np.int32)
-        return _spread(self.flat, self.starts[places], self.sizes[places])
+        return spread(self.flat, self.starts[places], self.sizes[places])
 
 
-def _join_pass(path: str, id_type):
-    """Rows arrive by block, first its answers, then its texts."""
+def _meet(path: str, id_type):
+    """Ids of a block's texts from its answers, and the bytes they decode to."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode, block_now, answers = Decoder(path), None, _Answers()
-
-        def joined(docs, ids, decoded) -> pa.RecordBatch:
-            ends = np.cumsum([0, *map(len, ids)])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(docs, id_type),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]))),
-                 pa.array(decoded, pa.binary())], names=["doc_id", "ids", "decoded"])
-
-        for batch in batches:
-            docs, ids, decoded, size = [], [], [], 0
-            rows = zip(*(batch.column(n).to_pylist() for n in ("block", "codes", "ids", "sizes", "doc_id", "packed")))
-            for block, codes, own, lengths, doc, packed in rows:
-                if block != block_now:
-                    block_now, answers = block, _Answers()
-                if codes is not None:
-                    answers.add(unpack_codes(codes), unpack_codes(own), unpack_codes(lengths).astype(np.int64))
-                    continue
-                docs.append(doc)
-                ids.append(answers.ids(unpack_codes(packed)))
-                decoded.append(decode(ids[-1]))
-                size += len(ids[-1])
-                if size > OUT_IDS:
-                    yield joined(docs, ids, decoded)
-                    docs, ids, decoded, size = [], [], [], 0
-            if docs:
-                yield joined(docs, ids, decoded)
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        decode, known = _decoder(path), _Answers()
+        for codes, ids, sizes in zip(*(answers.column(n).to_pylist() for n in ("codes", "ids", "sizes"))):
+            known.add(unpack_rising(codes, np.uint32), unpack(ids, np.uint32), unpack(sizes, np.uint32).astype(np.int64))
+        ids = [known.ids(unpack(p, np.uint32)) for p in texts.column("packed").to_pylist()]
+        decoded = [decode(i) for i in ids]
+        ends = np.cumsum([0, *map(len, ids)])
+        return pa.Table.from_arrays(
+            [texts.column("doc_id").cast(id_type),
+             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]))),
+             pa.array(decoded, pa.binary())], names=["doc_id", "ids", "decoded"])
 
     return run
 
@@ -265,14 +247,13 @@ def encode_and_decode(docs: DataFrame, work: Work, path: str, pattern: str, id_c
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     schema = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("slice", T.IntegerType()),
-        T.StructField("words", T.ArrayType(T.StringType())), T.StructField("codes", T.ArrayType(T.IntegerType())),
+        T.StructField("words", T.BinaryType()), T.StructField("codes", T.BinaryType()),
         id_field, T.StructField("packed", T.BinaryType())])
-    numbered = work.save(rows.mapInArrow(_number_pass(pattern, slices), schema), "numbered")
+    numbered = work.save_buckets(rows.mapInArrow(_number_pass(pattern, slices), schema), "block", slices, "numbered")
     lists = numbered.where("slice IS NOT NULL").select("block", "slice", "words", "codes")
     answers = (lists.repartition("slice").sortWithinPartitions("slice")
                .mapInArrow(_encode_pass(path), "block long, codes binary, ids binary, sizes binary"))
     texts = numbered.where("packed IS NOT NULL").select("block", "doc_id", "packed")
-    return (answers.unionByName(texts, allowMissingColumns=True).repartition("block")
-            .sortWithinPartitions("block", F.col("packed").isNotNull())
-            .mapInArrow(_join_pass(path, to_arrow_type(field.dataType)), T.StructType(
-                [id_field, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])))
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _meet(path, to_arrow_type(field.dataType)), T.StructType(
+            [id_field, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())]))

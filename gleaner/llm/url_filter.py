@@ -3,8 +3,8 @@
 The trees are fitted in numpy on the driver by Newton boosting of the logistic loss over binned features. They see at
 most ``SAMPLE_ROWS`` labelled URLs, chosen by hash; everything else (suffix statistics, judging) covers all rows.
 Suffix statistics are the number of labelled URLs under a host's last label and its last two labels, and the smoothed
-share of blocked ones among them, counted on the cluster; the ``SUFFIXES`` most frequent of them travel with the task,
-a suffix beyond that counts as unseen both in training and in judging.
+share of blocked ones among them. They are a written table of all labelled suffixes, which is joined to the sample and
+to the pages; suffixes with more than one in ``HOT_PARTS`` of the rows are dealt over ``SALTS`` keys of that join.
 """
 
 from __future__ import annotations
@@ -19,8 +19,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.llm.common import Work
+
 SAMPLE_ROWS = 20_000
-SUFFIXES = 5_000
+HOT_PARTS, SALTS = 1_024, 64
+UNSEEN = (0.0, 0.5)
 TREES, DEPTH, BINS, RATE = 40, 4, 32, 0.3
 FEATURES = (
     "length", "host_length", "path_length", "host_depth", "path_depth", "digit_ratio", "letter_ratio", "entropy",
@@ -48,9 +51,39 @@ def rule_match(host: Column, path: Column, rules: list[tuple[str, str, str]]) ->
     return text, verdict
 
 
-def suffixes(host: str) -> tuple[str, str]:
-    parts = host.split(".")
-    return parts[-1], ".".join(parts[-2:])
+def suffixes(host: Column) -> tuple[Column, Column]:
+    """Keys of a host's last label and of its last two labels."""
+    parts = F.split(host, r"\.")
+    last_two = F.array_join(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), 2), ".")
+    return F.concat(F.lit("1 "), F.element_at(parts, -1)), F.concat(F.lit("2 "), last_two)
+
+
+def suffix_table(urls: DataFrame) -> DataFrame:
+    """(suffix, seen, share) of every suffix of labelled rows (host, blocked): log count and smoothed blocked share."""
+    each = urls.select(F.explode(F.array(*suffixes(F.col("host")))).alias("suffix"), F.col("blocked").cast("int").alias("b"))
+    counted = each.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("b").alias("b"))
+    return counted.select("suffix", F.log1p("n").alias("seen"), ((F.col("b") + 1) / (F.col("n") + 2)).alias("share"))
+
+
+def hot_suffixes(hosts: DataFrame) -> list[str]:
+    """The suffixes that more than one in ``HOT_PARTS`` rows (host) has; so there are fewer than twice ``HOT_PARTS``."""
+    each = hosts.select(F.explode(F.array(*suffixes(F.col("host")))).alias("suffix"))
+    least = hosts.count() / HOT_PARTS
+    return sorted(r["suffix"] for r in each.groupBy("suffix").count().where(F.col("count") > least).collect())
+
+
+def with_suffixes(rows: DataFrame, table: DataFrame, hot: list[str] = ()) -> DataFrame:
+    """Rows (url, …) with seen1, share1, seen2, share2 of their host's suffixes, null where a suffix has no label."""
+    keys = suffixes(split_url(F.col("url"))[0])
+    for k, key in enumerate(keys, 1):
+        salt, salts = F.lit(0), F.array(F.lit(0))
+        if hot:
+            salt = F.when(key.isin(*hot), F.pmod(F.xxhash64("url", F.lit("salt")), F.lit(SALTS)).cast("int")).otherwise(0)
+            salts = F.when(F.col("suffix").isin(*hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(salts)
+        known = table.select(F.col("suffix").alias("key_"), F.explode(salts).alias("salt_"),
+                             F.col("seen").alias(f"seen{k}"), F.col("share").alias(f"share{k}"))
+        rows = rows.withColumns({"key_": key, "salt_": salt}).join(known, ["key_", "salt_"], "left").drop("key_", "salt_")
+    return rows
 
 
 def entropy(text: str) -> float:
@@ -58,19 +91,17 @@ def entropy(text: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(text).values()) if n else 0.0
 
 
-def features(url: str | None, host: str, path: str, known: dict[str, tuple[float, float]]) -> list[float]:
-    """Lexical features in the order of ``FEATURES``; a null URL is an empty one."""
+def features(url: str | None, host: str, path: str, tld: tuple[float, float], domain: tuple[float, float]) -> list[float]:
+    """Lexical features in the order of ``FEATURES``, with (seen, blocked) of both suffixes; a null URL is an empty one."""
     url = url or ""
     n = len(url) or 1
     query = url.partition("?")[2].partition("#")[0]
-    tld, domain = suffixes(host)
-    unseen = (0.0, 0.5)
     return [
         len(url), len(host), len(path), host.count(".") + 1 if host else 0, sum(1 for p in path.split("/") if p),
         sum(c.isdigit() for c in url) / n, sum(c.isalpha() for c in url) / n, entropy(url),
         sum(1 for p in query.split("&") if p), len(query), float("#" in url), url.count("-"),
         max(map(len, path.split("/"))), float(url.startswith("https:")),
-        *known.get("1 " + tld, unseen), *known.get("2 " + domain, unseen)]
+        *tld, *domain]
 
 
 def _edges(x: np.ndarray) -> list[np.ndarray]:
@@ -143,37 +174,27 @@ def probability(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-score))
 
 
-def learn(urls: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict | None:
-    """Fit on labelled rows (url, host, path, blocked); None without any."""
-    parts = F.split("host", r"\.")
-    seen = urls.select(
-        F.explode(F.array(F.concat(F.lit("1 "), F.element_at(parts, -1)),
-                          F.concat(F.lit("2 "), F.array_join(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), 2), ".")))).alias("suffix"),
-        F.col("blocked").cast("int").alias("b"))
-    top = seen.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("b").alias("b")).orderBy(
-        F.desc("n"), "suffix").limit(SUFFIXES).collect()
-    known = {r["suffix"]: (math.log1p(r["n"]), (r["b"] + 1) / (r["n"] + 2)) for r in top}
-    total = urls.count()
-    if not total:
-        return None
-    share = min(1.0, sample_rows / total)
-    rows = urls.where(F.pmod(F.xxhash64("url", F.lit("sample")), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    found = sorted(rows.select("url", "host", "path", "blocked").limit(2 * sample_rows).collect(), key=lambda r: (r["url"] or "", r["blocked"]))
+def learn(urls: DataFrame, table: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict | None:
+    """Fit on distinct labelled rows (url, host, path, blocked), those of lowest hash; None without any."""
+    rows = urls.distinct().orderBy(F.xxhash64("url", F.lit("sample")), "url", "blocked").limit(sample_rows)
+    found = with_suffixes(rows, table).collect()
     if not found:
         return None
+    found.sort(key=lambda r: (r["url"] or "", r["blocked"]))
     # A third of the sample, by hash, is read as if its suffixes were unseen, or new suffixes would be judged by chance.
-    x = np.array([features(r["url"], r["host"], r["path"], known if zlib.crc32((r["url"] or "").encode()) % 3 else {})
-                  for r in found], float)
-    return {"known": known, **fit_trees(x, np.array([float(r["blocked"]) for r in found]))}
+    x = np.array([features(r["url"], r["host"], r["path"], *(
+        ((r["seen1"], r["share1"]), (r["seen2"], r["share2"])) if zlib.crc32((r["url"] or "").encode()) % 3 else (UNSEEN, UNSEEN)))
+        for r in found], float)
+    return fit_trees(x, np.array([float(r["blocked"]) for r in found]))
 
 
 def _judge(model: dict):
     def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for urls, hosts, paths in batches:
+        for urls, hosts, paths, *known in batches:
             if not len(urls):
                 yield pd.Series([], dtype=float)
                 continue
-            x = np.array([features(u, h, p, model["known"]) for u, h, p in zip(urls, hosts, paths)], float)
+            x = np.array([features(u, h, p, k[:2], k[2:]) for u, h, p, *k in zip(urls, hosts, paths, *known)], float)
             yield pd.Series(probability(model, x))
 
     return F.pandas_udf(run, "double")
@@ -187,18 +208,27 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], labelled: DataFra
     trees decide where no rule fits. A null URL has an empty host and path and is judged as an empty URL. Without any
     labelled URL the rest is allowed. Repeated rows get equal answers; an empty table gives no rows.
     """
-    url = F.col(url_col)
-    host, path = split_url(url)
-    base = pages.select(F.col(id_col).alias("page_id"), url.alias("url"), host.alias("host"), path.alias("path"))
+    work = Work(pages.sparkSession, "url-filter")
+    base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
+    host, path = split_url(F.col("url"))
     rule, said = rule_match(F.col("host"), F.col("path"), rules)
-    base = base.select("*", rule.alias("rule"), said.alias("said"))
+
+    def ruled(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({"host": host, "path": path}).withColumns({"rule": rule, "said": said})
+
     if labelled is None:
-        train = base.where("said IS NOT NULL").select("url", "host", "path", (F.col("said") == "block").alias("blocked"))
+        train = ruled(base).where("said IS NOT NULL").select("url", "host", "path", (F.col("said") == "block").alias("blocked"))
     else:
-        host, path = split_url(F.col("url"))
         train = labelled.where("blocked IS NOT NULL").select("url", host.alias("host"), path.alias("path"), "blocked")
-    model = learn(train)
-    block = _judge(model)("url", "host", "path") if model else F.lit(0.0)
+    table = work.save(suffix_table(train), "suffixes")
+    model = learn(train, table)
+    if model:
+        # Only id and URL go through the join; the rest is computed from the URL afterwards.
+        base = ruled(with_suffixes(base, table, hot_suffixes(base.select(host.alias("host")))))
+        known = [F.coalesce(f"{c}{k}", F.lit(d)) for k in (1, 2) for c, d in zip(("seen", "share"), UNSEEN)]
+        block = _judge(model)("url", "host", "path", *known)
+    else:
+        base, block = ruled(base), F.lit(0.0)
     return base.withColumn("block_probability", block).select(
         "page_id", "host", "path", "rule",
         F.coalesce("said", F.when(F.col("block_probability") >= threshold, "block").otherwise("allow")).alias("verdict"),

@@ -150,6 +150,31 @@ def test_trees_learn_from_labelled_urls(spark, sf):
     assert np.mean([(r["verdict"] == "block") == r["blocked"] for r in found]) > 0.95
 
 
+def test_every_labelled_suffix_counts(spark, work):
+    """12,000 domains of three labelled URLs each; nothing but the domain's own share tells blocked from allowed."""
+    urls = spark.range(48_000).select(
+        F.col("id").alias("page_id"), (F.col("id") % 4 == 3).alias("held"),
+        F.format_string("http://a.d%05d.net/%05d", F.floor(F.col("id") / 4), F.pmod(F.xxhash64("id"), F.lit(100_000))).alias("url"),
+        (F.pmod(F.xxhash64(F.floor(F.col("id") / 4), F.lit("x")), F.lit(2)) == 0).alias("blocked"))
+    labelled = urls.where("NOT held").select("url", "blocked")
+    table = url_filter.suffix_table(labelled.select(url_filter.split_url(F.col("url"))[0].alias("host"), "blocked"))
+    assert table.count() == 12_001 and table.where("suffix <> '1 net' AND share NOT IN (0.2, 0.8)").count() == 0
+    judged = url_filter.judge(urls.where("held"), [], labelled)
+    found = urls.where("held").select("page_id", "blocked").join(judged, "page_id").collect()
+    assert len(found) == 12_000
+    assert np.mean([(r["verdict"] == "block") == r["blocked"] for r in found]) > 0.97
+
+
+def test_hot_suffixes_join_once(spark):
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate([None, "", "http://a.b.c/", "http://b.c/x", "http://q.c/"] * 50)], "i int, url string")
+    table = spark.createDataFrame([("1 c", 1.0, 0.1), ("2 b.c", 2.0, 0.2), ("1 ", 3.0, 0.3)], "suffix string, seen double, share double")
+    hot = url_filter.hot_suffixes(rows.select(url_filter.split_url(F.col("url"))[0].alias("host")))
+    assert hot == ["1 ", "1 c", "2 ", "2 b.c", "2 q.c"]
+    for keys in ([], hot):
+        got = {r["i"]: (r["seen1"], r["seen2"]) for r in url_filter.with_suffixes(rows, table, keys).collect()}
+        assert got == {i: [(3.0, None), (3.0, None), (1.0, 2.0), (1.0, 2.0), (1.0, None)][i % 5] for i in range(250)}
+
+
 def test_roles_of_held_out_conversations(spark, sf):
     rows = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/conversations.parquet")
     held = F.pmod(F.crc32(F.col("conv_id").cast("string")), F.lit(4)) == 2

@@ -4,27 +4,34 @@ A hidden state is a role that begins a turn or goes on with it. A line shows a s
 class, whether it asks and whether it opens a row of the source. Transition and observation counts come from all labelled lines, by grouped counts on the cluster,
 with a prior that ties markers to their roles; the model is a few dozen numbers.
 
-Viterbi runs in max-plus algebra, which is associative: a conversation is cut into chunks of ``CHUNK_TURNS`` turns,
+Viterbi runs in max-plus algebra, which is associative: a conversation is cut into chunks of ``CHUNK_LINES`` lines,
 each chunk gives one small matrix, the matrices of a conversation give the best state at every cut, and each chunk is
-decoded between its cuts. So a conversation with a third of all rows is as many tasks as it has chunks.
+decoded between its cuts. The lines are numbered by the order of their rows, which are dealt by ranges of that order and
+counted range by range. So a conversation with a third of all rows, whatever its turn numbers, is as many groups as it
+has chunks, and no group has more than ``CHUNK_LINES`` lines. Only the matrices of a conversation meet in one task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from gleaner.llm.common import Work
+
 ROLES = ("system", "user", "assistant")
 # Words that name a speaker, by role.
 NAMES = {
     "system": ("system", "instruction", "instructions"), "user": ("user", "human", "question", "q", "prompter", "customer"),
     "assistant": ("assistant", "ai", "bot", "answer", "a", "gpt", "model", "agent")}
 LENGTHS = (0, 20, 60, 120, 240, 480, 960)
-CHUNK_TURNS = 1024
+CHUNK_LINES = 1024
 STATES = 2 * len(ROLES)  # role r begins: 2r, goes on: 2r + 1
 PRIOR, MARKER_PRIOR = 0.5, 1000.0
 FEATURES = ("marker", "length", "asks", "opens")
@@ -42,32 +49,74 @@ def role_code(name: Column) -> Column:
     return out
 
 
-def lines_of(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> DataFrame:
-    """(conv_id, turn, copy, line, chunk, text, marker, length, asks, opens), one row per line of each row's text."""
+def rows_of(rows: DataFrame, id_col: str, turn_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(conv_id, turn, copy, whole, n, …): turn and text without nulls, and the number of lines."""
     base = rows.select(
         F.col(id_col).alias("conv_id"), F.coalesce(F.col(turn_col).cast("long"), F.lit(-1)).alias("turn"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("whole"), F.monotonically_increasing_id().alias("copy"))
-    out = base.select("conv_id", "turn", "copy", F.posexplode(F.split("whole", "\r?\n")).alias("line", "text"))
+        F.monotonically_increasing_id().alias("copy"), F.coalesce(F.col(text_col), F.lit("")).alias("whole"), *more)
+    return base.withColumn("n", F.size(F.split("whole", "\r?\n")).cast("long"))
+
+
+def lines_of(base: DataFrame, *keep: str) -> DataFrame:
+    """(…, line, text, marker, length, asks, opens), one row per line of each row's text, with the ``keep`` columns."""
+    out = base.select(*keep, F.posexplode(F.split("whole", "\r?\n")).alias("line", "text"))
     marker = role_code(F.regexp_extract("text", "(?i)" + _MARKER, 1))
     size = F.length("text")
     return out.select(
-        "conv_id", "turn", "copy", "line", F.floor(F.col("turn") / CHUNK_TURNS).cast("long").alias("chunk"), "text",
-        (F.coalesce(marker, F.lit(-1)) + 1).alias("marker"),
+        *keep, "line", "text", (F.coalesce(marker, F.lit(-1)) + 1).alias("marker"),
         sum(F.when(size > n, 1).otherwise(0) for n in LENGTHS).alias("length"),
         F.rtrim("text").endswith("?").cast("int").alias("asks"), (F.col("line") == 0).cast("int").alias("opens"))
 
 
+def in_order(base: DataFrame) -> DataFrame:
+    """Rows dealt by ranges of (conv_id, turn, copy) and sorted, so the partitions follow each other in that order."""
+    order = ("conv_id", "turn", "copy")
+    return base.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the partition and how many lines of the conversation come before each row in it."""
+    part, conv, at = TaskContext.get().partitionId(), object(), 0
+    for batch in batches:
+        starts = []
+        for own, n in zip(batch.column("conv_id").to_pylist(), batch.column("n").to_pylist()):
+            if own != conv:
+                conv, at = own, 0
+            starts.append(at)
+            at += n
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array([part] * len(starts), pa.int32()), pa.array(starts, pa.int64())],
+            names=[*batch.schema.names, "part", "start"])
+
+
+def numbered_lines(rows: DataFrame, work: Work, id_col: str = "conv_id", turn_col: str = "turn",
+                   text_col: str = "text") -> DataFrame:
+    """The lines of ``lines_of`` with conv_id, turn, their number in the conversation and their chunk."""
+    base = in_order(rows_of(rows, id_col, turn_col, text_col)).drop("copy")
+    schema = T.StructType([*base.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("start", T.LongType())])
+    rows = work.save(base.mapInArrow(_number, schema), "rows")
+    # Only the first conversation of a partition has lines in earlier ones, so there is at most one row per partition.
+    earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    moved = rows.groupBy("conv_id", "part").agg(F.sum("n").alias("n")).select(
+        F.col("conv_id").alias("conv_"), F.col("part").alias("part_"), F.sum("n").over(earlier).alias("moved")).where("moved > 0")
+    rows = rows.join(F.broadcast(moved), (F.col("part") == F.col("part_")) & F.col("conv_id").eqNullSafe(F.col("conv_")), "left")
+    rows = rows.withColumn("start", F.col("start") + F.coalesce("moved", F.lit(0)))
+    number = (F.col("start") + F.col("line")).alias("number")
+    lines = lines_of(rows, "conv_id", "turn", "start")
+    return lines.select("conv_id", "turn", number, F.floor(number / CHUNK_LINES).cast("long").alias("chunk"), "text", *FEATURES)
+
+
 def learn(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
           text_col: str = "text") -> dict[str, np.ndarray]:
     """Log probabilities from all rows whose role is known: start, step (from, to), and marker, length, asks, opens by
     state."""
     known = rows.where(role_code(F.col(role_col)).isNotNull())
-    own = lines_of(known.withColumn(text_col, F.coalesce(text_col, F.lit(""))), id_col, turn_col, text_col)
     labelled = known.select(
         F.col(id_col).alias("conv"), F.coalesce(F.col(turn_col).cast("long"), F.lit(-1)).alias("turn"),
         role_code(F.col(role_col)).alias("role"), F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), "\r?\n")).alias("n"),
         F.monotonically_increasing_id().alias("copy"))
-    features = own.join(labelled.select("copy", "role"), "copy").groupBy(
+    own = lines_of(rows_of(known, id_col, turn_col, text_col, role_code(F.col(role_col)).alias("role")), "role")
+    features = own.groupBy(
         "role", (F.col("line") > 0).cast("int").alias("on"), "marker", "length", "asks").count().collect()
     lengths = labelled.groupBy("role").agg(
         F.sum((F.col("n") > 1).cast("long")).alias("more"), F.sum(F.greatest(F.col("n") - 2, F.lit(0)).cast("long")).alias("on"),
@@ -116,7 +165,7 @@ def _seen(model: dict, rows: pa.Table) -> np.ndarray:
 
 
 def _ordered(rows: pa.Table) -> pa.Table:
-    return rows.sort_by([("turn", "ascending"), ("copy", "ascending"), ("line", "ascending")])
+    return rows.sort_by("number")
 
 
 def chunk_matrix(model: dict, seen: np.ndarray) -> np.ndarray:
@@ -190,17 +239,17 @@ def _decode(model: dict, id_type):
         if rows.num_rows:
             before = cuts.column("before")[0].as_py()
             path = best_path(model, _seen(model, rows), before, cuts.column("last")[0].as_py())
-            chunk, conv = rows.column("chunk")[0].as_py(), rows.column("conv_id")[0].as_py()
+            conv, numbers = rows.column("conv_id")[0].as_py(), rows.column("number").to_pylist()
             texts, turns = rows.column("text").to_pylist(), rows.column("turn").to_pylist()
             marked = rows.column("marker").to_pylist()
             starts = [t for t in range(len(path)) if not t or path[t] % 2 == 0 or path[t] // 2 != path[t - 1] // 2]
-            for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(path)])):
+            for a, b in zip(starts, [*starts[1:], len(path)]):
                 lines = texts[a:b]
                 if marked[a]:
                     lines = [marker.sub("", lines[0], count=1), *lines[1:]]
                 role = ROLES[path[a] // 2]
-                goes_on = not a and before is not None and path[a] % 2 == 1
-                out.append((conv, (chunk << 32) + k, turns[a], role, b - a, goes_on, _render(role, lines)))
+                goes_on = not a and before is not None and path[a] % 2 == 1 and path[a] // 2 == before // 2
+                out.append((conv, numbers[a], turns[a], role, b - a, goes_on, _render(role, lines)))
         cols = list(zip(*out)) or [[]] * len(names)
         kinds = [id_type, pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.string()]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
@@ -209,14 +258,14 @@ def _decode(model: dict, id_type):
 
 
 def parse(rows: DataFrame, model: dict, id_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> DataFrame:
-    """One row per recovered turn: conv_id, turn_no (rising within a conversation), source_turn, role, n_lines,
+    """One row per recovered turn: conv_id, turn_no (its first line's number in the conversation), source_turn, role, n_lines,
     continues, rendered.
 
     The lines of a conversation are read in the order of ``turn`` (null: first), repeated rows one after the other. A
     null or empty text is one empty line. A turn that runs over a cut of chunks goes on in a row with ``continues``.
     Rows with a null conv_id are one conversation; an empty table gives no rows.
     """
-    lines = lines_of(rows, id_col, turn_col, text_col)
+    lines = numbered_lines(rows, Work(rows.sparkSession, "transcripts"), id_col, turn_col, text_col)
     field = T.StructField("conv_id", rows.schema[id_col].dataType)
     keys = ["conv_id", "chunk"]
     chunk = T.StructField("chunk", T.LongType())

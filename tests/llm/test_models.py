@@ -211,3 +211,47 @@ def test_chunked_viterbi_equals_one_pass(spark, sf):
     mid = int(score[:, last].argmax())
     parts = [transcripts.best_path(model, seen[:20], None, mid), transcripts.best_path(model, seen[20:], mid, last)]
     assert (np.concatenate(parts) == whole).all()
+
+
+def awkward_transcripts(spark):
+    """Null ids with ordinary turns, null turns, one turn number for all rows, and one row of many lines."""
+    names = ["System: x", "User: hello there", "Assistant: of course", "why?", "yes", "", "> a longer line without any marker at all"]
+    rnd = np.random.default_rng(3)
+    text = lambda n: "\n".join(names[k] for k in rnd.integers(0, len(names), n))
+    rows = [(None, int(t), text(2)) for t in rnd.integers(0, 9, 300)] + [(1, None, text(1)) for _ in range(300)]
+    rows += [(2, 7, text(3)) for _ in range(200)] + [(3, 0, text(700)), (4, 5, text(1)), (4, 9, None), (5, 1, text(40))]
+    return spark.createDataFrame(rows, "conv_id long, turn long, text string").repartition(5).cache()
+
+
+@pytest.fixture
+def many_ranges(spark):
+    """Small partitions stay apart."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_no_chunk_has_more_lines_than_its_size(spark, work, monkeypatch, many_ranges):
+    monkeypatch.setattr(transcripts, "CHUNK_LINES", 16)
+    rows = awkward_transcripts(spark)
+    lines = transcripts.numbered_lines(rows, work).collect()
+    assert len(lines) == sum(len((r["text"] or "").split("\n")) for r in rows.collect())
+    assert max(Counter((r["conv_id"], r["chunk"]) for r in lines).values()) == 16
+    for conv in (None, 1, 2, 3, 4, 5):
+        own = sorted((r["number"], r["turn"]) for r in lines if r["conv_id"] == conv)
+        assert [n for n, _ in own] == list(range(len(own))) and [t for _, t in own] == sorted(t for _, t in own)
+
+
+def test_any_chunks_give_the_best_path(spark, sf, work, monkeypatch, many_ranges):
+    model = transcripts.learn(spark.read.parquet(f"{sf}/conversations.parquet"))
+    rows = awkward_transcripts(spark)
+    lines = transcripts.numbered_lines(rows, work).collect()
+    want = {}
+    for conv in (None, 1, 2, 3, 4, 5):
+        own = sorted((r for r in lines if r["conv_id"] == conv), key=lambda r: r["number"])
+        seen = sum(model[c][:, [r[c] for r in own]].T for c in transcripts.FEATURES)
+        path = transcripts.best_path(model, seen, None, None)
+        want.update({(conv, r["number"]): transcripts.ROLES[s // 2] for r, s in zip(own, path)})
+    monkeypatch.setattr(transcripts, "CHUNK_LINES", 16)
+    got = {(r["conv_id"], r["turn_no"] + k): r["role"] for r in transcripts.parse(rows, model).collect() for k in range(r["n_lines"])}
+    assert got == want

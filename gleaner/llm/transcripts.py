@@ -13,6 +13,7 @@ has chunks, and no group has more than ``CHUNK_LINES`` lines. Only the matrices
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -106,25 +107,72 @@ def numbered_lines(rows: DataFrame, work: Work, id_col: str = "conv_id", turn_co
     return lines.select("conv_id", "turn", number, F.floor(number / CHUNK_LINES).cast("long").alias("chunk"), "text", *FEATURES)
 
 
+def _transitions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of (before, more, role) over neighbouring rows of a sorted partition and, as its edges, its first and last
+    row. ``before`` is null where the row opens its conversation; role is -1 where it is unknown."""
+    part, counts, first, last, kind = TaskContext.get().partitionId(), Counter(), None, None, None
+    for batch in batches:
+        kind = batch.schema.field("conv_id").type
+        for row in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "more"))):
+            if last is None:
+                first = row
+            else:
+                counts[(*last[1:], row[1]) if last[0] == row[0] else (None, None, row[1])] += 1
+            last = row
+    if last is None:
+        return
+    out = [(part, "count", None, *k, n) for k, n in counts.items()]
+    out += [(part, "first", first[0], None, first[2], first[1], 1), (part, "last", last[0], None, last[2], last[1], 1)]
+    kinds = [pa.int32(), pa.string(), kind, pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["part", "kind", "conv_id", "before", "more", "role", "n"])
+
+
+def transitions(base: DataFrame) -> tuple[Counter, Counter]:
+    """How often a role follows (role, whether its row has more lines), and how often a role opens a conversation.
+
+    Rows (conv_id, turn, copy, role, more) follow each other as ``parse`` reads them, so each adds one count at most; a
+    row of unknown role (-1) parts its neighbours. The driver sees some thirty numbers per partition.
+    """
+    rows = in_order(base.select("conv_id", "turn", "copy", "role", "more"))
+    schema = T.StructType([
+        T.StructField("part", T.IntegerType()), T.StructField("kind", T.StringType()), base.schema["conv_id"],
+        *[T.StructField(c, T.IntegerType()) for c in ("before", "more", "role")], T.StructField("n", T.LongType())])
+    steps, first = Counter(), Counter()
+
+    def add(before: int | None, more: int | None, role: int, n: int) -> None:
+        if before is None and role >= 0:
+            first[role] += n
+        elif before is not None and before >= 0 and role >= 0:
+            steps[before, more, role] += n
+
+    edge = None
+    found = rows.mapInArrow(_transitions, schema).collect()
+    for r in sorted(found, key=lambda r: (r["part"], ("first", "count", "last").index(r["kind"]))):
+        if r["kind"] == "count":
+            add(r["before"], r["more"], r["role"], r["n"])
+        elif r["kind"] == "last":
+            edge = r
+        elif edge is not None and edge["conv_id"] == r["conv_id"]:
+            add(edge["role"], edge["more"], r["role"], 1)
+        else:
+            add(None, None, r["role"], 1)
+    return steps, first
+
+
 def learn(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
           text_col: str = "text") -> dict[str, np.ndarray]:
     """Log probabilities from all rows whose role is known: start, step (from, to), and marker, length, asks, opens by
     state."""
-    known = rows.where(role_code(F.col(role_col)).isNotNull())
-    labelled = known.select(
-        F.col(id_col).alias("conv"), F.coalesce(F.col(turn_col).cast("long"), F.lit(-1)).alias("turn"),
-        role_code(F.col(role_col)).alias("role"), F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), "\r?\n")).alias("n"),
-        F.monotonically_increasing_id().alias("copy"))
-    own = lines_of(rows_of(known, id_col, turn_col, text_col, role_code(F.col(role_col)).alias("role")), "role")
-    features = own.groupBy(
+    role = F.coalesce(role_code(F.col(role_col)), F.lit(-1)).alias("role")
+    base = rows_of(rows, id_col, turn_col, text_col, role).withColumn("more", (F.col("n") > 1).cast("int"))
+    steps, first = transitions(base)
+    labelled = base.where("role >= 0")
+    features = lines_of(labelled, "role").groupBy(
         "role", (F.col("line") > 0).cast("int").alias("on"), "marker", "length", "asks").count().collect()
     lengths = labelled.groupBy("role").agg(
         F.sum((F.col("n") > 1).cast("long")).alias("more"), F.sum(F.greatest(F.col("n") - 2, F.lit(0)).cast("long")).alias("on"),
         F.count("*").alias("turns")).collect()
-    after = labelled.select(F.col("conv"), (F.col("turn") + 1).alias("turn"), F.col("role").alias("before"),
-                            (F.col("n") > 1).cast("int").alias("long"))
-    steps = labelled.join(after, ["conv", "turn"]).groupBy("before", "long", "role").count().collect()
-    first = labelled.where("turn <= 0").groupBy("role").count().collect()
     start, step = np.full(STATES, 1e-3), np.full((STATES, STATES), 1e-2)
     marker, length, asks = (np.full((STATES, n), PRIOR) for n in (len(ROLES) + 1, len(LENGTHS) + 1, 2))
     for r in range(len(ROLES)):
@@ -150,10 +198,10 @@ def learn(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role
     for x in lengths:
         step[2 * x["role"], 2 * x["role"] + 1] += x["more"]
         step[2 * x["role"] + 1, 2 * x["role"] + 1] += x["on"]
-    for x in steps:
-        step[2 * x["before"] + x["long"], 2 * x["role"]] += x["count"]
-    for x in first:
-        start[2 * x["role"]] += x["count"]
+    for (before, more, role), n in steps.items():
+        step[2 * before + more, 2 * role] += n
+    for role, n in first.items():
+        start[2 * role] += n
     norm = lambda m: np.log(m / m.sum(-1, keepdims=True))
     return {"start": norm(start), "step": norm(step), "marker": np.log(marker), "length": norm(length), "asks": norm(asks), "opens": np.log(np.tile(OPENS, (len(ROLES), 1)))}
 

@@ -255,3 +255,31 @@ def test_any_chunks_give_the_best_path(spark, sf, work, monkeypatch, many_ranges
     monkeypatch.setattr(transcripts, "CHUNK_LINES", 16)
     got = {(r["conv_id"], r["turn_no"] + k): r["role"] for r in transcripts.parse(rows, model).collect() for k in range(r["n_lines"])}
     assert got == want
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_each_row_adds_one_transition(spark, parts, many_ranges):
+    """Repeated and null turns, null ids, gaps, conversations that begin at turn 1, and rows of unknown role."""
+    rnd = np.random.default_rng(4)
+    rows = [(None if c == 0 else int(c), None if t == 12 else int(t) * 2 + 1, k, int(r), int(m)) for k, (c, t, r, m) in enumerate(zip(
+        rnd.integers(0, 30, 3000) * rnd.integers(0, 2, 3000), rnd.integers(0, 13, 3000), rnd.integers(-1, 3, 3000), rnd.integers(0, 2, 3000)))]
+    rows = [(c, -1 if t is None else t, k, r, m) for c, t, k, r, m in rows]
+    got = transcripts.transitions(
+        spark.createDataFrame(rows, "conv_id long, turn long, copy long, role int, more int").repartition(parts))
+    steps, first, before = Counter(), Counter(), {}
+    for c, _, _, r, m in sorted(rows, key=lambda x: (x[1], x[2])):
+        if c not in before:
+            first[r] += r >= 0
+        elif before[c][0] >= 0 and r >= 0:
+            steps[(*before[c], r)] += 1
+        before[c] = (r, m)
+    assert got == (steps, first)
+
+
+def test_repeated_turns_do_not_multiply(spark):
+    """The counts of one conversation of 300 rows at turn 1 and 300 at turn 2 are 599 transitions and one start."""
+    rows = spark.createDataFrame([(None, 1 + i % 2, "user" if i % 2 else "assistant", "a") for i in range(600)],
+                                 "conv_id long, turn long, role string, text string")
+    step = np.exp(transcripts.learn(rows)["step"])
+    # Rows of turn 1 are the assistant's, those of turn 2 the user's: 299 and 299 stay, one changes.
+    assert step[4, 4] > 0.9 and step[2, 2] > 0.9 and step[4, 2] < 0.01

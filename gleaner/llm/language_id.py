@@ -3,8 +3,8 @@
 The network reads the UTF-8 bytes of a word with the spaces around it (words above ``WINDOW`` bytes in windows), forwards
 and backwards, and gives every byte position a distribution over the languages; a document's probabilities are the
 mean over all of its positions. It is trained in numpy by backpropagation through time on the driver, from a bounded
-sample: at most about ``DOCS_PER_LABEL`` documents of each language and ``WORDS_PER_DOC`` words of each of them, both
-chosen by hash. The weights are a few kilobytes and travel with the task.
+sample: the ``DOCS_PER_LABEL`` distinct texts of lowest hash of each language and ``WORDS_PER_DOC`` words of each of
+them, those of lowest hash together with the text. The weights are a few kilobytes and travel with the task.
 
 Words recur, so a worker runs the network once for each distinct word of its texts and adds up the stored position sums.
 """
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -176,15 +176,26 @@ def position_sums(weights: dict, words: list[bytes]) -> np.ndarray:
 
 
 def _sample_words(per_doc: int):
+    """Label, text digest and word of the chosen words; a task gives each text of a label once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
-            labels, words = [], []
+            labels, digests, words = [], [], []
             for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
-                chosen = sorted(set(text.encode().split()), key=lambda w: (xxhash.xxh64_intdigest(w), w))[:per_doc]
+                whole = text.encode()
+                digest = xxhash.xxh128_digest(whole)
+                if (label, digest) in seen:
+                    continue
+                seen.add((label, digest))
+                seed = xxhash.xxh64_intdigest(whole)
+                chosen = sorted(set(whole.split()), key=lambda w: (xxhash.xxh64_intdigest(w, seed), w))[:per_doc]
                 words += chosen
                 labels += [label] * len(chosen)
+                digests += [digest] * len(chosen)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(labels, pa.string()), pa.array(words, pa.binary())], names=["label", "word"])
+                [pa.array(labels, pa.string()), pa.array(digests, pa.binary()), pa.array(words, pa.binary())],
+                names=["label", "digest", "word"])
 
     return run
 
@@ -194,15 +205,17 @@ def learn(docs: DataFrame, label_col: str = "lang", text_col: str = "text",
     """Train on a bounded sample of the labelled rows; None if there is nothing to learn from."""
     usable = docs.where(F.col(label_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"))
-    counts = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
-    if not counts:
+    labels = sorted(r["label"] for r in usable.select("label").distinct().collect())
+    if not labels:
         return None
-    labels = sorted(counts)
-    share = F.create_map(*[F.lit(x) for y in labels for x in (y, min(1.0, docs_per_label / counts[y]))])
-    rows = usable.where(
-        F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1_000_000)) < share[F.col("label")] * 1_000_000)
-    found = rows.mapInArrow(_sample_words(words_per_doc), "label string, word binary").limit(
-        2 * docs_per_label * words_per_doc * len(labels)).collect()
+    # Only labels and digests are ranked; the texts of the chosen digests are joined back, and copies give the same words.
+    digest = F.sha2("text", 256)
+    lowest = Window.partitionBy("label").orderBy("digest")
+    chosen = usable.select("label", digest.alias("digest")).distinct().withColumn("rank", F.row_number().over(lowest)).where(
+        F.col("rank") <= docs_per_label).select("label", "digest")
+    rows = usable.withColumn("digest", digest).join(F.broadcast(chosen), ["label", "digest"])
+    found = rows.select("label", "text").mapInArrow(
+        _sample_words(words_per_doc), "label string, digest binary, word binary").distinct().collect()
     found = sorted((bytes(r["word"]), r["label"]) for r in found)
     place = {y: i for i, y in enumerate(labels)}
     return labels, train([w for w, _ in found], [place[y] for _, y in found], len(labels))

@@ -283,3 +283,23 @@ def test_repeated_turns_do_not_multiply(spark):
     step = np.exp(transcripts.learn(rows)["step"])
     # Rows of turn 1 are the assistant's, those of turn 2 the user's: 299 and 299 stay, one changes.
     assert step[4, 4] > 0.9 and step[2, 2] > 0.9 and step[4, 2] < 0.01
+
+
+def test_every_label_is_learned_from_distinct_texts(spark, monkeypatch):
+    """A label of few large groups of copies is in the sample, each text once, with words of its own."""
+    seen = []
+    monkeypatch.setattr(language_id, "train", lambda words, labels, n: seen.append(Counter(labels)))
+    rows = spark.range(9000).select(
+        F.when(F.col("id") < 6000, "aa").otherwise("bb").alias("lang"),
+        F.when(F.col("id") < 6000, F.format_string("copied text%d", F.col("id") % 3)).otherwise(F.format_string("single t%d", F.col("id"))).alias("text"))
+    labels, _ = language_id.learn(rows, docs_per_label=50)
+    assert labels == ["aa", "bb"] and seen == [Counter({0: 3 * 2, 1: 50 * 2})]
+
+
+def test_documents_give_different_words():
+    import pyarrow as pa
+
+    texts = [" ".join(f"w{k}" for k in range(200)) + f" own{i}" for i in range(20)]
+    batch = pa.RecordBatch.from_pydict({"label": ["x"] * 20, "text": texts})
+    words = next(language_id._sample_words(10)(iter([batch]))).column("word").to_pylist()
+    assert len(words) == 200 and len(set(words)) > 80

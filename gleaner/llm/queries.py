@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe_codec, embedding_dedup, exact_dedup, katz, language_id, minhash_dedup, packing, token_counts, transcripts, url_filter
+from gleaner.llm import (
+    bpe_codec, conversation_repair, embedding_dedup, exact_dedup, hard_negatives, katz, language_id, license_scan,
+    minhash_dedup, packing, token_counts, transcripts, url_filter)
 from gleaner.llm.common import Work, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +104,124 @@ def op10_url_filter(table, work) -> DataFrame:
     return url_filter.judge(table("pages"), URL_RULES)
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with planted damage: conv_id, turn, role, text, present; crc32(conv_id:turn) mod 20 says which.
+
+    0 drops the row (present is false), 1 empties its text, 2 takes its sentence marks, 3 repeats it, 4 makes it a user's.
+    """
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    dealt = rows.select("conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"),
+                        F.pmod(F.crc32(key), F.lit(20)).alias("damage"))
+    text = F.when(F.col("damage") == 1, "").when(F.col("damage") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    return dealt.select(
+        "conv_id", "turn", F.when(F.col("damage") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        (F.col("damage") != 0).alias("present"),
+        F.explode(F.sequence(F.lit(1), F.when(F.col("damage") == 3, 2).otherwise(1))).alias("time")).drop("time")
+
+
+@query
+def op11_conversation_repair(table, work) -> DataFrame:
+    lines, talks = conversation_repair.repair(
+        damaged(table("conversations")), work, F.col("conv_id"), F.col("turn"), F.col("role"), F.col("text"), F.col("present"))
+    return conversation_repair.digests(lines, talks).drop("rows")
+
+
+# Fixed values of the query: phrase and label.
+LICENSE_PHRASES = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
+
+
+@query
+def op12_license_scan(table, work) -> DataFrame:
+    starts = F.transform(F.filter("spans", lambda s: s["phrase"]), lambda s: s["start"])
+    return license_scan.scan(table("documents"), LICENSE_PHRASES).select(
+        "doc_id", "n_words", F.size(starts).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), license_scan.labels_of(F.col("spans"), lambda s: s["phrase"]).alias("base_labels"),
+        license_scan.labels_of(F.col("spans"), lambda s: s["phrase"] | s["kept"]).alias("labels"), "score")
+
+
+@query
+def op13_hard_negatives(table, work) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(
+        table("embeddings"), work, F.col("vec_id") % 100 == 0, F.col("vec_id"), label, F.col("embedding"))
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH r AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.rid AS arid, a.vec_id AS anchor_id, a.label AS own, b.rid AS brid, b.vec_id, b.label,
+    CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.rid <> b.rid AND len(a.v) = len(b.v)),
+p AS (SELECT * FROM s WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY arid ORDER BY score DESC, vec_id NULLS LAST, brid) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id,
+  p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.arid = p.arid AND s.label <> p.own AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+WINDOW w AS (PARTITION BY p.arid, p.brid ORDER BY s.score DESC, s.vec_id NULLS LAST, s.brid)
+QUALIFY rank <= 5
+"""
+
+ORACLES["op11_conversation_repair"] = r"""
+WITH RECURSIVE crc_table AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tbl),
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+dealt AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split(k, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(c >> 8, tbl[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS d FROM keyed, crc_table),
+after AS (SELECT conv_id, turn, CASE d WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE d WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM dealt, unnest(range(CASE d WHEN 3 THEN 2 ELSE 1 END)) WHERE d <> 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS tail FROM after),
+marked AS (SELECT *, CASE WHEN tail = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN tail NOT IN ('.', '!', '?')
+    THEN 'truncated' ELSE '' END AS fault, role[1] AS c, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS c0 FROM numbered),
+totals AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (c0 IS NOT NULL AND c0 || c NOT IN ('su', 'ua', 'au')) AS illegal FROM marked GROUP BY conv_id),
+-- best (cost, audit, text) by grammar state: nothing yet, after s, after u, after a; 999999999 means out of reach
+best(conv_id, i, z, s, u, a) AS (
+  SELECT conv_id, 0::BIGINT, {'k': 0, 'e': '', 't': ''}, {'k': 999999999, 'e': '', 't': ''},
+    {'k': 999999999, 'e': '', 't': ''}, {'k': 999999999, 'e': '', 't': ''} FROM totals
+  UNION ALL
+  SELECT conv_id, i,
+    {'k': z.k + 2, 'e': z.e || 'D', 't': z.t},
+    least({'k': s.k + 2, 'e': s.e || 'D', 't': s.t},
+          {'k': CASE WHEN c = 's' THEN z.k + keep ELSE 999999999 END, 'e': z.e || 'K', 't': line}),
+    least({'k': u2.k + 2, 'e': u2.e || 'D', 't': u2.t},
+          {'k': CASE WHEN c = 'u' THEN z.k + keep ELSE 999999999 END, 'e': z.e || 'K', 't': line},
+          {'k': z.k + keep + 1, 'e': z.e || 'R', 't': 'user:' || body},
+          {'k': CASE WHEN c = 'u' THEN s.k + keep ELSE 999999999 END, 'e': s.e || 'K', 't': s.t || chr(10) || line},
+          {'k': s.k + keep + 1, 'e': s.e || 'R', 't': s.t || chr(10) || 'user:' || body},
+          {'k': CASE WHEN c = 'u' THEN a2.k + keep ELSE 999999999 END, 'e': a2.e || 'K', 't': a2.t || chr(10) || line},
+          {'k': a2.k + keep + 1, 'e': a2.e || 'R', 't': a2.t || chr(10) || 'user:' || body}),
+    least({'k': a2.k + 2, 'e': a2.e || 'D', 't': a2.t},
+          {'k': CASE WHEN c = 'a' THEN u2.k + keep ELSE 999999999 END, 'e': u2.e || 'K', 't': u2.t || chr(10) || line},
+          {'k': u2.k + keep + 1, 'e': u2.e || 'R', 't': u2.t || chr(10) || 'assistant:' || body})
+  FROM (SELECT b.conv_id, m.i, m.c, m.text AS body, m.role || ':' || m.text AS line, b.z, b.s,
+      CASE WHEN m.fault IN ('blank', 'duplicate') THEN 999999999 WHEN m.fault = 'truncated' THEN 5 ELSE 0 END AS keep,
+      least(b.u, {'k': b.z.k + 5, 'e': b.z.e || 'I', 't': 'user:'}, {'k': b.s.k + 5, 'e': b.s.e || 'I', 't': b.s.t || chr(10) || 'user:'},
+        {'k': b.a.k + 5, 'e': b.a.e || 'I', 't': b.a.t || chr(10) || 'user:'}) AS u2,
+      least(b.a, {'k': b.u.k + 5, 'e': b.u.e || 'I', 't': b.u.t || chr(10) || 'assistant:'},
+        {'k': b.z.k + 10, 'e': b.z.e || 'II', 't': 'user:' || chr(10) || 'assistant:'},
+        {'k': b.s.k + 10, 'e': b.s.e || 'II', 't': b.s.t || chr(10) || 'user:' || chr(10) || 'assistant:'}) AS a2
+    FROM best b JOIN marked m ON m.conv_id IS NOT DISTINCT FROM b.conv_id AND m.i = b.i + 1)),
+done AS (SELECT t.conv_id, n, gaps, blank, duplicate, truncated, illegal, least(z, a,
+    {'k': u.k + 5, 'e': u.e || 'I', 't': u.t || chr(10) || 'assistant:'},
+    {'k': s.k + 10, 'e': s.e || 'II', 't': s.t || chr(10) || 'user:' || chr(10) || 'assistant:'}) AS w
+  FROM totals t JOIN best b ON b.conv_id IS NOT DISTINCT FROM t.conv_id AND b.i = t.n)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(w.k, 0) AS cost, coalesce(w.e, '') AS audit,
+  sha256(coalesce(w.t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 ORACLES["op7_exact_dedup"] = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256

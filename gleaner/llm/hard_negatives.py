@@ -250,7 +250,7 @@ class Forest:
         wanted = min(PIVOTS, max(1, n // TREE_ROWS))
         sample = candidates.where(F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
         chosen = sample.orderBy(F.xxhash64("row"), "row").limit(wanted).collect()
-        self.pivots = np.array([r["vector"] for r in chosen], float).reshape(-1, dim)
+        self.pivots = np.array([r["vector"] for r in chosen], float).reshape(len(chosen), dim)
         self.cells = work.save(candidates.mapInArrow(self._assign(), "cell int, away double, row long, vec_id long, label long, "
                                                      "vector array<double>"), "cells")
         stats = self.cells.groupBy("cell").agg(F.max("away").alias("radius"), F.count("*").alias("n")).collect()  # PIVOTS rows at most

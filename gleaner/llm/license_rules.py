@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 from typing import NamedTuple
 
-MACROS = {"{v}": "(?: version| ver| v)? ?", "{lic}": "licen[cs]es?", "{gap}": "(?: [^ ]+){0,6}"}
+MACROS = {"{v}": " (?:version |ver |v ?)?", "{lic}": "licen[cs]es?", "{gap}": "(?: [^ ]+){0,6}"}
 # The share of certainty that a kept detection of each priority adds.
 WEIGHTS = {0: 0.3, 1: 0.5, 2: 0.8, 3: 0.95}
 
@@ -133,7 +133,8 @@ zend-2.0 | 2 | zend | zend(?: engine)? {lic}(?:{v}2 0)?
 zlib | 2 | zlib | (?:the )?zlib(?: libpng)? {lic}
 zlib | 3 | misrepresented | the origin of this software must not be misrepresented
 zlib | 3 | altered | altered source versions must be plainly marked as such
-libpng | 2 | libpng | (?:png reference library|libpng) {lic}(?:{v}2)?
+libpng | 2 | libpng | libpng {lic}(?:{v}2)?
+libpng | 2 | png | png reference library {lic}(?:{v}2)?
 boost-1.0 | 2 | boost | boost software {lic}(?:{v}1 0)?
 boost-1.0 | 2 | bsl | bsl 1 0
 openssl | 2 | openssl | openssl {lic}
@@ -152,7 +153,8 @@ eupl | 2 | european | european union public {lic}(?:{v}1 [012])?
 cecill-\1 | 2 | cecill | cecill (b|c)(?: {lic})?
 cecill-2.\1 | 2 | cecill | cecill{v}2 ([01])
 cecill | 1 | cecill | cecill(?: {lic})?
-etalab-2.0 | 2 | etalab | (?:etalab|licence ouverte)(?: open {lic})?{v}2 0
+etalab-2.0 | 2 | etalab | etalab(?: open {lic})?{v}2 0
+etalab-2.0 | 2 | ouverte | licence ouverte{v}2 0
 ogl-\1.0 | 2 | government | open government {lic}{v}([123])(?: 0)?
 ogl | 1 | government | open government {lic}
 osl-\1.\2 | 2 | osl | osl{v}([123]) ([01])
@@ -237,7 +239,7 @@ public-domain | 2 | domain | (?:released|placed|dedicated|put) (?:in|into|to) th
 public-domain | 1 | domain | (?:is|are) (?:in the )?public domain
 fair-use | 1 | fair | fair (?:use|dealing) (?:notice|doctrine|exception)
 copyright | 1 | copyright | copyright(?: c)? (?:19|20)[0-9][0-9](?: (?:19|20)[0-9][0-9])?
-copyright-holder | 1 | holder | copyright holders? (?:and|or) contributors
+copyright-holder | 1 | contributors | copyright holders? (?:and|or) contributors
 all-rights-reserved | 2 | reserved | copyright{gap} all rights reserved
 all-rights-reserved | 1 | reserved | all rights reserved worldwide
 some-rights-reserved | 1 | reserved | some rights reserved
@@ -251,7 +253,7 @@ no-ai-training | 2 | training | (?:may|must|shall) not be used (?:for|in)(?: the
 text-mining-reserved | 2 | mining | text and data mining{gap} (?:reserved|prohibited|not permitted)
 proprietary | 2 | proprietary | (?:confidential and proprietary|proprietary and confidential)
 proprietary | 1 | proprietary | proprietary (?:software|{lic}|information)
-trade-secret | 1 | secrets | trade secrets? of{gap}
+trade-secret | 1 | secrets | trade secrets of
 unpublished | 2 | unpublished | unpublished(?: work)?{gap} rights reserved under the copyright laws?
 internal-use | 1 | internal | for internal use only
 eula | 2 | eula | (?:this )?eula
@@ -262,7 +264,8 @@ warranty-disclaimer | 3 | warranties | any express or implied warranties includi
 warranty-disclaimer | 1 | warranties | without warranties or conditions of any kind
 liability-disclaimer | 3 | liable | in no event shall the(?: authors?| copyright holders?| regents| contributors?| or){1,5} be liable for any
 spdx-other | 1 | spdx | spdx {lic} identifier [^ ]+
-dual-licensed | 2 | dual | dual(?:ly)? {lic}d?(?: under)?
+dual-licensed | 2 | dual | dual licen[cs]ed(?: under)?
+dual-licensed | 2 | dually | dually licen[cs]ed(?: under)?
 dual-licensed | 1 | dual | (?:available under a )?dual licen[cs]ing
 """
 

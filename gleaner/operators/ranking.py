@@ -41,7 +41,7 @@ def collision_versions(df: DataFrame, keys: list[str], key: str, timestamp: str,
                        ties: tuple[str, ...] = ("url",)) -> DataFrame:
     """Number the rows that share a storage key; all but the first get a timestamp suffix.
 
-    ``ties`` orders rows of one timestamp; the later ones of those get their number as well, so that stored keys differ.
+    ``ties`` orders rows of one timestamp; the later ones of those get their ``number`` as well, so that stored keys differ.
 
     A key such as the start page may hold very many rows. They are ranked within one timestamp only, and the counts of
     the earlier timestamps of the same hour (the ``prefix`` of the timestamp) and of the earlier hours are added: no task
@@ -58,10 +58,14 @@ def collision_versions(df: DataFrame, keys: list[str], key: str, timestamp: str,
 
     hours = counts.groupBy(*hour).agg(F.sum("_n").alias("_n")).withColumn("_hours", earlier(slot, "_hour")).drop("_n")
     before = counts.withColumn("_moments", earlier(hour, "_moment")).drop("_n").join(hours, hour)
-    same = F.row_number().over(Window.partitionBy(*moment).orderBy(*ties))
-    df = df.withColumn("_same", same).join(before, moment)
-    df = df.withColumn("version", F.col("_same") + F.col("_moments") + F.col("_hours"))
-    number = F.when(F.col("_same") > 1, F.concat(F.lit("_"), F.col("_same").cast("string"))).otherwise("")
-    suffixed = F.concat(F.col(key), F.lit("_"), timestamp_suffix(F.col(timestamp)), number)
-    return df.withColumn("stored_key", F.when(F.col("version") == 1, F.col(key)).otherwise(suffixed)).drop(
-        "_hour", "_moment", "_same", "_moments", "_hours")
+    same = F.row_number().over(Window.partitionBy(*moment).orderBy(*ties)).cast("long")
+    df = df.withColumn("number", same).join(before, moment)
+    df = df.withColumn("version", F.col("number") + F.col("_moments") + F.col("_hours"))
+    return df.withColumn("stored_key", numbered_key(key, timestamp)).drop("_hour", "_moment", "_moments", "_hours")
+
+
+def numbered_key(key: str, timestamp: str) -> Column:
+    """The key itself for the first version, else with the timestamp and, within one timestamp, the number."""
+    number = F.when(F.col("number") > 1, F.concat(F.lit("_"), F.col("number").cast("string"))).otherwise("")
+    suffix = timestamp_suffix(F.coalesce(F.col(timestamp), F.lit("")))
+    return F.when(F.col("version") == 1, F.col(key)).otherwise(F.concat(F.col(key), F.lit("_"), suffix, number))

@@ -24,11 +24,11 @@ def n_rows() -> Column:
     return F.count(F.lit(1))
 
 
-def _grouping_sets(df: DataFrame, sets: list[tuple[str, ...]], level: str) -> DataFrame:
-    """One Expand and one aggregation for several groupings; ``level`` names the grouping."""
+def _grouping_sets(df: DataFrame, sets: list[tuple[str, ...]], level: str, n: Column | None = None) -> DataFrame:
+    """One Expand and one aggregation for several groupings; ``level`` names the grouping, ``n`` counts."""
     columns = list(dict.fromkeys(c for s in sets for c in s))
     out = df.groupingSets([[F.col(c) for c in s] for s in sets], *columns).agg(
-        n_rows().alias("n"), F.grouping_id().alias("_gid"))
+        (n_rows() if n is None else n).alias("n"), F.grouping_id().alias("_gid"))
     ids = {}
     for s in sets:
         gid = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in s)
@@ -47,6 +47,59 @@ def nested_counts(df: DataFrame) -> DataFrame:
     return _grouping_sets(df, [("crawl_id", "platform"), ("platform", "city")], "level")
 
 
+def slice_counts(df: DataFrame) -> DataFrame:
+    """What every summary level adds up from: entities per crawl, platform, city and date."""
+    return df.groupBy("crawl_id", "platform", "city", "date").agg(n_rows().alias("n"))
+
+
+def summary_counts_of(counts: DataFrame) -> DataFrame:
+    """``summary_counts`` from slice counts."""
+    return _grouping_sets(counts, [("platform",), ("crawl_id",), ("city",), ("date",), ()], "level", F.sum("n"))
+
+
+def nested_counts_of(counts: DataFrame) -> DataFrame:
+    """``nested_counts`` from slice counts."""
+    return _grouping_sets(counts, [("crawl_id", "platform"), ("platform", "city")], "level", F.sum("n"))
+
+
+def summary_of_counts(counts: DataFrame) -> DataFrame:
+    """``summary_table`` from slice counts."""
+    keys = ["crawl_id", "platform", "city"]
+    return counts.groupBy(*keys).agg(F.sum("n").alias("restaurant_count")).orderBy(*keys)
+
+
+# Sketches of 2^12 registers: the relative standard error is 1.04 / sqrt(4096), of which four are allowed.
+SKETCH_BITS = 12
+SKETCH_ERROR = 4 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def slice_sketches(df: DataFrame, column: str = "restaurant_url") -> DataFrame:
+    """Mergeable distinct sketch of the addresses of each crawl and platform; blank ones do not count."""
+    known = blank_to_null(F.col(column))
+    return df.groupBy("crawl_id", "platform").agg(F.hll_sketch_agg(known, SKETCH_BITS).alias("sketch"))
+
+
+def distinct_rollup(sketches: DataFrame) -> DataFrame:
+    """Estimated distinct addresses per slice, crawl, platform and in all, from stored sketches alone.
+
+    ``low`` and ``high`` bound the exact number with a chance of failure below one in ten thousand.
+    """
+    sets = [("crawl_id", "platform"), ("crawl_id",), ("platform",), ()]
+    merged = _grouping_sets(sketches, sets, "level", F.hll_sketch_estimate(F.hll_union_agg("sketch")))
+    return merged.withColumnRenamed("n", "estimate").withColumns({
+        "low": F.floor(F.col("estimate") / (1 + SKETCH_ERROR)), "high": F.ceil(F.col("estimate") / (1 - SKETCH_ERROR))})
+
+
+def with_exact(rollup: DataFrame, df: DataFrame, wanted: Column, column: str = "restaurant_url") -> DataFrame:
+    """The roll-up with exact numbers for the slices that ``wanted`` (on crawl_id and platform) names.
+
+    Only the rows of those slices are read; all other rows of the roll-up have a null there.
+    """
+    exact = df.where(wanted).groupBy("crawl_id", "platform").agg(
+        F.countDistinct(blank_to_null(F.col(column))).alias("exact")).withColumn("level", F.lit("by_crawl_platform"))
+    return rollup.join(exact, ["level", "crawl_id", "platform"], "left")
+
+
 def summary_table(df: DataFrame, drop_null_keys: bool = False) -> DataFrame:
     """Entities per crawl, platform and city, sorted."""
     keys = ["crawl_id", "platform", "city"]

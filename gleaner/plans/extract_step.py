@@ -118,3 +118,10 @@ def entity_table(pages: DataFrame, profiles: tuple[SourceProfile, ...] = PROFILE
     """Entities without duplicates, winners by page address and place in the page."""
     rows = extract_entities(pages, profiles)
     return drop_duplicates_first(rows, order_by=["source_url", "date", "branch", "pos"]).select(*ENTITY_COLUMNS)
+
+
+def entity_slices(pages: DataFrame, profiles: tuple[SourceProfile, ...] = PROFILES) -> DataFrame:
+    """Crawl and platform under which the entities of the pages are stored: pages have keys, entities names."""
+    names = F.create_map(*[F.lit(x) for p in profiles for x in (p.key, p.name)])
+    return pages.where(F.col("platform").isin(*[p.key for p in profiles])).select(
+        "crawl_id", names[F.col("platform")].alias("platform")).distinct()

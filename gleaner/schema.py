@@ -30,8 +30,12 @@ POINTER = _struct(
 PAGE = _struct(
     ("url", S), ("timestamp", S), ("status", I), ("mime_type", S), ("crawl_id", S), ("platform", S), ("html", S),
 )
-# Where a page is stored: its key, its number among the pages of that key, and the key with the number worked in.
-STORED = _struct(("key", S), ("version", L), ("stored_key", S))
+# Where a page is stored: its key, its place among the pages of that key and among those of its timestamp, and the key
+# with both worked in.
+STORED = _struct(("key", S), ("version", L), ("number", L), ("stored_key", S))
+# The record a page came from, which tells it from all others of its slice; the run that read it; why it failed.
+RECORD_ID = _struct(("filename", S), ("offset", L))
+FETCHED = _struct(*[(f.name, f.dataType) for f in (*STORED, *RECORD_ID)], ("length", L), ("run", S), ("error", S))
 ENTITY = _struct(
     ("date", S), ("city", S), ("name", S), ("platform", S), ("address", S), ("neighborhood", S),
     ("food_type", S), ("categories", T.ArrayType(S)), ("rating", D), ("num_ratings", L), ("price_range", S),

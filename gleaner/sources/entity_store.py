@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +10,7 @@ from gleaner.functions.text import blank_to_null, path_safe, pipe_to_list
 from gleaner.operators import reports
 from gleaner.schema import ENTITY, ENTITY_COLUMNS, S, export_columns
 from gleaner.session import scratch_dir
+from gleaner.sources import slices
 
 UNKNOWN = "unknown"
 # Key of a NULL in a summary document, apart from every value a name can have.
@@ -128,9 +129,39 @@ def write_summary(summary: DataFrame, path: str) -> None:
     stored.write.mode("overwrite").option("header", "true").csv(f"{path}/csv")
 
 
+COUNTS = T.StructType([T.StructField(c, S) for c in ("crawl_id", "platform", "city", "date")] + [T.StructField("n", T.LongType())])
+SKETCHES = T.StructType([T.StructField("crawl_id", S), T.StructField("platform", S), T.StructField("sketch", T.BinaryType())])
+
+
+def publish_entities(df: DataFrame, path: str, processed: DataFrame) -> None:
+    """Publish entity slices with their counts and distinct-address sketches; see ``slices``.
+
+    ``processed`` (crawl_id, platform as in the entities) names the slices the rows were made from: those that gave no
+    entity this time have none afterwards. Counts and sketches are made from the new rows only.
+    """
+    slices.publish(
+        with_slice_keys(df).select(*ENTITY_COLUMNS), path, with_slice_keys(processed),
+        {"counts": reports.slice_counts, "sketches": reports.slice_sketches})
+
+
+def read_published(spark: SparkSession, path: str, only: Column | None = None) -> DataFrame:
+    return slices.read(spark, path, ENTITY, only=only)
+
+
+def published_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Entities per crawl, platform, city and date, as counted slice by slice when they were published."""
+    return slices.read(spark, path, COUNTS, "counts")
+
+
+def published_sketches(spark: SparkSession, path: str) -> DataFrame:
+    return slices.read(spark, path, SKETCHES, "sketches")
+
+
 def load_crawls(spark: SparkSession, entities: DataFrame, crawls: list[str], path: str) -> DataFrame:
-    """Replace the slices of the named crawls and rebuild the summary over all slices."""
+    """Replace the published slices of the named crawls; the summary adds up the counts of all slices.
+
+    Entities of other crawls are neither read nor counted again.
+    """
     named = F.col("crawl_id").isin(*crawls)
-    stored = read_entities(spark, path).where(named).select("crawl_id", "platform").distinct()
-    write_entities(entities.where(named), path, processed=stored)
-    return reports.summary_table(read_entities(spark, path))
+    publish_entities(entities.where(named), path, slices.published(spark, path).where(named))
+    return reports.summary_of_counts(published_counts(spark, path))

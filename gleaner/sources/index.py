@@ -12,6 +12,7 @@ from gleaner.functions.numbers import timestamp_iso
 from gleaner.operators.predicates import CRAWL_ID, any_of, fetched_html, source_key, source_scope, valid_crawl_id
 from gleaner.profiles import PROFILES, SourceProfile
 from gleaner.schema import INDEX, INDEX_COLUMNS, L, S
+from gleaner.sources import slices
 
 CDX_JSON = T.StructType([
     T.StructField(n, S) for n in ("url", "status", "mime", "filename", "offset", "length")])
@@ -35,6 +36,12 @@ def scan_crawl(index: DataFrame, crawl: str, subset: str = "warc") -> DataFrame:
     return index.where((F.col("crawl") == crawl) & (F.col("subset") == subset)).select(*INDEX_COLUMNS)
 
 
+def check_crawl_ids(crawls: list[str]) -> None:
+    bad = [c for c in crawls if not re.match(CRAWL_ID, c)]
+    if bad:
+        raise ValueError(f"not crawl ids: {bad}")
+
+
 def source_rows(
     index: DataFrame, crawls: list[str] | None = None, profiles: tuple[SourceProfile, ...] = PROFILES
 ) -> DataFrame:
@@ -45,9 +52,7 @@ def source_rows(
     """
     df = index.where(fetched_html() & any_of([source_scope(p) for p in profiles]))
     if crawls is not None:
-        bad = [c for c in crawls if not re.match(CRAWL_ID, c)]
-        if bad:
-            raise ValueError(f"not crawl ids: {bad}")
+        check_crawl_ids(crawls)
         df = df.where(F.col("crawl").isin(*crawls))
     return df.where(valid_crawl_id(F.col("crawl"))).select(
         *INDEX_COLUMNS, F.col("crawl").alias("crawl_id"), source_key(profiles).alias("platform"))
@@ -123,27 +128,29 @@ def missing_slices(wanted: DataFrame, present: DataFrame) -> DataFrame:
     return wanted.join(present.select(*keys).distinct(), keys, "left_anti")
 
 
+RESULT = T.StructType([*[f for f in INDEX.fields if f.name in INDEX_COLUMNS], T.StructField("crawl_id", S), T.StructField("platform", S)])
+
+
 def reuse_or_scan(
-    index: DataFrame, stored: DataFrame, ledger: DataFrame, crawls: list[str],
-    profiles: tuple[SourceProfile, ...] = PROFILES, refresh: bool = False,
+    index: DataFrame, path: str, crawls: list[str], profiles: tuple[SourceProfile, ...] = PROFILES, refresh: bool = False,
 ) -> DataFrame:
-    """Stored rows of the crawls, and scanned rows of the slices that the ledger lacks.
+    """Index rows of the crawls and sources from the result store at ``path``, which first gets the slices it lacks.
 
-    The ledger (crawl_id, platform) holds a row for every slice that was computed, also for those without rows. It
-    has at most one row per crawl and source, so the slices to scan become literal tests: partitions of crawls that
-    are complete are not read.
+    A slice counts as stored once it is published, also without rows; one that a broken run left behind is scanned
+    again. There is at most one slice per crawl and source, so the slices to scan become literal tests: partitions of
+    crawls that are complete are not read. ``refresh`` scans all of them anew.
     """
+    check_crawl_ids(crawls)
+    spark, keys = index.sparkSession, [p.key for p in profiles]
+    asked = F.col("crawl_id").isin(*crawls) & F.col("platform").isin(*keys)
     have = set() if refresh else {
-        (r["crawl_id"], r["platform"])
-        for r in ledger.where(F.col("crawl_id").isin(*crawls)).select("crawl_id", "platform").distinct().collect()}
-    tests = []
-    for crawl in crawls:
-        missing = [p for p in profiles if (crawl, p.key) not in have]
-        if missing:
-            tests.append((F.col("crawl") == crawl) & any_of([source_scope(p) for p in missing]))
-    kept = stored.where(F.lit(not refresh) & F.col("crawl_id").isin(*crawls))
-    if not tests:
-        return kept
-    scanned = index.where(F.col("crawl").isin(*crawls) & fetched_html() & any_of(tests)).select(
-        *INDEX_COLUMNS, F.col("crawl").alias("crawl_id"), source_key(profiles).alias("platform"))
-    return kept.unionByName(scanned.select(*kept.columns))
+        (r["crawl_id"], r["platform"]) for r in slices.published(spark, path).where(asked).collect()}
+    lacking = {c: [p for p in profiles if (c, p.key) not in have] for c in crawls}
+    tests = [(F.col("crawl") == c) & any_of([source_scope(p) for p in missing]) for c, missing in lacking.items() if missing]
+    if tests:
+        scanned = index.where(F.col("crawl").isin(*[c for c in crawls if lacking[c]]) & fetched_html() & any_of(tests)).select(
+            *INDEX_COLUMNS, F.col("crawl").alias("crawl_id"), source_key(profiles).alias("platform"))
+        computed = spark.createDataFrame(
+            [(c, p.key) for c, missing in lacking.items() for p in missing], "crawl_id string, platform string")
+        slices.publish(scanned, path, computed)
+    return slices.read(spark, path, RESULT, only=asked)

@@ -3,85 +3,116 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleaner.functions.numbers import timestamp_suffix
 from gleaner.functions.urls import storage_key
-from gleaner.operators.ranking import collision_versions
-from gleaner.schema import PAGE, STORED
+from gleaner.operators.predicates import any_of
+from gleaner.operators.ranking import collision_versions, numbered_key
+from gleaner.operators.resolve import first_per_key
+from gleaner.schema import FETCHED, PAGE, RECORD_ID, STORED
+from gleaner.sources.slices import exists
+
+
+SLICE = ["platform", "crawl_id"]
+# Folders below a store: pages that arrived, and records that did not.
+ARRIVED, FAILED = "stored", "failed"
+
+
+def place(path: str, state: str = ARRIVED) -> str:
+    """Folder of the pages (or of the failed records) of a store."""
+    return f"{path.rstrip('/')}/state={state}"
 
 
 def with_stored_key(rows: DataFrame) -> DataFrame:
     """Storage key and collision version of pointers or pages; meant for rows without page text."""
-    keyed = rows.withColumn("key", storage_key(F.col("url")))
+    keyed = rows.withColumn("key", F.coalesce(storage_key(F.coalesce("url", F.lit(""))), F.lit("")))
     return collision_versions(
-        keyed, ["platform", "crawl_id"], "key", "timestamp",
-        ties=tuple(c for c in ("url", "filename", "offset") if c in keyed.columns))
+        keyed, SLICE, "key", "timestamp", ties=tuple(c for c in ("url", "filename", "offset") if c in keyed.columns))
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
     """Write pages; the slices present in the input replace stored slices of the same platform and crawl."""
-    (pages.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("platform", "crawl_id").parquet(path))
+    (pages.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*SLICE).parquet(place(path)))
 
 
 def new_pointers(pointers: DataFrame, stored: DataFrame) -> DataFrame:
-    """Pointers whose page is not stored yet, with storage keys that go on after the stored versions.
+    """Pointers whose record is not stored yet, once each, with storage keys that go on after the stored ones.
 
-    Pages are told apart by slice, url and timestamp. All of it is slim: no page text is read.
+    Records are told apart by slice, file and offset, null-safely: two records of one address and time are two pages, and
+    a record that failed is not stored. All of it is slim: no page text is read.
     """
-    page = ["platform", "crawl_id", "url", "timestamp"]
-    fresh = pointers.join(stored.select(*page).distinct(), page, "left_anti")
-    slot = ["platform", "crawl_id", "key"]
+    record = [*SLICE, *RECORD_ID.fieldNames()]
+    once = first_per_key(pointers, [F.col(c) for c in record], ["url", "timestamp"])
+    have = stored.select(*record).distinct()
+    fresh = once.join(have, reduce(and_, [once[c].eqNullSafe(have[c]) for c in record]), "left_anti")
+    slot = [*SLICE, "key"]
     last = stored.groupBy(*slot).agg(F.max("version").alias("_last"))
-    df = with_stored_key(fresh).join(last, slot, "left")
-    moved = F.col("version") + F.coalesce("_last", F.lit(0))
-    suffixed = F.concat("key", F.lit("_"), timestamp_suffix(F.col("timestamp")))
-    again = (F.col("version") == 1) & F.col("_last").isNotNull()
-    return df.withColumns({"version": moved, "stored_key": F.when(again, suffixed).otherwise(F.col("stored_key"))}).drop("_last")
+    moment = F.coalesce("timestamp", F.lit("")).alias("_at")
+    numbers = stored.groupBy(*slot, moment).agg(F.max("number").alias("_taken"))
+    df = with_stored_key(fresh).withColumn("_at", moment).join(last, slot, "left").join(numbers, [*slot, "_at"], "left")
+    df = df.withColumns({
+        "version": F.col("version") + F.coalesce("_last", F.lit(0)), "number": F.col("number") + F.coalesce("_taken", F.lit(0))})
+    return df.withColumn("stored_key", numbered_key("key", "timestamp")).drop("_last", "_at", "_taken")
+
 
+def add_records(records: DataFrame, path: str) -> None:
+    """Add pages and failed records (those with an error) to their slices in one write; what is stored stays."""
+    state = F.when(F.col("error").isNull(), ARRIVED).otherwise(FAILED)
+    records.withColumn("state", state).write.mode("append").partitionBy("state", *SLICE).parquet(path)
 
-def add_pages(pages: DataFrame, path: str) -> None:
-    """Add pages to their slices; what is stored stays."""
-    pages.write.mode("append").partitionBy("platform", "crawl_id").parquet(path)
+
+def slices_of(pointers: DataFrame) -> Column:
+    """A test on platform and crawl for the slices that the pointers touch, as literals, which prune partitions."""
+    touched: dict[str, list[str]] = {}
+    for r in pointers.select(*SLICE).distinct().toLocalIterator():
+        touched.setdefault(r["platform"], []).append(r["crawl_id"])
+    return any_of([(F.col("platform") == p) & F.col("crawl_id").isin(*crawls) for p, crawls in sorted(touched.items())]
+                  or [F.lit(False)])
+
+
+def _read(spark: SparkSession, where: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(where) if exists(spark, where) else spark.createDataFrame([], schema)
 
 
 def read_stored(spark: SparkSession, path: str) -> DataFrame:
-    """Pages with their storage keys; nothing before the first fetch."""
-    schema = T.StructType([*PAGE.fields, *STORED.fields])
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    """Pages with their storage keys and records; nothing before the first fetch."""
+    return _read(spark, place(path), T.StructType([*PAGE.fields, *FETCHED.fields]))
+
+
+def read_failed(spark: SparkSession, path: str) -> DataFrame:
+    """Records that could not be read, of all runs. One that arrived later is among the stored ones, too."""
+    return _read(spark, place(path, FAILED), T.StructType([*PAGE.fields, *FETCHED.fields])).drop("html", *STORED.fieldNames())
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PAGE).parquet(path)
+    return _read(spark, place(path), PAGE)
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
     """HTML files ``{platform}/{crawl}/{key}.html`` with the three parts of their place below ``path``."""
     df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.html").format(
         "binaryFile").load(path)
-    place = _place(path, ".html")
-    return df.where(F.col("path").rlike(place)).select(
-        F.regexp_extract("path", place, 1).alias("path_platform"),
-        F.regexp_extract("path", place, 2).alias("path_crawl"),
-        F.regexp_extract("path", place, 3).alias("key"), F.col("content").alias("body"))
+    place_of = _place(path, ".html")
+    return df.where(F.col("path").rlike(place_of)).select(
+        F.regexp_extract("path", place_of, 1).alias("path_platform"),
+        F.regexp_extract("path", place_of, 2).alias("path_crawl"),
+        F.regexp_extract("path", place_of, 3).alias("key"), F.col("content").alias("body"))
 
 
 def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
     """JSON sidecars, keyed like the pages."""
-    place = _place(path, ".json")
+    place_of = _place(path, ".json")
     schema = "url string, timestamp string, status int, mime_type string, crawl_id string, platform string"
     df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").option(
         "multiLine", "true").schema(schema).json(path).withColumn("_f", F.col("_metadata.file_path"))
     return df.select(
-        F.regexp_extract("_f", place, 1).alias("path_platform"), F.regexp_extract("_f", place, 2).alias("path_crawl"),
-        F.regexp_extract("_f", place, 3).alias("key"), *[n.split()[0] for n in schema.split(", ")])
+        F.regexp_extract("_f", place_of, 1).alias("path_platform"), F.regexp_extract("_f", place_of, 2).alias("path_crawl"),
+        F.regexp_extract("_f", place_of, 3).alias("key"), *[n.split()[0] for n in schema.split(", ")])
 
 
 def _place(path: str, ending: str) -> str:

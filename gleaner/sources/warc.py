@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gzip
 import zlib
 from collections.abc import Iterator
 
@@ -21,6 +20,8 @@ MAX_TRIES = 3
 MAX_GAP, MAX_READ = 64 * 1024, 8 * 1024 * 1024
 # Bodies that leave a task together.
 MAX_BATCH = 64 * 1024 * 1024
+# Bytes one record may have when it is unpacked.
+MAX_RECORD = 256 * 1024 * 1024
 # Compressed bytes one fetch task reads.
 BYTES_PER_TASK = 64 * 1024 * 1024
 
@@ -37,10 +38,26 @@ def split_response(data: bytes) -> bytes | None:
     return None
 
 
+def inflate(member: bytes, limit: int = MAX_RECORD) -> bytes:
+    """The gzip members of a record; more than ``limit`` bytes, or an end within a member, is an error."""
+    out, size = [], 0
+    while member:
+        stream = zlib.decompressobj(31)
+        part = stream.decompress(member, limit - size + 1)
+        size += len(part)
+        if size > limit:
+            raise ValueError(f"more than {limit} bytes")
+        if not stream.eof:
+            raise EOFError("cut off")
+        out.append(part)
+        member = stream.unused_data.lstrip(b"\0")
+    return b"".join(out)
+
+
 def _body(member: bytes) -> tuple[bytes | None, str | None]:
     try:
-        body = split_response(gzip.decompress(member))
-    except (OSError, EOFError, zlib.error) as e:
+        body = split_response(inflate(member))
+    except (ValueError, EOFError, zlib.error) as e:
         return None, f"unreadable record: {e}"
     return (body, None) if body else (None, "no body")
 

@@ -1,15 +1,17 @@
 """Sources and sinks on small files."""
 
 import gzip
+import zlib
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from gleaner import session
+from gleaner.plans import steps
 from gleaner.plans.extract_step import entity_table
 from gleaner.schema import ENTITY_COLUMNS, POINTER
-from gleaner.sources import entity_store, index, page_store, warc
+from gleaner.sources import entity_store, index, page_store, slices, warc
 from gleaner.streaming.incremental import watch_pages
 from workload import fixtures as fx
 from workload.registry import Tables
@@ -97,12 +99,99 @@ def test_scratch_folder_follows_the_session():
 def test_incremental_run_equals_a_full_run(spark, sf, tmp_path):
     pages, out, state = (str(tmp_path / n) for n in ("pages", "out", "state"))
     df = fx.linked_pages(Tables(spark, sf)).drop("page_id")
-    for crawl in ("CC-MAIN-2023-06", "CC-MAIN-2023-14"):
-        df.withColumn("crawl_id", F.lit(crawl)).write.mode("append").partitionBy("platform", "crawl_id").parquet(pages)
+
+    def arrive(crawl, rows, mode="append"):
+        rows.withColumn("crawl_id", F.lit(crawl)).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(
+            "platform", "crawl_id").parquet(page_store.place(pages))
         watch_pages(spark, pages, out, state).awaitTermination()
+
+    for crawl in ("CC-MAIN-2023-06", "CC-MAIN-2023-14"):
+        arrive(crawl, df)
     full = entity_table(page_store.read_pages(spark, pages))
-    got = entity_store.read_entities(spark, out)
+    got = entity_store.read_published(spark, out)
     assert got.count() == full.count() and got.select("crawl_id").distinct().count() == 2
+    # The pages of one slice come again, without any entity.
+    arrive("CC-MAIN-2023-14", df.withColumn("html", F.lit("<html></html>")), "overwrite")
+    got = entity_store.read_published(spark, out)
+    assert [r[0] for r in got.select("crawl_id").distinct().collect()] == ["CC-MAIN-2023-06"]
+    empty = slices.published(spark, out).where("crawl_id = 'CC-MAIN-2023-14'").collect()
+    assert [(r["platform"], r["n_rows"]) for r in empty] == [("Just Eat", 0)]
+
+
+def test_extract_step_empties_slices(spark, sf, tmp_path):
+    out, df = str(tmp_path / "e"), fx.linked_pages(Tables(spark, sf)).drop("page_id")
+    assert steps.extract_step(spark, df, out).count() > 0
+    other = df.withColumn("crawl_id", F.lit("CC-MAIN-2023-14"))
+    steps.extract_step(spark, other, out)
+    left = steps.extract_step(spark, df.withColumn("html", F.lit(None).cast("string")), out)
+    assert {r["crawl_id"] for r in left.collect()} == {"CC-MAIN-2023-14"}
+
+
+def test_what_a_broken_run_left_is_not_read(spark, tmp_path):
+    path, schema = str(tmp_path / "s"), "crawl_id string, platform string, v int"
+    names = spark.createDataFrame([("c", "p"), ("c", "q/1=%"), ("d", "p")], "crawl_id string, platform string")
+
+    def rows(*values):
+        return spark.createDataFrame([("c", "p", v) for v in values] + [("c", "q/1=%", v + 100) for v in values], schema)
+
+    def seen(only=None):
+        return sorted(r["v"] for r in slices.read(spark, path, rows(1).schema, only=only).collect())
+
+    assert seen() == [] and slices.published(spark, path).count() == 0
+    first = slices.publish(rows(1, 2), path, names)
+    slices.stage(rows(7), path, slices.new_version())  # no manifest row: a crash
+    assert seen() == [1, 2, 101, 102]
+    second = slices.publish(rows(3).where("platform = 'p'"), path, names.where("platform = 'p'"))
+    assert seen() == [3, 101, 102]
+    assert seen(F.col("platform") == "p") == [3]
+    slices.publish(rows().limit(0), path, names.where("crawl_id = 'c' AND platform = 'p'"))
+    assert seen() == [101, 102]
+    assert slices.vacuum(spark, path) == []
+    gone = slices.vacuum(spark, path, keep_hours=-1)
+    assert len(gone) == 1 and not any(first in g for g in gone)  # the crashed run; the others hold valid slices
+    assert seen() == [101, 102] and second
+
+
+def test_reload_reads_only_its_slices(spark, sf, tmp_path):
+    path, df = str(tmp_path / "e"), fx.listing_entities(Tables(spark, sf))
+    entity_store.publish_entities(df, path, df.select("crawl_id", "platform").distinct())
+    folders = set(entity_store.read_published(spark, path).inputFiles())
+    summary = entity_store.load_crawls(spark, df.where("num_ratings > 25"), ["CC-MAIN-1998"], path)
+    # The summary comes from the stored counts; no entity file is opened for it.
+    assert all("/counts/" in f for f in summary.inputFiles()) and folders
+    after = set(entity_store.read_published(spark, path).inputFiles())
+    assert {f for f in folders if "CC-MAIN-1998" not in f} == {f for f in after if "CC-MAIN-1998" not in f}
+    full = df.where("crawl_id <> 'CC-MAIN-1998' OR num_ratings > 25").withColumn("city", F.col("city"))
+    want = full.groupBy("crawl_id", "platform", "city").count().collect()
+    assert sorted(map(tuple, summary.collect())) == sorted(map(tuple, want))
+
+
+def test_second_fetch_looks_up_touched_slices_only(spark, tmp_path):
+    members = [gzip.compress(b"W\r\n\r\nH\r\n\r\n" + f"page {i}".encode()) for i in range(6)]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(members))
+    offsets = [sum(map(len, members[:i])) for i in range(6)]
+    rows = [("u", "t", 200, "text/html", "a.warc.gz", offsets[i], len(members[i]), f"c{i % 2}", None if i == 5 else "p") for i in range(6)]
+    out, root = str(tmp_path / "pages"), str(tmp_path)
+    pointers = spark.createDataFrame(rows, POINTER)
+    steps.fetch_step(pointers.where("crawl_id = 'c0'").limit(2), root, out)
+    touched = page_store.slices_of(pointers.where("crawl_id = 'c0'"))
+    text = page_store.read_stored(spark, out).where(touched)._jdf.queryExecution().executedPlan().toString()
+    assert "crawl_id" in text.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    for _ in range(2):
+        assert steps.fetch_step(pointers, root, out).count() == 0
+        stored = page_store.read_stored(spark, out).collect()
+        assert sorted(r["html"] for r in stored) == [f"page {i}" for i in range(6)]
+    assert len({(r["platform"], r["crawl_id"], r["stored_key"]) for r in stored}) == 6
+    assert {r["platform"] for r in stored} == {"p", "unknown"}
+
+
+def test_records_are_unpacked_within_a_limit():
+    member = gzip.compress(b"x" * 1000)
+    assert warc.inflate(member + gzip.compress(b"y")) == b"x" * 1000 + b"y"
+    assert warc.inflate(member, 1000) == b"x" * 1000
+    for bad, limit in ((member, 999), (member[:-3], 5000), (b"junk", 10), (member + member, 1500)):
+        with pytest.raises((ValueError, EOFError, zlib.error)):
+            warc.inflate(bad, limit)
 
 
 def test_processed_slices_without_entities_are_cleared(spark, sf, tmp_path):

@@ -28,8 +28,8 @@ def _member(page_id: int, html: str) -> bytes:
     return gzip.compress(WARC_HEAD + (HTTP_HEAD_LF if page_id % 5 == 1 else HTTP_HEAD) + body, mtime=0)
 
 
-def write_warcs(t: Tables, label: str) -> tuple[str, DataFrame]:
-    """WARC files, one per task, and the index rows that point into them."""
+def write_warcs(t: Tables, label: str, per_page: bool = False) -> tuple[str, DataFrame]:
+    """WARC files, one per task or page, and the index rows that point into them."""
     root = scratch_dir(t.spark, label)
     target = f"{root}/warc"
 
@@ -46,12 +46,17 @@ def write_warcs(t: Tables, label: str) -> tuple[str, DataFrame]:
                 members = [_member(i, h) for i, h in zip(ids, pages)]
                 offsets, lengths = [], []
                 for i, m in zip(ids, members):
+                    if per_page:  # named so that files are in the order of the pages
+                        with fs.open_output_stream(f"{base}/{i:012d}.warc.gz", compression=None) as single:
+                            single.write(m)
+                        at = 0
                     out.write(m)
                     offsets.append(at + 3 if i % 17 == 4 else at)  # some pointers miss the member
                     lengths.append(0 if i % 13 == 7 else len(m))
                     at += len(m)
+                names = [f"{i:012d}.warc.gz" if per_page else name for i in ids]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("page_id"), pa.array([name] * len(ids)), pa.array(offsets, pa.int64()),
+                    [batch.column("page_id"), pa.array(names, pa.string()), pa.array(offsets, pa.int64()),
                      pa.array(lengths, pa.int64())],
                     names=["page_id", "warc_filename", "warc_record_offset", "warc_record_length"])
 

@@ -106,7 +106,7 @@ def _(t: Tables):
     keyed = page_store.with_stored_key(slim)
     path = f"{scratch_dir(t.spark, 's07')}/pages"
     page_store.write_pages(keyed.join(t.pages.select("page_id", "html"), "page_id"), path)
-    return t.spark.read.parquet(path).select(
+    return t.spark.read.parquet(page_store.place(path)).select(
         "platform", "crawl_id", "version", "stored_key", F.octet_length("html").cast("bigint").alias("n"))
 
 
@@ -155,19 +155,61 @@ def _(t: Tables):
         "url", "crawl_id", "platform", F.md5(F.col("html").cast("binary")).alias("html_md5"))
 
 
+# Pointers of which many share address and time, and some lack one of them. The first fetch cannot read anything, the
+# second one reads even pages, the third all, the fourth finds nothing new. Versions go on after those that are stored.
+_IDENTITY_SQL = f"""
+WITH {INDEX_SQL}, w AS (SELECT page_id, lang AS platform, crawl AS crawl_id, page_id % 11 <> 5 AND page_id % 17 <> 4 AS ok,
+    page_id % 2 = 0 AS early, CASE WHEN page_id % 9 <> 2 THEN regexp_extract(url, '^([a-z]+://[^/]+/[a-z]+/[0-9])', 1) END AS url,
+    CASE WHEN page_id % 10 <> 3 THEN strftime(fetch_time, '%Y-%m-%dT00:00:00') END AS timestamp,
+    CASE WHEN page_id % 9 <> 2 THEN lang || '/' || regexp_extract(url_path, '([0-9])', 1) ELSE '{{empty}}' END AS key
+  FROM fx_index WHERE page_id % 13 <> 7),
+a AS (SELECT *, row_number() OVER (PARTITION BY platform, crawl_id, key ORDER BY coalesce(timestamp, ''), url NULLS FIRST, page_id) AS version,
+    row_number() OVER (PARTITION BY platform, crawl_id, key, coalesce(timestamp, '') ORDER BY url NULLS FIRST, page_id) AS number FROM w WHERE early),
+l AS (SELECT platform, crawl_id, key, max(version) AS version FROM a WHERE ok GROUP BY ALL),
+m AS (SELECT platform, crawl_id, key, coalesce(timestamp, '') AS moment, max(number) AS number FROM a WHERE ok GROUP BY ALL),
+b AS (SELECT *, row_number() OVER (PARTITION BY platform, crawl_id, key ORDER BY coalesce(timestamp, ''), url NULLS FIRST, page_id) AS version,
+    row_number() OVER (PARTITION BY platform, crawl_id, key, coalesce(timestamp, '') ORDER BY url NULLS FIRST, page_id) AS number
+  FROM w WHERE NOT early OR NOT ok),
+b2 AS (SELECT b.* REPLACE (b.version + coalesce(l.version, 0) AS version, b.number + coalesce(m.number, 0) AS number)
+  FROM b LEFT JOIN l USING (platform, crawl_id, key)
+  LEFT JOIN m ON m.platform = b.platform AND m.crawl_id = b.crawl_id AND m.key = b.key AND m.moment = coalesce(b.timestamp, '')),
+u AS (SELECT * FROM a UNION ALL SELECT * FROM b2)
+"""
+
+
+def _identity(t: Tables, label: str):
+    """The store after the four fetches, and the failures of the third."""
+    root, rows = archive.write_warcs(t, label, per_page=True)
+    pid, out = F.col("page_id"), f"{scratch_dir(t.spark, label)}/pages"
+    short = F.regexp_extract("url", r"^([a-z]+://[^/]+/[a-z]+/[0-9])", 1)
+    day = F.date_format("fetch_time", "yyyy-MM-dd'T'00:00:00")
+    pointers = archive.table(t.spark, rows.where(pid % 13 != 7).select(
+        "page_id", F.when(pid % 9 != 2, short).alias("url"), F.when(pid % 10 != 3, day).alias("timestamp"),
+        F.lit(200).alias("status"), F.lit("text/html").alias("mime"), F.col("warc_filename").alias("filename"),
+        F.col("warc_record_offset").alias("offset"), F.col("warc_record_length").alias("length"),
+        F.col("crawl").alias("crawl_id"), F.col("lang").alias("platform")), label)
+    steps.fetch_step(pointers, f"{root}-gone", out)
+    steps.fetch_step(pointers.where(pid % 2 == 0), root, out)
+    failed = steps.fetch_step(pointers.unionByName(pointers.where(pid % 3 == 0)), root, out)
+    steps.fetch_step(pointers, root, out)
+    return page_store.read_stored(t.spark, out), failed
+
+
 @query("p02_second_fetch", f"""
-WITH {INDEX_SQL}, {READABLE_SQL}
-SELECT url, crawl AS crawl_id, lang AS platform, md5(html) AS html_md5, 1 AS n_stored, true AS own_key FROM readable
-WHERE page_id IN (SELECT page_id FROM fx_index WHERE {SCOPE_SQL})
-""")
+{_IDENTITY_SQL} SELECT url, timestamp, crawl_id, platform, key, version, key || CASE WHEN version = 1 THEN '' ELSE '_' ||
+    replace(replace(coalesce(timestamp, ''), ':', '-'), 'T', '_') || CASE WHEN number > 1 THEN '_' || number ELSE '' END END AS stored_key,
+  CAST(lpad(CAST(page_id AS VARCHAR), 12, '0') || '.warc.gz' AS VARCHAR) AS filename FROM u WHERE ok
+""".replace("{empty}", "index"))
+def _(t: Tables):
+    return _identity(t, "p02s")[0].select("url", "timestamp", "crawl_id", "platform", "key", "version", "stored_key", "filename")
+
+
+@query("p02_refetch_failures", f"""
+{_IDENTITY_SQL} SELECT url, timestamp, crawl_id, platform, lpad(CAST(page_id AS VARCHAR), 12, '0') || '.warc.gz' AS filename
+FROM b WHERE NOT ok
+""".replace("{empty}", "index"))
 def _(t: Tables):
-    root, found, out, _ = _fetch(t, "p02s")
-    steps.fetch_step(steps.plan_fetch(found, None, False, LANGUAGES), root, out)
-    stored = page_store.read_stored(t.spark, out)
-    keys = stored.groupBy("platform", "crawl_id", "stored_key").agg(F.count(F.lit(1)).alias("n_stored"))
-    return stored.join(keys, ["platform", "crawl_id", "stored_key"]).select(
-        "url", "crawl_id", "platform", F.md5(F.col("html").cast("binary")).alias("html_md5"),
-        F.col("n_stored").cast("int").alias("n_stored"), F.col("version").isNotNull().alias("own_key"))
+    return _identity(t, "p02r")[1].select("url", "timestamp", "crawl_id", "platform", "filename")
 
 
 @query("p02_failures", f"""
@@ -184,9 +226,14 @@ def _(t: Tables):
 @query("p04_sample_download", f"""
 WITH {INDEX_SQL}, s AS (SELECT page_id FROM fx_index WHERE url_path LIKE '/de/%' AND url NOT LIKE '%?%'
   AND page_id % 13 <> 7 ORDER BY url, fetch_time LIMIT 15), {READABLE_SQL}
-SELECT url, md5(html) AS html_md5 FROM readable WHERE page_id IN (SELECT page_id FROM s)
+SELECT url, md5(html) AS html_md5, lang AS platform, crawl AS crawl_id, true AS keyed
+FROM readable WHERE page_id IN (SELECT page_id FROM s)
 """)
 def _(t: Tables):
     root, rows = archive.write_warcs(t, "p04")
     wanted = F.col("url_path").like("/de/%") & ~F.col("url").like("%?%")
-    return steps.sample_step(rows, wanted, 15, root).select("url", F.md5(F.col("html").cast("binary")).alias("html_md5"))
+    out = f"{scratch_dir(t.spark, 'p04')}/samples"
+    steps.sample_step(rows, wanted, 15, root, out)
+    return page_store.read_stored(t.spark, out).select(
+        "url", F.md5(F.col("html").cast("binary")).alias("html_md5"), "platform", "crawl_id",
+        (F.length("stored_key") > 0).alias("keyed"))

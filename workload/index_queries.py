@@ -10,8 +10,9 @@ from gleaner.functions import numbers, text, urls
 from gleaner.operators import lookups, predicates, ranking, reports
 from gleaner.plans import steps
 from gleaner.schema import INDEX_COLUMNS, SUMMARY_COLUMNS, select_ordered
-from gleaner.sources import index as ix
 from gleaner.session import scratch_dir
+from gleaner.sources import index as ix
+from gleaner.sources import slices
 from workload import fixtures as fx
 from workload.fixtures import INDEX_SQL, LANGUAGES, SCOPE_SQL
 from workload.registry import Tables, query
@@ -426,17 +427,28 @@ def _(t: Tables):
 @query("s16_reuse_results", f"""
 WITH {INDEX_SQL}, c AS (SELECT crawl AS crawl_id, lang AS platform, url FROM fx_index WHERE {SCOPE_SQL})
 SELECT crawl_id, platform, url, CASE WHEN crawl_id = 'CC-MAIN-2023-05' AND platform <> 'fr' THEN 'stored'
-  ELSE 'computed' END AS origin FROM c
+  ELSE 'computed' END AS origin, 2 AS n_reads FROM c WHERE crawl_id <> 'CC-MAIN-2022-05' OR platform <> 'es'
 """)
 def _(t: Tables):
     crawls = ["CC-MAIN-2022-05", "CC-MAIN-2023-05", "CC-MAIN-2024-05"]
-    rows = _rows(t)
-    here = (F.col("crawl_id") == "CC-MAIN-2023-05") & (F.col("platform") != "fr")
-    stored = rows.where(here).withColumn("warc_filename", F.lit("stored"))
-    ledger = lookups.crawl_grid(rows.select("crawl_id").distinct(), LANGUAGES).where(here)
-    found = ix.reuse_or_scan(fx.index(t), stored, ledger, crawls, LANGUAGES)
-    origin = F.when(F.col("warc_filename") == "stored", "stored").otherwise("computed")
-    return found.select("crawl_id", "platform", "url", origin.alias("origin"))
+    path, rows, crawl, platform = f"{scratch_dir(t.spark, 's16')}/results", _rows(t), F.col("crawl_id"), F.col("platform")
+    here = (crawl == "CC-MAIN-2023-05") & (platform != "fr")
+    grid = lookups.crawl_grid(rows.select("crawl_id").distinct(), LANGUAGES)
+
+    def publish(which, mark):
+        slices.publish(rows.where(which).withColumn("warc_filename", F.lit(mark)).select(*ix.RESULT.fieldNames()), path, grid.where(which))
+
+    publish(here, "old")
+    publish(here, "stored")
+    # One slice was computed and is empty; a run that died has staged two slices, one of which is published already.
+    slices.publish(rows.where("false").select(*ix.RESULT.fieldNames()), path, grid.where((crawl == "CC-MAIN-2022-05") & (platform == "es")))
+    half = rows.where((platform == "fr") | here).withColumn("warc_filename", F.lit("half")).select(*ix.RESULT.fieldNames())
+    slices.stage(half, path, slices.new_version())
+    ix.reuse_or_scan(fx.index(t), path, crawls, LANGUAGES)
+    found = ix.reuse_or_scan(fx.index(t).where("false"), path, crawls, LANGUAGES)  # everything is stored by now
+    name = F.col("warc_filename")
+    origin = F.when(name == "stored", "stored").when(name.isin("old", "half"), name).otherwise("computed")
+    return found.select("crawl_id", "platform", "url", origin.alias("origin"), F.lit(2).alias("n_reads"))
 
 
 @query("s16_missing_slices", f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.operators import quality, reports, resolve
@@ -397,16 +398,84 @@ def _(t: Tables):
         "header", "true").csv(f"{path}/csv")
 
 
+def _published(t: Tables, label: str) -> str:
+    path, df = scratch_dir(t.spark, label) + "/entities", fx.listing_entities(t)
+    store.publish_entities(df, path, df.select("crawl_id", "platform").distinct())
+    return path
+
+
+def _reloaded(t: Tables, label: str) -> tuple[str, DataFrame]:
+    """All slices, and then one crawl again with fewer rows and none at all on one platform."""
+    path = _published(t, label)
+    fresh = fx.listing_entities(t).where((F.col("num_ratings") > 25) & (F.col("platform") != "A"))
+    return path, store.load_crawls(t.spark, fresh, ["CC-MAIN-1998"], path)
+
+
+_RELOADED_SQL = f"""
+WITH {LISTING_SQL}, u AS (SELECT * FROM fx_listing
+  WHERE crawl_id <> 'CC-MAIN-1998' OR (num_ratings > 25 AND platform <> 'A'))
+"""
+
+
 @query("s15_incremental_load", f"""
-WITH {LISTING_SQL}, u AS (
-  SELECT crawl_id, platform, city FROM fx_listing WHERE crawl_id <> 'CC-MAIN-1998'
-  UNION ALL SELECT crawl_id, platform, city FROM fx_listing WHERE crawl_id = 'CC-MAIN-1998' AND num_ratings > 25)
-SELECT crawl_id, platform, city, count(*) AS restaurant_count FROM u GROUP BY ALL
+{_RELOADED_SQL} SELECT crawl_id, platform, city, count(*) AS restaurant_count FROM u GROUP BY ALL
+""")
+def _(t: Tables):
+    return _reloaded(t, "s15")[1]
+
+
+@query("s15_published_rows", f"""
+{_RELOADED_SQL} SELECT crawl_id, platform, count(*) AS n, count(DISTINCT name) AS n_names FROM u GROUP BY ALL
+""")
+def _(t: Tables):
+    path, _ = _reloaded(t, "s15r")
+    return store.read_published(t.spark, path).groupBy("crawl_id", "platform").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("name").alias("n_names"))
+
+
+@query("a01_counts_of_slices", f"""
+{_RELOADED_SQL} SELECT CASE WHEN grouping(platform) = 0 THEN 'by_platform' WHEN grouping(crawl_id) = 0 THEN 'by_crawl'
+  WHEN grouping(city) = 0 THEN 'by_city' WHEN grouping(date) = 0 THEN 'by_date' ELSE 'total' END AS level,
+  platform, crawl_id, city, date, count(*) AS n
+FROM u GROUP BY GROUPING SETS ((platform), (crawl_id), (city), (date), ())
+""")
+def _(t: Tables):
+    path, _ = _reloaded(t, "a01s")
+    return reports.summary_counts_of(store.published_counts(t.spark, path))
+
+
+@query("a02_nested_counts_of_slices", f"""
+{_RELOADED_SQL} SELECT CASE WHEN grouping(city) = 1 THEN 'by_crawl_platform' ELSE 'by_platform_city' END AS level,
+  crawl_id, platform, city, count(*) AS n
+FROM u GROUP BY GROUPING SETS ((crawl_id, platform), (platform, city))
+""")
+def _(t: Tables):
+    path, _ = _reloaded(t, "a02s")
+    return reports.nested_counts_of(store.published_counts(t.spark, path))
+
+
+# Every estimate must lie within its stated error of the exact number, whatever the scale.
+@query("a07_distinct_rollup", f"""
+{_RELOADED_SQL}, d AS (SELECT CASE WHEN grouping(platform) = 0 AND grouping(crawl_id) = 0 THEN 'by_crawl_platform'
+  WHEN grouping(crawl_id) = 0 THEN 'by_crawl' WHEN grouping(platform) = 0 THEN 'by_platform' ELSE 'total' END AS level,
+  crawl_id, platform, count(DISTINCT nullif(restaurant_url, '')) AS n
+  FROM u GROUP BY GROUPING SETS ((crawl_id, platform), (crawl_id), (platform), ()))
+SELECT level, crawl_id, platform, CASE WHEN level = 'by_crawl_platform' AND crawl_id = 'CC-MAIN-1998' THEN n END AS exact,
+  true AS within FROM d
 """)
 def _(t: Tables):
-    path = _stored(t, "s15")
-    fresh = fx.listing_entities(t).where(F.col("num_ratings") > 25).select(*ENTITY_COLUMNS)
-    return store.load_crawls(t.spark, fresh, ["CC-MAIN-1998"], path)
+    path, _ = _reloaded(t, "a07s")
+    wanted = F.col("crawl_id") == "CC-MAIN-1998"
+    rollup = reports.with_exact(
+        reports.distinct_rollup(store.published_sketches(t.spark, path)), store.read_published(t.spark, path, only=wanted), wanted)
+    # The truth for each row of the roll-up, to hold the stated bounds against.
+    sets = [["crawl_id", "platform"], ["crawl_id"], ["platform"], []]
+    known = store.read_published(t.spark, path).withColumn("u", F.nullif("restaurant_url", F.lit("")))
+    truth = known.groupingSets([[F.col(c) for c in s] for s in sets], "crawl_id", "platform").agg(
+        F.countDistinct("u").alias("truth"))
+    same = rollup["crawl_id"].eqNullSafe(truth["crawl_id"]) & rollup["platform"].eqNullSafe(truth["platform"])
+    return rollup.join(truth, same).select(
+        "level", rollup["crawl_id"], rollup["platform"], "exact", F.col("truth").between(F.col("low"), F.col("high")).alias("within"))
 
 
 @query("c19_category_text", f"""

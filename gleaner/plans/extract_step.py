@@ -17,10 +17,12 @@ from gleaner.operators import linked_data, nodes, page_state, scripts
 from gleaner.operators.page import PageContext
 from gleaner.operators.predicates import excluded
 from gleaner.operators.resolve import drop_duplicates_first
-from gleaner.profiles import PROFILES, SourceProfile
+from gleaner.plans import code_step
+from gleaner.profiles import SourceProfile, all_profiles
 from gleaner.schema import ENTITY_COLUMNS, no_entities
 
 BRANCH_STATE, BRANCH_LINKED, BRANCH_ITEMS, BRANCH_CARDS = "state", "jsonld", "script", "card"
+BRANCH_CODE = "code"
 
 
 def _has(c: str) -> Column:
@@ -74,6 +76,9 @@ def extract_source(pages: DataFrame, source: SourceProfile, carry: tuple[str, ..
     Branch choice and in-page duplicates are settled on arrays inside the page row: page text never takes
     part in a shuffle, and only the entity rows leave the stage.
     """
+    if source.rows:
+        found = code_step.code_rows(pages, source, carry).where("error IS NULL")
+        return found.select(*carry, F.lit(BRANCH_CODE).alias("branch"), "pos", *ENTITY_COLUMNS)
     url = F.coalesce("url", F.lit(""))
     df = pages.where(F.col("platform") == source.key)
     if source.excluded_paths:
@@ -106,22 +111,32 @@ def extract_source(pages: DataFrame, source: SourceProfile, carry: tuple[str, ..
 
 
 def extract_entities(
-    pages: DataFrame, profiles: tuple[SourceProfile, ...] = PROFILES, carry: tuple[str, ...] = ()
+    pages: DataFrame, profiles: tuple[SourceProfile, ...] | None = None, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """Entities of all known sources; each source reads only its own slice of a partitioned page store."""
-    rows = reduce(DataFrame.unionByName, [extract_source(pages, p, carry) for p in profiles])
+    rows = reduce(DataFrame.unionByName, [extract_source(pages, p, carry) for p in profiles or all_profiles()])
     # Names and addresses are cleaned once, on the slim rows.
     return rows.withColumns({c: cleaned(c) for c in ("name", "address")})
 
 
-def entity_table(pages: DataFrame, profiles: tuple[SourceProfile, ...] = PROFILES) -> DataFrame:
+def extraction_errors(
+    pages: DataFrame, profiles: tuple[SourceProfile, ...] | None = None, carry: tuple[str, ...] = ()
+) -> DataFrame | None:
+    """(carry, platform, error) of the pages on which a source's own function failed; None without such sources."""
+    found = [code_step.code_rows(pages, p, carry).where("error IS NOT NULL").select(
+        *carry, F.lit(p.key).alias("platform"), "error") for p in profiles or all_profiles() if p.rows]
+    return reduce(DataFrame.unionByName, found) if found else None
+
+
+def entity_table(pages: DataFrame, profiles: tuple[SourceProfile, ...] | None = None) -> DataFrame:
     """Entities without duplicates, winners by page address and place in the page."""
     rows = extract_entities(pages, profiles)
     return drop_duplicates_first(rows, order_by=["source_url", "date", "branch", "pos"]).select(*ENTITY_COLUMNS)
 
 
-def entity_slices(pages: DataFrame, profiles: tuple[SourceProfile, ...] = PROFILES) -> DataFrame:
+def entity_slices(pages: DataFrame, profiles: tuple[SourceProfile, ...] | None = None) -> DataFrame:
     """Crawl and platform under which the entities of the pages are stored: pages have keys, entities names."""
+    profiles = profiles or all_profiles()
     names = F.create_map(*[F.lit(x) for p in profiles for x in (p.key, p.name)])
     return pages.where(F.col("platform").isin(*[p.key for p in profiles])).select(
         "crawl_id", names[F.col("platform")].alias("platform")).distinct()

@@ -13,7 +13,7 @@ from gleaner.operators.predicates import has_pointer, is_listing
 from gleaner.operators.ranking import first_n, limit_by
 from gleaner.operators.reports import summary_of_counts
 from gleaner.plans.extract_step import entity_slices, entity_table
-from gleaner.profiles import PROFILES, SourceProfile
+from gleaner.profiles import SourceProfile, all_profiles
 from gleaner.schema import FETCHED, POINTER, STORED
 from gleaner.session import scratch_dir
 from gleaner.sources import entity_store, page_store, warc
@@ -21,22 +21,22 @@ from gleaner.sources.index import source_rows, to_pointers
 
 
 def index_step(
-    index: DataFrame, crawls: list[str] | None = None, profiles: tuple[SourceProfile, ...] = PROFILES,
+    index: DataFrame, crawls: list[str] | None = None, profiles: tuple[SourceProfile, ...] | None = None,
     ordered: bool = False,
 ) -> DataFrame:
     """Index rows of every crawl and source in one scan; sorted by URL only when asked, as sorting shuffles."""
-    rows = source_rows(index, crawls, profiles)
+    rows = source_rows(index, crawls, profiles or all_profiles())
     return rows.orderBy("url") if ordered else rows
 
 
 def plan_fetch(
     rows: DataFrame, limit: int | None = None, listings_only: bool = False,
-    profiles: tuple[SourceProfile, ...] = PROFILES,
+    profiles: tuple[SourceProfile, ...] | None = None,
 ) -> DataFrame:
     """Pointers to fetch; everything here is slim."""
     pointers = to_pointers(rows).where(has_pointer())
     if listings_only:
-        pointers = pointers.where(is_listing(F.col("url"), F.col("platform"), profiles))
+        pointers = pointers.where(is_listing(F.col("url"), F.col("platform"), profiles or all_profiles()))
     if limit:
         pointers = first_n(pointers, ["crawl_id", "platform"], ["url", "timestamp", "filename", "offset"], limit).drop("rn")
     return pointers
@@ -64,7 +64,7 @@ def fetch_step(pointers: DataFrame, root: str, out: str, lenient: bool = False)
 
 
 def extract_step(
-    spark: SparkSession, pages: DataFrame, out: str, profiles: tuple[SourceProfile, ...] = PROFILES
+    spark: SparkSession, pages: DataFrame, out: str, profiles: tuple[SourceProfile, ...] | None = None
 ) -> DataFrame:
     """Extract, de-duplicate, publish per crawl and platform, and return the summary of all published slices.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from gleaner.functions.urls import CategoryRule, CityStep
@@ -133,3 +134,5 @@ class SourceProfile:
     cards: CardSpec | None = None
     # Selectors that mark a page as a listing; such pages are read from their cards first.
     listing_markers: tuple[str, ...] = field(default=())
+    # Reads the pages instead of everything above: (html, page) to dictionaries of entity columns.
+    rows: Callable[[str, dict], Iterable[dict]] | None = None

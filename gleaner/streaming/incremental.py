@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from gleaner.plans.extract_step import entity_slices, entity_table
-from gleaner.profiles import PROFILES, SourceProfile
+from gleaner.profiles import SourceProfile
 from gleaner.schema import PAGE
 from gleaner.session import scratch_dir
 from gleaner.sources import entity_store, page_store
@@ -18,7 +18,7 @@ def only_slices(pages: DataFrame, slices: DataFrame) -> DataFrame:
 
 
 def watch_pages(
-    spark: SparkSession, pages: str, out: str, checkpoint: str, profiles: tuple[SourceProfile, ...] = PROFILES
+    spark: SparkSession, pages: str, out: str, checkpoint: str, profiles: tuple[SourceProfile, ...] | None = None
 ) -> StreamingQuery:
     """Process the page files that arrived in the page store since the last run, then stop.
 

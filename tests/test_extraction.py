@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.operators import nodes
-from gleaner.plans.extract_step import entity_table, extract_entities
+from gleaner.plans.extract_step import entity_table, extract_entities, extraction_errors
 from gleaner.profiles import PROFILES
 from gleaner.schema import PAGE
 
@@ -164,3 +164,50 @@ def test_node_tree_tolerates_broken_markup(spark):
 
 def test_profiles_cover_the_known_sources():
     assert [p.key for p in PROFILES] == ["glovo", "ubereats", "justeat"]
+
+
+def test_registered_sources_take_part_in_every_step(spark, tmp_path):
+    from gleaner.plans import steps
+    from gleaner.profiles import all_profiles, forget_profile, register_profile
+    from gleaner.schema import PAGE
+
+    def rows(html, page):
+        if html == "bad":
+            raise KeyError("x")
+        for word in html.split():
+            yield {"name": word, "is_new": "yes", "rating": "x", "restaurant_url": None if word == "a" else f"{page['url']}#{word}"}
+        if html == "wrong":
+            yield {"colour": 1}
+
+    source = register_profile("words", rows, name="Words")
+    try:
+        with pytest.raises(ValueError):
+            register_profile("words", rows)
+        with pytest.raises(ValueError):
+            register_profile("glovo", rows)
+        assert source in all_profiles()
+        pages = spark.createDataFrame(
+            [(f"u{i}", "20230105", 200, "text/html", "c", p, h) for i, (p, h) in enumerate(
+                [("words", "a b"), ("words", "bad"), ("words", None), ("words", "wrong"), ("words", ""), ("other", "a b"), ("words", "a")])], PAGE)
+        summary = steps.extract_step(spark, pages, str(tmp_path / "e")).collect()
+        assert [tuple(r) for r in summary] == [("c", "Words", "", 2)]  # "a" of two pages is one entity without an address
+        pages = pages.withColumn("page", F.col("url"))
+        found = extract_entities(pages, carry=("page",)).collect()
+        assert sorted((r["page"], r["name"], r["pos"], r["branch"], r["is_new"], r["rating"]) for r in found) == [
+            ("u0", "a", 0, "code", False, None), ("u0", "b", 1, "code", False, None), ("u6", "a", 0, "code", False, None)]
+        assert sorted((r["page"], r["error"].split(":")[0]) for r in extraction_errors(pages, carry=("page",)).collect()) == [
+            ("u1", "KeyError"), ("u3", "ValueError")]
+    finally:
+        forget_profile("words")
+    assert source not in all_profiles()
+
+
+def test_rows_of_a_function_leave_in_bounded_batches(spark, monkeypatch):
+    from gleaner.plans import code_step
+    from gleaner.profiles import SourceProfile
+    from gleaner.schema import PAGE
+
+    monkeypatch.setattr(code_step, "MAX_ROWS", 3)
+    source = SourceProfile(key="k", name="K", domain="", base_url="", rows=lambda html, page: ({"name": f"n{i}"} for i in range(10)))
+    pages = spark.createDataFrame([("u", "", 200, "", "c", "k", "x"), ("v", "", 200, "", "c", "k", "x")], PAGE)
+    assert code_step.code_rows(pages, source, ("url",)).groupBy("url").count().collect()[0][1] == 10

@@ -8,13 +8,11 @@ from pyspark.sql import functions as F
 from gleaner.functions import variants as V
 from gleaner.functions.rows import explode_once
 from gleaner.functions.text import drop_tokens, list_to_pipe
-from gleaner.operators import cards, features, linked_data, lookups, nodes, page_state, quality, ranking, reports, resolve, scripts
+from gleaner.operators import cards, features, linked_data, lookups, nodes, page_state, quality, ranking, reports, scripts
 from gleaner.plans import extract_step as ex
-from gleaner.plans import audit_step, steps
+from gleaner.plans import audit_step
 from gleaner.profiles import profile
 from gleaner.schema import SUMMARY_COLUMNS
-from gleaner.session import scratch_dir
-from gleaner.sources import page_store
 from workload import archive
 from workload import fixtures as fx
 from workload.fixtures import CARD_SQL, CUSTOMER_SQL, INDEX_SQL, KEYED_SQL, LINKED_SQL, SCRIPT_SQL, TREE_SQL
@@ -468,22 +466,3 @@ def _(t: Tables):
 """)
 def _(t: Tables):
     return reports.summary_table(ex.entity_table(fx.linked_pages(t), (JUST,))).select(*SUMMARY_COLUMNS)
-
-
-@query("p03_extract_step", f"""
-{KEYED_SQL}, u AS (
-  SELECT 'Just Eat' AS platform, 'San Juan' AS city, restaurant_url AS k FROM rows
-  UNION ALL SELECT 'Just Eat', CASE WHEN c_custkey % 2 = 0 THEN 'San Juan' ELSE n_name END,
-    't' || c_custkey FROM fx_customer WHERE page_id % 6 = 0
-  UNION ALL SELECT 'Uber Eats', page_id || ' X', CASE WHEN c_custkey % 2 = 0 THEN '/s/' || c_custkey ELSE lower(c_name) END
-    FROM fx_customer WHERE page_id % 2 = 0)
-SELECT 'CC-MAIN-2023-06' AS crawl_id, platform, city, count(DISTINCT k) AS restaurant_count FROM u GROUP BY ALL
-""")
-def _(t: Tables):
-    # State pages; where the state is cut off, the page with the other kind of state stands in.
-    whole = F.col("page_id") % 6 != 0
-    pages = resolve.bag_union(fx.keyed_pages(t).where(whole), fx.tree_pages(t).where(~whole), fx.script_pages(t))
-    # The pages are built and stored once; every profile then reads its own slices.
-    work = scratch_dir(t.spark, "p03")
-    page_store.write_pages(pages, f"{work}/pages")
-    return steps.extract_step(t.spark, page_store.read_pages(t.spark, f"{work}/pages"), f"{work}/entities")

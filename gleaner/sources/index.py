@@ -12,7 +12,7 @@ from gleaner.functions.numbers import timestamp_iso
 from gleaner.operators.predicates import CRAWL_ID, any_of, fetched_html, source_key, source_scope, valid_crawl_id
 from gleaner.profiles import PROFILES, SourceProfile
 from gleaner.schema import INDEX, INDEX_COLUMNS, L, S
-from gleaner.sources import slices
+from gleaner.sources import gzip_lines, slices
 
 CDX_JSON = T.StructType([
     T.StructField(n, S) for n in ("url", "status", "mime", "filename", "offset", "length")])
@@ -89,9 +89,17 @@ def parse_cdx(lines: DataFrame, domain: str, value: str = "value", reversed_key:
     return df.where(ok).select(key.alias("urlkey"), F.col("_p")[1].alias("timestamp"), "_j.*")
 
 
-def read_cdx(spark: SparkSession, path: str, domain: str, reversed_key: bool = False) -> DataFrame:
-    """CDX text files, gzip or plain; one file is one task, as gzip cannot be split."""
-    return parse_cdx(spark.read.text(path), domain, reversed_key=reversed_key)
+def read_cdx(spark: SparkSession, path: str, domain: str, reversed_key: bool = False, split: bool = True) -> DataFrame:
+    """CDX text files, gzip or plain.
+
+    With ``split``, gzip files of many members are read by many tasks each (``gzip_lines``, which opens files with
+    pyarrow); without it, one gzip file is one task. Plain files are split by Spark.
+    """
+    if not split:
+        return parse_cdx(spark.read.text(path), domain, reversed_key=reversed_key)
+    plain = spark.read.option("pathGlobFilter", "*[!z]").text(path)
+    lines = gzip_lines.read_lines(spark, path, pattern="*.gz").unionByName(plain)
+    return parse_cdx(lines, domain, reversed_key=reversed_key)
 
 
 def read_cdx_json(spark: SparkSession, path: str, status: str = "200") -> DataFrame:

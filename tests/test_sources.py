@@ -1,9 +1,11 @@
 """Sources and sinks on small files."""
 
 import gzip
+import random
 import zlib
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from gleaner import session
 from gleaner.plans import steps
 from gleaner.plans.extract_step import entity_table
 from gleaner.schema import ENTITY_COLUMNS, POINTER
-from gleaner.sources import entity_store, index, page_store, slices, warc
+from gleaner.sources import entity_store, gzip_lines, index, page_store, slices, warc
 from gleaner.streaming.incremental import watch_pages
 from workload import fixtures as fx
 from workload.registry import Tables
@@ -240,3 +242,51 @@ def test_pages_meet_the_sidecar_of_their_own_place(spark, tmp_path):
     rows = lookups.with_metadata(pages, page_store.read_sidecars(spark, str(root))).collect()
     assert sorted((r["url"], r["crawl_id"], r["key"]) for r in rows) == [
         (f"{c}{f}", c, f"{f}/madrid") for c in ("c1", "c2") for f in ("a", "b")]
+
+
+def _shard(rnd, n):
+    """Lines of all kinds in members that end anywhere, some with what looks like the start of a member inside."""
+    lines = []
+    for i in range(n):
+        kind = rnd.random()
+        lines.append(b"" if kind < 0.1 else rnd.randbytes(rnd.randint(1, 200)).replace(b"\n", b"") if kind < 0.3
+                     else b"\x1f\x8b\x08\x00" * 5 if kind < 0.4 else "é日本".encode() * rnd.randint(1, 30))
+    text = b"\n".join(lines) + (b"\n" if rnd.random() < 0.5 else b"")
+    out, at = [], 0
+    while at < len(text):
+        size = rnd.choice([1, 7, 100, 1000, 5000])
+        out.append(gzip.compress(text[at:at + size], compresslevel=rnd.choice([0, 6]), mtime=0))
+        at += size
+    return text, out
+
+
+def test_gzip_ranges_give_every_line_once():
+    rnd = random.Random(8)
+    for _ in range(40):
+        text, members = _shard(rnd, rnd.randint(1, 60))
+        packed = b"".join(members)
+        file, step = pa.BufferReader(packed), rnd.choice([1, 50, 333, 5000, 10 ** 6])
+        whole, joined = [], b""
+        for start in range(0, len(packed), step):
+            for lines, head, tail in gzip_lines.range_lines(file, len(packed), start, start + step):
+                whole += lines
+                if tail is not None:
+                    joined += tail if head is None else head + b"\n" + tail
+        edges = joined.split(b"\n")
+        want = text.split(b"\n")
+        assert sorted(whole + edges) == sorted(want)
+    with pytest.raises(EOFError):
+        list(gzip_lines.range_lines(pa.BufferReader(members[-1][:-4]), len(members[-1]) - 4, 0, 10 ** 6))
+
+
+def test_one_shard_over_many_tasks(spark, tmp_path):
+    lines = [f"{i} " + "é" * (i % 50) for i in range(5000)] + ["", "last"]
+    text = "\n".join(lines).encode() + b"\n"
+    members = [gzip.compress(text[a:a + 3001], mtime=0) for a in range(0, len(text), 3001)]
+    (tmp_path / "shard.gz").write_bytes(b"".join(members))
+    (tmp_path / "empty.gz").write_bytes(b"")
+    df = gzip_lines.read_lines(spark, str(tmp_path), sum(map(len, members)) // 8 + 1)
+    want = sorted(r["value"] for r in spark.read.text(str(tmp_path)).collect())
+    assert sorted(r["value"] for r in df.collect()) == want == sorted(lines)
+    used = df.withColumn("task", F.spark_partition_id()).groupBy("task").count().count()
+    assert used >= 8

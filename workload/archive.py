@@ -94,6 +94,27 @@ def cdx_lines(t: Tables) -> DataFrame:
         some.select(F.concat_ws(" ", key, stamp, F.lit('{"url": "cut off')).alias("value")))
 
 
+def write_gzip_members(t: Tables, lines: DataFrame, label: str, members: int = 40) -> str:
+    """One gzip file of many members; they end wherever their bytes end, mostly within a line."""
+    root = f"{scratch_dir(t.spark, label)}/cdx"
+
+    def store(batches):
+        from pyarrow import fs as pafs
+
+        fs, base = pafs.FileSystem.from_uri(root)
+        fs.create_dir(base)
+        text = b"".join(v.encode() + b"\n" for batch in batches for v in batch.column("value").to_pylist())
+        size = max(1, -(-len(text) // members))
+        with fs.open_output_stream(f"{base}/shard.gz", compression=None) as out:
+            for at in range(0, len(text), size):
+                out.write(gzip.compress(text[at:at + size], mtime=0))
+        yield pa.RecordBatch.from_arrays([pa.array([len(text)], pa.int64())], names=["n"])
+
+    # The fixture is one small shard; the reader is what is tested.
+    lines.select("value").coalesce(1).mapInArrow(store, "n long").write.parquet(f"{root}-done")
+    return root
+
+
 def write_page_files(t: Tables, label: str) -> str:
     """A text page store: ``{platform}/{crawl}/{key}.html`` and, for two pages of three, a JSON sidecar."""
     root = f"{scratch_dir(t.spark, label)}/store"

@@ -8,7 +8,7 @@ from gleaner.operators import lookups
 from gleaner.plans import steps
 from gleaner.session import scratch_dir
 from gleaner.sources import index as ix
-from gleaner.sources import page_store, warc
+from gleaner.sources import gzip_lines, page_store, warc
 from workload import archive
 from workload import fixtures as fx
 from workload.archive import READABLE_SQL
@@ -30,6 +30,18 @@ def _(t: Tables):
     return ix.read_cdx(t.spark, path, "example.com", reversed_key=True)
 
 
+@query("s02_split_members", f"""
+{_CDX_SQL} WHERE url_host_registered_domain = 'example.com' UNION ALL {_CDX_SQL.replace("WITH", "SELECT * FROM (WITH", 1)}
+  WHERE url_host_registered_domain = 'example.com')
+""")
+def _(t: Tables):
+    # One file of 40 members in ranges of 2,000 bytes, and a plain file beside it.
+    root = archive.write_gzip_members(t, archive.cdx_lines(t), "s02m")
+    archive.cdx_lines(t).write.mode("append").text(root)
+    lines = gzip_lines.read_lines(t.spark, root, 2000, "*.gz").unionByName(t.spark.read.option("pathGlobFilter", "*[!z]").text(root))
+    return ix.parse_cdx(lines, "example.com", reversed_key=True)
+
+
 @query("s03_cdx_json_lines", f"{_CDX_SQL} WHERE fetch_status = 200")
 def _(t: Tables):
     path = f"{scratch_dir(t.spark, 's03')}/cdx"

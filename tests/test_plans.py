@@ -101,3 +101,62 @@ def test_no_python_in_json_branches(spark, sf):
     df = fx.linked_pages(Tables(spark, sf)).select(
         linked_data.truth_names(scripts.script_elements(F.col("html"))).alias("n"))
     assert "EvalPython" not in plan(df)
+
+
+def test_bucketed_tables_join_without_exchange(spark, tmp_path):
+    from gleaner.operators import lookups
+    from gleaner.sources import layout
+
+    rows = [(f"p{i % 3}", f"c{i % 5}", f"k{i}") for i in range(200)]
+    pages = spark.createDataFrame(rows, "path_platform string, path_crawl string, key string")
+    side = pages.limit(120).selectExpr("*", "'u' AS url", "'t' AS timestamp", "path_crawl AS crawl_id", "path_platform AS platform")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = layout.bucketed(pages, str(tmp_path / "a"), lookups.PLACE, 4)
+        b = layout.bucketed(side, str(tmp_path / "b"), lookups.PLACE, 4)
+        joined = lookups.with_metadata(a, b)
+        text = plan(joined)
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert "Exchange" in plan(lookups.with_metadata(pages, side))
+        assert joined.where("has_sidecar").count() == 120 and joined.count() == 200
+        assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_domain_scan_opens_the_files_of_its_range(spark, sf, tmp_path):
+    from gleaner.sources import layout
+
+    index, path = fx.index(Tables(spark, sf)), str(tmp_path / "i")
+    layout.write_clustered_index(index, path, file_rows=5)
+    whole = spark.read.parquet(f"{path}/rows")
+    domains = [r[0] for r in index.select("url_host_registered_domain").distinct().collect()]
+    for domain in domains:
+        found = layout.read_clustered_index(spark, path, [domain])
+        assert found.count() == index.where(F.col("url_host_registered_domain") == domain).count()
+        assert len(found.inputFiles()) < len(whole.inputFiles())
+    assert layout.read_clustered_index(spark, path, ["zzz"]).count() == 0
+    with pytest.raises(ValueError):
+        layout.read_clustered_index(spark, path, ["a"], ["x'; --"])
+    assert layout.bucket_count(0) == 1 and layout.bucket_count(1 << 30) == 8 and layout.bucket_count((1 << 30) + 1) == 16
+
+
+def test_most_frequent_keys_by_bounded_summaries(spark):
+    import random
+    from collections import Counter
+
+    from gleaner.operators import heavy
+
+    rnd = random.Random(3)
+    for share, capacity in ((0.9, 20), (0.5, 50), (0.0, 10), (0.3, 10 ** 6)):
+        keys = [None if rnd.random() < 0.1 else f"h{int(rnd.paretovariate(1)) % 9}" if rnd.random() < share else f"t{rnd.randrange(3000)}"
+                for _ in range(6000)]
+        df = spark.createDataFrame([(k,) for k in keys], "k string").repartition(5)
+        top = heavy.top_keys(df, "k", 6, capacity)
+        want = sorted(Counter(keys).items(), key=lambda kn: (-kn[1], kn[0] is not None, kn[0] or ""))[:6]
+        assert [(r["k"], r["n"], r["rn"]) for r in top.rows.orderBy("rn").collect()] == [(k, n, i + 1) for i, (k, n) in enumerate(want)]
+        assert top.proof["method"] in ("candidates", "full")
+        if share == 0.9:
+            assert top.proof["method"] == "candidates" and top.proof["lost"] > 0 and top.proof["candidates"] < 60
+    assert heavy.top_keys(df.limit(0), "k", 3).rows.collect() == []

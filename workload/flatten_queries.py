@@ -13,6 +13,8 @@ from gleaner.plans import extract_step as ex
 from gleaner.plans import audit_step
 from gleaner.profiles import profile
 from gleaner.schema import SUMMARY_COLUMNS
+from gleaner.session import scratch_dir
+from gleaner.sources import layout
 from workload import archive
 from workload import fixtures as fx
 from workload.fixtures import CARD_SQL, CUSTOMER_SQL, INDEX_SQL, KEYED_SQL, LINKED_SQL, SCRIPT_SQL, TREE_SQL
@@ -415,12 +417,8 @@ def _(t: Tables):
     return quality.overall(issues)
 
 
-@query("j01_page_metadata", f"""
-WITH {INDEX_SQL} SELECT CASE WHEN page_id % 3 = 0 THEN '' ELSE url END AS url,
-  CASE WHEN page_id % 3 <> 0 THEN 'T' || CAST(page_id AS VARCHAR) WHEN page_id % 2 = 0 THEN 'T0' ELSE '' END AS timestamp,
-  crawl AS crawl_id, lang AS platform, page_id % 3 <> 0 AS has_sidecar FROM fx_index
-""")
-def _(t: Tables):
+def _placed(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Pages by place and the sidecars of two thirds of them."""
     pid = F.col("page_id")
     ts = F.concat(F.lit("T"), pid.cast("string"))
     # Every stem is used in many crawls and folders.
@@ -431,7 +429,28 @@ def _(t: Tables):
         F.col("lang").alias("path_platform"), F.col("crawl").alias("path_crawl"))
     side = df.where(pid % 3 != 0).select(
         *lookups.PLACE, "url", F.col("ts").alias("timestamp"), F.col("c").alias("crawl_id"), F.col("p").alias("platform"))
-    return lookups.with_metadata(df.select(*lookups.PLACE), side).select("url", "timestamp", "crawl_id", "platform", "has_sidecar")
+    return df.select(*lookups.PLACE), side
+
+
+_J01_COLS = ["url", "timestamp", "crawl_id", "platform", "has_sidecar"]
+_J01_SQL = f"""
+WITH {INDEX_SQL} SELECT CASE WHEN page_id % 3 = 0 THEN '' ELSE url END AS url,
+  CASE WHEN page_id % 3 <> 0 THEN 'T' || CAST(page_id AS VARCHAR) WHEN page_id % 2 = 0 THEN 'T0' ELSE '' END AS timestamp,
+  crawl AS crawl_id, lang AS platform, page_id % 3 <> 0 AS has_sidecar FROM fx_index
+"""
+
+
+@query("j01_page_metadata", _J01_SQL)
+def _(t: Tables):
+    return lookups.with_metadata(*_placed(t)).select(*_J01_COLS)
+
+
+@query("j01_bucketed_metadata", _J01_SQL)
+def _(t: Tables):
+    # Both tables lie in the same buckets of the place, so the join reads them side by side.
+    work = scratch_dir(t.spark, "j01b")
+    pages, side = (layout.bucketed(df, f"{work}/{name}", lookups.PLACE, 8) for name, df in zip(("pages", "side"), _placed(t)))
+    return lookups.with_metadata(pages, side).select(*_J01_COLS)
 
 
 @query("j02_sidecar_counts", f"""

@@ -12,7 +12,7 @@ from gleaner.plans import steps
 from gleaner.schema import INDEX_COLUMNS, SUMMARY_COLUMNS, select_ordered
 from gleaner.session import scratch_dir
 from gleaner.sources import index as ix
-from gleaner.sources import slices
+from gleaner.sources import layout, slices
 from workload import fixtures as fx
 from workload.fixtures import INDEX_SQL, LANGUAGES, SCOPE_SQL
 from workload.registry import Tables, query
@@ -469,3 +469,17 @@ def _(t: Tables):
     rows = steps.index_step(fx.index(t), ["CC-MAIN-2022-05", "CC-MAIN-2024-05"], LANGUAGES)
     return rows.groupBy("crawl_id", "platform").agg(
         F.count(F.lit(1)).alias("n"), F.sum("warc_record_length").alias("bytes"))
+
+
+@query("s01_clustered_scan", f"""
+WITH {INDEX_SQL} SELECT url, crawl, subset, url_path, true AS fewer_files FROM fx_index
+WHERE url_host_registered_domain IN ('example.net', 'absent.example') AND crawl IN ('CC-MAIN-2022-05', 'CC-MAIN-2023-05')
+""")
+def _(t: Tables):
+    path = f"{scratch_dir(t.spark, 's01c')}/index"
+    layout.write_clustered_index(fx.index(t), path, file_rows=max(1, t.pages.count() // 16))
+    crawls = ["CC-MAIN-2022-05", "CC-MAIN-2023-05"]
+    found = layout.read_clustered_index(t.spark, path, ["example.net", "absent.example"], crawls)
+    whole = ix.read_index(t.spark, f"{path}/rows").where(F.col("crawl").isin(*crawls))
+    fewer = len(found.inputFiles()) < len(whole.inputFiles())
+    return found.select("url", "crawl", "subset", "url_path", F.lit(fewer).alias("fewer_files"))

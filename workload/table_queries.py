@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.operators import quality, reports, resolve
+from gleaner.operators import heavy, quality, reports, resolve
 from gleaner.schema import ENTITY_COLUMNS
 from gleaner.session import scratch_dir
 from gleaner.sources import entity_store as store
@@ -498,3 +498,35 @@ def _(t: Tables):
     return fx.listing(t).select(
         "l_orderkey", "l_linenumber", comparison_key(F.concat(F.lit(" "), "name", F.lit("  "))).alias("k"),
         comparison_key(F.col("food_type"), trim=False).alias("f"))
+
+
+# A few keys hold a third of all rows, the others are a long tail.
+_HEAVY_SQL = f"""
+WITH {LISTING_SQL}, h AS (SELECT CASE WHEN l_partkey % 3 = 0 THEN CASE WHEN l_suppkey % 7 > 0 THEN 'hot ' || (l_suppkey % 7) END
+    ELSE source_url || '#' || l_linenumber END AS k, source_url FROM fx_listing)
+"""
+
+
+def _heavy(t: Tables) -> DataFrame:
+    hot = F.when(F.col("l_suppkey") % 7 > 0, F.concat(F.lit("hot "), (F.col("l_suppkey") % 7).cast("string")))
+    tail = F.concat("source_url", F.lit("#"), F.col("l_linenumber").cast("string"))
+    return fx.listing(t).select(F.when(F.col("l_partkey") % 3 == 0, hot).otherwise(tail).alias("k"), "source_url")
+
+
+@query("w04_two_pass_top", f"""
+{_HEAVY_SQL} SELECT k, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, k NULLS FIRST) AS INTEGER) AS rn,
+  'candidates' AS method FROM h GROUP BY k QUALIFY rn <= 7
+""")
+def _(t: Tables):
+    top = heavy.top_keys(_heavy(t), "k", 7, capacity=200)
+    return top.rows.withColumn("method", F.lit(top.proof["method"]))
+
+
+@query("w04_two_pass_tail", f"""
+{_HEAVY_SQL} SELECT source_url, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, source_url) AS INTEGER) AS rn,
+  'full' AS method FROM h GROUP BY source_url QUALIFY rn <= 10
+""")
+def _(t: Tables):
+    # All keys are rare here, so no bounded summary can tell them apart and all are counted.
+    top = heavy.top_keys(_heavy(t), "source_url", 10, capacity=20)
+    return top.rows.withColumn("method", F.lit(top.proof["method"]))

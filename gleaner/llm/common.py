@@ -91,17 +91,23 @@ def components(work: Work, links: DataFrame) -> DataFrame:
     return edges.select(u.alias("node"), v.alias("component")).unionByName(roots)
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``docs`` whose id and text digest are in ``kept`` (doc_id, digest), once each.
+def keep_rows(work: Work, docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that ``found`` (doc_id, digest, keep) keeps; of rows with one id and text one stays.
 
-    ``digest`` is the binary SHA-256 of the text, a null text counting as empty. Null ids match null ids.
+    ``digest`` is the binary SHA-256 of the text, a null text counting as empty. Null ids match null ids. Decisions are
+    slim; what is dropped is taken off by an anti join, and only ids that repeat with their text are ranked, by all
+    columns, so that the row that stays is always the same.
     """
     digest, rank = free_name(docs, "digest_"), free_name(docs, "rank_")
     tagged = docs.withColumn(digest, F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
-    wanted = kept.select(F.col("doc_id").alias("kept_id_"), F.col("digest").alias("kept_digest_")).distinct()
-    matched = tagged.join(
-        wanted,
-        tagged[id_col].eqNullSafe(wanted["kept_id_"]) & (tagged[digest] == wanted["kept_digest_"]), "left_semi")
-    window = Window.partitionBy(id_col, digest).orderBy(F.lit(0))
-    return (matched.withColumn(rank, F.row_number().over(window)).where(F.col(rank) == 1)
-            .select(*[matched[c] for c in docs.columns]))
+    decided = work.save(found.groupBy("doc_id", "digest").agg(
+        F.max("keep").alias("keep"), (F.count(F.lit(1)) > 1).alias("repeats")).where("repeats OR NOT keep").select(
+            F.col("doc_id").alias("found_id_"), F.col("digest").alias("found_digest_"), "keep"), "decided")
+    same = tagged[id_col].eqNullSafe(decided["found_id_"]) & (tagged[digest] == decided["found_digest_"])
+    single = tagged.join(decided, same, "left_anti").select(*docs.columns)
+    if not decided.where("keep").limit(1).count():
+        return single
+    again = tagged.join(decided.where("keep"), same, "left_semi")
+    order = Window.partitionBy(id_col, digest).orderBy(F.to_json(F.struct(*[again[c] for c in docs.columns])))
+    first = again.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).select(*docs.columns)
+    return single.unionByName(first)

@@ -1,12 +1,14 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network reads the UTF-8 bytes of a word with the spaces around it (words above ``WINDOW`` bytes in windows), forwards
-and backwards, and gives every byte position a distribution over the languages; a document's probabilities are the
-mean over all of its positions. It is trained in numpy by backpropagation through time on the driver, from a bounded
-sample: the ``DOCS_PER_LABEL`` distinct texts of lowest hash of each language and ``WORDS_PER_DOC`` words of each of
-them, those of lowest hash together with the text. The weights are a few kilobytes and travel with the task.
-
-Words recur, so a worker runs the network once for each distinct word of its texts and adds up the stored position sums.
+The network reads the UTF-8 bytes of a text forwards and backwards and gives every byte position a distribution over the
+languages and "none of them"; a document's probabilities are the mean over all of its positions. A text is read in windows
+of ``CORE`` bytes, cut at character starts, with ``CONTEXT`` bytes before and after them that warm the states up and are
+not counted. Texts of up to ``CORE`` bytes are read in one piece, and no position is left out or counted twice.
+
+It is trained in numpy by backpropagation through time on the driver, from a bounded sample: ``SPANS_PER_DOC`` spans of
+``SPAN`` bytes of the ``DOCS_PER_LABEL`` distinct texts of lowest hash of each language. "None of them" is learned from
+spans whose letters are shuffled, random letters, and letters of scripts drawn at random, so that what the network never
+saw does not have to be one of the languages. The weights are a few kilobytes and travel with the task.
 """
 
 from __future__ import annotations
@@ -21,13 +23,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DOCS_PER_LABEL = 400
-WORDS_PER_DOC = 40
-HIDDEN = 16
-WINDOW = 24
-EPOCHS = 3
-BATCH = 256
-CACHE_WORDS = 300_000
-GROUP_BYTES = 1 << 20
+SPANS_PER_DOC, SPAN = 4, 96
+# Spans of no language, as a share of the others.
+NOISE_SHARE = 0.5
+HIDDEN = 8
+CORE, CONTEXT = 384, 32
+EPOCHS = 4
+BATCH = 128
+# Small samples are gone through more often.
+LEAST_STEPS = 400
+WINDOWS_AT_ONCE = 2048
+GROUP_BYTES = 2 << 20
 UNKNOWN = "und"
 
 
@@ -98,32 +104,35 @@ def gradients(weights: dict, codes: np.ndarray, mask: np.ndarray, labels: np.nda
     grads["c"] = delta.sum((0, 1))
     back = delta @ weights["o"].T
     for d, trace, out in (("f", f_trace, back[:, :, :hidden]), ("b", b_trace, back[:, :, hidden:])):
-        later = np.zeros((len(codes), hidden), np.float32)
+        later = np.zeros((len(codes), hidden), delta.dtype)
         wh = weights[f"h{d}"]
+        # What reaches the gates at each position; weights that all positions share get their sums in one go afterwards.
+        at_input = np.empty((codes.shape[1], len(codes), 3 * hidden), delta.dtype)
+        at_state = np.empty_like(at_input)
+        before = np.empty((codes.shape[1], len(codes), hidden), delta.dtype)
         for t, state, reset, update, inner, fresh in reversed(trace):
             whole = out[:, t] + later
             on = mask[:, t, None]
             here = whole * on
             d_fresh = here * (1 - update) * (1 - fresh * fresh)
-            d_update = here * (state - fresh) * update * (1 - update)
-            d_reset = d_fresh * inner * reset * (1 - reset)
-            gate = np.concatenate([d_reset, d_update], 1)
-            later = (whole * ~on + here * update + gate @ wh[:, :2 * hidden].T
-                     + (d_fresh * reset) @ wh[:, 2 * hidden:].T)
-            grads[f"h{d}"][:, :2 * hidden] += state.T @ gate
-            grads[f"h{d}"][:, 2 * hidden:] += state.T @ (d_fresh * reset)
-            whole_gate = np.concatenate([gate, d_fresh], 1)
-            grads[f"b{d}"] += whole_gate.sum(0)
-            np.add.at(grads[f"x{d}"], codes[:, t], whole_gate)
+            gate = at_input[t]
+            gate[:, :hidden] = d_fresh * inner * reset * (1 - reset)
+            gate[:, hidden:2 * hidden] = here * (state - fresh) * update * (1 - update)
+            gate[:, 2 * hidden:] = d_fresh
+            at_state[t] = gate
+            at_state[t, :, 2 * hidden:] *= reset
+            before[t] = state
+            later = whole * ~on + here * update + at_state[t] @ wh.T
+        grads[f"h{d}"] += before.reshape(-1, hidden).T @ at_state.reshape(-1, 3 * hidden)
+        flat = at_input.reshape(-1, 3 * hidden)
+        grads[f"b{d}"] += flat.sum(0)
+        read = codes.T.ravel()
+        order = np.argsort(read, kind="stable")
+        values, first = np.unique(read[order], return_index=True)
+        grads[f"x{d}"][values] += np.add.reduceat(flat[order], first)
     return loss, grads
 
 
-def segments(word: bytes) -> list[bytes]:
-    """The byte windows of a word with a space on either side."""
-    whole = b" " + word + b" "
-    return [whole] if len(whole) <= WINDOW else [whole[i:i + WINDOW] for i in range(0, len(whole), WINDOW)]
-
-
 def _matrix(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     length = max(map(len, parts))
     codes = np.zeros((len(parts), length), np.uint8)
@@ -134,14 +143,42 @@ def _matrix(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return codes, mask
 
 
-def train(words: list[bytes], labels: list[int], n_labels: int, epochs: int = EPOCHS, seed: int = 7) -> dict:
-    """Fit the network with Adam on (word, label) pairs, batches holding words of similar length."""
-    parts = [(p, y) for w, y in zip(words, labels) for p in segments(w)]
+def noise(spans: list[bytes], count: int, seed: int = 11) -> list[bytes]:
+    """Spans of no language: shuffled letters of real ones, random letters, and random letters of other scripts."""
     rng = np.random.default_rng(seed)
-    weights = fresh_weights(n_labels, seed=seed)
+    small = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+    # First code point and number of letters of some scripts.
+    scripts = ((0x391, 56), (0x410, 64), (0x5D0, 27), (0x620, 42), (0x904, 53), (0xE01, 46), (0x3041, 83), (0x4E00, 20000), (0xAC00, 11000))
+    out = []
+    for i in range(count):
+        kind = i % 3
+        if kind == 0 and spans:
+            text = list(spans[int(rng.integers(len(spans)))].decode("utf-8", "ignore"))
+            rng.shuffle(text)
+            out.append("".join(text).encode())
+            continue
+        if kind == 1:
+            codes = small[rng.integers(0, len(small), SPAN)]
+            codes[rng.random(SPAN) < rng.choice([0.0, 0.1, 0.2])] = 32
+            out.append(codes.tobytes())
+            continue
+        first, size = scripts[int(rng.integers(len(scripts)))]
+        letters = "".join(chr(first + int(c)) for c in rng.integers(0, size, SPAN // 2))
+        out.append(" ".join(letters[j:j + 5] for j in range(0, len(letters), 5)).encode()[:SPAN])
+    return out
+
+
+def train(spans: list[bytes], labels: list[int], n_labels: int, epochs: int = EPOCHS, seed: int = 7) -> dict:
+    """Fit the network with Adam on (span, label) pairs; the last of ``n_labels`` + 1 outputs is no language."""
+    others = noise(spans, int(len(spans) * NOISE_SHARE))
+    parts = [(p, y) for p, y in [*zip(spans, labels), *[(p, n_labels) for p in others]] if p]
+    rng = np.random.default_rng(seed)
+    weights = fresh_weights(n_labels + 1, seed=seed)
     first = {k: np.zeros_like(v) for k, v in weights.items()}
     second = {k: np.zeros_like(v) for k, v in weights.items()}
-    step, rounds = 0, epochs * -(-len(parts) // BATCH)
+    per_epoch = max(1, -(-len(parts) // BATCH))
+    epochs = max(epochs, -(-LEAST_STEPS // per_epoch))
+    step, rounds = 0, epochs * per_epoch
     for _ in range(epochs):
         order = rng.permutation(len(parts))
         order = order[np.argsort([len(parts[i][0]) for i in order], kind="stable")]
@@ -160,126 +197,187 @@ def train(words: list[bytes], labels: list[int], n_labels: int, epochs: int = EP
     return weights
 
 
-def position_sums(weights: dict, words: list[bytes]) -> np.ndarray:
-    """Per word the sum of its positions' probabilities, and in the last column the number of positions."""
-    labels = len(weights["c"])
-    out = np.zeros((len(words), labels + 1), np.float64)
-    parts = [(p, i) for i, w in enumerate(words) for p in segments(w)]
-    parts.sort(key=lambda x: len(x[0]))
-    for a in range(0, len(parts), 2048):
-        chunk = parts[a:a + 2048]
-        codes, mask = _matrix([p for p, _ in chunk])
-        probs, *_ = _outputs(weights, codes, mask)
-        sums = np.concatenate([(probs * mask[:, :, None]).sum(1), mask.sum(1)[:, None]], 1)
-        np.add.at(out, [i for _, i in chunk], sums)
-    return out
+def windows(data: np.ndarray, start: int, end: int) -> list[tuple[int, int, int, int]]:
+    """(window start, core start, core end, window end) of the text at data[start:end]; cores begin with a character."""
+    cuts = [start]
+    while end - cuts[-1] > CORE:
+        cut = cuts[-1] + CORE
+        while cut > cuts[-1] + 1 and data[cut] & 0xC0 == 0x80:
+            cut -= 1
+        cuts.append(cut)
+    cuts.append(end)
+    return [(max(start, a - CONTEXT), a, b, min(end, b + CONTEXT)) for a, b in zip(cuts, cuts[1:]) if b > a]
+
 
+class Reader:
+    """Pooled probabilities of texts; the network's forward passes over many windows at once."""
+
+    def __init__(self, weights: dict):
+        h = self.hidden = len(weights["hf"])
+        self.tables = {}
+        for d in "fb":
+            # Reset and update are sigmoids, of which half of the sum goes into tanh; each gate has its own arrays.
+            x, recur = weights[f"x{d}"] + weights[f"b{d}"], weights[f"h{d}"]
+            self.tables[d] = [(np.ascontiguousarray(x[:, i * h:(i + 1) * h] * f), np.ascontiguousarray(recur[:, i * h:(i + 1) * h] * f))
+                              for i, f in enumerate(np.float32([0.5, 0.5, 1.0]))]
+        self.out = [np.ascontiguousarray(weights["o"][:h]), np.ascontiguousarray(weights["o"][h:])]
+        self.shift = weights["c"]
+
+    def _step(self, d: str, codes: np.ndarray, state: np.ndarray, room: list[np.ndarray]) -> None:
+        """The next state in place."""
+        held = []
+        for (table, recur), own, other in zip(self.tables[d], room[:3], room[3:]):
+            np.take(table, codes, axis=0, out=own, mode="clip")
+            np.matmul(state, recur, out=other)
+            held.append(own)
+        for own, other in zip(room[:2], room[3:5]):
+            own += other
+            np.tanh(own, out=own)
+            own += 1
+            own *= 0.5
+        reset, update, fresh = held
+        reset *= room[5]
+        fresh += reset
+        np.tanh(fresh, out=fresh)
+        state -= fresh
+        state *= update
+        state += fresh
+
+    def _sums(self, data: np.ndarray, chunk: np.ndarray) -> np.ndarray:
+        """Sum over the core positions of each window's probabilities."""
+        starts, lengths = chunk[:, 0], chunk[:, 3] - chunk[:, 0]
+        core_from, core_to = chunk[:, 1] - starts, chunk[:, 2] - starts
+        length = int(lengths.max())
+        codes = data[np.minimum(starts[None, :] + np.arange(length)[:, None], len(data) - 1)]
+        n, shortest = len(chunk), int(lengths.min())
+        room = [np.empty((n, self.hidden), np.float32) for _ in range(6)]
+        forward = np.empty((length, n, self.hidden), np.float32)
+        state = np.zeros((n, self.hidden), np.float32)
+        for t in range(length):
+            self._step("f", codes[t], state, room)
+            forward[t] = state
+        total = np.zeros((n, len(self.shift)), np.float64)
+        state = np.zeros((n, self.hidden), np.float32)
+        for t in range(length - 1, -1, -1):
+            self._step("b", codes[t], state, room)
+            if t >= shortest:
+                state[lengths <= t] = 0
+            scores = forward[t] @ self.out[0]
+            scores += state @ self.out[1]
+            scores += self.shift
+            np.exp(scores, out=scores)
+            scores *= (((core_from <= t) & (t < core_to)) / scores.sum(1))[:, None]
+            total += scores
+        return total
+
+    def __call__(self, texts: list[bytes]) -> np.ndarray:
+        """Mean probabilities of each text (zeros for an empty one); the last column is no language."""
+        out = np.zeros((len(texts), len(self.shift)))
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= GROUP_BYTES):
+                size += len(texts[end])
+                end += 1
+            data = np.frombuffer(b"".join(texts[at:end]), np.uint8)
+            places, owners, start = [], [], 0
+            for i in range(at, end):
+                found = windows(data, start, start + len(texts[i]))
+                places += found
+                owners += [i] * len(found)
+                start += len(texts[i])
+            if places:
+                places, owners = np.array(places), np.array(owners)
+                order = np.argsort(places[:, 3] - places[:, 0], kind="stable")
+                for a in range(0, len(order), WINDOWS_AT_ONCE):
+                    part = order[a:a + WINDOWS_AT_ONCE]
+                    np.add.at(out, owners[part], self._sums(data, places[part]))
+            at = end
+        sizes = np.array([max(1, len(t)) for t in texts])
+        return out / sizes[:, None]
 
-def _sample_words(per_doc: int):
-    """Label, text digest and word of the chosen words; a task gives each text of a label once."""
+
+def _sample_spans(per_doc: int):
+    """Label, text digest and span of the chosen spans; a task gives each text of a label once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
-            labels, digests, words = [], [], []
+            labels, digests, spans = [], [], []
             for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
                 whole = text.encode()
                 digest = xxhash.xxh128_digest(whole)
                 if (label, digest) in seen:
                     continue
                 seen.add((label, digest))
-                seed = xxhash.xxh64_intdigest(whole)
-                chosen = sorted(set(whole.split()), key=lambda w: (xxhash.xxh64_intdigest(w, seed), w))[:per_doc]
-                words += chosen
-                labels += [label] * len(chosen)
-                digests += [digest] * len(chosen)
+                # Spans at hashed places of the whole text, which begin and end with a character.
+                room = max(1, len(whole) - SPAN + 1)
+                found = {}
+                for i in range(per_doc):
+                    at = xxhash.xxh64_intdigest(digest, i) % room
+                    found[whole[at:at + SPAN].decode("utf-8", "ignore").encode()] = None
+                spans += found
+                labels += [label] * len(found)
+                digests += [digest] * len(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(labels, pa.string()), pa.array(digests, pa.binary()), pa.array(words, pa.binary())],
-                names=["label", "digest", "word"])
+                [pa.array(labels, pa.string()), pa.array(digests, pa.binary()), pa.array(spans, pa.binary())],
+                names=["label", "digest", "span"])
 
     return run
 
 
+def lowest_digests(rows: DataFrame, group: str, digest: str, n: int) -> DataFrame:
+    """The ``n`` lowest distinct digests (hexadecimal) of each group.
+
+    A first pass estimates how many there are, so that only about 4 * n of a group are ranked, whatever its size.
+    """
+    sizes = rows.groupBy(group).agg(F.approx_count_distinct(digest).alias("size"))
+    top = float(1 << 60)
+    bound = F.least(F.lit(top), F.lit(4.0 * n * top) / F.greatest(F.col("size"), F.lit(1)))
+    low = F.conv(F.substring(digest, 1, 15), 16, 10).cast("double") <= bound
+    few = rows.join(F.broadcast(sizes), group).where(low).select(group, digest).distinct()
+    order = Window.partitionBy(group).orderBy(digest)
+    return few.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).drop("rank")
+
+
 def learn(docs: DataFrame, label_col: str = "lang", text_col: str = "text",
-          docs_per_label: int = DOCS_PER_LABEL, words_per_doc: int = WORDS_PER_DOC) -> tuple[list[str], dict] | None:
+          docs_per_label: int = DOCS_PER_LABEL, spans_per_doc: int = SPANS_PER_DOC) -> tuple[list[str], dict] | None:
     """Train on a bounded sample of the labelled rows; None if there is nothing to learn from."""
     usable = docs.where(F.col(label_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"))
     labels = sorted(r["label"] for r in usable.select("label").distinct().collect())
     if not labels:
         return None
-    # Only labels and digests are ranked; the texts of the chosen digests are joined back, and copies give the same words.
-    digest = F.sha2("text", 256)
-    lowest = Window.partitionBy("label").orderBy("digest")
-    chosen = usable.select("label", digest.alias("digest")).distinct().withColumn("rank", F.row_number().over(lowest)).where(
-        F.col("rank") <= docs_per_label).select("label", "digest")
-    rows = usable.withColumn("digest", digest).join(F.broadcast(chosen), ["label", "digest"])
+    # Only labels and digests are ranked; the texts of the chosen digests are joined back, and copies give the same spans.
+    tagged = usable.withColumn("digest", F.sha2("text", 256))
+    chosen = lowest_digests(tagged.select("label", "digest"), "label", "digest", docs_per_label)
+    rows = tagged.join(F.broadcast(chosen), ["label", "digest"])
     found = rows.select("label", "text").mapInArrow(
-        _sample_words(words_per_doc), "label string, digest binary, word binary").distinct().collect()
-    found = sorted((bytes(r["word"]), r["label"]) for r in found)
+        _sample_spans(spans_per_doc), "label string, digest binary, span binary").distinct().collect()
+    found = sorted((bytes(r["span"]), r["label"]) for r in found)
     place = {y: i for i, y in enumerate(labels)}
     return labels, train([w for w, _ in found], [place[y] for _, y in found], len(labels))
 
 
-class _Pool:
-    """Document probabilities from the stored sums of distinct words."""
-
-    def __init__(self, weights: dict):
-        self.weights, self.index, self.sums = weights, {}, np.zeros((0, len(weights["c"]) + 1))
-        self.used = 0
-
-    def _learn(self, new: list[bytes]) -> None:
-        need = self.used + len(new)
-        if need > len(self.sums):
-            grown = np.zeros((max(need, 2 * len(self.sums), 4096), self.sums.shape[1]))
-            grown[:self.used] = self.sums[:self.used]
-            self.sums = grown
-        self.sums[self.used:need] = position_sums(self.weights, new)
-        self.index.update(zip(new, range(self.used, need)))
-        self.used = need
-
-    def __call__(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.sums.shape[1] - 1))
-        at = 0
-        while at < len(texts):
-            words, end, size = [], at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) <= GROUP_BYTES):
-                words.append(texts[end].encode().split())
-                size += len(texts[end])
-                end += 1
-            distinct = set().union(*words)
-            if self.used > CACHE_WORDS:
-                self.index.clear()
-                self.used = 0
-            new = [w for w in distinct if w not in self.index]
-            if new:
-                self._learn(new)
-            for i, w in enumerate(words, at):
-                if w:
-                    sums = self.sums[np.fromiter(map(self.index.__getitem__, w), np.int64, len(w))].sum(0)
-                    out[i] = sums[:-1] / sums[-1]
-            at = end
-        return out
-
-
-_POOLS: dict[bytes, _Pool] = {}
+# A language's least score: this quantile of the scores of right answers on rows it was not learned from, and no more than
+# ENOUGH, which is half as probable again as all else together.
+SCORE_QUANTILE, ENOUGH = 0.005, 0.6
 
 
-def _pool(weights: dict) -> _Pool:
-    key = xxhash.xxh128_digest(b"".join(weights[k].tobytes() for k in sorted(weights)))
-    if key not in _POOLS:
-        _POOLS.clear()
-        _POOLS[key] = _Pool(weights)
-    return _POOLS[key]
+def least_scores(judged: DataFrame, label_col: str, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """(label, least): the score below which an answer is none, from judged rows that were held out of the sample."""
+    right = judged.where(F.col(names[0]) == F.col(label_col).cast("string"))
+    low = F.percentile_approx(names[1], SCORE_QUANTILE, 10_000)
+    return right.groupBy(F.col(names[0]).alias("label")).agg(F.least(low, F.lit(ENOUGH)).alias("least"))
 
 
 def _predict(labels: list[str], weights: dict, kept: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pool = _pool(weights)
+        reader = Reader(weights)
         for batch in batches:
             letters = batch.column("letters").to_pylist()
-            texts = [t if on else "" for t, on in zip(batch.column("body").to_pylist(), letters)]
-            probs = pool(texts)
+            texts = [t if on else b"" for t, on in zip(batch.column("body").cast(pa.binary()).to_pylist(), letters)]
+            probs = reader(texts)[:, :len(labels)]
             best = probs.argmax(1)
             names = [labels[b] if on else UNKNOWN for b, on in zip(best, letters)]
             score = np.where(letters, probs[np.arange(len(best)), best], 0.0)
@@ -295,6 +393,8 @@ def identify(docs: DataFrame, model: tuple[list[str], dict] | None, keep: list[C
              names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """The ``keep`` columns of every row, its predicted language and the pooled probability of that language.
 
+    What the languages' probabilities lack to one is the probability that it is none of them.
+
     A text that is null or has no letter gets ``und`` with score 0, and so does every text if there is no model.
     Ties go to the first language in order; repeated rows get equal answers; an empty table gives no rows.
     """

@@ -224,7 +224,7 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN done d ON d.conv_i
 
 ORACLES["op7_exact_dedup"] = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-       doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
+       row_number() OVER (PARTITION BY body ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(body) AS text_sha256
 FROM (SELECT doc_id, coalesce(text, '') AS body FROM documents)
 WINDOW same AS (PARTITION BY body)
 """

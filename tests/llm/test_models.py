@@ -286,20 +286,94 @@ def test_repeated_turns_do_not_multiply(spark):
 
 
 def test_every_label_is_learned_from_distinct_texts(spark, monkeypatch):
-    """A label of few large groups of copies is in the sample, each text once, with words of its own."""
+    """A label of few large groups of copies is in the sample, each text once, with spans of its own."""
     seen = []
-    monkeypatch.setattr(language_id, "train", lambda words, labels, n: seen.append(Counter(labels)))
+    monkeypatch.setattr(language_id, "train", lambda spans, labels, n: seen.append(Counter(labels)))
     rows = spark.range(9000).select(
         F.when(F.col("id") < 6000, "aa").otherwise("bb").alias("lang"),
         F.when(F.col("id") < 6000, F.format_string("copied text%d", F.col("id") % 3)).otherwise(F.format_string("single t%d", F.col("id"))).alias("text"))
     labels, _ = language_id.learn(rows, docs_per_label=50)
-    assert labels == ["aa", "bb"] and seen == [Counter({0: 3 * 2, 1: 50 * 2})]
+    assert labels == ["aa", "bb"] and seen == [Counter({0: 3, 1: 50})]
 
 
-def test_documents_give_different_words():
+def test_documents_give_different_spans():
     import pyarrow as pa
 
-    texts = [" ".join(f"w{k}" for k in range(200)) + f" own{i}" for i in range(20)]
+    texts = [" ".join(f"w{k}" for k in range(200)) + f" own{i} é" for i in range(20)]
     batch = pa.RecordBatch.from_pydict({"label": ["x"] * 20, "text": texts})
-    words = next(language_id._sample_words(10)(iter([batch]))).column("word").to_pylist()
-    assert len(words) == 200 and len(set(words)) > 80
+    spans = next(language_id._sample_spans(4)(iter([batch]))).column("span").to_pylist()
+    assert len(spans) >= 75 and len(set(spans)) > 60 and all(s.decode() for s in spans)
+
+
+def _direct(weights, text):
+    """Probabilities of one whole text by one forward pass over all of its bytes."""
+    codes = np.frombuffer(text, np.uint8)[None, :]
+    probs, *_ = language_id._outputs(weights, codes, np.ones(codes.shape, bool))
+    return probs[0].mean(0)
+
+
+def test_texts_are_read_as_by_one_pass(monkeypatch):
+    """Short texts exactly; long ones up to what lies beyond the context, which the states forget."""
+    weights = language_id.fresh_weights(4, seed=3)
+    rng = np.random.default_rng(1)
+    letters = list("abcdefgh  é日🙂")
+    texts = ["".join(rng.choice(letters, n)).encode() for n in (1, 2, 30, 200, 250, 383, 384, 385, 900, 5000, 0, 3)]
+    got = language_id.Reader(weights)(texts)
+    for text, probs in zip(texts, got):
+        if not text:
+            assert not probs.any()
+        elif len(text) <= language_id.CORE:
+            assert np.abs(probs - _direct(weights, text)).max() < 1e-5
+        else:
+            assert np.abs(probs - _direct(weights, text)).max() < 2e-3
+    monkeypatch.setattr(language_id, "GROUP_BYTES", 100)
+    monkeypatch.setattr(language_id, "WINDOWS_AT_ONCE", 3)
+    assert np.abs(language_id.Reader(weights)(texts) - got).max() < 1e-6
+
+
+def test_windows_cover_every_byte_once():
+    rng = np.random.default_rng(2)
+    for n in (1, 100, 384, 385, 2000):
+        text = "".join(rng.choice(list("aé日🙂"), n)).encode()
+        data = np.frombuffer(b"xx" + text, np.uint8)
+        found = language_id.windows(data, 2, len(data))
+        assert [a for _, a, _, _ in found] == [2, *[b for _, _, b, _ in found][:-1]] and found[-1][2] == len(data)
+        for start, a, b, end in found:
+            assert 2 <= start <= a < b <= end <= len(data) and b - a <= language_id.CORE
+            assert data[a] & 0xC0 != 0x80
+    # Bytes that are no characters still end.
+    assert len(language_id.windows(np.full(2000, 0x80, np.uint8), 0, 2000)) > 1
+
+
+@pytest.fixture(scope="module")
+def learned(spark, sf):
+    docs = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet")
+    return docs, language_id.learn(docs.where((remainder(4) != 2) & (F.col("lang") != "fr")))
+
+
+def test_noise_and_unlearned_languages_score_low(learned):
+    docs, model = learned
+    held = language_id.identify(docs.where(remainder(4) == 2), model, [F.col("lang")])
+    least = {r["label"]: r["least"] for r in language_id.least_scores(held, "lang").collect()}
+    rows = held.collect()
+    known = [r for r in rows if r["lang"] in model[0]]
+    assert np.mean([r["score"] >= least[r["lang_pred"]] for r in known]) >= 0.98
+    new = [r for r in rows if r["lang"] == "fr"]
+    assert len(new) > 10 and np.mean([r["score"] < least[r["lang_pred"]] for r in new]) >= 0.95
+    rng = np.random.default_rng(6)
+    junk = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz   "), 300)).encode() for _ in range(100)]
+    junk += ["".join(chr(0x530 + i) for i in rng.integers(1, 38, 200)).encode() for _ in range(100)]  # a script never drawn
+    probs = language_id.Reader(model[1])(junk)[:, :len(model[0])]
+    assert np.mean(probs.max(1) < min(least.values())) >= 0.95
+
+
+def test_lowest_digests_rank_a_bounded_part(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") < 39_000, "hot").otherwise("cold").alias("g"), F.sha2((F.col("id") % 20_000).cast("string"), 256).alias("digest"))
+    got = language_id.lowest_digests(rows, "g", "digest", 50).collect()
+    want = {}
+    for r in rows.distinct().collect():
+        want.setdefault(r["g"], []).append(r["digest"])
+    assert {(r["g"], r["digest"]) for r in got} == {(g, d) for g, ds in want.items() for d in sorted(ds)[:50]}

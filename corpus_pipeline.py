@@ -13,39 +13,41 @@ from pyspark.sql import functions as F
 from gleaner.llm import exact_dedup, language_id, minhash_dedup, packing
 from gleaner.llm.common import Work, free_name, keep_rows, prepare
 
-# A language must be a fifth more probable than chance.
-OVER_CHANCE = 1.2
-
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or whose best language is hardly more probable than chance, go.
+    """Documents that are in none of the learned languages, or have no letter, go.
 
-    The network learns from the labelled documents whose crc32(doc_id) mod 4 is not 2. Without any labelled document
-    there is nothing to judge by, and only texts without a letter go.
+    The network learns from labelled documents whose crc32(doc_id) mod 4 is not 2. The others say what a right answer
+    scores at least (``language_id.least_scores``); an answer below that is none. A language without a right answer
+    among them must reach ``language_id.ENOUGH``. Without any labelled document there is nothing to judge by,
+    and only texts without a letter go.
     """
-    prepare(spark)
+    work = Work(prepare(spark), "pipeline-language")
     held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(4)) == 2
     model = language_id.learn(docs.where(~held_out))
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     names = (free_name(docs, "lang_pred"), free_name(docs, "lang_score"))
-    judged = language_id.identify(docs, model, [docs[c] for c in docs.columns], names=names)
-    known = (F.col(names[0]) != language_id.UNKNOWN) & (F.col(names[1]) >= OVER_CHANCE / len(model[0]))
-    return judged.where(known | ((F.col(names[0]) != language_id.UNKNOWN) & F.lit(len(model[0]) == 1))).drop(*names)
+    # Judging is the dear part, so it is done once and written.
+    judged = work.save(language_id.identify(docs, model, [docs[c] for c in docs.columns], names=names), "judged")
+    least = {r["label"]: r["least"] for r in language_id.least_scores(judged.where(held_out), "lang", names).collect()}
+    bounds = F.create_map(*[F.lit(x) for y in model[0] for x in (y, least.get(y, language_id.ENOUGH))])
+    answer, score = F.col(names[0]), F.col(names[1])
+    return judged.where((answer != language_id.UNKNOWN) & (score >= bounds[answer])).drop(*names)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays, the one with the largest doc_id."""
-    prepare(spark)
-    found = exact_dedup.exact_duplicates(docs, Work(spark, "pipeline-exact"), keep="largest")
-    return keep_rows(docs, found.where("kept"), "doc_id", "text")
+    work = Work(prepare(spark), "pipeline-exact")
+    found = exact_dedup.exact_duplicates(docs, work, keep="largest")
+    return keep_rows(work, docs, found.select("doc_id", "digest", F.col("kept").alias("keep")), "doc_id", "text")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at 0.8 or more stays, the one with the smallest doc_id."""
-    prepare(spark)
-    found = minhash_dedup.near_duplicates(docs, Work(spark, "pipeline-near"), width=5, percent=80)
-    return keep_rows(docs, found.where("keeper"), "doc_id", "text")
+    work = Work(prepare(spark), "pipeline-near")
+    found = minhash_dedup.near_duplicates(docs, work, width=5, percent=80)
+    return keep_rows(work, docs, found.select("doc_id", "digest", F.col("keeper").alias("keep")), "doc_id", "text")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

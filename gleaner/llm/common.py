@@ -96,7 +96,8 @@ def keep_rows(work: Work, docs: DataFrame, found: DataFrame, id_col: str, text_c
 
     ``digest`` is the binary SHA-256 of the text, a null text counting as empty. Null ids match null ids. Decisions are
     slim; what is dropped is taken off by an anti join, and only ids that repeat with their text are ranked, by all
-    columns, so that the row that stays is always the same.
+    columns, so that the row that stays is always the same. The decisions may be many, so they are never broadcast: the
+    join deals both sides by id and digest at every size, and only the slim side is held in memory, a partition at a time.
     """
     digest, rank = free_name(docs, "digest_"), free_name(docs, "rank_")
     tagged = docs.withColumn(digest, F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
@@ -104,10 +105,10 @@ def keep_rows(work: Work, docs: DataFrame, found: DataFrame, id_col: str, text_c
         F.max("keep").alias("keep"), (F.count(F.lit(1)) > 1).alias("repeats")).where("repeats OR NOT keep").select(
             F.col("doc_id").alias("found_id_"), F.col("digest").alias("found_digest_"), "keep"), "decided")
     same = tagged[id_col].eqNullSafe(decided["found_id_"]) & (tagged[digest] == decided["found_digest_"])
-    single = tagged.join(decided, same, "left_anti").select(*docs.columns)
+    single = tagged.join(decided.hint("shuffle_hash"), same, "left_anti").select(*docs.columns)
     if not decided.where("keep").limit(1).count():
         return single
-    again = tagged.join(decided.where("keep"), same, "left_semi")
+    again = tagged.join(decided.where("keep").hint("shuffle_hash"), same, "left_semi")
     order = Window.partitionBy(id_col, digest).orderBy(F.to_json(F.struct(*[again[c] for c in docs.columns])))
     first = again.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).select(*docs.columns)
     return single.unionByName(first)

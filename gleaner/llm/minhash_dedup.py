@@ -256,7 +256,8 @@ def near_duplicates(docs: DataFrame, work: Work, width: int = 5, percent: int =
         F.col("node").alias("cid"), F.col("component").alias("comp"), "size")
     wanted = work.save(wanted.join(heads.select("cid", F.col("doc_id").alias("head_id"), F.col("digest").alias("head_digest")), "cid"), "wanted")
 
-    texts = source.join(wanted, source["digest"].eqNullSafe(wanted["head_digest"])
+    # Dealt by digest and id at every size; only the slim side is held in memory, a partition at a time.
+    texts = source.join(wanted.hint("shuffle_hash"), source["digest"].eqNullSafe(wanted["head_digest"])
                         & source["doc_id"].eqNullSafe(wanted["head_id"])).select("comp", "size", "cid", "text")
     sets = texts.mapInArrow(_texts_to_sets(width), "comp long, size long, cid long, shingles binary")
     links = by_group(paired_blocks(sets, "size", SET_BLOCK).select("comp", "lo", "hi", "cid", "shingles"),

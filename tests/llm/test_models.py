@@ -354,7 +354,8 @@ def learned(spark, sf):
 def test_noise_and_unlearned_languages_score_low(learned):
     docs, model = learned
     held = language_id.identify(docs.where(remainder(4) == 2), model, [F.col("lang")])
-    least = {r["label"]: r["least"] for r in language_id.least_scores(held, "lang").collect()}
+    least = language_id.least_scores(held, "lang")
+    assert set(least) == set(model[0]) and all(0 < v <= language_id.ENOUGH for v in least.values())
     rows = held.collect()
     known = [r for r in rows if r["lang"] in model[0]]
     assert np.mean([r["score"] >= least[r["lang_pred"]] for r in known]) >= 0.98

@@ -30,7 +30,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     names = (free_name(docs, "lang_pred"), free_name(docs, "lang_score"))
     # Judging is the dear part, so it is done once and written.
     judged = work.save(language_id.identify(docs, model, [docs[c] for c in docs.columns], names=names), "judged")
-    least = {r["label"]: r["least"] for r in language_id.least_scores(judged.where(held_out), "lang", names).collect()}
+    least = language_id.least_scores(judged.where(held_out), "lang", names)
     bounds = F.create_map(*[F.lit(x) for y in model[0] for x in (y, least.get(y, language_id.ENOUGH))])
     answer, score = F.col(names[0]), F.col(names[1])
     return judged.where((answer != language_id.UNKNOWN) & (score >= bounds[answer])).drop(*names)

@@ -1,10 +1,17 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
 Equal vectors are one class from the start. Every class descends ``TREES`` trees: a node projects its vectors on a
-random direction and splits at the median; vectors within ``SPILL`` of the cut go both ways. A node's cuts, several
+random direction and splits at the median; vectors within a margin of the cut go both ways. A node's cuts, several
 levels at once, are fitted on a bounded sample of its own vectors, and rounds of fitting and routing go on until a node
 holds ``LEAF`` vectors or cannot be split any more (a crowd of near copies).
 
+The margin is ``SPILL`` times the spread that the difference of two unit vectors at the threshold has in a random
+direction, sqrt(2 - 2 threshold) / sqrt(dimensions), so depth costs the same in every dimension. Vectors that fill the
+sphere have a spread of 1 / sqrt(dimensions) themselves: at 0.95 an eighth of them goes both ways, a tree of 19 levels
+(400 million vectors) holds each about ten times, and a level parts one pair in fifty at the threshold and fewer above
+it; all five trees must part a pair before it is lost. A cut that would keep more than ``KEEP`` of the vectors on one
+side is not made, which bounds the growth to 1.4 a level for any data.
+
 All vectors of a leaf are compared in double precision. A leaf above ``BLOCK`` vectors is compared block against
 block, each pair of blocks being a task of its own, so no size is left out. A task emits no pairs: for each linked
 class it gives its number of links and the smallest class of its local component, which the connected components of
@@ -25,11 +32,13 @@ from gleaner.llm.common import Work, components
 TREES = 5
 LEAF = 768
 BLOCK = 1024
-# Unit vectors at cosine 0.95 differ by 0.316, in a random direction of 64 dimensions by about 0.04.
-SPILL = 0.02
-SAMPLE = 4096
+SPILL = 0.5
+KEEP = 0.7
+# A round's lowest cuts are fitted on about SAMPLE / 2 ** LEVELS vectors.
+SAMPLE = 16384
 LEVELS = 8
-SALTS = 16
+# Numbers that one task routes at a time.
+ROUTE_CELLS = 1 << 20
 NODE = ["tree", "dim", "node"]
 
 
@@ -43,15 +52,21 @@ def _unit(vectors) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _fit(spill: float, leaf: int):
-    """Cuts of a node's subtree in heap order, from a sample of its vectors."""
+def margin(dim: int, threshold: float, spill: float | None) -> float:
+    """How far from a cut vectors go both ways."""
+    return SPILL * (max(2 - 2 * threshold, 0) / dim) ** 0.5 if spill is None else spill
+
+
+def _fit(threshold: float, spill: float | None, leaf: int):
+    """Cuts of a node's subtree in heap order, from a sample of its vectors; NaN where a cut would not part them."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         tree, dim, node = key
         size = int(rows["size"].iloc[0])
+        near = margin(dim, threshold, spill)
         levels = int(min(LEVELS, max(1, np.ceil(np.log2(size / leaf) / 0.8))))
         x = _unit(rows["vec"])
-        cuts = np.zeros(2 ** levels - 1)
+        cuts = np.full(2 ** levels - 1, np.nan)
         members = {0: np.arange(len(x))}
         for h in range(2 ** levels - 1):
             own = members.pop(h, np.zeros(0, int))
@@ -59,52 +74,55 @@ def _fit(spill: float, leaf: int):
                 continue
             level = (h + 1).bit_length() - 1
             p = x[own] @ _direction(tree, (node << level) + h + 1 - (1 << level), dim)
-            cuts[h] = np.median(p)
-            members[2 * h + 1] = own[p < cuts[h] + spill]
-            members[2 * h + 2] = own[p > cuts[h] - spill]
+            cut = np.median(p)
+            low, high = own[p < cut + near], own[p > cut - near]
+            if max(len(low), len(high)) <= KEEP * len(own):
+                cuts[h], members[2 * h + 1], members[2 * h + 2] = cut, low, high
         return pd.DataFrame({"tree": [tree], "dim": [dim], "node": [node], "size": [size], "cuts": [cuts.tolist()]})
 
     return run
 
 
-def _route(spill: float):
+def _route(threshold: float, spill: float | None):
+    """Send vectors down to the first node without a cut; ``stuck`` where the first node has none."""
+
     def run(key: tuple, rows: pd.DataFrame, plans: pd.DataFrame) -> pd.DataFrame:
         tree, dim, node, _ = key
         if not len(rows) or not len(plans):
-            return rows.iloc[:0][["tree", "dim", "node", "cid", "vec"]].assign(was=pd.Series(dtype="int64"))
-        cuts = np.array(plans["cuts"].iloc[0])
-        levels = (len(cuts) + 1).bit_length() - 1
+            return rows.iloc[:0][["tree", "dim", "node", "cid", "vec"]].assign(stuck=pd.Series(dtype="bool"))
+        cuts, near = np.array(plans["cuts"].iloc[0], float), margin(dim, threshold, spill)
         x = _unit(rows["vec"])
-        at = {node: np.arange(len(x))}
-        for level in range(levels):
+        at, stay = {node: np.arange(len(x))}, {}
+        for level in range((len(cuts) + 1).bit_length() - 1):
             below = {}
             for n, own in at.items():
-                if not len(own):
-                    continue
                 cut = cuts[(1 << level) - 1 + n - (node << level)]
+                if np.isnan(cut):
+                    stay[n] = own
+                    continue
                 p = x[own] @ _direction(tree, n, dim)
-                below[2 * n], below[2 * n + 1] = own[p < cut + spill], own[p > cut - spill]
+                below[2 * n], below[2 * n + 1] = own[p < cut + near], own[p > cut - near]
             at = below
+        at = {**stay, **at}
         place = np.concatenate([*at.values(), np.zeros(0, int)]).astype(int)
         out = rows.iloc[place][["tree", "dim", "cid", "vec"]].copy()
         out.insert(2, "node", np.repeat(np.array(list(at), np.int64), [len(v) for v in at.values()]))
-        return out.assign(was=int(plans["size"].iloc[0]))
+        return out.assign(stuck=bool(np.isnan(cuts[0])))
 
     return run
 
 
-def grow(classes: DataFrame, work: Work, trees: int, leaf: int, spill: float) -> DataFrame:
+def grow(classes: DataFrame, work: Work, trees: int, leaf: int, threshold: float, spill: float | None = None) -> DataFrame:
     """(tree, dim, node, cid, vec, size) of all leaves."""
     state = work.save(classes.select(
         F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "dim", F.lit(1).cast("long").alias("node"),
-        "cid", "vec", F.lit(None).cast("long").alias("was")), "state")
+        "cid", "vec", F.lit(False).alias("stuck")), "state")
     leaves = None
     while True:
-        sizes = state.groupBy(*NODE).agg(F.count("*").alias("size"), F.max("was").alias("was"))
-        # A node that kept nine tenths of its parent's vectors does not split.
-        split = (F.col("size") > leaf) & (F.col("was").isNull() | (F.col("size") < 0.9 * F.col("was")))
-        sizes = work.save(sizes.select(*NODE, "size", split.alias("split")), "sizes")
-        sized = state.drop("was").join(sizes, NODE)
+        sizes = state.groupBy(*NODE).agg(F.count("*").alias("size"), F.max("stuck").alias("stuck"))
+        sizes = work.save(sizes.select(
+            *NODE, "size", ((F.col("size") > leaf) & ~F.col("stuck")).alias("split")), "sizes")
+        sized = state.drop("stuck").join(sizes, NODE)
         done = sized.where(~F.col("split")).drop("split")
         leaves = done if leaves is None else leaves.unionByName(done)
         if sizes.where("split").isEmpty():
@@ -112,13 +130,14 @@ def grow(classes: DataFrame, work: Work, trees: int, leaf: int, spill: float) ->
         rows = sized.where("split")
         sample = rows.where(F.pmod(F.xxhash64("cid", "tree"), F.col("size")) < SAMPLE)
         plans = work.save(sample.groupBy(*NODE).applyInPandas(
-            _fit(spill, leaf), "tree int, dim int, node long, size long, cuts array<double>"), "cuts")
-        salt = F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int")
-        left = rows.drop("size").withColumn("salt", salt).groupBy(*NODE, "salt")
-        right = plans.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).groupBy(*NODE, "salt")
-        state = work.save(left.cogroup(right).applyInPandas(
-            _route(spill), f"tree int, dim int, node long, cid long, vec {classes.schema['vec'].dataType.simpleString()}, was long"),
-            "state")
+            _fit(threshold, spill, leaf), "tree int, dim int, node long, size long, cuts array<double>"), "cuts")
+        # A node is routed by as many tasks as its vectors need.
+        salts = F.ceil(F.col("size") * F.col("dim") / ROUTE_CELLS).cast("int")
+        salted = rows.withColumn("salt", F.pmod(F.xxhash64("cid"), salts).cast("int"))
+        right = plans.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        state = work.save(salted.drop("size").groupBy(*NODE, "salt").cogroup(right.groupBy(*NODE, "salt")).applyInPandas(
+            _route(threshold, spill), "tree int, dim int, node long, cid long, "
+            f"vec {classes.schema['vec'].dataType.simpleString()}, stuck boolean"), "state")
 
 
 def _compare(threshold: float):
@@ -179,12 +198,13 @@ def _roots(linked: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray) -> np.ndarr
 
 def near_duplicates(vectors: DataFrame, work: Work, threshold: float = 0.95, id_col: str = "vec_id",
                     vector_col: str = "embedding", trees: int = TREES, leaf: int = LEAF, block: int = BLOCK,
-                    spill: float = SPILL) -> DataFrame:
+                    spill: float | None = None) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
     Vectors that are null, empty, zero or hold a null or non-finite component link with nothing, and vectors of
     different lengths never link. Equal vectors link with each other. The component's number is its smallest vec_id,
-    nulls aside. Repeated rows count as vectors of their own; an empty table gives no rows.
+    nulls aside. Repeated rows count as vectors of their own; an empty table gives no rows. ``spill`` replaces the
+    margin around the cuts by a fixed one.
     """
     vec = F.col(vector_col)
     rows = work.save(vectors.select(
@@ -200,7 +220,7 @@ def near_duplicates(vectors: DataFrame, work: Work, threshold: float = 0.95, id_
         F.min("row").alias("cid"), F.count("*").alias("copies"), F.min("vec_id").alias("least"))
         .select("*", F.size("vec").alias("dim")), "classes")
     members = work.save(usable.join(classes.select("vec", "cid"), "vec").select("row", "cid"), "members")
-    leaves = grow(classes, work, trees, leaf, spill).withColumn("leaf", F.xxhash64(*NODE))
+    leaves = grow(classes, work, trees, leaf, threshold, spill).withColumn("leaf", F.xxhash64(*NODE))
     leaves = work.save(leaves, "leaves")
     own = leaves.groupBy("cid").agg(F.collect_list("leaf").alias("leaves"))
     blocks = F.ceil(F.col("size") / block).cast("int")

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gleaner.llm import common, embedding_dedup, exact_dedup, minhash_dedup
 
@@ -152,3 +153,40 @@ def test_embedding_recall_on_the_table(spark, work, sf):
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     want = int((x @ x.T >= 0.95).sum() - len(x))
     assert sum(r["n_links"] for r in got) >= 0.9 * want
+
+
+@pytest.mark.parametrize("dim, size", [(16, 3000), (64, 3000), (768, 900)])
+def test_embedding_recall_of_deep_trees(spark, work, dim, size):
+    """Pairs just above the threshold, in trees of five levels with the margin as shipped."""
+    rng = np.random.default_rng(dim)
+    x = rng.normal(size=(size, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    off = rng.normal(size=x.shape)
+    off -= (off * x).sum(1, keepdims=True) * x
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    x = np.concatenate([x, 0.955 * x + (1 - 0.955 ** 2) ** 0.5 * off])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    leaf = 2 * size // 24
+    want = np.zeros(len(x), int)
+    for a in range(0, len(x), 1024):
+        want[a:a + 1024] = (x[a:a + 1024] @ x.T >= 0.95).sum(1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(df, work, leaf=leaf).collect()}
+    found = np.array([got[i] for i in range(len(x))])
+    assert (found <= want).all() and found.sum() >= 0.97 * want.sum()
+    classes = df.select(F.col("vec_id").alias("cid"), F.col("embedding").alias("vec"), F.lit(dim).alias("dim"))
+    leaves = embedding_dedup.grow(classes, work, 2, leaf, 0.95)
+    assert leaves.agg(F.max("size")).first()[0] <= leaf
+    rows = leaves.count() / (2 * len(x))
+    print(f"dimensions {dim}: recall {found.sum() / want.sum():.4f}, {rows:.2f} rows per vector and tree")
+    assert rows < 2.5
+
+
+def test_crowds_stay_whole(spark, work):
+    """A crowd that no cut divides is one leaf in every tree, and no link in it is lost."""
+    rng = np.random.default_rng(1)
+    crowd = 0.98 * np.eye(32)[0] + 0.03 * rng.normal(size=(300, 32))
+    rest = rng.normal(size=(300, 32))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([crowd, rest]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = embedding_dedup.near_duplicates(df, work, leaf=50, block=64).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == brute_vectors(*zip(*rows))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,14 +18,31 @@ from gleaner.operators import nodes as N
 from gleaner.operators.page import PageContext
 from gleaner.profiles import CardSpec, SourceProfile
 
+LINK = "a[href]"
 
-def kept_attrs(source: SourceProfile) -> frozenset[str]:
-    """Attributes the profile's selectors and fields need."""
+
+def _selectors(source: SourceProfile) -> list[str]:
+    c = source.cards
+    named = [s for s in (c.rating, c.count, c.eta, c.tags, c.address, c.image) if s]
+    return [*source.listing_markers, *c.cards, *c.name, *c.categories, *named, LINK]
+
+
+@cache
+def selector_table(source: SourceProfile) -> N.SelectorTable:
+    """All selectors of a profile, for ``parse_nodes`` and the card functions."""
+    return N.SelectorTable(_selectors(source))
+
+
+def field_attrs(source: SourceProfile) -> frozenset[str]:
+    """Attributes that the profile's fields are read from, apart from those its selectors test."""
     c = source.cards
-    selectors = [*source.listing_markers, *c.cards, *c.name, *c.categories]
-    selectors += [s for s in (c.rating, c.count, c.eta, c.tags, c.address, c.image) if s]
-    extra = {"href", "title", "style", *c.image_attrs}
-    return N.selector_attrs(*selectors) | extra | ({c.name_attr} if c.name_attr else set())
+    return frozenset({"href", "title", "style", *c.image_attrs}) | ({c.name_attr} if c.name_attr else set())
+
+
+def kept_attrs(source: SourceProfile, table: N.SelectorTable | None = None) -> frozenset[str]:
+    """Attributes that nodes must carry: those of the fields, and of the selectors that ``table`` does not settle."""
+    open_ones = [s for s in _selectors(source) if table is None or table.mask(s) is None]
+    return N.selector_attrs(*open_ones) | field_attrs(source)
 
 
 def name_reject(name: Column, tokens: tuple[str, ...]) -> Column:
@@ -39,12 +57,13 @@ def name_length_ok(name: Column, spec: CardSpec) -> Column:
 class _Card:
     """Field access below one card inside a lambda."""
 
-    def __init__(self, card: Column):
+    def __init__(self, card: Column, table: N.SelectorTable | None):
+        self.table = table
         self.node, self.inner, self.parent = card["node"], card["inner"], card["parent"]
         self.first = self.node["pre"] + F.lit(1)
 
     def one(self, selector: str) -> Column:
-        return N.select_one(self.inner, selector)
+        return N.select_one(self.inner, selector, self.table)
 
     def text(self, n: Column) -> Column:
         return N.text_of(self.inner, n, self.first)
@@ -103,7 +122,7 @@ def _link(card: _Card, spec: CardSpec, base: str) -> Column:
     own = F.when(card.node["tag"] == "a", F.coalesce(N.attr(card.node, "href"), F.lit("")))
     if spec.parent_link:
         own = own.when(card.parent["tag"] == "a", F.coalesce(N.attr(card.parent, "href"), F.lit("")))
-    return bind(own.otherwise(N.attr(card.one("a[href]"), "href")), lambda u: absolutise(u, base))
+    return bind(own.otherwise(N.attr(card.one(LINK), "href")), lambda u: absolutise(u, base))
 
 
 def _image(card: _Card, spec: CardSpec) -> Column:
@@ -119,8 +138,8 @@ def _image_url(img: Column, spec: CardSpec) -> Column:
     return found
 
 
-def _entity(c: Column, page: PageContext, spec: CardSpec) -> Column:
-    card = _Card(c)
+def _entity(c: Column, page: PageContext, spec: CardSpec, table: N.SelectorTable | None) -> Column:
+    card = _Card(c, table)
     parts = F.struct(
         card.text_at(spec.rating).alias("rating"), card.text_at(spec.count).alias("count"),
         squash_space(card.text_at(spec.eta)).alias("eta"), _categories(card, spec).alias("tags"))
@@ -144,23 +163,25 @@ def _assemble(c: Column, card: _Card, p: Column, page: PageContext, spec: CardSp
     )
 
 
-def select_cards(df: DataFrame, spec: CardSpec, nodes: str = "_nodes", out: str = "_cards") -> DataFrame:
+def select_cards(
+    df: DataFrame, spec: CardSpec, nodes: str = "_nodes", out: str = "_cards", table: N.SelectorTable | None = None
+) -> DataFrame:
     """Adds the cards of the page as ``array<struct<rank, node, inner, parent, name>>``.
 
     The selectors are ranked; the winner is the first with any card, or the first with a usable card.
-    Everything stays inside the page row, so no shuffle is needed.
+    Everything stays inside the page row, so no shuffle is needed. ``table`` is the one the nodes were parsed with.
     """
-    for name, column in card_columns(spec, nodes, out):
+    for name, column in card_columns(spec, nodes, out, table):
         df = df.withColumn(name, column)
     return df.drop("_cand", "_ranked", "_names")
 
 
 @built_once
-def card_columns(spec: CardSpec, nodes: str, out: str) -> list[tuple[str, Column]]:
+def card_columns(spec: CardSpec, nodes: str, out: str, table: N.SelectorTable | None) -> list[tuple[str, Column]]:
     """The steps of card selection as successive columns."""
-    steps = [("_cand", N.select(F.col(nodes), ", ".join(spec.cards)))]
+    steps = [("_cand", N.select(F.col(nodes), ", ".join(spec.cards), table))]
     ranked = F.flatten(F.array(*[
-        F.transform(N.select(F.col("_cand"), s), _ranked(rank)) for rank, s in enumerate(spec.cards)]))
+        F.transform(N.select(F.col("_cand"), s, table), _ranked(rank)) for rank, s in enumerate(spec.cards)]))
     steps.append(("_ranked", ranked))
     if not spec.skip_unusable:
         steps.append(("_ranked", _best_rank(F.col("_ranked"))))
@@ -170,7 +191,7 @@ def card_columns(spec: CardSpec, nodes: str, out: str) -> list[tuple[str, Column
         F.when(c["node"]["parent"] >= 0, F.get(F.col(nodes), c["node"]["parent"])).alias("parent")))))
     named = F.transform(out, lambda c: F.struct(
         c["rank"].alias("rank"), c["node"].alias("node"), c["inner"].alias("inner"), c["parent"].alias("parent"),
-        _name(_Card(c), spec).alias("name")))
+        _name(_Card(c, table), spec).alias("name")))
     steps.append((out, F.filter(named, lambda c: c["name"] != "")))
     if spec.skip_unusable:
         steps.append((out, _best_rank(F.col(out))))
@@ -196,6 +217,6 @@ def first_by_key(values: Column, keys: Column) -> Column:
     return F.transform(F.filter(zipped, lambda x, i: x["at"] == i + 1), lambda x: x["v"])
 
 
-def card_entities(cards: Column, page: PageContext) -> Column:
+def card_entities(cards: Column, page: PageContext, table: N.SelectorTable | None = None) -> Column:
     """Entities of the selected cards, in document order."""
-    return F.transform(cards, lambda c: _entity(c, page, page.source.cards))
+    return F.transform(cards, lambda c: _entity(c, page, page.source.cards, table))

@@ -58,7 +58,7 @@ def json_columns(source: SourceProfile) -> dict[str, Column]:
 
 @built_once
 def card_rows(source: SourceProfile) -> Column:
-    return F.coalesce(C.card_entities(F.col("_cards"), PageContext.of(source)), no_entities())
+    return F.coalesce(C.card_entities(F.col("_cards"), PageContext.of(source), C.selector_table(source)), no_entities())
 
 
 @built_once
@@ -93,11 +93,12 @@ def extract_source(pages: DataFrame, source: SourceProfile, carry: tuple[str, ..
     if source.cards:
         # Pages that JSON already settled skip the HTML parser, unless cards decide first.
         markup = F.col("html") if source.listing_markers else F.when(~_has("_json"), F.col("html"))
-        df = df.withColumn("_nodes", nodes.parse_nodes(markup, C.kept_attrs(source)))
+        table = C.selector_table(source)
+        df = df.withColumn("_nodes", nodes.parse_nodes(markup, C.kept_attrs(source, table), table))
         if source.listing_markers:
-            marked = F.exists("_nodes", lambda n: nodes.matches(n, ", ".join(source.listing_markers)))
+            marked = F.exists("_nodes", lambda n: nodes.matches(n, ", ".join(source.listing_markers), table))
             df = df.withColumn("_listing", F.coalesce(marked, F.lit(False)))
-        df = C.select_cards(df, source.cards)
+        df = C.select_cards(df, source.cards, table=table)
         df = df.withColumn("_card_rows", card_rows(source))
         cards = _tag("_card_rows", BRANCH_CARDS)
         use_json = _has("_json")

@@ -148,6 +148,33 @@ def test_selectors(spark, selector, expected):
     assert df.select(F.size(nodes.select(F.col("n"), selector))).first()[0] == expected
 
 
+def test_selector_bits_agree_with_expressions(spark):
+    """The bits of the parser's pass and the expression of a selector name the same nodes, beyond 63 selectors too."""
+    asked = ["a.x", "a.x, p", '[class*="ab"]:not([class*="abc"])', "a[href]", '[href^="/q"]', '[href$="r"]', "b", ":not([href])",
+             '[class="y x"]', '[class*="y x"]', "[title]", ':not([title])', "p.abc, a[href], i", '[data-a=""]', ".x.y"]
+    table = nodes.SelectorTable([*asked, *[f"t{i}" for i in range(80)]])
+    assert len(table.numbered) == 63 and table.mask("t79") is None and table.mask("t79, b") is None and table.mask("b")
+    html = ['<a class=" y  x" href="/q/r">1</a><p class="abc">2<i class="abd"><br><t79><b title>', "", None, "text only",
+            '<script class="x">a</script><a href="/q" class="xx" data-a>z</a><a class="x y" title="t"><t3 href=r>' * 3]
+    df = spark.createDataFrame([(h,) for h in html], "h string").select(
+        nodes.parse_nodes(F.col("h"), None, table).alias("n"))
+    for s in [*asked, "t3", "t79", "t3, t79"]:
+        for r in df.select(nodes.select(F.col("n"), s, table).alias("a"), nodes.select(F.col("n"), s).alias("b")).collect():
+            assert r["a"] == r["b"], s
+
+
+def test_selectors_of_a_profile_are_settled_by_the_parser(spark):
+    """Nodes carry no attribute that only selectors test, and the plan holds one mask test per selector."""
+    from gleaner.operators import cards
+
+    for source in (p for p in PROFILES if p.cards):
+        table = cards.selector_table(source)
+        assert cards.kept_attrs(source, table) == cards.field_attrs(source)
+        assert cards.kept_attrs(source) >= cards.field_attrs(source) | {"class"}
+        columns = str(cards.card_columns(source.cards, "_nodes", "_cards", table))
+        assert "hits" in columns and "contains" not in columns
+
+
 def test_unsupported_selector_is_refused():
     with pytest.raises(ValueError):
         nodes._compound("div > p")

@@ -167,8 +167,9 @@ def _(t: Tables):
 
 @query("x12_card_selection", f"{CARD_SQL} SELECT page_id, 0 AS rank, count(*) AS n FROM rows GROUP BY page_id")
 def _(t: Tables):
-    df = fx.card_pages(t).select("page_id", nodes.parse_nodes(F.col("html"), cards.kept_attrs(JUST)).alias("_nodes"))
-    df = cards.select_cards(df, JUST.cards)
+    table = cards.selector_table(JUST)
+    parsed = nodes.parse_nodes(F.col("html"), cards.kept_attrs(JUST, table), table)
+    df = cards.select_cards(fx.card_pages(t).select("page_id", parsed.alias("_nodes")), JUST.cards, table=table)
     return df.select(
         "page_id", F.array_min(F.transform("_cards", lambda c: c["rank"])).alias("rank"),
         F.size("_cards").cast("bigint").alias("n"))

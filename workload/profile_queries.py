@@ -70,8 +70,9 @@ def _(t: Tables):
 
 
 def _selected(pages: DataFrame, source: SourceProfile) -> DataFrame:
-    df = pages.select("page_id", nodes.parse_nodes(F.col("html"), cards.kept_attrs(source)).alias("_nodes"))
-    return cards.select_cards(df, source.cards).select(
+    table = cards.selector_table(source)
+    parsed = nodes.parse_nodes(F.col("html"), cards.kept_attrs(source, table), table)
+    return cards.select_cards(pages.select("page_id", parsed.alias("_nodes")), source.cards, table=table).select(
         "page_id", F.array_min(F.transform("_cards", lambda c: c["rank"])).alias("rank"), F.size("_cards").cast("bigint").alias("n"))
 
 

@@ -11,7 +11,8 @@ their words and list their distinct words (with training counts) and distinct bi
 training counts) in slices by hash. The slices are shuffled, so that all counts of a word or bigram meet in one task,
 however frequent it is: it has one entry per block. The totals go back to the blocks that asked. One of the blocks
 owns each bigram and adds it to the sums of its context; sums of contexts that occur in one block only need no
-exchange, others meet once more by slice. Then every token is evaluated from its bigram to its backoff.
+exchange, others meet once more by slice. Then every token is evaluated from its bigram to its backoff. The number of
+slices grows with the bytes of the texts, so a slice stays as small whatever the size of the corpus.
 """
 
 from __future__ import annotations
@@ -32,6 +33,10 @@ from gleaner.llm.packed import (
     pack, pack_rising, pack_words, unpack, unpack_rising, unpack_words)
 
 BLOCK_BYTES = 12 << 20
+# Text for which a slice holds the counts; a task takes slices one after the other.
+SLICE_BYTES = 32 << 20
+# Spark's default limit for the buckets of a table.
+MOST_BUCKETS = 100_000
 # Counts above this are not discounted.
 TRUSTED = 5
 START, END, FIRST = 0, 1, 2
@@ -107,6 +112,12 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.array([*_MARKS, *map(xxhash.xxh64_intdigest, words)], np.uint64)
 
 
+def _runs(numbers: np.ndarray) -> list[tuple[int, int, int]]:
+    """(number, from, to) of the runs in a sorted array."""
+    cuts = [0, *(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1).tolist(), len(numbers)]
+    return [(int(numbers[a]), a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
+
+
 NUMBERED = ["block", "kind", "slice", "doc_id", "held_out", "n", "a", "b", "c"]
 
 
@@ -130,18 +141,15 @@ def _number_pass(slices: int):
         yield batch(len(rows), TEXT, none, [d for d, _, _ in rows], held, none, [pack(t) for t in texts], none, none)
         dealt = hashes[FIRST:] % np.uint64(slices)
         order = np.argsort(dealt, kind="stable")
-        cuts = np.searchsorted(dealt[order], np.arange(slices + 1, dtype=np.uint64))
-        for s in range(slices):
-            own = order[cuts[s]:cuts[s + 1]]
-            if len(own):
-                yield batch(1, WORDS, [s], [None], [None], [len(own)], [pack_words([listed[i] for i in own])],
-                            [pack_rising((own + FIRST).astype(np.uint32))], [pack(count[own + FIRST].astype(np.uint32))])
+        for s, a, b in _runs(dealt[order]):
+            own = order[a:b]
+            yield batch(1, WORDS, [s], [None], [None], [len(own)], [pack_words([listed[i] for i in own])],
+                        [pack_rising((own + FIRST).astype(np.uint32))], [pack(count[own + FIRST].astype(np.uint32))])
         keys, order = _keys(hashes, left, right)
         times = np.bincount(place[learnt], minlength=len(left))[order].astype(np.uint32)
-        cuts = np.searchsorted(keys, [np.uint64((s << 64) // slices) for s in range(slices)]).tolist() + [len(keys)]
-        for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            if a < b:
-                yield batch(1, BIGRAMS, [s], [None], [None], [b - a], [pack_rising(keys[a:b], 1)], [pack(times[a:b])], [None])
+        # Slices are ranges of keys, so that a block's answers in slice order are in key order.
+        for s, a, b in _runs((keys >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)):
+            yield batch(1, BIGRAMS, [s], [None], [None], [b - a], [pack_rising(keys[a:b], 1)], [pack(times[a:b])], [None])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, words, rows, size, kind = TaskContext.get().partitionId() << 24, {}, [], 0, None
@@ -337,7 +345,8 @@ def score(docs: DataFrame, work: Work, held_out, id_col: str = "doc_id", text_co
     letters lower-cased; each text has one end token. A null text counts as empty: it is its end. Repeated rows count
     each. With no training text every token is unknown, with probability one. An empty table gives no rows.
     """
-    slices = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+    slices = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SLICE_BYTES))
     id_field = T.StructField("doc_id", docs.schema[id_col].dataType)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -345,7 +354,7 @@ def score(docs: DataFrame, work: Work, held_out, id_col: str = "doc_id", text_co
         T.StructField("block", T.LongType()), T.StructField("kind", T.IntegerType()),
         T.StructField("slice", T.IntegerType()), id_field, T.StructField("held_out", T.BooleanType()),
         T.StructField("n", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in "abc"]])
-    numbered = work.save_buckets(rows.mapInArrow(_number_pass(slices), schema), "block", slices, "numbered")
+    numbered = work.save_buckets(rows.mapInArrow(_number_pass(slices), schema), "block", min(slices, MOST_BUCKETS), "numbered")
     words = work.save(numbered.where(F.col("kind") == WORDS).select("block", "slice", "a", "c")
                       .groupBy("slice").applyInArrow(_add_words, REPLY), "words")
     bigrams = work.save(numbered.where(F.col("kind") == BIGRAMS).select("block", "slice", "a", "b")

@@ -108,6 +108,18 @@ def test_katz_scores(documents, awkward, work, parts):
         assert got[i]["base_score"] == pytest.approx(base, abs=1e-6) and got[i]["score"] == pytest.approx(score, abs=1e-6)
 
 
+def test_katz_slices_grow_with_the_texts(documents, awkward, work, monkeypatch):
+    docs = documents.select("doc_id", "text").unionByName(awkward.where("doc_id > 1000000").select("doc_id", "text"))
+    held = remainder(7) == 2
+    few = {r["doc_id"]: r for r in katz.score(docs.repartition(5), work, held).collect()}
+    monkeypatch.setattr(katz, "SLICE_BYTES", 1000)
+    many = {r["doc_id"]: r for r in katz.score(docs.repartition(5), work, held).collect()}
+    assert few.keys() == many.keys()
+    for i, r in few.items():
+        assert tuple(r)[:5] == tuple(many[i])[:5]
+        assert r["base_score"] == pytest.approx(many[i]["base_score"]) and r["score"] == pytest.approx(many[i]["score"])
+
+
 def test_katz_without_training(awkward, work):
     rows = katz.score(awkward, work, F.lit(True)).collect()
     assert len(rows) == awkward.count() and all(r["score"] == 0 and r["n_known"] == 0 for r in rows)

@@ -15,11 +15,25 @@ _SPACE = r"(?U)[\s\x1c-\x1f]+"
 
 # Names a browser accepts without the closing semicolon, longest first so that the regex prefers them.
 _OPEN_NAMES = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=len, reverse=True)
-_NAMED_JSON = json.dumps(html.entities.html5)
-_COMMON_JSON = json.dumps({
-    n + end: html.entities.html5[n + end] for n in ("amp", "quot", "lt", "gt", "nbsp", "apos") for end in (";", "")
-    if n + end in html.entities.html5
-} | {n + end: html.entities.html5[n + end] for n in _OPEN_NAMES for end in (";", "")})
+_SHELVES = 1024
+
+
+def _shelf_of(name: str) -> int:
+    first, second, third = (ord(name[i:i + 1] or "\0") for i in range(3))
+    return (first * 961 + second * 31 + third + 7 * len(name)) % _SHELVES
+
+
+def _shelf(name: Column) -> Column:
+    """The same number as a column."""
+    first, second, third = (F.ascii(F.substring(name, i, 1)) for i in (1, 2, 3))
+    return F.pmod(first * 961 + second * 31 + third + F.length(name) * 7, F.lit(_SHELVES))
+
+
+# Maps are searched from end to end, so the names are spread over many small ones.
+_NAMED: list[dict[str, str]] = [{} for _ in range(_SHELVES)]
+for _name, _char in html.entities.html5.items():
+    _NAMED[_shelf_of(_name)][_name] = _char
+_NAMED_JSON = json.dumps(_NAMED)
 # Numeric references to the C1 range mean the Windows-1252 character.
 _C1_JSON = json.dumps({
     str(b): bytes([b]).decode("cp1252", errors="ignore") or chr(b) for b in range(0x80, 0xA0)
@@ -62,18 +76,15 @@ def _piece(p: Column) -> Column:
     """Resolve the reference at the start of a piece that begins with ``&``."""
     dec = F.regexp_extract(p, r"^&#([0-9]+)", 1).try_cast("bigint")
     hexa = F.conv(F.regexp_extract(p, r"^&#[xX]([0-9a-fA-F]+)", 1), 16, 10).try_cast("bigint")
-    common, every = (F.from_json(F.lit(j), "map<string,string>") for j in (_COMMON_JSON, _NAMED_JSON))
+    table = F.from_json(F.lit(_NAMED_JSON), "array<map<string,string>>")
     closed = F.regexp_extract(p, r"^&([A-Za-z][A-Za-z0-9]*;)", 1)
     opened = F.regexp_extract(p, "^&(" + "|".join(_OPEN_NAMES) + ")", 1)
 
-    def replaced(name: Column, *tables: Column) -> Column:
-        char = F.coalesce(*[F.try_element_at(t, name) for t in tables])
-        return F.concat(char, F.substr(p, F.length(name) + 2))
+    def replaced(name: Column) -> Column:
+        char = F.try_element_at(F.get(table, _shelf(name)), name)
+        return F.when(name != "", F.concat(char, F.substr(p, F.length(name) + 2)))
 
-    # Map lookups are linear, so the full table is only searched when the common one has no answer.
-    named = F.coalesce(
-        bind(closed, lambda n: F.when(n != "", replaced(n, common, every))),
-        bind(opened, lambda n: F.when(n != "", replaced(n, common))), p)
+    named = F.coalesce(bind(closed, replaced), bind(opened, replaced), p)
 
     return (
         F.when(p.rlike("^&#[0-9]"), F.concat(_code_point(dec), F.regexp_replace(p, "^&#[0-9]+;?", "")))

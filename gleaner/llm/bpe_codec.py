@@ -34,6 +34,10 @@ from gleaner.llm.packed import pack, pack_rising, pack_words, spread, unpack, un
 BLOCK_CHARS = 24 << 20
 BLOCK_WORDS = 400_000
 CACHE_WORDS = 300_000
+# Text for which a slice holds the distinct words; a task takes slices one after the other.
+SLICE_BYTES = 32 << 20
+# Spark's default limit for the buckets of a table.
+MOST_BUCKETS = 100_000
 
 
 @lru_cache(maxsize=2)
@@ -241,7 +245,9 @@ def encode_and_decode(docs: DataFrame, work: Work, path: str, pattern: str, id_c
 
     A null text counts as empty: no ids and no bytes. Repeated rows are encoded each, an empty table gives no rows.
     """
-    slices = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A slice of words stays as small whatever the size of the corpus.
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+    slices = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SLICE_BYTES))
     field = docs.schema[id_col]
     id_field = T.StructField("doc_id", field.dataType)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -249,7 +255,7 @@ def encode_and_decode(docs: DataFrame, work: Work, path: str, pattern: str, id_c
         T.StructField("block", T.LongType()), T.StructField("slice", T.IntegerType()),
         T.StructField("words", T.BinaryType()), T.StructField("codes", T.BinaryType()),
         id_field, T.StructField("packed", T.BinaryType())])
-    numbered = work.save_buckets(rows.mapInArrow(_number_pass(pattern, slices), schema), "block", slices, "numbered")
+    numbered = work.save_buckets(rows.mapInArrow(_number_pass(pattern, slices), schema), "block", min(slices, MOST_BUCKETS), "numbered")
     lists = numbered.where("slice IS NOT NULL").select("block", "slice", "words", "codes")
     answers = (lists.repartition("slice").sortWithinPartitions("slice")
                .mapInArrow(_encode_pass(path), "block long, codes binary, ids binary, sizes binary"))

@@ -34,6 +34,14 @@ def test_codec_round_trip(awkward, documents, work):
     assert Counter((r["doc_id"], tuple(r["ids"]), bytes(r["decoded"])) for r in got.collect()) == want
 
 
+def test_codec_slices_grow_with_the_texts(awkward, work, monkeypatch):
+    monkeypatch.setattr(bpe_codec, "SLICE_BYTES", 500)
+    own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe_codec.read_ranks(RANKS), special_tokens={})
+    got = bpe_codec.encode_and_decode(awkward, work, RANKS, P.PATTERN)
+    want = Counter((i, tuple(own.encode_ordinary(t)), t.encode()) for i, t in pairs(awkward))
+    assert Counter((r["doc_id"], tuple(r["ids"]), bytes(r["decoded"])) for r in got.collect()) == want
+
+
 @pytest.mark.parametrize("capacity", [4096, 64])
 def test_packing_is_exact_and_tight(awkward, documents, work, capacity):
     docs = awkward.select("doc_id", "text").unionByName(documents.select("doc_id", "text"))

@@ -1,23 +1,30 @@
-"""Katz backoff language model: Good-Turing discounted bigrams over unigrams, with exactly normalised backoff weights.
+"""Katz backoff language model: Good-Turing discounted n-grams, three words by default, with exactly normalised weights.
 
-P(w | v) = d(c(v,w)) c(v,w) / c(v) where the bigram was seen in training, else alpha(v) P(w). P(w) = d(c(w)) c(w) / N,
-and what the discounts leave is the probability of the unknown word. alpha(v) spreads what the discounts of v's
-followers leave over all words that never followed v, so that every context sums to one over the vocabulary, the end
-of a text and the unknown word. A context of which nothing is left (all followers frequent) counts one more event. A
-context never seen has weight one. A text starts after a start mark, which is no token.
+P(w | u v) = d(c(u,v,w)) c(u,v,w) / c(u,v) where the trigram was seen in training, else alpha(u,v) P(w | v). P(w | v) backs
+off to P(w) in the same way, and P(w) = d(c(w)) c(w) / N; what the discounts leave there is the probability of the unknown
+word. alpha of a context spreads what the discounts of its followers leave over all words that never followed it, in
+proportion to the next shorter order, so that every context sums to one over the vocabulary, the end of a text and the
+unknown word. A context of which nothing is left (all followers frequent) counts one more event. A context never seen has
+weight one. A text starts after one start mark, which is no token: its first token has only that as context.
 
 The counts are corpus-wide and grow with it; they stay in tables. Each scan partition is read in blocks that number
-their words and list their distinct words (with training counts) and distinct bigrams (64-bit keys, sorted, with
-training counts) in slices by hash. The slices are shuffled, so that all counts of a word or bigram meet in one task,
-however frequent it is: it has one entry per block. The totals go back to the blocks that asked. One of the blocks
-owns each bigram and adds it to the sums of its context; sums of contexts that occur in one block only need no
-exchange, others meet once more by slice. Then every token is evaluated from its bigram to its backoff. The number of
-slices grows with the bytes of the texts, so a slice stays as small whatever the size of the corpus.
+their words and list their distinct words, with training counts, in slices by hash; the numbered texts lie in buckets by
+block. From them each block lists its distinct n-grams of every order (64-bit keys, sorted, with training counts) in
+slices by ranges of keys. The slices are shuffled, so that all counts of a word or n-gram meet in one task, however
+frequent it is: it has one entry per block. The totals go back to the blocks that asked. One of the blocks owns each
+n-gram and adds it to the sums of its context; sums of contexts that occur in one block only need no exchange, others
+meet once more by slice. The sums of an order need the weights of the order below, so orders are settled from short to
+long. Then every token is evaluated recursively from its longest n-gram to its backoff. The number of slices grows with
+the bytes of the texts, so a slice stays as small whatever the size of the corpus.
+
+N-grams of one order are told apart by 64 bits of hash: among n distinct ones about n * n / 2^65 pairs are taken for one
+(three in 10^10), which would add their counts up.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +39,8 @@ from gleaner.llm.common import Work
 from gleaner.llm.packed import (
     pack, pack_rising, pack_words, unpack, unpack_rising, unpack_words)
 
-BLOCK_BYTES = 12 << 20
+ORDER = 3
+BLOCK_BYTES = 10 << 20
 # Text for which a slice holds the counts; a task takes slices one after the other.
 SLICE_BYTES = 32 << 20
 # Spark's default limit for the buckets of a table.
@@ -40,7 +48,8 @@ MOST_BUCKETS = 100_000
 # Counts above this are not discounted.
 TRUSTED = 5
 START, END, FIRST = 0, 1, 2
-TEXT, WORDS, BIGRAMS = 0, 1, 2
+# Kinds of rows; n-grams have their order n from 2 on as kind, and the sums of their contexts -n.
+TEXT, WORDS = 0, 1
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 _MARKS = (0x243F6A8885A308D3, 0x13198A2E03707344)
 
@@ -60,23 +69,22 @@ def discounts(of: list[int]) -> np.ndarray:
 
 
 class Model:
-    """The totals that every task needs: a dozen numbers."""
+    """The totals that every task needs: a dozen numbers. ``grams_of`` has those of n-grams from two words on."""
 
-    def __init__(self, tokens: int, types: int, texts: int, words_of: list[int], bigrams_of: list[int]):
-        self.tokens, self.types, self.texts = tokens, types, texts
-        self.d1, self.d2 = discounts(words_of), discounts(bigrams_of)
-        left = sum((1 - self.d1[r]) * r * words_of[r - 1] for r in range(1, TRUSTED + 1))
+    def __init__(self, tokens: int, types: int, texts: int, words_of: list[int], grams_of: list[list[int]]):
+        self.tokens, self.types, self.texts, self.order = tokens, types, texts, 1 + len(grams_of)
+        self.rates = [None, *map(discounts, [words_of, *grams_of])]
+        left = sum((1 - self.rates[1][r]) * r * words_of[r - 1] for r in range(1, TRUSTED + 1))
         self.unknown = left / tokens if tokens else 1.0
 
-    def unigram(self, count: np.ndarray) -> np.ndarray:
-        d = self.d1[np.minimum(count, TRUSTED + 1)]
-        return np.where(count > 0, d * count / max(self.tokens, 1), self.unknown)
+    def mass(self, n: int, count: np.ndarray) -> np.ndarray:
+        return self.rates[n][np.minimum(count, TRUSTED + 1)] * count
 
-    def mass(self, count: np.ndarray) -> np.ndarray:
-        return self.d2[np.minimum(count, TRUSTED + 1)] * count
+    def unigram(self, count: np.ndarray) -> np.ndarray:
+        return np.where(count > 0, self.mass(1, count) / max(self.tokens, 1), self.unknown)
 
     def weights(self, count: np.ndarray, seen: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Denominator and backoff weight of contexts by count, discounted mass and unigram mass of their followers."""
+        """Denominator and backoff weight of contexts by count, discounted mass and shorter-order mass of their followers."""
         total = count.astype(np.float64)
         left = total - seen
         more = left < 1e-9
@@ -86,26 +94,47 @@ class Model:
         return safe, np.where(known, left / safe / np.maximum(1 - lower, 1e-300), 1.0)
 
 
-def _pairs(texts: list[np.ndarray], words: int):
-    """Context and word of every token, and the distinct pairs with the place of each token's pair among them."""
+class _Level(NamedTuple):
+    """The distinct n-grams of a block: keys (sorted from two words on), the n-gram of every token (-1 at the beginning of
+    a text), and the numbers of the n-gram without its last and without its first word among those of the level below."""
+
+    keys: np.ndarray
+    place: np.ndarray
+    context: np.ndarray | None
+    shorter: np.ndarray | None
+
+
+def _levels(texts: list[np.ndarray], hashes: np.ndarray, order: int) -> tuple[list[_Level | None], np.ndarray]:
+    """Levels 1 to ``order`` of the tokens of all texts (index 0 is unused), and where the texts end."""
     word = np.concatenate([*texts, np.zeros(0, np.uint32)]).astype(np.int64)
-    ends = np.cumsum([len(t) for t in texts])
-    context = np.empty_like(word)
-    context[1:] = word[:-1]
-    if len(texts):
-        context[ends - [len(t) for t in texts]] = START
-    distinct, place = np.unique(context * words + word, return_inverse=True)
-    return context, word, distinct // words, distinct % words, place, ends
-
-
-def _keys(hashes: np.ndarray, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys of pairs, and the order that sorts them."""
-    key = (hashes[context] * _MIX[0]) ^ (hashes[word] >> np.uint64(31)) ^ (hashes[word] * _MIX[1])
+    sizes = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum(sizes)
+    at = np.arange(len(word)) - np.repeat(ends - sizes, sizes)
+    levels: list[_Level | None] = [None, _Level(hashes, word, None, None)]
+    for n in range(2, order + 1):
+        below = levels[-1]
+        use = np.flatnonzero(at >= n - 2)
+        context = below.place[use - 1]
+        if n == 2:
+            context[at == 0] = START
+        keys, first, place = np.unique(_mix(below.keys[context], hashes[word[use]]), return_index=True, return_inverse=True)
+        whole = np.full(len(word), -1)
+        whole[use] = place
+        levels.append(_Level(keys, whole, context[first], below.place[use[first]]))
+    return levels, ends
+
+
+def _mix(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    key = (context * _MIX[0]) ^ (word >> np.uint64(31)) ^ (word * _MIX[1])
     key ^= key >> np.uint64(29)
     key *= _MIX[1]
     key ^= key >> np.uint64(32)
-    order = np.argsort(key, kind="stable")
-    return key[order], order
+    return key
+
+
+def _ranges(keys: np.ndarray, slices: int) -> list[tuple[int, int, int]]:
+    """(slice, from, to) of sorted keys; slices are ranges, so a block's answers in slice order are in key order."""
+    return _runs((keys >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32))
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
@@ -127,9 +156,8 @@ def _number_pass(slices: int):
         texts = [codes for _, _, codes in rows]
         held = np.array([h for _, h, _ in rows], bool)
         hashes = _hashes(listed)
-        _, word, left, right, place, ends = _pairs(texts, len(listed) + FIRST)
-        learnt = np.repeat(~held, np.diff(ends, prepend=0))
-        count = np.bincount(word[learnt], minlength=len(hashes))
+        learnt = [t for t, out in zip(texts, held) if not out]
+        count = np.bincount(np.concatenate([*learnt, np.zeros(0, np.uint32)]), minlength=len(hashes))
 
         def batch(n, what, part, docs, out, sizes, a, b, c):
             return pa.RecordBatch.from_arrays(
@@ -145,11 +173,6 @@ def _number_pass(slices: int):
             own = order[a:b]
             yield batch(1, WORDS, [s], [None], [None], [len(own)], [pack_words([listed[i] for i in own])],
                         [pack_rising((own + FIRST).astype(np.uint32))], [pack(count[own + FIRST].astype(np.uint32))])
-        keys, order = _keys(hashes, left, right)
-        times = np.bincount(place[learnt], minlength=len(left))[order].astype(np.uint32)
-        # Slices are ranges of keys, so that a block's answers in slice order are in key order.
-        for s, a, b in _runs((keys >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)):
-            yield batch(1, BIGRAMS, [s], [None], [None], [b - a], [pack_rising(keys[a:b], 1)], [pack(times[a:b])], [None])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, words, rows, size, kind = TaskContext.get().partitionId() << 24, {}, [], 0, None
@@ -208,8 +231,36 @@ def _add_words(key: tuple, rows: pa.Table) -> pa.Table:
     return _reply(out)
 
 
-def _add_bigrams(key: tuple, rows: pa.Table) -> pa.Table:
-    """Training counts of a slice's bigrams, back to each block, and which block owns a bigram."""
+def _words(numbered: list[dict]) -> tuple[list[dict], np.ndarray]:
+    """The word lists of a block by slice, and the hashes of all its words by code."""
+    lists = sorted((r for r in numbered if r["kind"] == WORDS), key=lambda r: r["slice"])
+    words: list[bytes] = [b""] * sum(r["n"] for r in lists)
+    for r in lists:
+        r["codes"] = unpack_rising(r["b"], np.uint32).astype(np.int64)
+        for c, w in zip(r["codes"].tolist(), unpack_words(r["a"])):
+            words[c - FIRST] = w
+    return lists, _hashes(words)
+
+
+def _list_grams(slices: int, order: int):
+    def run(key: tuple, numbered: pa.Table) -> pa.Table:
+        rows = numbered.to_pylist()
+        texts = [r for r in rows if r["kind"] == TEXT]
+        levels, ends = _levels([unpack(r["a"], np.uint32) for r in texts], _words(rows)[1], order)
+        learnt = np.repeat(np.array([not r["held_out"] for r in texts], bool), np.diff(ends, prepend=0))
+        out = []
+        for n in range(2, order + 1):
+            keys, place = levels[n].keys, levels[n].place
+            times = np.bincount(place[learnt & (place >= 0)], minlength=len(keys)).astype(np.uint32)
+            for s, a, b in _ranges(keys, slices):
+                out.append((key[0].as_py(), n, s, pack_rising(keys[a:b], 1), pack(times[a:b]), None))
+        return _reply(out)
+
+    return run
+
+
+def _add_grams(key: tuple, rows: pa.Table) -> pa.Table:
+    """Training counts of a slice's n-grams, back to each block, and which of them a block owns or shares with others."""
     blocks = rows.column("block").to_pylist()
     order = np.argsort(blocks, kind="stable")
     packed, counted = rows.column("a").to_pylist(), rows.column("b").to_pylist()
@@ -217,78 +268,91 @@ def _add_bigrams(key: tuple, rows: pa.Table) -> pa.Table:
     times = np.concatenate([unpack(counted[i], np.uint32) for i in order]).astype(np.int64)
     distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(place, times, len(distinct)).astype(np.int64)
+    shared = (np.bincount(place) > 1)[place]
     owner = np.zeros(len(place), bool)
     learnt = np.flatnonzero(times)
     owner[learnt[np.unique(place[learnt], return_index=True)[1]]] = True
-    s, at, out = key[0].as_py(), 0, []
+    (n, s), at, out = (k.as_py() for k in key), 0, []
     for i, own in zip(order, keys):
         here = slice(at, at + len(own))
-        out.append((blocks[i], BIGRAMS, s, pack(total[place[here]].astype(np.uint64)), pack(np.packbits(owner[here])), None))
         at += len(own)
-    out.append((None, BIGRAMS, s, None, None, _of(total)))
+        out.append((blocks[i], n, s, pack(total[place[here]].astype(np.uint64)),
+                    pack(np.packbits([owner[here], shared[here]], axis=1)), None))
+    out.append((None, n, s, None, None, _of(total)))
     return _reply(out)
 
 
 class _Block:
-    """A block with the totals of its words and bigrams."""
+    """A block with the totals of its words and n-grams up to ``order``; ``settle`` makes one order after the other usable."""
 
-    def __init__(self, numbered: pa.Table, replies: pa.Table, model: Model):
+    def __init__(self, numbered: pa.Table, replies: pa.Table, model: Model, order: int):
         rows = numbered.to_pylist()
-        self.texts = [r for r in rows if r["kind"] == TEXT]
-        lists = sorted((r for r in rows if r["kind"] == WORDS), key=lambda r: r["slice"])
-        answers = replies.to_pylist()
-        totals = {r["slice"]: r for r in answers if r["kind"] == WORDS}
-        size = FIRST + sum(r["n"] for r in lists)
-        words: list[bytes] = [b""] * (size - FIRST)
-        self.slices: list[tuple[int, np.ndarray]] = []
-        self.count, self.shared = np.zeros(size, np.int64), np.zeros(size, bool)
+        self.model, self.texts = model, [r for r in rows if r["kind"] == TEXT]
+        lists, hashes = _words(rows)
+        self.levels, self.ends = _levels([unpack(r["a"], np.uint32) for r in self.texts], hashes, order)
+        self.answers: dict[int, list[dict]] = {}
+        for r in replies.to_pylist():
+            self.answers.setdefault(r["kind"], []).append(r)
+        for own in self.answers.values():
+            own.sort(key=lambda r: r["slice"])
+        totals = {r["slice"]: r for r in self.answers.get(WORDS, [])}
+        count, shared = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
         for r in lists:
-            codes = unpack_rising(r["b"], np.uint32).astype(np.int64)
-            self.slices.append((r["slice"], codes))
-            for c, w in zip(codes.tolist(), unpack_words(r["a"])):
-                words[c - FIRST] = w
-            self.count[codes] = unpack(totals[r["slice"]]["a"], np.uint64)
-            self.shared[codes] = unpack(totals[r["slice"]]["b"], bool)
-        codes = [unpack(r["a"], np.uint32) for r in self.texts]
-        self.hashes = _hashes(words)
-        self.context, self.word, self.left, self.right, self.place, self.ends = _pairs(codes, size)
+            count[r["codes"]] = unpack(totals[r["slice"]]["a"], np.uint64)
+            shared[r["codes"]] = unpack(totals[r["slice"]]["b"], bool)
         # As a context the start mark occurs once per text; as a word the end does.
-        self.count[START] = self.count[END] = model.texts
-        self.shared[START] = True
-        pairs = sorted((r for r in answers if r["kind"] == BIGRAMS), key=lambda r: r["slice"])
-        _, order = _keys(self.hashes, self.left, self.right)
-        counts = np.concatenate([*[unpack(r["a"], np.uint64) for r in pairs], np.zeros(0, np.uint64)])
-        self.total = np.zeros(len(order), np.int64)
-        self.total[order] = counts
-        self.owner = np.zeros(len(order), bool)
-        bits = []
-        for r in pairs:
-            n = len(unpack(r["a"], np.uint64))
-            bits.append(np.unpackbits(unpack(r["b"], np.uint8))[:n].astype(bool))
-        self.owner[order] = np.concatenate([*bits, np.zeros(0, bool)])
-        self.lower = model.unigram(self.count)
-        mine = np.flatnonzero(self.owner)
-        self.seen = np.bincount(self.left[mine], model.mass(self.total[mine]), size)
-        self.below = np.bincount(self.left[mine], self.lower[self.right[mine]], size)
-
-    def open(self) -> list[tuple[int, np.ndarray]]:
-        """Per slice the known contexts that other blocks have too; the start mark goes with slice 0."""
-        apart = (self.count > 0) & self.shared
-        out = {s: codes[apart[codes]] for s, codes in self.slices}
-        if apart[START]:
-            out[0] = np.concatenate([[START], out.get(0, np.zeros(0, np.int64))])
-        return [(s, codes) for s, codes in sorted(out.items()) if len(codes)]
-
-
-def _context_sums(model: Model):
+        count[START] = count[END] = model.texts
+        shared[START] = True
+        self.count, self.shared, self.owner = [None, count], [None, shared], [None, None]
+        for n in range(2, order + 1):
+            found = [(unpack(r["a"], np.uint64), unpack(r["b"], np.uint8).reshape(2, -1)) for r in self.answers.get(n, [])]
+            self.count.append(np.concatenate([*[c for c, _ in found], np.zeros(0, np.uint64)]).astype(np.int64))
+            for flags, i in ((self.owner, 0), (self.shared, 1)):
+                flags.append(np.concatenate([*[np.unpackbits(b[i], count=len(c)) for c, b in found],
+                                             np.zeros(0, np.uint8)]).astype(bool))
+        # Probability of each n-gram's last word after the others, per order.
+        self.chance = [None, model.unigram(count)]
+
+    def sums(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Discounted and shorter-order mass of the followers that this block owns, by context of order ``n``."""
+        level, size = self.levels[n], len(self.levels[n - 1].keys)
+        mine = np.flatnonzero(self.owner[n])
+        return (np.bincount(level.context[mine], self.model.mass(n, self.count[n][mine]), size),
+                np.bincount(level.context[mine], self.chance[n - 1][level.shorter[mine]], size))
+
+    def open(self, n: int) -> np.ndarray:
+        """The contexts of order ``n`` that training has and other blocks have too, by key."""
+        apart = np.zeros(len(self.levels[n - 1].keys), bool)
+        apart[self.levels[n].context] = True
+        found = np.flatnonzero(apart & self.shared[n - 1] & (self.count[n - 1] > 0))
+        return found[np.argsort(self.levels[n - 1].keys[found], kind="stable")]
+
+    def settle(self, n: int) -> None:
+        total, weight = self.model.weights(self.count[n - 1], *self.sums(n))
+        answers = self.answers.get(-n, [])
+        if answers:
+            total[self.open(n)], weight[self.open(n)] = (
+                np.concatenate([unpack(r[c], np.float64) for r in answers]) for c in "ab")
+        level, count = self.levels[n], self.count[n]
+        self.chance.append(np.where(count > 0, self.model.mass(n, count) / total[level.context],
+                                    weight[level.context] * self.chance[n - 1][level.shorter]))
+
+
+def _context_sums(model: Model, n: int, slices: int):
     def run(key: tuple, numbered: pa.Table, replies: pa.Table) -> pa.Table:
         names = ["block", "slice", "keys", "seen", "below", "counts"]
         rows = []
         if numbered.num_rows:
-            block = _Block(numbered, replies, model)
-            for s, codes in block.open():
-                rows.append((key[0].as_py(), s, pack(block.hashes[codes], 1), pack(block.seen[codes], 1),
-                             pack(block.below[codes], 1), pack(block.count[codes])))
+            block = _Block(numbered, replies, model, n)
+            for below in range(2, n):
+                block.settle(below)
+            seen, lower = block.sums(n)
+            found = block.open(n)
+            keys = block.levels[n - 1].keys[found]
+            for s, a, b in _ranges(keys, slices):
+                own = found[a:b]
+                rows.append((key[0].as_py(), s, pack_rising(keys[a:b], 1), pack(seen[own], 1), pack(lower[own], 1),
+                             pack(block.count[n - 1][own])))
         cols = list(zip(*rows)) or [[]] * 6
         kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
@@ -296,12 +360,12 @@ def _context_sums(model: Model):
     return run
 
 
-def _add_contexts(model: Model):
+def _add_contexts(model: Model, n: int):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         found = sorted(rows.to_pylist(), key=lambda r: r["block"])
-        keys = [unpack(r["keys"], np.uint64) for r in found]
+        keys = [unpack_rising(r["keys"], np.uint64) for r in found]
         distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        seen, below, counts = (np.concatenate([unpack(r[n], t) for r in found]) for n, t in (
+        seen, below, counts = (np.concatenate([unpack(r[c], t) for r in found]) for c, t in (
             ("seen", np.float64), ("below", np.float64), ("counts", np.int64)))
         count = np.zeros(len(distinct), np.int64)
         count[place] = counts
@@ -310,7 +374,7 @@ def _add_contexts(model: Model):
         for r, own in zip(found, keys):
             here = place[at:at + len(own)]
             at += len(own)
-            out.append((r["block"], TEXT, key[0].as_py(), pack(total[here], 1), pack(weight[here], 1), None))
+            out.append((r["block"], -n, key[0].as_py(), pack(total[here], 1), pack(weight[here], 1), None))
         return _reply(out)
 
     return run
@@ -318,15 +382,14 @@ def _add_contexts(model: Model):
 
 def _evaluate(model: Model, id_type):
     def run(numbered: pa.Table, replies: pa.Table) -> pa.Table:
-        block = _Block(numbered, replies, model)
-        total, weight = model.weights(block.count, block.seen, block.below)
-        answers = {r["slice"]: r for r in replies.to_pylist() if r["kind"] == TEXT}
-        for s, codes in block.open():
-            total[codes] = unpack(answers[s]["a"], np.float64)
-            weight[codes] = unpack(answers[s]["b"], np.float64)
-        times = block.total[block.place]
-        p = np.where(times > 0, model.mass(times) / total[block.context], weight[block.context] * block.lower[block.word])
-        count = block.count[block.word]
+        block = _Block(numbered, replies, model, model.order)
+        word = block.levels[1].place
+        p = block.chance[1][word]
+        for n in range(2, model.order + 1):
+            block.settle(n)
+            place = block.levels[n].place
+            p = np.where(place >= 0, np.append(block.chance[n], 0.0)[place], p)
+        count = block.count[1][word]
         base = np.log10((count + 1) / (model.tokens + model.types + 1))
         starts = block.ends - np.diff(block.ends, prepend=0)
         sums = [np.add.reduceat(x, starts) if len(starts) else np.zeros(0) for x in (count > 0, base, np.log10(p))]
@@ -338,13 +401,17 @@ def _evaluate(model: Model, id_type):
     return run
 
 
-def score(docs: DataFrame, work: Work, held_out, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, work: Work, held_out, id_col: str = "doc_id", text_col: str = "text",
+          order: int = ORDER) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
     Learns from the rows for which the column ``held_out`` is not true. Words are runs without ASCII white space, ASCII
     letters lower-cased; each text has one end token. A null text counts as empty: it is its end. Repeated rows count
-    each. With no training text every token is unknown, with probability one. An empty table gives no rows.
+    each. With no training text every token is unknown, with probability one. An empty table gives no rows. ``order`` is
+    the number of words in the longest n-gram, two or more.
     """
+    if order < 2:
+        raise ValueError("backoff needs an order of two or more")
     size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     slices = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SLICE_BYTES))
     id_field = T.StructField("doc_id", docs.schema[id_col].dataType)
@@ -355,10 +422,12 @@ def score(docs: DataFrame, work: Work, held_out, id_col: str = "doc_id", text_co
         T.StructField("slice", T.IntegerType()), id_field, T.StructField("held_out", T.BooleanType()),
         T.StructField("n", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in "abc"]])
     numbered = work.save_buckets(rows.mapInArrow(_number_pass(slices), schema), "block", min(slices, MOST_BUCKETS), "numbered")
+    full = numbered.select("block", "kind", "slice", "doc_id", "held_out", "n", "a", "b")
+    slim = full.withColumn("doc_id", F.lit(None).cast("string"))
     words = work.save(numbered.where(F.col("kind") == WORDS).select("block", "slice", "a", "c")
                       .groupBy("slice").applyInArrow(_add_words, REPLY), "words")
-    bigrams = work.save(numbered.where(F.col("kind") == BIGRAMS).select("block", "slice", "a", "b")
-                        .groupBy("slice").applyInArrow(_add_bigrams, REPLY), "bigrams")
+    listed = slim.groupBy("block").applyInArrow(_list_grams(slices, order), REPLY).drop("stats")
+    grams = work.save(listed.groupBy("kind", "slice").applyInArrow(_add_grams, REPLY), "grams")
 
     def stats(replies: DataFrame, size: int) -> list[int]:
         found = replies.where("stats IS NOT NULL").agg(*[F.sum(F.col("stats")[i]) for i in range(size)]).first()
@@ -368,15 +437,17 @@ def score(docs: DataFrame, work: Work, held_out, id_col: str = "doc_id", text_co
     tokens, types, *words_of = stats(words, TRUSTED + 3)
     if 0 < texts <= TRUSTED + 1:
         words_of[texts - 1] += 1  # the end of a text is a type like any other
-    model = Model(tokens + texts, types + (texts > 0), texts, words_of, stats(bigrams, TRUSTED + 1))
-
-    own = numbered.where(F.col("kind") != BIGRAMS).drop("doc_id").withColumn("doc_id", F.lit(None).cast("string"))
-    replies = words.unionByName(bigrams).where("block IS NOT NULL").drop("stats")
-    sums = own.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        _context_sums(model), "block long, slice int, keys binary, seen binary, below binary, counts binary")
-    contexts = work.save(sums.groupBy("slice").applyInArrow(_add_contexts(model), REPLY), "contexts")
-    full = numbered.where(F.col("kind") != BIGRAMS)
-    out = full.groupBy("block").cogroup(replies.unionByName(contexts.drop("stats")).groupBy("block")).applyInArrow(
+    model = Model(tokens + texts, types + (texts > 0), texts, words_of,
+                  [stats(grams.where(F.col("kind") == n), TRUSTED + 1) for n in range(2, order + 1)])
+
+    replies = words.unionByName(grams).where("block IS NOT NULL").drop("stats")
+    for n in range(2, order + 1):
+        sums = slim.groupBy("block").cogroup(replies.where(F.col("kind") <= n).groupBy("block")).applyInArrow(
+            _context_sums(model, n, slices),
+            "block long, slice int, keys binary, seen binary, below binary, counts binary")
+        contexts = work.save(sums.groupBy("slice").applyInArrow(_add_contexts(model, n), REPLY), "contexts")
+        replies = replies.unionByName(contexts.drop("stats"))
+    out = full.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         _evaluate(model, to_arrow_type(id_field.dataType)), T.StructType([
             id_field, T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
             T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()),

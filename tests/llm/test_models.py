@@ -54,60 +54,78 @@ def test_texts_without_letters(awkward, work):
     assert language_id.identify(awkward.limit(0), model, [F.col("doc_id")]).collect() == []
 
 
-def brute_katz(rows):
+def brute_katz(rows, order):
+    """Probabilities by the definition, with tuples of words as keys and one dictionary per order."""
     tokens = lambda t: [*(t or "").encode().lower().split(), "</s>"]
-    words, pairs, contexts = Counter(), Counter(), Counter()
+    counts = [Counter() for _ in range(order + 1)]
+    contexts = [Counter() for _ in range(order + 1)]
     for _, held, t in rows:
         if not held:
-            own = tokens(t)
-            words.update(own)
-            pairs.update(zip(["<s>", *own[:-1]], own))
-            contexts.update(["<s>", *own[:-1]])
-    total = sum(words.values())
-    of = lambda c: [sum(n == r for n in c.values()) for r in range(1, katz.TRUSTED + 2)]
-    d1, d2 = katz.discounts(of(words)), katz.discounts(of(pairs))
+            own = ["<s>", *tokens(t)]
+            counts[1].update((w,) for w in own[1:])
+            for n in range(2, order + 1):
+                grams = list(zip(*[own[k:] for k in range(n)]))
+                counts[n].update(grams)
+                contexts[n].update(g[:-1] for g in grams)
+    total = sum(counts[1].values())
     top = katz.TRUSTED + 1
-    unknown = 1 - sum(d1[min(n, top)] * n for n in words.values()) / total if total else 1.0
-    one = lambda w: d1[min(words[w], top)] * words[w] / total if words[w] else unknown
-    after = defaultdict(dict)
-    for (v, w), n in pairs.items():
-        after[v][w] = n
-    weight, size = {}, {}
-    for k, (v, own) in enumerate(after.items()):
-        left = contexts[v] - sum(d2[min(n, top)] * n for n in own.values())
-        size[v], left = (contexts[v] + 1, 1.0) if left < 1e-9 else (contexts[v], left)
-        weight[v] = left / size[v] / (1 - sum(one(w) for w in own))
-        if k % 997:  # the sum over the vocabulary is checked for some contexts
-            continue
-        known = sum(d2[min(n, top)] * n / size[v] for n in own.values())
-        rest = sum(one(w) for w in words if w not in own) + unknown
-        assert abs(known + weight[v] * rest - 1) < 1e-9
+    rate = [None] + [katz.discounts([sum(x == r for x in c.values()) for r in range(1, top + 1)]) for c in counts[1:]]
+    mass = lambda g: rate[len(g)][min(counts[len(g)][g], top)] * counts[len(g)][g]
+    unknown = 1 - sum(map(mass, counts[1])) / total if total else 1.0
+    after, size, weight = defaultdict(list), {}, {}
+    for n in range(2, order + 1):
+        for g in counts[n]:
+            after[g[:-1]].append(g[-1])
+
+    def p(gram):
+        if len(gram) == 1:
+            return mass(gram) / total if counts[1][gram] else unknown
+        if counts[len(gram)][gram]:
+            return mass(gram) / size[gram[:-1]]
+        return weight.get(gram[:-1], 1.0) * p(gram[1:])
+
+    for n in range(2, order + 1):
+        for k, (context, times) in enumerate(contexts[n].items()):
+            own = after[context]
+            left = times - sum(mass((*context, w)) for w in own)
+            size[context], left = (times + 1, 1.0) if left < 1e-9 else (times, left)
+            weight[context] = left / size[context] / (1 - sum(p((*context[1:], w)) for w in own))
+            if k % 997 == 0:  # the sum over the vocabulary is checked for some contexts
+                whole = sum(p((*context, w)) for (w,) in counts[1]) + p((*context, "no word of any text"))
+                assert abs(whole - 1) < 1e-9
     out = {}
     for i, held, t in rows:
-        base = score = 0.0
-        before = "<s>"
-        for w in tokens(t):
-            n = pairs[before, w]
-            base += math.log10((words[w] + 1) / (total + len(words) + 1))
-            score += math.log10(d2[min(n, top)] * n / size[before] if n else weight.get(before, 1.0) * one(w))
-            before = w
-        out[i] = (held, len(tokens(t)), sum(words[w] > 0 for w in tokens(t)), total), base, score
+        own = ["<s>", *tokens(t)]
+        base = sum(math.log10((counts[1][w,] + 1) / (total + len(counts[1]) + 1)) for w in own[1:])
+        score = sum(math.log10(p(tuple(own[max(0, k - order + 1):k + 1]))) for k in range(1, len(own)))
+        out[i] = (held, len(own) - 1, sum(counts[1][w,] > 0 for w in own[1:]), total), base, score
     return out
 
 
-@pytest.mark.parametrize("parts", [1, 6])
-def test_katz_scores(documents, awkward, work, parts):
+@pytest.mark.parametrize("parts, order", [(1, 2), (6, 2), (1, 3), (6, 3), (6, 4)])
+def test_katz_scores(documents, awkward, work, parts, order):
     docs = documents.select("doc_id", "text").unionByName(
         awkward.where("doc_id IS NOT NULL").select((F.col("doc_id") + 10_000).alias("doc_id"), "text").dropDuplicates(["doc_id"]))
     held = remainder(7) == 2
-    got = {r["doc_id"]: r for r in katz.score(docs.repartition(parts), work, held).collect()}
-    want = brute_katz([tuple(r) for r in docs.select("doc_id", held.alias("h"), "text").collect()])
+    got = {r["doc_id"]: r for r in katz.score(docs.repartition(parts), work, held, order=order).collect()}
+    want = brute_katz([tuple(r) for r in docs.select("doc_id", held.alias("h"), "text").collect()], order)
     assert got.keys() == want.keys()
     for i, (counts, base, score) in want.items():
         assert tuple(got[i])[1:5] == counts
         assert got[i]["base_score"] == pytest.approx(base, abs=1e-6) and got[i]["score"] == pytest.approx(score, abs=1e-6)
 
 
+def test_katz_backs_off_word_by_word(spark, work):
+    texts = ["a b c"] * 3 + ["a b d", "x b e", "x b e", "q r"]
+    docs = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)] + [(9, "x b c", True), (10, "zz b d", True)],
+                                 "doc_id long, text string, held boolean")
+    got = {r["doc_id"]: r["score"] for r in katz.score(docs.repartition(4), work, F.col("held")).collect()}
+    want = brute_katz([(r["doc_id"], r["held"], r["text"]) for r in docs.collect()], 3)
+    assert got == {i: pytest.approx(score) for i, (_, _, score) in want.items()}
+    with pytest.raises(ValueError):
+        katz.score(docs, work, F.col("held"), order=1)
+
+
 def test_katz_slices_grow_with_the_texts(documents, awkward, work, monkeypatch):
     docs = documents.select("doc_id", "text").unionByName(awkward.where("doc_id > 1000000").select("doc_id", "text"))
     held = remainder(7) == 2

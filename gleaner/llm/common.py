@@ -15,6 +15,8 @@ ARROW_CONF = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     for key, value in ARROW_CONF.items():
@@ -28,11 +30,17 @@ class Work:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root, self._count = spark, scratch_dir(spark, label), 0
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a table and read it back, which cuts the lineage."""
+    def save(self, df: DataFrame, name: str, lean: bool = False) -> DataFrame:
+        """Write a table and read it back, which cuts the lineage; ``lean`` deletes the write's shuffle files at its end."""
         self._count += 1
         path = f"{self.root}/{name}-{self._count}"
-        df.write.option("compression", "zstd").parquet(path)
+        conf = self.spark.conf
+        before = conf.get(SHUFFLE_CLEANUP)
+        conf.set(SHUFFLE_CLEANUP, "true" if lean else before)
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            conf.set(SHUFFLE_CLEANUP, before)
         saved = self.spark.read.schema(df.schema).parquet(path)
         saved._work_path = path
         return saved

@@ -117,13 +117,31 @@ def _levels(texts: list[np.ndarray], hashes: np.ndarray, order: int) -> tuple[li
         context = below.place[use - 1]
         if n == 2:
             context[at == 0] = START
-        keys, first, place = np.unique(_mix(below.keys[context], hashes[word[use]]), return_index=True, return_inverse=True)
+        keys, first, place = _distinct(_mix(below.keys[context], hashes[word[use]]))
         whole = np.full(len(word), -1)
         whole[use] = place
         levels.append(_Level(keys, whole, context[first], below.place[use[first]]))
     return levels, ends
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, where each comes first, and the number of each key among them.
+
+    Sorts the upper bits together with the place, in one plain sort; keys that differ below are put right after it.
+    """
+    low = np.uint64((1 << len(keys).bit_length()) - 1)
+    order = (np.sort((keys & ~low) | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+    ranked = keys[order]
+    if (ranked[1:] < ranked[:-1]).any():
+        again = np.argsort(ranked, kind="stable")
+        order, ranked = order[again], ranked[again]
+    new = np.ones(len(keys), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return ranked[new], order[new], place
+
+
 def _mix(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     key = (context * _MIX[0]) ^ (word >> np.uint64(31)) ^ (word * _MIX[1])
     key ^= key >> np.uint64(29)
@@ -266,12 +284,14 @@ def _add_grams(key: tuple, rows: pa.Table) -> pa.Table:
     packed, counted = rows.column("a").to_pylist(), rows.column("b").to_pylist()
     keys = [unpack_rising(packed[i], np.uint64) for i in order]
     times = np.concatenate([unpack(counted[i], np.uint32) for i in order]).astype(np.int64)
-    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+    distinct, _, place = _distinct(np.concatenate(keys))
     total = np.bincount(place, times, len(distinct)).astype(np.int64)
     shared = (np.bincount(place) > 1)[place]
+    learnt = np.flatnonzero(times)[::-1]
+    first = np.full(len(distinct), -1)
+    first[place[learnt]] = learnt  # the last written, the first in order, stays
     owner = np.zeros(len(place), bool)
-    learnt = np.flatnonzero(times)
-    owner[learnt[np.unique(place[learnt], return_index=True)[1]]] = True
+    owner[first[first >= 0]] = True
     (n, s), at, out = (k.as_py() for k in key), 0, []
     for i, own in zip(order, keys):
         here = slice(at, at + len(own))
@@ -331,8 +351,9 @@ class _Block:
         total, weight = self.model.weights(self.count[n - 1], *self.sums(n))
         answers = self.answers.get(-n, [])
         if answers:
-            total[self.open(n)], weight[self.open(n)] = (
-                np.concatenate([unpack(r[c], np.float64) for r in answers]) for c in "ab")
+            found = self.open(n)
+            for into, c in ((total, "a"), (weight, "b")):
+                into[found] = np.concatenate([unpack(r[c], np.float64) for r in answers])
         level, count = self.levels[n], self.count[n]
         self.chance.append(np.where(count > 0, self.model.mass(n, count) / total[level.context],
                                     weight[level.context] * self.chance[n - 1][level.shorter]))
@@ -364,7 +385,7 @@ def _add_contexts(model: Model, n: int):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         found = sorted(rows.to_pylist(), key=lambda r: r["block"])
         keys = [unpack_rising(r["keys"], np.uint64) for r in found]
-        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+        distinct, _, place = _distinct(np.concatenate(keys))
         seen, below, counts = (np.concatenate([unpack(r[c], t) for r in found]) for c, t in (
             ("seen", np.float64), ("below", np.float64), ("counts", np.int64)))
         count = np.zeros(len(distinct), np.int64)
@@ -425,9 +446,9 @@ def score(docs: DataFrame, work: Work, held_out, id_col: str = "doc_id", text_co
     full = numbered.select("block", "kind", "slice", "doc_id", "held_out", "n", "a", "b")
     slim = full.withColumn("doc_id", F.lit(None).cast("string"))
     words = work.save(numbered.where(F.col("kind") == WORDS).select("block", "slice", "a", "c")
-                      .groupBy("slice").applyInArrow(_add_words, REPLY), "words")
+                      .groupBy("slice").applyInArrow(_add_words, REPLY), "words", lean=True)
     listed = slim.groupBy("block").applyInArrow(_list_grams(slices, order), REPLY).drop("stats")
-    grams = work.save(listed.groupBy("kind", "slice").applyInArrow(_add_grams, REPLY), "grams")
+    grams = work.save(listed.groupBy("kind", "slice").applyInArrow(_add_grams, REPLY), "grams", lean=True)
 
     def stats(replies: DataFrame, size: int) -> list[int]:
         found = replies.where("stats IS NOT NULL").agg(*[F.sum(F.col("stats")[i]) for i in range(size)]).first()
@@ -445,7 +466,7 @@ def score(docs: DataFrame, work: Work, held_out, id_col: str = "doc_id", text_co
         sums = slim.groupBy("block").cogroup(replies.where(F.col("kind") <= n).groupBy("block")).applyInArrow(
             _context_sums(model, n, slices),
             "block long, slice int, keys binary, seen binary, below binary, counts binary")
-        contexts = work.save(sums.groupBy("slice").applyInArrow(_add_contexts(model, n), REPLY), "contexts")
+        contexts = work.save(sums.groupBy("slice").applyInArrow(_add_contexts(model, n), REPLY), "contexts", lean=True)
         replies = replies.unionByName(contexts.drop("stats"))
     out = full.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         _evaluate(model, to_arrow_type(id_field.dataType)), T.StructType([

@@ -102,6 +102,14 @@ def brute_katz(rows, order):
     return out
 
 
+def test_katz_distinct_keys():
+    rng = np.random.default_rng(1)
+    near = (rng.integers(0, 3, 4000).astype(np.uint64) << np.uint64(60)) | rng.integers(0, 900, 4000).astype(np.uint64)
+    for keys in (np.zeros(0, np.uint64), np.array([5], np.uint64), rng.integers(0, 2 ** 64, 5000, dtype=np.uint64), near):
+        for got, want in zip(katz._distinct(keys), np.unique(keys, return_index=True, return_inverse=True)):
+            assert len(got) == len(want) and (got == want).all()
+
+
 @pytest.mark.parametrize("parts, order", [(1, 2), (6, 2), (1, 3), (6, 3), (6, 4)])
 def test_katz_scores(documents, awkward, work, parts, order):
     docs = documents.select("doc_id", "text").unionByName(

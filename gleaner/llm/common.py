@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,24 +35,33 @@ class Work:
         """Write a table and read it back, which cuts the lineage; ``lean`` deletes the write's shuffle files at its end."""
         self._count += 1
         path = f"{self.root}/{name}-{self._count}"
+        self._write(lean, lambda: df.write.option("compression", "zstd").parquet(path))
+        saved = self.spark.read.schema(df.schema).parquet(path)
+        saved._work_path = path
+        return saved
+
+    def table_name(self, name: str) -> str:
+        return f"{name}_{uuid.uuid4().hex}"
+
+    def save_buckets(self, df: DataFrame, key: str, buckets: int, name: str, table: str | None = None,
+                     lean: bool = False) -> DataFrame:
+        """Write a table in buckets of a key, which later joins on that key read without a shuffle.
+
+        Rows are added to ``table`` where one is named.
+        """
+        table = table or self.table_name(name)
+        self._write(lean, lambda: df.write.option("compression", "zstd").option(
+            "path", f"{self.root}/{table}").bucketBy(buckets, key).mode("append").saveAsTable(table))
+        return self.spark.table(table)
+
+    def _write(self, lean: bool, write: Callable[[], None]) -> None:
         conf = self.spark.conf
         before = conf.get(SHUFFLE_CLEANUP)
         conf.set(SHUFFLE_CLEANUP, "true" if lean else before)
         try:
-            df.write.option("compression", "zstd").parquet(path)
+            write()
         finally:
             conf.set(SHUFFLE_CLEANUP, before)
-        saved = self.spark.read.schema(df.schema).parquet(path)
-        saved._work_path = path
-        return saved
-
-    def save_buckets(self, df: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
-        """Write a table in buckets of a key, which later joins on that key read without a shuffle."""
-        self._count += 1
-        table = f"{name}_{uuid.uuid4().hex}"
-        df.write.option("compression", "zstd").option("path", f"{self.root}/{name}-{self._count}").bucketBy(
-            buckets, key).saveAsTable(table)
-        return self.spark.table(table)
 
     def drop(self, saved: DataFrame) -> None:
         """Delete a table that nothing reads any more."""

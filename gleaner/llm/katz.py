@@ -260,19 +260,16 @@ def _words(numbered: list[dict]) -> tuple[list[dict], np.ndarray]:
     return lists, _hashes(words)
 
 
-def _list_grams(slices: int, order: int):
+def _list_grams(slices: int, n: int):
     def run(key: tuple, numbered: pa.Table) -> pa.Table:
         rows = numbered.to_pylist()
         texts = [r for r in rows if r["kind"] == TEXT]
-        levels, ends = _levels([unpack(r["a"], np.uint32) for r in texts], _words(rows)[1], order)
+        levels, ends = _levels([unpack(r["a"], np.uint32) for r in texts], _words(rows)[1], n)
         learnt = np.repeat(np.array([not r["held_out"] for r in texts], bool), np.diff(ends, prepend=0))
-        out = []
-        for n in range(2, order + 1):
-            keys, place = levels[n].keys, levels[n].place
-            times = np.bincount(place[learnt & (place >= 0)], minlength=len(keys)).astype(np.uint32)
-            for s, a, b in _ranges(keys, slices):
-                out.append((key[0].as_py(), n, s, pack_rising(keys[a:b], 1), pack(times[a:b]), None))
-        return _reply(out)
+        keys, place = levels[n].keys, levels[n].place
+        times = np.bincount(place[learnt & (place >= 0)], minlength=len(keys)).astype(np.uint32)
+        return _reply([(key[0].as_py(), n, s, pack_rising(keys[a:b], 1), pack(times[a:b]), None)
+                       for s, a, b in _ranges(keys, slices)])
 
     return run
 
@@ -422,6 +419,10 @@ def _evaluate(model: Model, id_type):
     return run
 
 
+def _to_blocks(replies: DataFrame) -> DataFrame:
+    return replies.where("block IS NOT NULL").select("block", "kind", "slice", "a", "b")
+
+
 def score(docs: DataFrame, work: Work, held_out, id_col: str = "doc_id", text_col: str = "text",
           order: int = ORDER) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
@@ -442,33 +443,41 @@ def score(docs: DataFrame, work: Work, held_out, id_col: str = "doc_id", text_co
         T.StructField("block", T.LongType()), T.StructField("kind", T.IntegerType()),
         T.StructField("slice", T.IntegerType()), id_field, T.StructField("held_out", T.BooleanType()),
         T.StructField("n", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in "abc"]])
-    numbered = work.save_buckets(rows.mapInArrow(_number_pass(slices), schema), "block", min(slices, MOST_BUCKETS), "numbered")
+    buckets = min(slices, MOST_BUCKETS)
+    numbered = work.save_buckets(rows.mapInArrow(_number_pass(slices), schema), "block", buckets, "numbered")
     full = numbered.select("block", "kind", "slice", "doc_id", "held_out", "n", "a", "b")
     slim = full.withColumn("doc_id", F.lit(None).cast("string"))
-    words = work.save(numbered.where(F.col("kind") == WORDS).select("block", "slice", "a", "c")
-                      .groupBy("slice").applyInArrow(_add_words, REPLY), "words", lean=True)
-    listed = slim.groupBy("block").applyInArrow(_list_grams(slices, order), REPLY).drop("stats")
-    grams = work.save(listed.groupBy("kind", "slice").applyInArrow(_add_grams, REPLY), "grams", lean=True)
+    answers = work.table_name("answers")
+
+    def answer(rows: DataFrame) -> DataFrame:
+        """Add rows to the table of answers, in the buckets of their blocks: shuffled once however often they are read."""
+        return work.save_buckets(rows.repartition(buckets, "block"), "block", buckets, "answers", answers, lean=True)
+
+    answer(numbered.where(F.col("kind") == WORDS).select("block", "slice", "a", "c")
+           .groupBy("slice").applyInArrow(_add_words, REPLY))
+    # One order after the other: the shuffled keys of one are gone when the next are listed.
+    for n in range(2, order + 1):
+        replies = answer(slim.groupBy("block").applyInArrow(_list_grams(slices, n), REPLY).drop("stats")
+                         .groupBy("kind", "slice").applyInArrow(_add_grams, REPLY))
 
-    def stats(replies: DataFrame, size: int) -> list[int]:
-        found = replies.where("stats IS NOT NULL").agg(*[F.sum(F.col("stats")[i]) for i in range(size)]).first()
+    def stats(kind: int, size: int) -> list[int]:
+        found = replies.where("stats IS NOT NULL").where(F.col("kind") == kind).agg(
+            *[F.sum(F.col("stats")[i]) for i in range(size)]).first()
         return [x or 0 for x in found]
 
     texts = numbered.where((F.col("kind") == TEXT) & ~F.col("held_out")).count()
-    tokens, types, *words_of = stats(words, TRUSTED + 3)
+    tokens, types, *words_of = stats(WORDS, TRUSTED + 3)
     if 0 < texts <= TRUSTED + 1:
         words_of[texts - 1] += 1  # the end of a text is a type like any other
     model = Model(tokens + texts, types + (texts > 0), texts, words_of,
-                  [stats(grams.where(F.col("kind") == n), TRUSTED + 1) for n in range(2, order + 1)])
+                  [stats(n, TRUSTED + 1) for n in range(2, order + 1)])
 
-    replies = words.unionByName(grams).where("block IS NOT NULL").drop("stats")
     for n in range(2, order + 1):
-        sums = slim.groupBy("block").cogroup(replies.where(F.col("kind") <= n).groupBy("block")).applyInArrow(
+        sums = slim.groupBy("block").cogroup(_to_blocks(replies).where(F.col("kind") <= n).groupBy("block")).applyInArrow(
             _context_sums(model, n, slices),
             "block long, slice int, keys binary, seen binary, below binary, counts binary")
-        contexts = work.save(sums.groupBy("slice").applyInArrow(_add_contexts(model, n), REPLY), "contexts", lean=True)
-        replies = replies.unionByName(contexts.drop("stats"))
-    out = full.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+        replies = answer(sums.groupBy("slice").applyInArrow(_add_contexts(model, n), REPLY))
+    out = full.groupBy("block").cogroup(_to_blocks(replies).groupBy("block")).applyInArrow(
         _evaluate(model, to_arrow_type(id_field.dataType)), T.StructType([
             id_field, T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
             T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()),

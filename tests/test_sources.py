@@ -290,3 +290,20 @@ def test_one_shard_over_many_tasks(spark, tmp_path):
     assert sorted(r["value"] for r in df.collect()) == want == sorted(lines)
     used = df.withColumn("task", F.spark_partition_id()).groupBy("task").count().count()
     assert used >= 8
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    for i in range(300):
+        folder = tmp_path / "p" / "c" / f"d{i}"
+        folder.mkdir(parents=True)
+        (folder / "x.html").write_text(f"page {i}")
+    context = session.configure(spark).sparkContext
+    context.setJobGroup("listing", "folders of a page store")
+    try:
+        files = page_store.read_page_files(spark, str(tmp_path))
+        tracker = context.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < max(s.numTasks for s in stages) <= 96
+    assert {r["key"] for r in files.select("key").collect()} == {f"d{i}/x" for i in range(300)}

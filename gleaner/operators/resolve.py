@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.text import blank_to_null, comparison_key
 
-_RN = "_rn"
+_RN, _KEY = "_rn", "_key"
 
 
 def first_per_key(df: DataFrame, keys: list[Column], order_by: list[Column | str], rank: str = _RN) -> DataFrame:
@@ -18,25 +19,49 @@ def first_per_key(df: DataFrame, keys: list[Column], order_by: list[Column | str
     A hash of the key leads the window's sort: addresses share their first bytes, which makes the sort prefix
     useless, while the hash decides almost every comparison at once.
     """
-    w = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*order_by)
-    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)
+    return _first(df, Window.partitionBy(F.xxhash64(*keys), *keys), order_by, rank)
 
 
-def duplicate_key(trim: bool = False) -> list[Column]:
+def _first(df: DataFrame, groups, order_by: list[Column | str], rank: str = _RN) -> DataFrame:
+    return df.withColumn(rank, F.row_number().over(groups.orderBy(*order_by))).where(F.col(rank) == 1).drop(rank)
+
+
+def key_digest(keys: list[Column]) -> Column:
+    """16 bytes of the SHA-256 of a key's texts; lengths keep the parts apart, and NULL from an empty text.
+
+    Among n distinct keys about n * n / 2^129 pairs are taken for one: less than one in 10^18 for 10^10 keys.
+    """
+    parts = []
+    for k in keys:
+        parts += [F.coalesce(F.octet_length(k).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(k, F.lit(""))]
+    return F.substring(F.unhex(F.sha2(F.concat(*parts), 256)), 1, 16)
+
+
+def duplicate_key(trim: bool = False, cell: Callable[[str], Column] = F.col) -> list[Column]:
     """Address and crawl where the row has an address, else name, platform, city and crawl."""
-    url = blank_to_null(F.col("restaurant_url"))
+    url = blank_to_null(cell("restaurant_url"))
     named = url.isNull()
-    crawl = F.coalesce("crawl_id", F.lit(""))
+    crawl = F.coalesce(cell("crawl_id"), F.lit(""))
 
     def norm(c: str) -> Column:
-        return F.when(named, comparison_key(F.col(c), trim))
+        return F.when(named, comparison_key(cell(c), trim))
 
-    return [url, norm("name"), F.when(named, F.coalesce("platform", F.lit(""))), norm("city"), crawl]
+    return [url, norm("name"), F.when(named, F.coalesce(cell("platform"), F.lit(""))), norm("city"), crawl]
 
 
-def drop_duplicates_first(df: DataFrame, order_by: list[Column | str], trim: bool = False) -> DataFrame:
-    """Two-strategy de-duplication in one pass; ``order_by`` must be a total order and decides the winner."""
-    return first_per_key(df, duplicate_key(trim), order_by)
+def drop_duplicates_first(df: DataFrame, order_by: list[Column | str], trim: bool = False,
+                          cells: dict[str, Column] | None = None) -> DataFrame:
+    """Two-strategy de-duplication in one pass; ``order_by`` must be a total order and decides the winner.
+
+    ``cells`` are columns that the result gets, made from those of ``df``. The key may name them, yet they are made for
+    the rows that stay only: what is sorted and shuffled are the columns of ``df`` that they need. Rows go with a digest
+    of their key, as the key itself is long and repeats cells of the row.
+    """
+    cells = cells or {}
+    digest = key_digest(duplicate_key(trim, lambda c: cells[c] if c in cells else F.col(c)))
+    first = _first(df.withColumn(_KEY, digest), Window.partitionBy(_KEY), order_by)
+    kept = [F.col(c) for c in df.columns if c not in cells]
+    return first.select(*kept, *[c.alias(name) for name, c in cells.items()])
 
 
 def duplicate_report(df: DataFrame, trim: bool = False) -> DataFrame:

@@ -10,7 +10,8 @@ from gleaner.plans.extract_step import entity_table, extract_entities
 from gleaner.sources import index as ix
 from gleaner.sources import page_store
 from workload import fixtures as fx
-from workload.registry import Tables
+from workload import table_queries  # noqa: F401  (registers its queries)
+from workload.registry import QUERIES, Tables
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -60,6 +61,21 @@ def test_group_limits_run_before_the_shuffle(spark, sf):
         assert text.rindex("WindowGroupLimit") > text.index("Exchange hashpartitioning")
 
 
+@pytest.mark.parametrize("name", ["d01_deduplicate"])
+def test_deduplication_makes_cells_for_the_rows_that_stay(spark, sf, name):
+    text = plan(QUERIES[name](spark, sf))
+    assert "x.example/o/" in text
+    assert text.rindex("x.example/o/") < text.index("Window")
+
+
+def test_digests_keep_the_parts_of_a_key_apart(spark):
+    rows = [("ab", "c"), ("a", "bc"), ("a", None), ("a", ""), (None, "a"), ("", "a"), ("a:1:b", "c"), (None, None), ("é", "e"), ("ab", "c")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    digests = df.select(resolve.key_digest([F.col("x"), F.col("y")])).collect()
+    assert all(len(r[0]) == 16 for r in digests)
+    assert len({bytes(r[0]) for r in digests}) == len(set(rows))
+
+
 def test_top_groups_is_a_take_ordered(spark, sf):
     assert "TakeOrderedAndProject" in plan(ranking.top_groups(fx.listing(Tables(spark, sf)), "city", 10))
 

@@ -91,25 +91,33 @@ LISTING_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_ship
 LISTING_ORDER_SQL = ", ".join(LISTING_ORDER)
 
 
+def listing_lines(t: Tables) -> DataFrame:
+    """Order lines with their part, supplier and nation. The many lines meet the parts first, while they are slim."""
+    lines = t.lineitem.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    makers = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    return lines.join(makers, F.col("l_suppkey") == F.col("s_suppkey"))
+
+
+def listing_cells() -> dict[str, Column]:
+    """The cells of an entity, made from an order line."""
+    line, supp = F.col("l_linenumber"), F.col("l_suppkey")
+    return {
+        "crawl_id": F.concat(F.lit("CC-MAIN-"), F.year("l_shipdate").cast("string")),
+        "platform": F.col("l_returnflag"),
+        "city": F.when(supp % 10 == 0, "").otherwise(F.col("n_name")),
+        "name": F.when(line % 2 == 1, F.upper("s_name")).otherwise(F.col("s_name")),
+        "restaurant_url": F.when(line % 3 == 0, F.lit(None)).when(line % 5 == 0, "").otherwise(
+            F.concat(F.lit("https://x.example/s/"), supp.cast("string"))),
+        "food_type": F.when(F.col("l_partkey") % 4 != 0, F.col("p_type")),
+        "rating": F.round(F.col("l_discount") * 50, 2),
+        "num_ratings": F.round("l_quantity").cast("bigint"),
+        "date": F.date_format("l_shipdate", "yyyy-MM-dd"),
+        "source_url": F.concat(F.lit("https://x.example/o/"), F.col("l_orderkey").cast("string"))}
+
+
 def listing(t: Tables) -> DataFrame:
     """Entity rows with many duplicates, one per order line."""
-    df = (t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-          .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
-          .join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey")))
-    line, supp = F.col("l_linenumber"), F.col("l_suppkey")
-    return df.select(
-        F.concat(F.lit("CC-MAIN-"), F.year("l_shipdate").cast("string")).alias("crawl_id"),
-        F.col("l_returnflag").alias("platform"),
-        F.when(supp % 10 == 0, "").otherwise(F.col("n_name")).alias("city"),
-        F.when(line % 2 == 1, F.upper("s_name")).otherwise(F.col("s_name")).alias("name"),
-        F.when(line % 3 == 0, F.lit(None)).when(line % 5 == 0, "").otherwise(
-            F.concat(F.lit("https://x.example/s/"), supp.cast("string"))).alias("restaurant_url"),
-        F.when(F.col("l_partkey") % 4 != 0, F.col("p_type")).alias("food_type"),
-        F.round(F.col("l_discount") * 50, 2).alias("rating"),
-        F.round("l_quantity").cast("bigint").alias("num_ratings"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
-        F.concat(F.lit("https://x.example/o/"), F.col("l_orderkey").cast("string")).alias("source_url"),
-        *LISTING_ORDER)
+    return listing_lines(t).select(*[c.alias(name) for name, c in listing_cells().items()], *LISTING_ORDER)
 
 
 def listing_entities(t: Tables) -> DataFrame:

@@ -29,7 +29,7 @@ _DEDUP_COLUMNS = ["name", "platform", "city", "crawl_id", "restaurant_url", "sou
 WITH {LISTING_SQL}, {_DEDUP_SQL} SELECT {', '.join(_DEDUP_COLUMNS)} FROM unique_rows
 """)
 def _(t: Tables):
-    return resolve.drop_duplicates_first(fx.listing(t), LISTING_ORDER).select(*_DEDUP_COLUMNS)
+    return resolve.drop_duplicates_first(fx.listing_lines(t), LISTING_ORDER, cells=fx.listing_cells()).select(*_DEDUP_COLUMNS)
 
 
 @query("d02_deduplicate_trimmed", f"""
@@ -140,7 +140,8 @@ WITH {LISTING_SQL}, {_DEDUP_SQL} SELECT crawl_id, platform, city, count(*) AS re
 GROUP BY ALL ORDER BY ALL
 """)
 def _(t: Tables):
-    return reports.summary_table(resolve.drop_duplicates_first(fx.listing(t), LISTING_ORDER))
+    rows = resolve.drop_duplicates_first(fx.listing_lines(t), LISTING_ORDER, cells=fx.listing_cells())
+    return reports.summary_table(rows)
 
 
 @query("a04_platform_pivot", f"""

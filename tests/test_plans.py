@@ -61,7 +61,7 @@ def test_group_limits_run_before_the_shuffle(spark, sf):
         assert text.rindex("WindowGroupLimit") > text.index("Exchange hashpartitioning")
 
 
-@pytest.mark.parametrize("name", ["d01_deduplicate"])
+@pytest.mark.parametrize("name", ["d01_deduplicate", "d02_deduplicate_trimmed"])
 def test_deduplication_makes_cells_for_the_rows_that_stay(spark, sf, name):
     text = plan(QUERIES[name](spark, sf))
     assert "x.example/o/" in text

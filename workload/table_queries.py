@@ -42,11 +42,12 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY
 SELECT name, platform, city, crawl_id, restaurant_url, source_url FROM ranked WHERE rn = 1
 """)
 def _(t: Tables):
-    odd = F.col("num_ratings") % 2 == 1
-    df = fx.listing(t).withColumns({
-        "name": F.when(odd, F.concat(F.lit("  "), "name")).otherwise(F.concat("name", F.lit(" "))),
-        "city": F.nullif("city", F.lit(""))})
-    return resolve.drop_duplicates_first(df, LISTING_ORDER, trim=True).select(
+    cells = fx.listing_cells()
+    odd, name = cells["num_ratings"] % 2 == 1, cells["name"]
+    cells |= {
+        "name": F.when(odd, F.concat(F.lit("  "), name)).otherwise(F.concat(name, F.lit(" "))),
+        "city": F.nullif(cells["city"], F.lit(""))}
+    return resolve.drop_duplicates_first(fx.listing_lines(t), LISTING_ORDER, trim=True, cells=cells).select(
         "name", "platform", "city", "crawl_id", "restaurant_url", "source_url")
 
 

@@ -35,7 +35,7 @@ class _Window:
         if at > self.start:
             self.held, self.start = self.held[at - self.start:], at
         while len(self.held) < size:
-            block = bytes(self.file.read_at(max(READ_BYTES, size - len(self.held)), self.start + len(self.held)))
+            block = bytes(self.file.read_at(size - len(self.held), self.start + len(self.held)))
             if not block:
                 break
             self.held += block
@@ -71,10 +71,11 @@ def _first_member(file, start: int, end: int) -> int | None:
         return 0 if end else None
     window, at = _Window(file, start), start
     while at < end:
-        block = window.need(at, READ_BYTES + 10)
+        size = min(READ_BYTES, end - at) + 10
+        block = window.need(at, size)
         hit = block.find(_MAGIC)
         if hit < 0:
-            if len(block) < READ_BYTES + 10:
+            if len(block) < size:
                 return None
             at += len(block) - 2
             continue

@@ -15,6 +15,7 @@ from gleaner.plans.extract_step import entity_table
 from gleaner.schema import ENTITY_COLUMNS, POINTER
 from gleaner.sources import entity_store, gzip_lines, index, page_store, slices, warc
 from gleaner.streaming.incremental import watch_pages
+from workload import archive
 from workload import fixtures as fx
 from workload.registry import Tables
 
@@ -307,3 +308,14 @@ def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
         context.setLocalProperty("spark.jobGroup.id", None)
     assert 0 < max(s.numTasks for s in stages) <= 96
     assert {r["key"] for r in files.select("key").collect()} == {f"d{i}/x" for i in range(300)}
+
+
+def test_members_are_written_and_cdx_lines_made_by_as_many_tasks_as_pages_have(spark, sf):
+    pages = Tables(spark, sf).pages.repartition(5, "page_id")
+    lines = archive.cdx_lines(SimpleNamespace(spark=spark, pages=pages))
+    assert lines.rdd.getNumPartitions() == 5
+    root = archive.write_gzip_members(SimpleNamespace(spark=spark), lines, "members")
+    shards = spark.read.format("binaryFile").load(root).select("path", "length").where("length > 0").collect()
+    assert len(shards) == 5
+    found = gzip_lines.read_lines(spark, root, 500, "*.gz")
+    assert sorted(r["value"] for r in found.collect()) == sorted(r["value"] for r in lines.collect())

@@ -88,30 +88,30 @@ def cdx_lines(t: Tables) -> DataFrame:
     key = F.concat(
         F.array_join(F.reverse(F.split("url_host_name", r"\.")), ","), F.lit(")"), F.col("url_path"))
     stamp = F.date_format("fetch_time", "yyyyMMddHHmmss")
-    good = df.select(F.concat_ws(" ", key, stamp, record).alias("value"))
-    some = df.where(F.col("fetch_status") != 200)
-    return good.unionByName(some.select(F.concat_ws(" ", key, stamp).alias("value"))).unionByName(
-        some.select(F.concat_ws(" ", key, stamp, F.lit('{"url": "cut off')).alias("value")))
+    good, cut = F.concat_ws(" ", key, stamp, record), F.concat_ws(" ", key, stamp)
+    broken = F.array(good, cut, F.concat(cut, F.lit(' {"url": "cut off')))
+    # One pass over the pages, so that a task reads its own pages once.
+    return df.select(F.explode(F.when(F.col("fetch_status") != 200, broken).otherwise(F.array(good))).alias("value"))
 
 
 def write_gzip_members(t: Tables, lines: DataFrame, label: str, members: int = 40) -> str:
-    """One gzip file of many members; they end wherever their bytes end, mostly within a line."""
+    """Gzip files of many members each, one file per task; members end wherever their bytes end, mostly within a line."""
     root = f"{scratch_dir(t.spark, label)}/cdx"
 
     def store(batches):
         from pyarrow import fs as pafs
+        from pyspark import TaskContext
 
         fs, base = pafs.FileSystem.from_uri(root)
         fs.create_dir(base)
         text = b"".join(v.encode() + b"\n" for batch in batches for v in batch.column("value").to_pylist())
         size = max(1, -(-len(text) // members))
-        with fs.open_output_stream(f"{base}/shard.gz", compression=None) as out:
+        with fs.open_output_stream(f"{base}/shard-{TaskContext.get().partitionId():05d}.gz", compression=None) as out:
             for at in range(0, len(text), size):
                 out.write(gzip.compress(text[at:at + size], mtime=0))
         yield pa.RecordBatch.from_arrays([pa.array([len(text)], pa.int64())], names=["n"])
 
-    # The fixture is one small shard; the reader is what is tested.
-    lines.select("value").coalesce(1).mapInArrow(store, "n long").write.parquet(f"{root}-done")
+    lines.select("value").mapInArrow(store, "n long").write.parquet(f"{root}-done")
     return root
 
 

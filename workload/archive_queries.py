@@ -35,7 +35,7 @@ def _(t: Tables):
   WHERE url_host_registered_domain = 'example.com')
 """)
 def _(t: Tables):
-    # One file of 40 members in ranges of 2,000 bytes, and a plain file beside it.
+    # Files of 40 members in ranges of 2,000 bytes, and plain files beside them.
     root = archive.write_gzip_members(t, archive.cdx_lines(t), "s02m")
     archive.cdx_lines(t).write.mode("append").text(root)
     lines = gzip_lines.read_lines(t.spark, root, 2000, "*.gz").unionByName(t.spark.read.option("pathGlobFilter", "*[!z]").text(root))

@@ -13,8 +13,10 @@ block. From them each block lists its distinct n-grams of every order (64-bit ke
 slices by ranges of keys. The slices are shuffled, so that all counts of a word or n-gram meet in one task, however
 frequent it is: it has one entry per block. The totals go back to the blocks that asked. One of the blocks owns each
 n-gram and adds it to the sums of its context; sums of contexts that occur in one block only need no exchange, others
-meet once more by slice. The sums of an order need the weights of the order below, so orders are settled from short to
-long. Then every token is evaluated recursively from its longest n-gram to its backoff. The number of slices grows with
+meet once more by slice. There a context is named by its place among the slice's contexts that several blocks have, which
+came with its count, so keys are sent once; a block sends sums of contexts of which it owns followers only, and gets the
+weights it needs, those of contexts before an unseen word, only. The sums of an order need the weights of the order
+below, so orders are settled from short to long. Then every token is evaluated recursively from its longest n-gram to its backoff. The number of slices grows with
 the bytes of the texts, so a slice stays as small whatever the size of the corpus.
 
 N-grams of one order are told apart by 64 bits of hash: among n distinct ones about n * n / 2^65 pairs are taken for one
@@ -48,6 +50,8 @@ MOST_BUCKETS = 100_000
 # Counts above this are not discounted.
 TRUSTED = 5
 START, END, FIRST = 0, 1, 2
+# The start mark is in no slice of words; as a context it has one of its own.
+NO_SLICE = -1
 # Kinds of rows; n-grams have their order n from 2 on as kind, and the sums of their contexts -n.
 TEXT, WORDS = 0, 1
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
@@ -216,14 +220,14 @@ def _number_pass(slices: int):
     return run
 
 
-REPLY = "block long, kind int, slice int, a binary, b binary, stats array<long>"
+REPLY = "block long, kind int, slice int, a binary, b binary, c binary, stats array<long>"
 
 
 def _reply(rows: list[tuple]) -> pa.Table:
-    cols = list(zip(*rows)) or [[]] * 6
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+    cols = list(zip(*rows)) or [[]] * 7
+    kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 3, pa.list_(pa.int64())]
     return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                names=["block", "kind", "slice", "a", "b", "stats"])
+                                names=["block", "kind", "slice", "a", "b", "c", "stats"])
 
 
 def _of(counts: np.ndarray) -> list[int]:
@@ -231,7 +235,8 @@ def _of(counts: np.ndarray) -> list[int]:
 
 
 def _add_words(key: tuple, rows: pa.Table) -> pa.Table:
-    """Training counts of a slice's words, and whether other blocks list them, back to each block; the slice's totals."""
+    """Training counts of a slice's words, whether other blocks list them, and the places of those that training has among
+    them, back to each block; the slice's totals."""
     total: dict[bytes, int] = {}
     blocks: dict[bytes, int] = {}
     lists = []
@@ -243,9 +248,11 @@ def _add_words(key: tuple, rows: pa.Table) -> pa.Table:
         lists.append((block, words))
     s = key[0].as_py()
     counts = np.array(list(total.values()), np.int64)
+    rank = {w: i for i, w in enumerate(w for w, n in blocks.items() if n > 1 and total[w])}
     out = [(block, WORDS, s, pack(np.array([total[w] for w in words], np.uint64)),
-            pack(np.array([blocks[w] > 1 for w in words])), None) for block, words in lists]
-    out.append((None, WORDS, s, None, None, [int(counts.sum()), int((counts > 0).sum()), *_of(counts)]))
+            pack(np.array([blocks[w] > 1 for w in words])),
+            pack_rising(np.array([rank[w] for w in words if w in rank], np.uint32)), None) for block, words in lists]
+    out.append((None, WORDS, s, None, None, None, [int(counts.sum()), int((counts > 0).sum()), *_of(counts)]))
     return _reply(out)
 
 
@@ -268,35 +275,45 @@ def _list_grams(slices: int, n: int):
         learnt = np.repeat(np.array([not r["held_out"] for r in texts], bool), np.diff(ends, prepend=0))
         keys, place = levels[n].keys, levels[n].place
         times = np.bincount(place[learnt & (place >= 0)], minlength=len(keys)).astype(np.uint32)
-        return _reply([(key[0].as_py(), n, s, pack_rising(keys[a:b], 1), pack(times[a:b]), None)
+        return _reply([(key[0].as_py(), n, s, pack_rising(keys[a:b], 1), pack(times[a:b]), None, None)
                        for s, a, b in _ranges(keys, slices)])
 
     return run
 
 
-def _add_grams(key: tuple, rows: pa.Table) -> pa.Table:
-    """Training counts of a slice's n-grams, back to each block, and which of them a block owns or shares with others."""
-    blocks = rows.column("block").to_pylist()
-    order = np.argsort(blocks, kind="stable")
-    packed, counted = rows.column("a").to_pylist(), rows.column("b").to_pylist()
-    keys = [unpack_rising(packed[i], np.uint64) for i in order]
-    times = np.concatenate([unpack(counted[i], np.uint32) for i in order]).astype(np.int64)
-    distinct, _, place = _distinct(np.concatenate(keys))
-    total = np.bincount(place, times, len(distinct)).astype(np.int64)
-    shared = (np.bincount(place) > 1)[place]
-    learnt = np.flatnonzero(times)[::-1]
-    first = np.full(len(distinct), -1)
-    first[place[learnt]] = learnt  # the last written, the first in order, stays
-    owner = np.zeros(len(place), bool)
-    owner[first[first >= 0]] = True
-    (n, s), at, out = (k.as_py() for k in key), 0, []
-    for i, own in zip(order, keys):
-        here = slice(at, at + len(own))
-        at += len(own)
-        out.append((blocks[i], n, s, pack(total[place[here]].astype(np.uint64)),
-                    pack(np.packbits([owner[here], shared[here]], axis=1)), None))
-    out.append((None, n, s, None, None, _of(total)))
-    return _reply(out)
+def _add_grams(order: int):
+    """Training counts of a slice's n-grams, back to each block, and which of them a block owns or shares with others.
+
+    Below the longest n-grams, those that training and several blocks have go with their places among them.
+    """
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        blocks = rows.column("block").to_pylist()
+        by_block = np.argsort(blocks, kind="stable")
+        packed, counted = rows.column("a").to_pylist(), rows.column("b").to_pylist()
+        keys = [unpack_rising(packed[i], np.uint64) for i in by_block]
+        times = np.concatenate([unpack(counted[i], np.uint32) for i in by_block]).astype(np.int64)
+        distinct, _, place = _distinct(np.concatenate(keys))
+        total = np.bincount(place, times, len(distinct)).astype(np.int64)
+        several = np.bincount(place) > 1
+        shared, common = several[place], several & (total > 0)
+        rank = np.cumsum(common, dtype=np.uint32) - np.uint32(1)
+        learnt = np.flatnonzero(times)[::-1]
+        first = np.full(len(distinct), -1)
+        first[place[learnt]] = learnt  # the last written, the first in order, stays
+        owner = np.zeros(len(place), bool)
+        owner[first[first >= 0]] = True
+        (n, s), at, out = (k.as_py() for k in key), 0, []
+        for i, own in zip(by_block, keys):
+            here = slice(at, at + len(own))
+            at += len(own)
+            own = place[here]
+            out.append((blocks[i], n, s, pack(total[own].astype(np.uint64)),
+                        pack(np.packbits([owner[here], shared[here]], axis=1)),
+                        pack_rising(rank[own[common[own]]]) if n < order else None, None))
+        out.append((None, n, s, None, None, None, _of(total)))
+        return _reply(out)
+
+    return run
 
 
 class _Block:
@@ -317,83 +334,101 @@ class _Block:
         for r in lists:
             count[r["codes"]] = unpack(totals[r["slice"]]["a"], np.uint64)
             shared[r["codes"]] = unpack(totals[r["slice"]]["b"], bool)
+        # Words and n-grams that training and other blocks have: (slice, numbers, places among those of the slice).
+        self.common = [None, [(r["slice"], r["codes"][shared[r["codes"]] & (count[r["codes"]] > 0)],
+                               unpack_rising(totals[r["slice"]]["c"], np.uint32)) for r in lists]]
         # As a context the start mark occurs once per text; as a word the end does.
         count[START] = count[END] = model.texts
-        shared[START] = True
-        self.count, self.shared, self.owner = [None, count], [None, shared], [None, None]
+        if model.texts:
+            self.common[1].append((NO_SLICE, np.array([START]), np.zeros(1, np.uint32)))
+        self.count, self.owner = [None, count], [None, None]
         for n in range(2, order + 1):
-            found = [(unpack(r["a"], np.uint64), unpack(r["b"], np.uint8).reshape(2, -1)) for r in self.answers.get(n, [])]
+            own = self.answers.get(n, [])
+            found = [(unpack(r["a"], np.uint64), unpack(r["b"], np.uint8).reshape(2, -1)) for r in own]
             self.count.append(np.concatenate([*[c for c, _ in found], np.zeros(0, np.uint64)]).astype(np.int64))
-            for flags, i in ((self.owner, 0), (self.shared, 1)):
-                flags.append(np.concatenate([*[np.unpackbits(b[i], count=len(c)) for c, b in found],
-                                             np.zeros(0, np.uint8)]).astype(bool))
+            self.owner.append(np.concatenate([*[np.unpackbits(b[0], count=len(c)) for c, b in found],
+                                              np.zeros(0, np.uint8)]).astype(bool))
+            if n < order:
+                at = np.cumsum([0, *[len(c) for c, _ in found]])
+                self.common.append([
+                    (r["slice"], a + np.flatnonzero(np.unpackbits(b[1], count=len(c)).astype(bool) & (c > 0)),
+                     unpack_rising(r["c"], np.uint32)) for r, a, (c, b) in zip(own, at, found)])
         # Probability of each n-gram's last word after the others, per order.
         self.chance = [None, model.unigram(count)]
 
-    def sums(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Discounted and shorter-order mass of the followers that this block owns, by context of order ``n``."""
+    def sums(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By context of order ``n``: whether this block owns followers, their discounted and their shorter-order mass."""
         level, size = self.levels[n], len(self.levels[n - 1].keys)
         mine = np.flatnonzero(self.owner[n])
-        return (np.bincount(level.context[mine], self.model.mass(n, self.count[n][mine]), size),
+        owns = np.zeros(size, bool)
+        owns[level.context[mine]] = True
+        return (owns, np.bincount(level.context[mine], self.model.mass(n, self.count[n][mine]), size),
                 np.bincount(level.context[mine], self.chance[n - 1][level.shorter[mine]], size))
 
-    def open(self, n: int) -> np.ndarray:
-        """The contexts of order ``n`` that training has and other blocks have too, by key."""
-        apart = np.zeros(len(self.levels[n - 1].keys), bool)
-        apart[self.levels[n].context] = True
-        found = np.flatnonzero(apart & self.shared[n - 1] & (self.count[n - 1] > 0))
-        return found[np.argsort(self.levels[n - 1].keys[found], kind="stable")]
+    def open(self, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """The contexts of order ``n`` that training has and other blocks have too: slice, numbers, places in the slice, and
+        whether their weight is needed here, for a follower that training does not have."""
+        size, context = len(self.levels[n - 1].keys), self.levels[n].context
+        follows, asks = np.zeros(size, bool), np.zeros(size, bool)
+        follows[context] = True
+        asks[context[self.count[n] == 0]] = True
+        for s, numbers, ranks in self.common[n - 1]:
+            use = follows[numbers]
+            if use.any():
+                yield s, numbers[use], ranks[use], asks[numbers[use]]
 
     def settle(self, n: int) -> None:
-        total, weight = self.model.weights(self.count[n - 1], *self.sums(n))
-        answers = self.answers.get(-n, [])
-        if answers:
-            found = self.open(n)
-            for into, c in ((total, "a"), (weight, "b")):
-                into[found] = np.concatenate([unpack(r[c], np.float64) for r in answers])
+        total, weight = self.model.weights(self.count[n - 1], *self.sums(n)[1:])
+        replies = {r["slice"]: r for r in self.answers.get(-n, [])}
+        for s, found, _, asks in self.open(n):
+            total[found] = self.count[n - 1][found] + np.unpackbits(unpack(replies[s]["a"], np.uint8), count=len(found))
+            weight[found[asks]] = unpack(replies[s]["b"], np.float64)
         level, count = self.levels[n], self.count[n]
         self.chance.append(np.where(count > 0, self.model.mass(n, count) / total[level.context],
                                     weight[level.context] * self.chance[n - 1][level.shorter]))
 
 
-def _context_sums(model: Model, n: int, slices: int):
+SUMS = "block long, slice int, ranks binary, flags binary, seen binary, below binary, counts binary"
+
+
+def _context_sums(model: Model, n: int):
     def run(key: tuple, numbered: pa.Table, replies: pa.Table) -> pa.Table:
-        names = ["block", "slice", "keys", "seen", "below", "counts"]
         rows = []
         if numbered.num_rows:
             block = _Block(numbered, replies, model, n)
             for below in range(2, n):
                 block.settle(below)
-            seen, lower = block.sums(n)
-            found = block.open(n)
-            keys = block.levels[n - 1].keys[found]
-            for s, a, b in _ranges(keys, slices):
-                own = found[a:b]
-                rows.append((key[0].as_py(), s, pack_rising(keys[a:b], 1), pack(seen[own], 1), pack(lower[own], 1),
-                             pack(block.count[n - 1][own])))
-        cols = list(zip(*rows)) or [[]] * 6
-        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
-        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+            owns, seen, lower = block.sums(n)
+            for s, found, ranks, asks in block.open(n):
+                own = found[owns[found]]
+                rows.append((key[0].as_py(), s, pack_rising(ranks), pack(np.packbits([owns[found], asks], axis=1)),
+                             pack(seen[own]), pack(lower[own], 1), pack(block.count[n - 1][own])))
+        cols = list(zip(*rows)) or [[]] * 7
+        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 5]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                    names=["block", "slice", "ranks", "flags", "seen", "below", "counts"])
 
     return run
 
 
 def _add_contexts(model: Model, n: int):
+    """Whether each context that a block names counts one more event, and the weights that it asks for."""
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         found = sorted(rows.to_pylist(), key=lambda r: r["block"])
-        keys = [unpack_rising(r["keys"], np.uint64) for r in found]
-        distinct, _, place = _distinct(np.concatenate(keys))
+        ranks = [unpack_rising(r["ranks"], np.uint32) for r in found]
+        flags = [np.unpackbits(unpack(r["flags"], np.uint8).reshape(2, -1), axis=1, count=len(k)).astype(bool)
+                 for r, k in zip(found, ranks)]
+        place = np.concatenate([k[owns] for k, (owns, _) in zip(ranks, flags)]).astype(np.int64)
         seen, below, counts = (np.concatenate([unpack(r[c], t) for r in found]) for c, t in (
             ("seen", np.float64), ("below", np.float64), ("counts", np.int64)))
-        count = np.zeros(len(distinct), np.int64)
+        # A context that training has has a follower that one of these blocks owns, so every count is here.
+        size = 1 + max(int(k.max()) for k in ranks)
+        count = np.zeros(size, np.int64)
         count[place] = counts
-        total, weight = model.weights(count, np.bincount(place, seen), np.bincount(place, below))
-        at, out = 0, []
-        for r, own in zip(found, keys):
-            here = place[at:at + len(own)]
-            at += len(own)
-            out.append((r["block"], -n, key[0].as_py(), pack(total[here], 1), pack(weight[here], 1), None))
-        return _reply(out)
+        total, weight = model.weights(count, np.bincount(place, seen, size), np.bincount(place, below, size))
+        more = total > count
+        return _reply([(r["block"], -n, key[0].as_py(), pack(np.packbits(more[k])), pack(weight[k[asks]], 1), None, None)
+                       for r, k, (_, asks) in zip(found, ranks, flags)])
 
     return run
 
@@ -420,7 +455,7 @@ def _evaluate(model: Model, id_type):
 
 
 def _to_blocks(replies: DataFrame) -> DataFrame:
-    return replies.where("block IS NOT NULL").select("block", "kind", "slice", "a", "b")
+    return replies.where("block IS NOT NULL").select("block", "kind", "slice", "a", "b", "c")
 
 
 def score(docs: DataFrame, work: Work, held_out, id_col: str = "doc_id", text_col: str = "text",
@@ -458,7 +493,7 @@ def score(docs: DataFrame, work: Work, held_out, id_col: str = "doc_id", text_co
     # One order after the other: the shuffled keys of one are gone when the next are listed.
     for n in range(2, order + 1):
         replies = answer(slim.groupBy("block").applyInArrow(_list_grams(slices, n), REPLY).drop("stats")
-                         .groupBy("kind", "slice").applyInArrow(_add_grams, REPLY))
+                         .groupBy("kind", "slice").applyInArrow(_add_grams(order), REPLY))
 
     def stats(kind: int, size: int) -> list[int]:
         found = replies.where("stats IS NOT NULL").where(F.col("kind") == kind).agg(
@@ -474,8 +509,7 @@ def score(docs: DataFrame, work: Work, held_out, id_col: str = "doc_id", text_co
 
     for n in range(2, order + 1):
         sums = slim.groupBy("block").cogroup(_to_blocks(replies).where(F.col("kind") <= n).groupBy("block")).applyInArrow(
-            _context_sums(model, n, slices),
-            "block long, slice int, keys binary, seen binary, below binary, counts binary")
+            _context_sums(model, n), SUMS)
         replies = answer(sums.groupBy("slice").applyInArrow(_add_contexts(model, n), REPLY))
     out = full.groupBy("block").cogroup(_to_blocks(replies).groupBy("block")).applyInArrow(
         _evaluate(model, to_arrow_type(id_field.dataType)), T.StructType([

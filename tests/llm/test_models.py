@@ -146,6 +146,22 @@ def test_katz_slices_grow_with_the_texts(documents, awkward, work, monkeypatch):
         assert r["base_score"] == pytest.approx(many[i]["base_score"]) and r["score"] == pytest.approx(many[i]["score"])
 
 
+@pytest.mark.parametrize("texts", [["a b c", "b c d", "a b d c", "c d"] * 30 + ["rare"], ["a b x", "a b y", "b x", "q a b"] * 30 + ["rare"]])
+def test_katz_sends_weights_only_where_a_word_is_unseen(spark, work, monkeypatch, texts):
+    """A context's weight is the bulk of the last answers; all blocks train on all words, but one held-out text asks for it."""
+    names = []
+    monkeypatch.setattr(work, "table_name", lambda name: names.append(f"{name}_{len(names)}_{id(texts)}") or names[-1])
+    docs = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)] + [(-1, "a b new", True)],
+                                 "doc_id long, text string, held boolean")
+    rows = katz.score(docs.repartition(6, "doc_id"), work, F.col("held")).collect()
+    want = brute_katz([(r["doc_id"], r["held"], r["text"]) for r in docs.collect()], 3)
+    assert {r["doc_id"]: r["score"] for r in rows} == {i: pytest.approx(score) for i, (_, _, score) in want.items()}
+    sent = {}
+    for r in spark.table(next(n for n in names if n.startswith("answers"))).where("kind < 0").collect():
+        sent[r["kind"]] = sent.get(r["kind"], 0) + len(katz.unpack(r["b"], np.float64))
+    assert sent == {-2: 1, -3: 1}  # of b, then of a b
+
+
 def test_katz_without_training(awkward, work):
     rows = katz.score(awkward, work, F.lit(True)).collect()
     assert len(rows) == awkward.count() and all(r["score"] == 0 and r["n_known"] == 0 for r in rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from functools import reduce
 from operator import and_
@@ -15,6 +16,7 @@ from gleaner.operators.predicates import any_of
 from gleaner.operators.ranking import collision_versions, numbered_key
 from gleaner.operators.resolve import first_per_key
 from gleaner.schema import FETCHED, PAGE, RECORD_ID, STORED
+from gleaner.sources import file_tree
 from gleaner.sources.slices import exists
 
 
@@ -94,25 +96,100 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
-    """HTML files ``{platform}/{crawl}/{key}.html`` with the three parts of their place below ``path``."""
-    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.html").format(
-        "binaryFile").load(path)
-    place_of = _place(path, ".html")
+    """HTML files ``{platform}/{crawl}/{key}.html`` with the three parts of their place below ``path``.
+
+    Tasks list the folders (now) and read the files, so the driver holds none of their names. A ``path`` that pyarrow
+    cannot open is left to Spark's reader, whose driver holds an entry per file.
+    """
+    place_of, listing = _place(path, ".html"), file_tree.list_files(spark, path, ".html")
+    if listing:
+        df = file_tree.read_files(listing, bytes)
+    else:
+        df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.html").format(
+            "binaryFile").load(path)
     return df.where(F.col("path").rlike(place_of)).select(
         F.regexp_extract("path", place_of, 1).alias("path_platform"),
         F.regexp_extract("path", place_of, 2).alias("path_crawl"),
         F.regexp_extract("path", place_of, 3).alias("key"), F.col("content").alias("body"))
 
 
+_SIDECAR = T.StructType([T.StructField(n, T.IntegerType() if n == "status" else T.StringType())
+                         for n in ("url", "timestamp", "status", "mime_type", "crawl_id", "platform")])
+_TEXT_CELLS = {*_SIDECAR.fieldNames()} - {"status"}
+_JSON, _BLANK = json.JSONDecoder(), " \t\r\n"
+
+
 def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
-    """JSON sidecars, keyed like the pages."""
-    place_of = _place(path, ".json")
-    schema = "url string, timestamp string, status int, mime_type string, crawl_id string, platform string"
-    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").option(
-        "multiLine", "true").schema(schema).json(path).withColumn("_f", F.col("_metadata.file_path"))
+    """JSON sidecars, keyed like the pages and read like them.
+
+    A file holds an object or an array of objects, each a row; one that is no JSON in UTF-8, 16 or 32 is a row without
+    values. Numbers, objects and arrays in text cells stay as they are written.
+    """
+    place_of, listing = _place(path, ".json"), file_tree.list_files(spark, path, ".json")
+    if listing:
+        texts = file_tree.read_files(listing, _sidecar_text, "string", file_tree.uri_path)
+        rows = texts.select(F.coalesce("path", F.lit("")).alias("_f"), F.explode(_sidecar_rows(F.col("content"))).alias("_r"))
+        df = file_tree.not_broadcast(rows.where(F.col("_r").isNotNull()).select("_f", "_r.*"), listing)
+    else:
+        df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").option(
+            "multiLine", "true").schema(_SIDECAR).json(path).withColumn("_f", F.col("_metadata.file_path"))
     return df.select(
         F.regexp_extract("_f", place_of, 1).alias("path_platform"), F.regexp_extract("_f", place_of, 2).alias("path_crawl"),
-        F.regexp_extract("_f", place_of, 3).alias("key"), *[n.split()[0] for n in schema.split(", ")])
+        F.regexp_extract("_f", place_of, 3).alias("key"), *_SIDECAR.fieldNames())
+
+
+def _sidecar_rows(text: Column) -> Column:
+    """The rows that Spark's JSON reader finds in a file: NULL for a blank one, a row without values for a bad one."""
+    # With an option set, the optimizer leaves the parser all fields.
+    one, many, none = (F.from_json(x, kind, {"mode": "PERMISSIVE"}) for x, kind in (
+        (text, _SIDECAR), (text, T.ArrayType(_SIDECAR)), (F.lit("{}"), _SIDECAR)))
+    bad = many.isNull() | F.exists(many, lambda r: r.isNull())
+    return F.when(~F.ltrim(text, F.lit(_BLANK)).startswith("["), F.array(one)).when(bad, F.array(none)).otherwise(many)
+
+
+def _sidecar_text(data: bytes) -> str:
+    """JSON text up to the first broken byte. What is no string in a text cell becomes one, as from_json writes it anew."""
+    encoding = json.detect_encoding(data)
+    try:
+        text = data.decode(encoding)
+    except UnicodeDecodeError as e:
+        text = data[:e.start].decode(encoding)
+    try:
+        start = _filled(text, 0)
+        root, _ = _JSON.raw_decode(text, start)
+        rows = root if isinstance(root, list) else [root]
+        if any(_is_other(n, v) for r in rows if isinstance(r, dict) for n, v in r.items()):
+            return _quoted(text, start)
+    except (ValueError, RecursionError):
+        pass  # from_json settles what is wrong with it
+    return text
+
+
+def _is_other(name: str, value: object) -> bool:
+    return name in _TEXT_CELLS and value is not None and not isinstance(value, str | bool)
+
+
+def _filled(text: str, at: int) -> int:
+    """The next place that is not blank."""
+    while text[at:at + 1] and text[at] in _BLANK:
+        at += 1
+    return at
+
+
+def _quoted(text: str, at: int) -> str:
+    """The object, or array of objects, that begins at a place of a valid text, with all its text cells as strings."""
+    out, is_array = [], text[at] == "["
+    at = _filled(text, at + 1)
+    while text[at] not in "]}":
+        name, value, end = None, *_JSON.raw_decode(text, at)
+        if not is_array:
+            at = _filled(text, _filled(text, end) + 1)
+            name, (value, end) = value, _JSON.raw_decode(text, at)
+        raw = _quoted(text, at) if is_array and isinstance(value, dict) else text[at:end]
+        out.append(raw if is_array else f"{json.dumps(name)}:{json.dumps(raw) if _is_other(name, value) else raw}")
+        at = _filled(text, end)
+        at = _filled(text, at + 1) if text[at] == "," else at
+    return f"[{','.join(out)}]" if is_array else f"{{{','.join(out)}}}"
 
 
 def _place(path: str, ending: str) -> str:

@@ -38,6 +38,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(place)
 
 
+def qualified(spark: SparkSession, path: str) -> tuple[str, str]:
+    """A path with its scheme, as an encoded URI and as Spark writes it."""
+    place, fs = _file_system(spark, path)
+    full = fs.makeQualified(place)
+    return full.toUri().toASCIIString(), full.toString()
+
+
 def new_version() -> str:
     # The letter keeps a partition value from being read as a number.
     return f"v{uuid.uuid4().hex}"

@@ -7,9 +7,11 @@ from types import SimpleNamespace
 
 import pyarrow as pa
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from gleaner import session
+from gleaner.operators import lookups
 from gleaner.plans import steps
 from gleaner.plans.extract_step import entity_table
 from gleaner.schema import ENTITY_COLUMNS, POINTER
@@ -319,3 +321,71 @@ def test_members_are_written_and_cdx_lines_made_by_as_many_tasks_as_pages_have(s
     assert len(shards) == 5
     found = gzip_lines.read_lines(spark, root, 500, "*.gz")
     assert sorted(r["value"] for r in found.collect()) == sorted(r["value"] for r in lines.collect())
+
+
+def test_files_of_a_store_are_not_held_by_the_driver(spark, tmp_path):
+    store = tmp_path / "store"
+    for i in range(300):
+        folder = store / "p" / "c" / f"d{i}"
+        folder.mkdir(parents=True)
+        (folder / "x.html").write_text(f"page {i}")
+        (folder / "x.json").write_text('{"url": "u%d"}' % i)
+    pages, side = page_store.read_page_files(spark, str(store)), page_store.read_sidecars(spark, str(store))
+    # Spark's file readers plan with one entry per file; what is planned with now are the tables of the listing.
+    for df in (pages, side):
+        assert len(df.inputFiles()) < 100 and not any(str(store) in f for f in df.inputFiles())
+    assert {(r["key"], bytes(r["body"])) for r in pages.collect()} == {(f"d{i}/x", b"page %d" % i) for i in range(300)}
+    assert {(r["path_platform"], r["path_crawl"], r["key"], r["url"]) for r in side.collect()} == {
+        ("p", "c", f"d{i}/x", f"u{i}") for i in range(300)}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4000")  # the sidecars are larger than that
+    try:
+        joined = lookups.with_metadata(pages.drop("body"), page_store.read_sidecars(spark, str(store)))
+        assert "Broadcast" not in joined._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        assert {r["url"] for r in joined.collect()} == {f"u{i}" for i in range(300)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_store_files_are_chosen_as_spark_chooses_them(spark, tmp_path):
+    names = ["x", "a b", "a%20b", "a#b", "é", "_h", "_h=1", ".h", "_metadata", "x._COPYING_", "[a]", "k+l", "x.html"]
+    root = tmp_path / "s t"
+    for name in names:
+        for where in (root / "p" / "c" / name / "y.html", root / "p" / "c" / "d" / f"{name}.html", root / name / "c" / "y.html"):
+            where.parent.mkdir(parents=True, exist_ok=True)
+            where.write_bytes(name.encode())
+    for wrong in ("z.html", "p/z.html", "p/c/z.HTML", "p/c/z.html.gz", "p/c/z.htm"):
+        (root / wrong).write_text("no page")
+    (root / "p" / "c" / "empty.html").write_bytes(b"")
+    (root / "p" / "c" / "nothing").mkdir()
+    spark_files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.html").format("binaryFile").load(str(root))
+    want = sorted((r["path"].split(f"{root}/", 1)[1], bytes(r["content"])) for r in spark_files.collect())
+    got = [("/".join([r["path_platform"], r["path_crawl"], r["key"]]) + ".html", bytes(r["body"]))
+           for r in page_store.read_page_files(spark, str(root)).collect()]
+    assert sorted(got) == [w for w in want if w[0].count("/") > 1] and got
+    (tmp_path / "none").mkdir()
+    assert page_store.read_page_files(spark, str(tmp_path / "none")).count() == 0
+    assert page_store.read_sidecars(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(AnalysisException):
+        page_store.read_page_files(spark, str(tmp_path / "missing"))
+
+
+def test_odd_sidecars_are_read_as_spark_reads_them(spark, tmp_path):
+    odd = [b'{"url": "u", "timestamp": "t", "status": 200, "mime_type": "m", "crawl_id": "c", "platform": "p"}', b" \n", b"{}", b"[]",
+           b'\n{\n "url": null,\n "platform": "p"\n}', b'[{"url": "a"}, {"url": "b", "status": 3}]', b' [{"url": "a", "status": "x"}]',
+           b'[{"url": "a"}, 3]', b'[{"url": "a"}, null]', b'[{"url": "a"}', b"{bad", b'{"url": "u", "timestamp": "t"', b"null", b"5",
+           b'{"url": "u", "status": "200", "platform": "p"}', b'{"url": 1640995200.123456, "timestamp": 5, "platform": true}',
+           b'[{"url": {"a" : [1,\n2]}, "platform": 1.50}, {"url": [ ]}]', b'{"other": {"url": 1.50}, "url": "x", "timestamp" : 1e5 } x',
+           b'{"u\\u0072l": 1.50, "URL": "b"}', b'{"url": "a", "url": "b"}', b'{"url": "a"} {"url": "b"}', b'\xef\xbb\xbf{"url": "a"}',
+           '{"url": "é\\u00e9"}'.encode("utf-16"), '{"url": "é"}'.encode("utf-16-be"), b'{"url": "a"} \xe9', b'{"url": "\xe9 b"}']
+    for i, data in enumerate(odd):
+        (tmp_path / "p" / "c" / f"d{i}").mkdir(parents=True)
+        (tmp_path / "p" / "c" / f"d{i}" / "x.json").write_bytes(data)
+    cells = ["url", "timestamp", "status", "mime_type", "crawl_id", "platform"]
+    spark_rows = spark.read.option("recursiveFileLookup", "true").option("multiLine", "true").schema(
+        "url string, timestamp string, status int, mime_type string, crawl_id string, platform string").json(str(tmp_path))
+    key = F.regexp_extract("_metadata.file_path", r"p/c/(.*)\.json$", 1).alias("key")
+    want = [tuple(r) for r in spark_rows.select(key, *cells).collect()]
+    got = [tuple(r) for r in page_store.read_sidecars(spark, str(tmp_path)).select("key", *cells).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and len(got) == 26
